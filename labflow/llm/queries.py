@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from .decontaminate import op8_decontamination
 from .packing import op1_packing
+from .quality_rules import op5_quality_rules
 from .token_output import op10_token_output
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op5_quality_rules": op5_quality_rules,
+    "op8_decontamination": op8_decontamination,
     "op10_token_output": op10_token_output,
 }
 

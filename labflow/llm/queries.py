@@ -6,11 +6,13 @@ from .decontaminate import op8_decontamination
 from .html_text import op9_html_extraction
 from .packing import op1_packing
 from .quality_rules import op5_quality_rules
+from .toxicity import op6_toxicity
 from .token_output import op10_token_output
 
 QUERIES = {
     "op1_packing": op1_packing,
     "op5_quality_rules": op5_quality_rules,
+    "op6_toxicity": op6_toxicity,
     "op8_decontamination": op8_decontamination,
     "op9_html_extraction": op9_html_extraction,
     "op10_token_output": op10_token_output,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .decontaminate import op8_decontamination
 from .html_text import op9_html_extraction
+from .jaccard_join import op7_ngram_jaccard_join
 from .packing import op1_packing
 from .quality_rules import op5_quality_rules
 from .toxicity import op6_toxicity
@@ -13,6 +14,7 @@ QUERIES = {
     "op1_packing": op1_packing,
     "op5_quality_rules": op5_quality_rules,
     "op6_toxicity": op6_toxicity,
+    "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op8_decontamination": op8_decontamination,
     "op9_html_extraction": op9_html_extraction,
     "op10_token_output": op10_token_output,

@@ -9,6 +9,7 @@ collapse before the shuffle, so a key that fills a third of the corpus weighs on
 
 from __future__ import annotations
 
+import gc
 import struct
 import tempfile
 import uuid
@@ -52,10 +53,28 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of finished, staged steps now instead of at its next collection of garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def text_bytes(docs: DataFrame, text: str = "text") -> int:
+    return docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+
+
+def key_bits(size: int) -> int:
+    """Bits of a hash that a filter over ``size`` bytes of text needs: a chance match is rarer than one in a thousand."""
+    return min(64, max(40, int(size).bit_length() + 11))
+
+
 def shards_for(docs: DataFrame, text: str = "text", each: int = SHARD_BYTES) -> int:
     """How many shards the text of ``docs`` asks for: at least the session's shuffle partitions."""
-    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // each))
+    return shard_count(docs.sparkSession, text_bytes(docs, text), each)
+
+
+def shard_count(spark: SparkSession, size: int, each: int = SHARD_BYTES) -> int:
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // each))
 
 
 def row_key(*columns: str) -> Column:
@@ -116,6 +135,45 @@ def runs(sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return start, np.diff(np.r_[start, len(sorted_keys)])
 
 
+# ---------------------------------------------------------------------------------------------- answers by row
+def answer_rows(names: np.ndarray, n: int, *values: np.ndarray) -> list[tuple[int, bytes]]:
+    """Pack values by the partition of their row key: sorted by row, then by the first value."""
+    if not len(names):
+        return []
+    part = part_of(names, n)
+    order = np.lexsort((values[0], names, part))
+    names, values, part = names[order], [v[order] for v in values], part[order]
+    out = []
+    for a, k in zip(*runs(part), strict=True):
+        own = slice(a, a + k)
+        start, length = runs(names[own])
+        out.append((int(part[a]), pack(names[own][start], length.astype(np.uint32), *[v[own] for v in values])))
+    return out
+
+
+class Answers:
+    """All answers of one partition, looked up by row key."""
+
+    def __init__(self, payloads: list[bytes], width: int):
+        names, values = [], [[] for _ in range(width)]
+        while payloads:
+            name, length, *rest = unpack(payloads.pop())
+            names.append(np.repeat(name, length))
+            for held, v in zip(values, rest, strict=True):
+                held.append(v)
+        self.names = np.concatenate(names) if names else np.zeros(0, U64)
+        self.values = [np.concatenate(v) if v else np.zeros(0, np.int64) for v in values]
+        order = np.lexsort((self.values[0], self.names))
+        self.names, self.values = self.names[order], [v[order] for v in self.values]
+
+    def of(self, keys: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+        """For each key in turn its answers: the key's number, and the values."""
+        a, b = np.searchsorted(self.names, keys), np.searchsorted(self.names, keys, side="right")
+        size = b - a
+        take = np.repeat(a - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+        return np.repeat(np.arange(len(keys)), size), [v[take] for v in self.values]
+
+
 # ---------------------------------------------------------------------------------------------- exchanges
 PACKED = "shard int, payload binary"
 

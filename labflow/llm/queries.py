@@ -7,11 +7,13 @@ from .html_text import op9_html_extraction
 from .jaccard_join import op7_ngram_jaccard_join
 from .packing import op1_packing
 from .quality_rules import op5_quality_rules
+from .substring_dedup import op4_substring_dedup
 from .toxicity import op6_toxicity
 from .token_output import op10_token_output
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_toxicity": op6_toxicity,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,

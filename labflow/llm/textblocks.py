@@ -208,3 +208,15 @@ def within(first: np.ndarray, width: int) -> np.ndarray:
         at = at[(at >= 0) & (at < n)]
         ok[at] = False
     return ok
+
+
+def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
+    """Least of each run of ``width`` consecutive values, by doubling."""
+    n = len(values) - width + 1
+    if n <= 0:
+        return values[:0]
+    out, size = values, 1
+    while size * 2 <= width:
+        out = np.minimum(out[:-size], out[size:])
+        size *= 2
+    return np.minimum(out[:n], out[width - size : width - size + n])

@@ -8,11 +8,13 @@ from .jaccard_join import op7_ngram_jaccard_join
 from .packing import op1_packing
 from .quality_rules import op5_quality_rules
 from .substring_dedup import op4_substring_dedup
+from .suffix_dedup import op3_suffix_array_dedup
 from .toxicity import op6_toxicity
 from .token_output import op10_token_output
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op3_suffix_array_dedup": op3_suffix_array_dedup,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_toxicity": op6_toxicity,

@@ -27,11 +27,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textblocks as tb
-from .common import U64, by_shard, cut, pack, packed_rows, part_of, runs, shards_for, stage, unpack
+from .common import U64, by_shard, cut, key_bits, pack, packed_rows, part_of, release, runs, shard_count, stage, text_bytes, unpack
 from .components import components
 
 SHINGLE, PERCENT = 5, 80
-MOST_LEADERS = 32
+MOST_LEADERS = 64
 
 
 def shingle_sets(batch: tb.Batch, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -89,11 +89,13 @@ def _log2(x: np.ndarray) -> np.ndarray:
     return np.floor(np.log2(x)).astype(np.int64)
 
 
-def candidate_sets(docs: DataFrame, n: int) -> DataFrame:
-    """set_key, n, p1 (array of longs), rest (packed: shared shingles, and prefixes under the other orders).
+def candidate_sets(docs: DataFrame, n: int, bits: int) -> DataFrame:
+    """set_key, n, shared, rank, p1 (array of longs), rest (packed: shared shingles, and which are in the other prefixes).
 
-    Only sets whose first prefix reaches a shared shingle appear.
+    Only sets whose first prefix reaches a shared shingle appear.  Shingles keep ``bits`` bits, so many that a chance
+    match within a pair of sets is rarer than one in a million.  ``rank`` is the mean logarithm of the shingles' frequency.
     """
+    drop = U64(64 - bits)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in tb.joined(batches, "text", 2 * tb.BATCH_BYTES):
@@ -105,11 +107,11 @@ def candidate_sets(docs: DataFrame, n: int) -> DataFrame:
             once &= size > 0
             doc = np.repeat(np.arange(len(names)), size)
             keep = once[doc]
-            keys, doc = keys[keep], doc[keep]
+            keys, doc = keys[keep] >> drop, doc[keep]
             order = np.argsort(keys)
             keys, doc = keys[order], doc[order]
             out = []
-            for shard, own in cut(keys, n):
+            for shard, own in cut(keys << drop, n):
                 used, local = np.unique(doc[own], return_inverse=True)
                 out.append((shard, pack(keys[own], local.astype(np.uint16 if len(used) <= 65_536 else np.uint32), names[used], size[used].astype(np.uint32))))
             yield packed_rows(out)
@@ -161,20 +163,24 @@ def candidate_sets(docs: DataFrame, n: int) -> DataFrame:
         for i in np.flatnonzero(take > 0):
             own = slice(start[i], start[i] + shared[i])
             k, f = key[own], often[own].astype(np.int64)
-            second = k[np.lexsort((tb.mix(k ^ U64(0x5DEECE66D)), f))][: take[i]]
-            third = k[np.lexsort((tb.mix(k ^ U64(0x9E3779B9)), _log2(f)))][: take[i]]
-            rows.append((int(name[own.start].view(np.int64)), int(size[own.start]), k[: take[i]].view(np.int64), pack(np.sort(k), np.sort(second), np.sort(third))))
+            second, third = np.lexsort((tb.mix(k ^ U64(0x5DEECE66D)), f)), np.lexsort((tb.mix(k ^ U64(0x9E3779B9)), _log2(f)))
+            masks = np.zeros((2, len(k)), bool)
+            masks[0][second[: take[i]]] = masks[1][third[: take[i]]] = True
+            by_key = np.argsort(k)
+            rank = int(1000 * np.log2(f).sum() / size[own.start])
+            rows.append((int(name[own.start].view(np.int64)), int(size[own.start]), len(k), rank, k[: take[i]].view(np.int64), pack(k[by_key], np.packbits(masks[0][by_key]), np.packbits(masks[1][by_key]))))
             if len(rows) == 2000:
                 yield _rows(rows)
                 rows = []
         yield _rows(rows)
 
     def _rows(rows: list[tuple]) -> pa.RecordBatch:
-        return pa.record_batch([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.list_(pa.int64())), pa.array([r[3] for r in rows], pa.binary())], ["set_key", "n", "p1", "rest"])
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
+        return pa.record_batch([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], ["set_key", "n", "shared", "rank", "p1", "rest"])
 
     sent = docs.select("text").mapInArrow(send, "shard int, payload binary")
     counted = by_shard(sent, n, count, "shard int, payload binary")
-    return stage(by_shard(counted, n, prefixes, "set_key long, n long, p1 array<long>, rest binary"), "jaccard-candidates")
+    return stage(by_shard(counted, n, prefixes, "set_key long, n long, shared long, rank long, p1 array<long>, rest binary"), "jaccard-candidates")
 
 
 def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -194,11 +200,10 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         for b in batches:
             good = np.zeros(b.num_rows, bool)
             for i, (n, m, x, y) in enumerate(zip(b.column("n").to_pylist(), b.column("m").to_pylist(), b.column("x").to_pylist(), b.column("y").to_pylist(), strict=True)):
-                p, q = opened(x), unpack(y)
-                if not len(np.intersect1d(p[1], q[1], True)) or not len(np.intersect1d(p[2], q[2], True)):
-                    continue
-                both = len(np.intersect1d(p[0], q[0], True))
-                good[i] = 100 * both >= PERCENT * (n + m - both)
+                (p, p2, p3), (q, q2, q3) = opened(x), unpack(y)
+                both, i_p, i_q = np.intersect1d(p, q, True, True)
+                if all(bool((np.unpackbits(a)[i_p] & np.unpackbits(c)[i_q]).any()) for a, c in ((p2, q2), (p3, q3))):
+                    good[i] = 100 * len(both) >= PERCENT * (n + m - len(both))
             yield b.select(["u", "v"]).filter(pa.array(good))
 
     left = sets.select(F.col("set_key").alias("u"), "n", F.col("rest").alias("x"))
@@ -208,45 +213,52 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def link(sets: DataFrame) -> DataFrame:
     """node, root of every set that is linked to another, with all components found."""
-    lists = sets.select(F.explode("p1").alias("token"), "set_key", "n")
-    posted = stage(lists.join(lists.groupBy("token").agg(F.count("*").alias("k")).filter("k > 1").select("token"), "token", "left_semi"), "jaccard-lists")
     spark = sets.sparkSession
+    lists = sets.select(F.explode("p1").alias("token"), "set_key", "n", "shared", "rank")
+    several = lists.groupBy("token").agg(F.count("*").alias("k")).filter("k > 1").select("token")
+    active = stage(lists.join(several, "token", "left_semi"), "jaccard-lists")
     roots = spark.createDataFrame([], "node long, root long")
     edges = spark.createDataFrame([], "u long, v long")
-    active, leaders, first = posted, 1, True
+    leaders = 1
     while True:
-        if first:
-            named = active.withColumn("root", F.col("set_key"))
-            heads = active.groupBy("token").agg(F.min("set_key").alias("u")).withColumn("heads", F.array("u")).select("token", "heads")
+        # a set stays in a list while it may still meet a set of another component there
+        named = active.join(roots.withColumnRenamed("node", "set_key"), "set_key", "left").withColumn("root", F.coalesce("root", "set_key"))
+        least = named.groupBy("token").agg(F.min("n").alias("least_n"))
+        named = named.join(least, "token").filter(9 * F.col("shared") >= 4 * (F.col("n") + F.col("least_n"))).drop("least_n")
+        named = stage(named, "jaccard-active")
+        open_ = named.groupBy("token").agg((F.min("root") != F.max("root")).alias("open")).filter("open").select("token")
+        named = stage(named.join(open_, "token", "left_semi"), "jaccard-open")
+        if named.isEmpty():
+            return roots
+        # leaders: of the smallest components in a list the set whose shingles are most shared
+        by_root = named.groupBy("token", "root").agg(F.count("*").alias("k"), F.max(F.struct("rank", "set_key"))["set_key"].alias("u"), F.max("rank").alias("rank"))
+        if leaders == 1:
+            heads = by_root.groupBy("token").agg(F.array(F.max(F.struct("rank", "u"))["u"]).alias("heads"))
         else:
-            named = active.join(roots.withColumnRenamed("node", "set_key"), "set_key", "left").withColumn("root", F.coalesce("root", "set_key"))
-            named = stage(named, "jaccard-active")
-            open_ = named.groupBy("token").agg((F.min("root") != F.max("root")).alias("open")).filter("open").select("token")
-            named = stage(named.join(open_, "token", "left_semi"), "jaccard-open")
-            if named.isEmpty():
-                break
-            by_root = named.groupBy("token", "root").agg(F.count("*").alias("k"), F.min("set_key").alias("u"))
             picks = [F.min(F.struct("k", F.xxhash64("root", F.lit(i)), "u"))["u"] for i in range(leaders)]
             heads = by_root.groupBy("token").agg(F.array_distinct(F.array(*picks)).alias("heads"))
-        heads = stage(heads, "jaccard-heads")
-        each = heads.select("token", F.explode("heads").alias("u"))
-        own = each.join(named.select("token", F.col("set_key").alias("u"), F.col("root").alias("u_root"), F.col("n").alias("u_n")), ["token", "u"])
-        pairs = named.join(own, "token").filter((F.col("root") != F.col("u_root")) & (100 * F.least("n", "u_n") >= PERCENT * F.greatest("n", "u_n")))
-        pairs = pairs.select(F.least("u", "set_key").alias("v"), F.greatest("u", "set_key").alias("u")).distinct()
-        # the least key is the usual leader: it goes second, so that the join by v is the one with hot keys
+        each = stage(heads.select("token", F.explode("heads").alias("u")), "jaccard-heads")
+        own = each.join(named.select("token", F.col("set_key").alias("u"), F.col("root").alias("u_root"), F.col("n").alias("u_n"), F.col("shared").alias("u_shared")), ["token", "u"])
+        # both must be large enough, and the shingles that others share must suffice
+        fits = 9 * F.least("shared", "u_shared") >= 4 * (F.col("n") + F.col("u_n"))
+        pairs = named.join(own, (named.token == own.token) & (F.col("root") != F.col("u_root")) & (100 * F.least("n", "u_n") >= PERCENT * F.greatest("n", "u_n")) & fits)
+        pairs = stage(pairs.select("u", F.col("set_key").alias("v")).distinct(), "jaccard-pairs")
         found = stage(verify(pairs, sets), "jaccard-links")
         edges = edges.unionByName(found)
         roots = components(edges)
-        active = named.select("token", "set_key", "n").join(each.withColumnRenamed("u", "set_key"), ["token", "set_key"], "left_anti")
-        leaders, first = min(leaders * 4, MOST_LEADERS), False
-    return roots
+        active = named.drop("root").join(each.withColumnRenamed("u", "set_key"), ["token", "set_key"], "left_anti")
+        leaders = min(leaders * 8, MOST_LEADERS)
+        release(spark)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, set_key, component_id: the least doc_id that links reach."""
-    n = shards_for(docs)
+    size = text_bytes(docs)
+    n = shard_count(docs.sparkSession, size)
     members = documents_sets(docs)
-    roots = link(candidate_sets(docs, n)).select(F.col("node").alias("set_key"), "root")
+    sets = candidate_sets(docs, n, max(48, min(64, key_bits(size) + 8)))
+    release(docs.sparkSession)
+    roots = link(sets).select(F.col("node").alias("set_key"), "root")
     by_set = members.filter("n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").alias("least"), F.count("*").alias("k"))
     rooted = stage(by_set.join(roots, "set_key", "left").withColumn("root", F.coalesce("root", "set_key")), "jaccard-rooted")
     least = rooted.groupBy("root").agg(F.min("least").alias("component"), F.sum("k").alias("k")).filter("k > 1")

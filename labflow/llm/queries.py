@@ -5,6 +5,7 @@ from __future__ import annotations
 from .decontaminate import op8_decontamination
 from .html_text import op9_html_extraction
 from .jaccard_join import op7_ngram_jaccard_join
+from .kneser_ney import op2_quality_classifier
 from .packing import op1_packing
 from .quality_rules import op5_quality_rules
 from .substring_dedup import op4_substring_dedup
@@ -14,6 +15,7 @@ from .token_output import op10_token_output
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_quality_classifier": op2_quality_classifier,
     "op3_suffix_array_dedup": op3_suffix_array_dedup,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_quality_rules": op5_quality_rules,

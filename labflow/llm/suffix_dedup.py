@@ -35,6 +35,8 @@ WINDOW, GRAM = 50, 24
 REACH = WINDOW - GRAM  # how far an anchor may lie from its string's start
 #: Sampled suffixes per bucket.
 SAMPLE = 64
+#: Text bytes hashed at a time, and suffixes compared at a time; both bound a task's memory.
+BATCH, PIECE = 2 << 20, 1 << 14
 NULL_ID = np.iinfo(np.int64).max
 
 
@@ -87,7 +89,7 @@ def _shared(docs: DataFrame, n: int, bits: int) -> DataFrame:
     drop = U64(64 - bits)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in tb.joined(batches, "text", tb.BATCH_BYTES):
+        for rows in tb.joined(batches, "text", BATCH):
             batch = tb.Batch.of(rows.column("text"))
             names = np.asarray(rows.column("key")).view(U64)
             start, _, _, key, doc = zones(batch)
@@ -125,7 +127,7 @@ def splitters(docs: DataFrame, n: int) -> np.ndarray:
     rate = max(1, total // (n * SAMPLE))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in tb.joined(batches, "text", tb.BATCH_BYTES):
+        for rows in tb.joined(batches, "text", BATCH):
             batch = tb.Batch.of(rows.column("text"))
             names = np.asarray(rows.column("key")).view(U64)
             _, _, anchor, _, doc = zones(batch)
@@ -159,7 +161,7 @@ def _suffixes(docs: DataFrame, shared: DataFrame, bounds: np.ndarray, n: int) ->
 
     def task(payloads: list[bytes], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: Answers | None = None
-        for rows in tb.joined(batches, "text", tb.BATCH_BYTES):
+        for rows in tb.joined(batches, "text", BATCH):
             known = known or Answers(payloads, 1)
             batch = tb.Batch.of(rows.column("text"))
             names, ids = np.asarray(rows.column("key")).view(U64), _ids(rows.column("doc_id"))
@@ -214,9 +216,11 @@ class _Bucket:
     def strings(self, zone: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Hash, zone and number in the zone of each 50-byte string of the given zones."""
         n = self.count[zone]
+        size = n + WINDOW - 1
+        at = np.cumsum(size) - size
+        own = self.data[np.repeat(self.start[zone] - at, size) + np.arange(int(size.sum()))]
         number = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-        owner = np.repeat(zone, n)
-        return self.hashes[self.start[owner] + number], owner, number
+        return tb.rolling(tb.byte_hashes(own), WINDOW)[np.repeat(at, n) + number], np.repeat(zone, n), number
 
     def covered_places(self, owner: np.ndarray, number: np.ndarray, smaller: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places (row key, byte) of strings of which ``smaller`` is the least id anywhere."""
@@ -240,19 +244,17 @@ def _sort_buckets(suffixes: DataFrame, bounds: np.ndarray, n: int) -> DataFrame:
             anchor = own.start + own.skip
             keys = [leading(own.data, anchor, k) for k in range(0, GRAM, 8)]
             order = multikey_order(keys)
-            own.hashes = tb.rolling(tb.byte_hashes(own.data), WINDOW)
             # leading bytes that a neighbouring bucket may also hold
             edges = [bounds[i, 0] for i in (bucket - 1, bucket) if 0 <= i < len(bounds)]
             across = np.isin(keys[0], np.array(edges, U64)) if edges else np.zeros(len(order), bool)
-            step = 1 << 16
-            for a in _pieces(keys, order, step):
+            for a in _pieces(keys, order, PIECE):
                 zone = order[a]
                 yield from _answer(own, zone[~across[zone]], n)
                 crossing = zone[across[zone]]
                 if len(crossing):
                     yield _kinds(1, _crossing(own, crossing, n))
 
-    return stage(suffixes.repartitionById(n, F.col("shard")).mapInArrow(task, "kind int, shard int, payload binary"), "bucket-results")
+    return stage(suffixes.repartitionById(len(bounds) + 1, F.col("shard")).mapInArrow(task, "kind int, shard int, payload binary"), "bucket-results")
 
 
 def _pieces(keys: list[np.ndarray], order: np.ndarray, step: int) -> Iterator[slice]:
@@ -315,7 +317,7 @@ def _remove(docs: DataFrame, covered: DataFrame, n: int) -> DataFrame:
 
     def task(payloads: list[bytes], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: Answers | None = None
-        for rows in tb.joined(batches, "text", tb.BATCH_BYTES):
+        for rows in tb.joined(batches, "text", BATCH):
             known = known or Answers(payloads, 1)
             batch = tb.Batch.of(rows.column("text"))
             doc, (place,) = known.of(np.asarray(rows.column("key")).view(U64))
@@ -344,7 +346,7 @@ def remove_repeats(docs: DataFrame, buckets: int | None = None) -> DataFrame:
     shared = _shared(keyed, n, key_bits(size))
     release(spark)
     bounds = splitters(keyed, buckets or n)
-    results = _sort_buckets(_suffixes(keyed, shared, bounds, n), bounds, max(n, buckets or n))
+    results = _sort_buckets(_suffixes(keyed, shared, bounds, n), bounds, n)
     release(spark)
     covered = results.filter("kind = 0").select("shard", "payload")
     across = _compare_across(results.filter("kind = 1").select("shard", "payload"), n)

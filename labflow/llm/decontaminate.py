@@ -128,6 +128,23 @@ def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(task, "doc_id long, n_words long, n_hit long, items array<string>, spans array<struct<start: long, end: long>>")
 
 
+def clean_only(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that no pattern hits.  One pass, no shuffle."""
+    items = docs.sparkSession.sparkContext.broadcast(load_items(benchmark))
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        machine, patterns = automaton(items.value)
+        for rows in tb.joined(batches, "text", tb.BATCH_BYTES):
+            line, starts, _, first, line_ends = normalise(tb.Batch.of(rows.column("text")))
+            clean = np.ones(rows.num_rows, bool)
+            if patterns and len(starts):
+                ends = [end for end, _ in machine.iter(line.decode("latin-1"))]
+                clean[np.searchsorted(first, np.searchsorted(line_ends, ends), side="right") - 1] = not ends
+            yield rows.filter(pa.array(clean))
+
+    return docs.mapInArrow(task, docs.schema)
+
+
 def item_digest(items: list[str]) -> str:
     return hashlib.sha256(",".join(items).encode()).hexdigest()
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textblocks as tb
-from .common import U64, by_shard, cut, key_bits, pack, packed_rows, part_of, release, runs, shard_count, stage, text_bytes, unpack
+from .common import U64, by_shard, cut, key_bits, pack, packed_rows, part_of, release, row_key, runs, shard_count, stage, text_bytes, unpack
 from .components import components
 
 SHINGLE, PERCENT = 5, 80
@@ -71,14 +71,15 @@ def set_keys(keys: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def documents_sets(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and set key of each document."""
+    """Row key, doc_id, n_shingles and set key of each document."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in tb.joined(batches, "text", tb.BATCH_BYTES):
             keys, offsets = shingle_sets(tb.Batch.of(rows.column("text")))
-            yield pa.record_batch([rows.column("doc_id"), pa.array(np.diff(offsets).astype(np.int64)), pa.array(set_keys(keys, offsets).view(np.int64))], ["doc_id", "n_shingles", "set_key"])
+            yield pa.record_batch([rows.column("key"), rows.column("doc_id"), pa.array(np.diff(offsets).astype(np.int64)), pa.array(set_keys(keys, offsets).view(np.int64))], ["key", "doc_id", "n_shingles", "set_key"])
 
-    return stage(docs.select("doc_id", "text").mapInArrow(task, "doc_id long, n_shingles long, set_key long"), "shingle-sets")
+    keyed = docs.select(row_key("doc_id", "text").alias("key"), "doc_id", "text")
+    return stage(keyed.mapInArrow(task, "key long, doc_id long, n_shingles long, set_key long"), "shingle-sets")
 
 
 def prefix_length(n: np.ndarray) -> np.ndarray:
@@ -252,7 +253,7 @@ def link(sets: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, set_key, component_id: the least doc_id that links reach."""
+    """key (of the row), doc_id, n_shingles, set_key, component_id: the least doc_id that links reach."""
     size = text_bytes(docs)
     n = shard_count(docs.sparkSession, size)
     members = documents_sets(docs)
@@ -263,7 +264,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rooted = stage(by_set.join(roots, "set_key", "left").withColumn("root", F.coalesce("root", "set_key")), "jaccard-rooted")
     least = rooted.groupBy("root").agg(F.min("least").alias("component"), F.sum("k").alias("k")).filter("k > 1")
     named = rooted.join(least, "root").select("set_key", "component")
-    return members.join(named, "set_key", "left").select("doc_id", "n_shingles", "set_key", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.coalesce("component", "doc_id")).alias("component_id"))
+    return members.join(named, "set_key", "left").select("key", "doc_id", "n_shingles", "set_key", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.coalesce("component", "doc_id")).alias("component_id"))
 
 
 def op7_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:

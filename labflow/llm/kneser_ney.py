@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textblocks as tb
-from .common import U64, by_shard, cut, pack, packed_rows, release, runs, shards_for, stage, unpack
+from .common import U64, by_shard, cut, pack, packed_rows, release, row_key, runs, shards_for, stage, unpack
 
 VOCABULARY = 1 << 18
 KEY_BITS = 36
@@ -245,7 +245,7 @@ def context_totals(counts: DataFrame) -> np.ndarray:
 
 
 def score(docs: DataFrame, words: Words, gains: DataFrame, n: int) -> DataFrame:
-    """doc_id, lang, n_words, log_prob of every document."""
+    """key (of the row), doc_id, lang, n_words, log_prob of every document."""
     shared = docs.sparkSession.sparkContext.broadcast(words)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -313,18 +313,18 @@ def score(docs: DataFrame, words: Words, gains: DataFrame, n: int) -> DataFrame:
         row, s = np.concatenate(rows), np.concatenate(sums).astype(float)
         order = np.argsort(row, kind="stable")
         row, s = row[order], np.r_[0, np.cumsum(s[order])]
-        for own, doc_id, lang, n_words, base in docs_:
+        for own, names, n_words, base in docs_:
             a, b = np.searchsorted(row, own), np.searchsorted(row, own, side="right")
-            yield pa.record_batch([doc_id, lang, pa.array(n_words), pa.array(base + s[b] - s[a])], ["doc_id", "lang", "n_words", "log_prob"])
+            yield pa.record_batch([*names, pa.array(n_words), pa.array(base + s[b] - s[a])], ["key", "doc_id", "lang", "n_words", "log_prob"])
 
-    sent = docs.select("doc_id", "lang", "text").mapInArrow(send, "shard int, payload binary").unionByName(gains)
+    sent = docs.select(row_key("doc_id", "text").alias("key"), "doc_id", "lang", "text").mapInArrow(send, "shard int, payload binary").unionByName(gains)
     joined = by_shard(sent, n, join, "shard int, payload binary").select((-1 - F.col("shard")).alias("shard"), "payload")
-    return by_shard(joined, n, total, "doc_id long, lang string, n_words long, log_prob double")
+    return by_shard(joined, n, total, "key long, doc_id long, lang string, n_words long, log_prob double")
 
 
 def _documents(rows: pa.RecordBatch, row: np.ndarray, base: np.ndarray, n_words: np.ndarray, part: int, n: int) -> bytes:
     own = np.flatnonzero(row % n == part)
-    batch = rows.select(["doc_id", "lang"]).take(pa.array(own))
+    batch = rows.select(["key", "doc_id", "lang"]).take(pa.array(own))
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, batch.schema) as w:
         w.write_batch(batch)
@@ -335,7 +335,7 @@ def _documents(rows: pa.RecordBatch, row: np.ndarray, base: np.ndarray, n_words:
 def _unpack_documents(raw: bytes):
     row, base, n_words, ipc = unpack(raw)
     batch = pa.ipc.open_stream(pa.py_buffer(ipc.tobytes())).read_next_batch()
-    return row, batch.column("doc_id"), batch.column("lang"), n_words, base
+    return row, batch.columns, n_words, base
 
 
 def thresholds(scored: DataFrame, ids: DataFrame) -> DataFrame:
@@ -357,7 +357,7 @@ def thresholds(scored: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, lang, n_words, perplexity, threshold and kept, one row per document."""
+    """key (of the row), doc_id, lang, n_words, perplexity, threshold and kept, one row per document."""
     n = shards_for(docs)
     ids = stage(trusted_ids(labels), "trusted")
     counts = count_bigrams(docs, ids, n)
@@ -373,10 +373,10 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     limits = stage(limits, "perplexity-limits")
     many = limits.count() > 100_000
     out = scored.join(limits if many else F.broadcast(limits), on, "left")
-    return out.select("doc_id", "lang", "n_words", F.exp("log_ppl").alias("perplexity"), F.exp("limit").alias("threshold"), kept.alias("kept"))
+    return out.select("key", "doc_id", "lang", "n_words", F.exp("log_ppl").alias("perplexity"), F.exp("limit").alias("threshold"), kept.alias("kept"))
 
 
 def op2_quality_classifier(spark, sf_dir: str) -> DataFrame:
     from .common import table
 
-    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("key")

@@ -140,7 +140,7 @@ def _count(windows: DataFrame, n: int) -> DataFrame:
 
 
 def _remove(waiting: DataFrame, repeats: DataFrame, n: int, width: int) -> DataFrame:
-    schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("kept_text", pa.string())])
+    schema = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("kept_text", pa.string())])
 
     def task(payloads: list[bytes], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: Answers | None = None
@@ -155,13 +155,13 @@ def _remove(waiting: DataFrame, repeats: DataFrame, n: int, width: int) -> DataF
                 gone = tb.covered(place[edge[i] : edge[i + 1]].astype(np.int64), width, len(words))
                 kept = b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g] if gone.any() else words)
                 sizes.append(len(words)), removed.append(int(gone.sum())), shas.append(hashlib.sha256(kept).hexdigest()), kept_texts.append(kept.decode())
-            yield pa.record_batch([rows.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(shas), pa.array(kept_texts, pa.string())], schema=schema)
+            yield pa.record_batch([rows.column("key"), rows.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(shas), pa.array(kept_texts, pa.string())], schema=schema)
 
-    return with_side(waiting, repeats, n, task, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
+    return with_side(waiting, repeats, n, task, "key long, doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
 
 
 def remove_repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``done``: doc_id, n_words, kept_sha256 of texts without repeats; ``cleaned``: the same, n_removed and kept_text of the others."""
+    """``done``: doc_id, n_words, kept_sha256 of texts without repeats; ``cleaned``: the same, the row's key, n_removed and kept_text of the others."""
     spark = docs.sparkSession
     size = text_bytes(docs)
     n = shard_count(spark, size)

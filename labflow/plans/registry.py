@@ -1,14 +1,11 @@
-"""Every query of the library by name."""
+"""Every query of the library by name, and its SQL twin."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from . import aggregate_queries, rowwise_queries
+from .aggregate_queries import flagship
 
-from pyspark.sql import DataFrame, SparkSession
+QUERIES = rowwise_queries.QUERIES | aggregate_queries.QUERIES
+SQL = rowwise_queries.SQL | aggregate_queries.SQL
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
-
-
-def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+__all__ = ["QUERIES", "SQL", "flagship"]

@@ -94,6 +94,12 @@ class Words:
     seen: np.ndarray  # bitmap over the top bits of bigram keys
 
 
+def maybe_seen(bitmap: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """False for bigrams that were certainly not counted."""
+    place = (key >> U64(KEY_BITS - MAP_BITS)).astype(np.uint32)
+    return (bitmap[place >> np.uint32(3)] >> (np.uint8(7) - (place & np.uint32(7)).astype(np.uint8))) & np.uint8(1)
+
+
 def discounts(n: np.ndarray) -> np.ndarray:
     """D1, D2, D3+ from the numbers of entries with count 1, 2, 3 and 4."""
     n = np.maximum(n.astype(float), 1e-9)
@@ -108,7 +114,7 @@ def count_bigrams(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
     own = F.broadcast(trained) if trained.count() <= BROADCAST_IDS else trained
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in tb.joined(batches, "text", 4 * tb.BATCH_BYTES):
+        for rows in tb.joined(batches, "text", tb.BATCH_BYTES):
             key, _ = bigrams(*classes(tb.Batch.of(rows.column("text"))))
             key, count = np.unique(key, return_counts=True)
             yield packed_rows([(s, pack(key[at], count[at].astype(np.uint32))) for s, at in cut(_place(key), n)])
@@ -250,15 +256,14 @@ def score(docs: DataFrame, words: Words, gains: DataFrame, n: int) -> DataFrame:
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w, at = shared.value, TaskContext.get().partitionId() << 36
-        seen = np.unpackbits(w.seen).astype(bool)
-        for rows in tb.joined(batches, "text", 2 * tb.BATCH_BYTES):
+        for rows in tb.joined(batches, "text", tb.BATCH_BYTES):
             word, first = classes(tb.Batch.of(rows.column("text")))
             key, before = bigrams(word, first)
             base = np.r_[0, np.cumsum(w.log_p1[word.astype(np.int64)].astype(float) + w.log_g[before.astype(np.int64)])]
             base = base[first[1:]] - base[first[:-1]]
             row = np.arange(at, at + rows.num_rows)
             at += rows.num_rows
-            maybe = np.flatnonzero(seen[(key >> U64(KEY_BITS - MAP_BITS)).astype(np.int64)])
+            maybe = np.flatnonzero(maybe_seen(w.seen, key))
             doc = (np.searchsorted(first, maybe, side="right") - 1).astype(np.uint32)
             order = np.lexsort((doc, key[maybe]))
             key, doc = key[maybe][order], doc[order]

@@ -154,7 +154,8 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
 def _long_hash(seed: np.uint64, data: np.ndarray) -> np.uint64:
     padded = np.concatenate([data, np.zeros(-len(data) % 8, np.uint8)]).view("<u8").astype(U64)
     place = mix(np.arange(1, len(padded) + 1, dtype=U64) * _GOLD) | U64(1)
-    return mix(np.array([seed + np.sum(mix(padded + place) * place, dtype=U64)], U64))[0]
+    total = np.array([seed], U64) + np.sum(mix(padded + place) * place, dtype=U64)
+    return mix(total)[0]
 
 
 def rolling(hashes: np.ndarray, width: int, salt: int = 1) -> np.ndarray:

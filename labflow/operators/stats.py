@@ -16,20 +16,20 @@ from ..functions.scalar import kolmogorov_p, normal_quantile
 
 def ks(samples: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Exact two-sample Kolmogorov-Smirnov: statistic, sizes, p-value.  Works on the histogram of distinct values."""
-    hist = samples.filter("value is not null").groupBy(*keys, "value").agg(F.count_if(F.col("side") == "cand").alias("c"), F.count_if(F.col("side") == "targ").alias("t"))
+    hist = samples.filter("value is not null").groupBy(*keys, "value").agg(F.count_if(F.col("side") == "cand").alias("__c"), F.count_if(F.col("side") == "targ").alias("__t"))
     w = Window.partitionBy(*keys)
     run = w.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    cdf = hist.withColumns({"cc": F.sum("c").over(run), "ct": F.sum("t").over(run), "n": F.sum("c").over(w), "m": F.sum("t").over(w)})
-    out = cdf.filter("n > 0 and m > 0").groupBy(*keys).agg(F.max("n").alias("n_cand"), F.max("m").alias("n_targ"), F.max(F.abs(F.col("cc") / F.col("n") - F.col("ct") / F.col("m"))).alias("ks"))
+    cdf = hist.withColumns({"__cc": F.sum("__c").over(run), "__ct": F.sum("__t").over(run), "__n": F.sum("__c").over(w), "__m": F.sum("__t").over(w)})
+    out = cdf.filter("__n > 0 and __m > 0").groupBy(*keys).agg(F.max("__n").alias("n_cand"), F.max("__m").alias("n_targ"), F.max(F.abs(F.col("__cc") / F.col("__n") - F.col("__ct") / F.col("__m"))).alias("ks"))
     return out.withColumn("ks_p", kolmogorov_p(F.col("ks"), F.col("n_cand").cast("double"), F.col("n_targ").cast("double")))
 
 
 def binned(samples: DataFrame, keys: Sequence[str], bins: int = 100_000, above: int = 500_000) -> DataFrame:
     """Replace values by equal bins' numbers for keys with a side of more than ``above`` rows."""
-    size = samples.groupBy(*keys, "side").agg(F.count("value").alias("k"), F.min("value").alias("lo"), F.max("value").alias("hi")).groupBy(*keys).agg(F.max("k").alias("k"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    size = samples.groupBy(*keys, "side").agg(F.count("value").alias("__k"), F.min("value").alias("__lo"), F.max("value").alias("__hi")).groupBy(*keys).agg(F.max("__k").alias("__k"), F.min("__lo").alias("__lo"), F.max("__hi").alias("__hi"))
     both = samples.join(size, list(keys))
-    bin_ = F.least(F.width_bucket("value", "lo", "hi", F.lit(bins)), F.lit(bins).cast("long")).cast("double")
-    return both.withColumn("value", F.when((F.col("k") > above) & (F.col("hi") > F.col("lo")), bin_).otherwise(F.col("value"))).drop("k", "lo", "hi")
+    bin_ = F.least(F.width_bucket("value", "__lo", "__hi", F.lit(bins)), F.lit(bins).cast("long")).cast("double")
+    return both.withColumn("value", F.when((F.col("__k") > above) & (F.col("__hi") > F.col("__lo")), bin_).otherwise(F.col("value"))).drop("__k", "__lo", "__hi")
 
 
 def log_p(p, cap: float = 300.0):
@@ -110,8 +110,8 @@ def mixture(df: DataFrame, keys: Sequence[str], rounds: int = 60, log10: bool =
     key, broadcast while there are few keys, and the plan is cut by ``checkpoint`` every ten rounds.
     """
     v = F.log10("value") if log10 else F.col("value")
-    hist = df.filter("value > 0" if log10 else "value is not null").groupBy(*keys, v.alias("x")).agg(F.count("*").alias("k")).persist()
-    p = hist.groupBy(*keys).agg(F.percentile("x", F.array(F.lit(0.25), F.lit(0.75)), F.col("k")).alias("q"), F.stddev_pop("x").alias("sd"), F.sum("k").alias("n")).select(*keys, "n", F.lit(0.5).alias("w"), F.col("q")[0].alias("m1"), F.col("q")[1].alias("m2"), F.greatest("sd", F.lit(1e-6)).alias("s1"), F.greatest("sd", F.lit(1e-6)).alias("s2"), F.lit(0.0).alias("ll"))
+    hist = df.filter("value > 0" if log10 else "value is not null").groupBy(*keys, v.alias("x")).agg(F.count("*").alias("__k")).persist()
+    p = hist.groupBy(*keys).agg(F.percentile("x", F.array(F.lit(0.25), F.lit(0.75)), F.col("__k")).alias("q"), F.stddev_pop("x").alias("sd"), F.sum("__k").alias("n")).select(*keys, "n", F.lit(0.5).alias("w"), F.col("q")[0].alias("m1"), F.col("q")[1].alias("m2"), F.greatest("sd", F.lit(1e-6)).alias("s1"), F.greatest("sd", F.lit(1e-6)).alias("s2"), F.lit(0.0).alias("ll"))
 
     def density(m: str, s: str):
         z = (F.col("x") - F.col(m)) / F.col(s)
@@ -120,8 +120,8 @@ def mixture(df: DataFrame, keys: Sequence[str], rounds: int = 60, log10: bool =
     for i in range(rounds):
         a, b = F.col("w") * density("m1", "s1"), (1 - F.col("w")) * density("m2", "s2")
         e = hist.join(p.drop("ll", "n"), list(keys)).withColumns({"tot": F.greatest(a + b, F.lit(1e-300)), "r": a / F.greatest(a + b, F.lit(1e-300))})
-        r1, r2 = F.col("k") * F.col("r"), F.col("k") * (1 - F.col("r"))
-        agg = e.groupBy(*keys).agg(F.sum("k").alias("n"), F.sum(r1).alias("n1"), F.sum(r2).alias("n2"), F.sum(r1 * F.col("x")).alias("x1"), F.sum(r2 * F.col("x")).alias("x2"), F.sum(r1 * F.col("x") * F.col("x")).alias("y1"), F.sum(r2 * F.col("x") * F.col("x")).alias("y2"), F.sum(F.col("k") * F.log("tot")).alias("ll"))
+        r1, r2 = F.col("__k") * F.col("r"), F.col("__k") * (1 - F.col("r"))
+        agg = e.groupBy(*keys).agg(F.sum("__k").alias("n"), F.sum(r1).alias("n1"), F.sum(r2).alias("n2"), F.sum(r1 * F.col("x")).alias("x1"), F.sum(r2 * F.col("x")).alias("x2"), F.sum(r1 * F.col("x") * F.col("x")).alias("y1"), F.sum(r2 * F.col("x") * F.col("x")).alias("y2"), F.sum(F.col("__k") * F.log("tot")).alias("ll"))
         m1, m2 = F.col("x1") / F.greatest("n1", F.lit(1e-9)), F.col("x2") / F.greatest("n2", F.lit(1e-9))
         p = agg.select(*keys, "n", (F.col("n1") / F.col("n")).alias("w"), m1.alias("m1"), m2.alias("m2"), F.sqrt(F.greatest(F.col("y1") / F.greatest("n1", F.lit(1e-9)) - m1 * m1, F.lit(1e-12))).alias("s1"), F.sqrt(F.greatest(F.col("y2") / F.greatest("n2", F.lit(1e-9)) - m2 * m2, F.lit(1e-12))).alias("s2"), "ll")
         if i % 10 == 9 and df.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined():

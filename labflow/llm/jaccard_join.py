@@ -31,7 +31,7 @@ from .common import U64, by_shard, cut, key_bits, pack, packed_rows, part_of, re
 from .components import components
 
 SHINGLE, PERCENT = 5, 80
-MOST_LEADERS = 64
+MOST_LEADERS = 32
 
 
 def shingle_sets(batch: tb.Batch, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -218,17 +218,14 @@ def link(sets: DataFrame) -> DataFrame:
     lists = sets.select(F.explode("p1").alias("token"), "set_key", "n", "shared", "rank")
     several = lists.groupBy("token").agg(F.count("*").alias("k")).filter("k > 1").select("token")
     active = stage(lists.join(several, "token", "left_semi"), "jaccard-lists")
+    active = active.withColumn("root", F.col("set_key"))
     roots = spark.createDataFrame([], "node long, root long")
-    edges = spark.createDataFrame([], "u long, v long")
     leaders = 1
     while True:
-        # a set stays in a list while it may still meet a set of another component there
-        named = active.join(roots.withColumnRenamed("node", "set_key"), "set_key", "left").withColumn("root", F.coalesce("root", "set_key"))
-        least = named.groupBy("token").agg(F.min("n").alias("least_n"))
-        named = named.join(least, "token").filter(9 * F.col("shared") >= 4 * (F.col("n") + F.col("least_n"))).drop("least_n")
-        named = stage(named, "jaccard-active")
-        open_ = named.groupBy("token").agg((F.min("root") != F.max("root")).alias("open")).filter("open").select("token")
-        named = stage(named.join(open_, "token", "left_semi"), "jaccard-open")
+        # lists with sets of several components, and in them the sets that may still meet another one
+        lists = active.groupBy("token").agg(F.min("n").alias("least_n"), (F.min("root") != F.max("root")).alias("open")).filter("open")
+        named = active.join(lists, "token").filter(9 * F.col("shared") >= 4 * (F.col("n") + F.col("least_n"))).drop("least_n", "open")
+        named = stage(named, "jaccard-open")
         if named.isEmpty():
             return roots
         # leaders: of the smallest components in a list the set whose shingles are most shared
@@ -243,11 +240,13 @@ def link(sets: DataFrame) -> DataFrame:
         # both must be large enough, and the shingles that others share must suffice
         fits = 9 * F.least("shared", "u_shared") >= 4 * (F.col("n") + F.col("u_n"))
         pairs = named.join(own, (named.token == own.token) & (F.col("root") != F.col("u_root")) & (100 * F.least("n", "u_n") >= PERCENT * F.greatest("n", "u_n")) & fits)
-        pairs = stage(pairs.select("u", F.col("set_key").alias("v")).distinct(), "jaccard-pairs")
+        pairs = pairs.select("u", F.col("set_key").alias("v")).distinct()
         found = stage(verify(pairs, sets), "jaccard-links")
-        edges = edges.unionByName(found)
-        roots = components(edges)
-        active = named.drop("root").join(each.withColumnRenamed("u", "set_key"), ["token", "set_key"], "left_anti")
+        active = named.join(each.withColumnRenamed("u", "set_key"), ["token", "set_key"], "left_anti")
+        if not found.isEmpty():
+            # earlier components enter as stars
+            roots = components(found.unionByName(roots.select(F.col("node").alias("u"), F.col("root").alias("v"))))
+            active = active.drop("root").join(roots.withColumnRenamed("node", "set_key"), "set_key", "left").withColumn("root", F.coalesce("root", "set_key"))
         leaders = min(leaders * 8, MOST_LEADERS)
         release(spark)
 

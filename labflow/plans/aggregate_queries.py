@@ -473,6 +473,79 @@ def running_ratio(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", F.round(F.sum((F.col("user_id") % 2 == 0).cast("int")).over(w) / F.count("*").over(w), 9).alias("ratio"))
 
 
+# ------------------------------------------------------------------------------------------------ smaller operators
+@query("summary_statistics", "SELECT user_id % 3 AS chrom, event_id AS pos, 'A' AS ref, 'C' AS alt, value AS beta, value / 2 AS sebeta, 0.5::DOUBLE AS af, round(pow(10.0, -value / 100), 9) AS pval, value / 100 AS mlogp FROM events")
+def summary_statistics(spark, sf_dir):
+    df = table(spark, sf_dir, "events").select((F.col("user_id") % 3).alias("chrom"), F.col("event_id").alias("pos"), F.lit("A").alias("ref"), F.lit("C").alias("alt"), F.col("value").alias("beta"), (F.col("value") / 2).alias("sebeta"), F.lit(0.5).alias("af"), (F.col("value") / 100).alias("mlogp"))
+    return pheno.summary_statistics(df).withColumn("pval", F.round("pval", 9))
+
+
+@query("genomic_sort", "SELECT event_id, CAST(user_id % 22 AS VARCHAR) AS chrom FROM events ORDER BY user_id % 22, event_id")
+def genomic_sort(spark, sf_dir):
+    df = table(spark, sf_dir, "events").select("event_id", (F.col("user_id") % 22).cast("string").alias("chrom"))
+    return dedup.genomic_sort(df, "chrom", "event_id")
+
+
+@query("prevalence_text", f"WITH {M_SQL}, {_U} SELECT test, concat('{{', string_agg(concat(unit, ':', pct), ',' ORDER BY rn), '}}') AS units, arg_min(unit, rn) AS dominant, max(pct) AS share FROM pv GROUP BY 1")
+def prevalence_text(spark, sf_dir):
+    return units.prevalence_text(units.prevalence(_u(spark, sf_dir)))
+
+
+@query("no_data_rescue", f"WITH {M_SQL}, {_U}, r AS (SELECT tg.* FROM tg LEFT JOIN pv ON tg.test = pv.test AND rn = 1 WHERE pct IS NULL) SELECT test, n_rows, r.concept, t.s AS status, CASE WHEN t.s IN ('SINGLE', 'EQUIVALENT') THEN t.u END AS unit FROM r LEFT JOIN (VALUES (1, 'SINGLE', 'mg'), (2, 'AMBIGUOUS', 'g')) AS t(c, s, u) ON r.concept = t.c")
+def no_data_rescue(spark, sf_dir):
+    none = classify_tests(spark, sf_dir).filter("category = 'NO_DATA'").select("test", "n_rows", "concept")
+    return units.rescue(none, inline(spark, "(1, 'SINGLE', 'mg'), (2, 'AMBIGUOUS', 'g')", "concept, status, canonical")).select("test", "n_rows", "concept", "status", "unit")
+
+
+@query("unified_results")
+def unified_results(spark, sf_dir):
+    return units.unified(unambiguous_pass(spark, sf_dir).select("test", "unit", "ks", "status"), ambiguous_pass(spark, sf_dir))
+
+
+@query("decision")
+def decision(spark, sf_dir):
+    return stats.decide(_samples(spark, sf_dir), ["event_type"])
+
+
+@query("first_per_key", "SELECT user_id, arg_min(event_type, event_id) AS event_type, min(event_id) AS event_id FROM events GROUP BY 1")
+def first_per_key(spark, sf_dir):
+    return readers.first_per_key(table(spark, sf_dir, "events").select("user_id", "event_type", "event_id"), ["user_id"], "event_id")
+
+
+@query("unit_log", "SELECT p_partkey AS row_id, CAST(NULL AS VARCHAR) AS event_datetime, p_type AS test, p_brand AS old, CASE WHEN p_size % 4 = 0 THEN lower(p_brand) WHEN p_size % 4 = 1 THEN NULL ELSE p_brand END AS new, 'regex' AS source FROM part WHERE p_size % 4 IN (0, 1)")
+def unit_log(spark, sf_dir):
+    p = table(spark, sf_dir, "part").select("p_partkey", F.lit(None).cast("timestamp").alias("at"), F.col("p_type").alias("test"), "p_brand", F.when(F.col("p_size") % 4 == 0, F.lower("p_brand")).when(F.col("p_size") % 4 != 1, F.col("p_brand")).alias("fixed"))
+    return readers.unit_log(p, "p_brand", "fixed", "regex", "p_partkey", "at")
+
+
+@query("tidy_rows", f"WITH {_ZIP} SELECT z.pair_id, z.s1 AS size, z.s2 AS free_size, c_mktsegment AS sex FROM z LEFT JOIN customer ON z.pair_id = c_custkey AND c_custkey % 2 = 0")
+def tidy_rows(spark, sf_dir):
+    main, free = _pairs(spark, sf_dir)
+    z = readers.zip_join(main, free.withColumnRenamed("size", "free_size")).withColumn("main.pair_id", F.col("pair_id"))
+    rows = readers.consolidate(z, ["pair_id", "size"], ["free_size"])
+    sex = table(spark, sf_dir, "customer").filter("c_custkey % 2 = 0").select(F.col("c_custkey").alias("pair_id"), F.col("c_mktsegment").alias("sex"))
+    return readers.tidy(rows, sex, ["sex"], ["pair_id", "size", "free_size", "sex"], person="pair_id")
+
+
+@query("phenotype_covariates", f"WITH {M_SQL}, p AS (SELECT person, quantile_cont(value, 0.5) AS value FROM m WHERE concept = 7 GROUP BY 1) SELECT person, value, c_acctbal AS covariate FROM p JOIN customer ON person = c_custkey")
+def phenotype_covariates(spark, sf_dir):
+    m = measurements(spark, sf_dir).withColumns({"qc_pass": F.lit(1), "age": F.col("line_no")})
+    cov = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("person"), F.col("c_acctbal").alias("covariate"))
+    return pheno.with_covariates(pheno.person_median(m, 7).select("person", "value"), cov)
+
+
+@query("limit_choice", f"WITH {M_SQL}, c AS (SELECT concept, value, coalesce({CODED}, 'NA') AS o FROM m), {_walk_sql(True, 0.2)}, {_walk_sql(False, 0.2)} SELECT concept, coalesce(low, '-inf'::DOUBLE) AS low, coalesce(low_problem, false) AS low_problem, coalesce(high, 'inf'::DOUBLE) AS high, coalesce(high_problem, false) AS high_problem FROM (SELECT DISTINCT concept FROM c) LEFT JOIN l_low USING (concept) LEFT JOIN l_high USING (concept)")
+def limit_choice(spark, sf_dir):
+    w = limits.walk_limits(_coded(spark, sf_dir), 0.2)
+    return limits.choose_limits(w, w)
+
+
+@query("spreadsheet_text", "SELECT event_id, CASE WHEN user_id % 3 = 0 THEN concat('''=', event_type) ELSE event_type END AS text FROM events")
+def spreadsheet_text(spark, sf_dir):
+    raw = F.when(F.col("user_id") % 3 == 0, F.concat(F.lit("="), "event_type")).otherwise(F.col("event_type"))
+    return table(spark, sf_dir, "events").select("event_id", audit.spreadsheet_safe(raw).alias("text"))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean, check, find limits, impute outcomes, and count per concept."""
     df = _coded(spark, sf_dir).withColumns({"merged_value": F.col("value"), "harm_value": F.col("value"), "extracted_value": F.lit(None).cast("double")})

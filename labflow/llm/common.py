@@ -12,6 +12,7 @@ from __future__ import annotations
 import gc
 import struct
 import tempfile
+import time
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -54,9 +55,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of finished, staged steps now instead of at its next collection of garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let Spark drop the shuffle files of finished, staged steps now instead of at its next collection of garbage.
+
+    The first round frees what Python held, the second what Spark's driver held for it.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.4)
 
 
 def text_bytes(docs: DataFrame, text: str = "text") -> int:
@@ -83,10 +89,10 @@ def row_key(*columns: str) -> Column:
 
 
 # ---------------------------------------------------------------------------------------------- packed arrays
-def pack(*arrays: np.ndarray) -> bytes:
-    """Arrays to bytes.  Non-descending unsigned arrays are stored as differences."""
+def pack(*arrays: np.ndarray, level: int = 1) -> bytes:
+    """Arrays to bytes.  Non-descending unsigned arrays are stored as differences.  ``level``: of the compression."""
     out = [struct.pack("<B", len(arrays))]
-    squeeze = zstandard.ZstdCompressor(level=1)
+    squeeze = zstandard.ZstdCompressor(level=level)
     for a in arrays:
         a = np.ascontiguousarray(a)
         n, kind = len(a), a.dtype.str.encode()

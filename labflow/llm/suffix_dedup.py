@@ -187,7 +187,7 @@ def _suffixes(docs: DataFrame, shared: DataFrame, bounds: np.ndarray, n: int) ->
                 take = np.repeat(start[h] - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
                 refs = order[np.repeat(s[own] - (np.cumsum(length[own]) - length[own]), length[own]) + np.arange(int(length[own].sum()))]
                 used, local = np.unique(doc[refs], return_inverse=True)
-                out.append((int(bucket[own[0]]), pack(batch.data[take], count[h].astype(np.uint8), (anchor[h] - start[h]).astype(np.uint8), length[own].astype(np.uint32), local.astype(np.uint16 if len(used) < 65_536 else np.uint32), (start[refs] - batch.offsets[doc[refs]]).astype(np.uint32), names[used], ids[used])))
+                out.append((int(bucket[own[0]]), pack(batch.data[take], count[h].astype(np.uint8), (anchor[h] - start[h]).astype(np.uint8), length[own].astype(np.uint32), local.astype(np.uint16 if len(used) < 65_536 else np.uint32), (start[refs] - batch.offsets[doc[refs]]).astype(np.uint32), names[used], ids[used], level=5)))
             yield packed_rows(out)
 
     return with_side(docs, shared, n, task, "shard int, payload binary")

@@ -168,10 +168,10 @@ def rollup_reports(spark, sf_dir):
 
 
 # ------------------------------------------------------------------------------------------------ release
-@query("release_core", f"WITH {M_SQL} SELECT order_id AS \"ROW_ID\", CAST(person AS VARCHAR) AS \"FINNGENID\", test AS \"TEST_NAME\", CASE WHEN concept > 1 THEN CAST(concept AS VARCHAR) END AS \"OMOP_CONCEPT_ID\", CASE WHEN line_no > 3 THEN value END AS \"MEASUREMENT_VALUE_HARMONIZED\" FROM m")
+@query("release_core", f"WITH {M_SQL} SELECT order_id AS \"ROW_ID\", CAST(person AS VARCHAR) AS \"PERSON_ID\", test AS \"TEST_NAME\", CASE WHEN concept > 1 THEN CAST(concept AS VARCHAR) END AS \"OMOP_CONCEPT_ID\", CASE WHEN line_no > 3 THEN value END AS \"MEASUREMENT_VALUE_HARMONIZED\" FROM m")
 def release_core(spark, sf_dir):
     m = measurements(spark, sf_dir).select(F.col("order_id").alias("row_id"), "person", "test", F.when(F.col("concept") == 1, -1).otherwise(F.col("concept")).alias("concept"), F.when(F.col("line_no") > 3, F.col("value").cast("string")).otherwise("NA").alias("harm_value"))
-    return release.project(m).select("ROW_ID", "FINNGENID", "TEST_NAME", "OMOP_CONCEPT_ID", "MEASUREMENT_VALUE_HARMONIZED")
+    return release.project(m).select("ROW_ID", "PERSON_ID", "TEST_NAME", "OMOP_CONCEPT_ID", "MEASUREMENT_VALUE_HARMONIZED")
 
 
 @query("null_report", "SELECT 'a' AS \"column\", count(*) FILTER (WHERE user_id % 3 = 0) AS n_null, round(100.0 * count(*) FILTER (WHERE user_id % 3 = 0) / count(*), 2) AS percent FROM events UNION ALL SELECT 'event_id', 0, 0.0 FROM (SELECT 1)")

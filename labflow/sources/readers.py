@@ -10,12 +10,17 @@ from pyspark.sql import types as T
 
 from ..operators.clean import sanitise_text
 
-# The raw files' columns, in order.
-MAIN_COLUMNS = "FINNGENID EVENT_AGE APPROX_EVENT_DAY TIME asiakirjaoid_pseudo merkintaoid_pseudo entryoid_pseudo load_id_pseudo file_name_pseudo laboratoriotutkimusoid laboratoriotutkimusnimike paikallinentutkimusnimike_koodi paikallinentutkimusnimike_selite tutkimuskoodistonjarjestelma tiedonlahde tutkimusvastauksentila tutkimustulosarvo tutkimustulosyksikko tutkimuksennaytelaatu tutkimuksentekotapa tuloksenpoikkeavuus viitearvoryhma viitevalialkuarvo viitevalialkuyksikko viitevaliloppuarvo viitevaliloppuyksikko".split()
+# The raw files' columns, in order.  The first one's name differs by data owner: see ``raw_columns``.
+MAIN_COLUMNS = "PERSON_ID EVENT_AGE APPROX_EVENT_DAY TIME asiakirjaoid_pseudo merkintaoid_pseudo entryoid_pseudo load_id_pseudo file_name_pseudo laboratoriotutkimusoid laboratoriotutkimusnimike paikallinentutkimusnimike_koodi paikallinentutkimusnimike_selite tutkimuskoodistonjarjestelma tiedonlahde tutkimusvastauksentila tutkimustulosarvo tutkimustulosyksikko tutkimuksennaytelaatu tutkimuksentekotapa tuloksenpoikkeavuus viitearvoryhma viitevalialkuarvo viitevalialkuyksikko viitevaliloppuarvo viitevaliloppuyksikko".split()
 FREETEXT_COLUMNS = [*MAIN_COLUMNS[:9], "tutkimustulosteksti"]
 BAD = "__corrupt"
 
 
+def raw_columns(person: str, free_text: bool = False) -> list[str]:
+    """The expected header of a main or free-text file whose person column is called ``person``."""
+    return [person, *(FREETEXT_COLUMNS if free_text else MAIN_COLUMNS)[1:]]
+
+
 def read_tsv(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str], wanted: Sequence[str] | None = None, keep_bad: bool = False) -> DataFrame:
     """All-string TSV (plain or gzip).  Malformed lines are kept in ``__corrupt`` if asked for, and dropped otherwise."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns] + ([T.StructField(BAD, T.StringType())] if keep_bad else []))
@@ -90,7 +95,7 @@ def consolidate(zipped: DataFrame, main: Sequence[str], free: Sequence[str]) ->
     return zipped.select(*[F.col(f"`main.{c}`").alias(c) for c in main], *[F.col(f"`freetext.{c}`").alias(c) for c in free])
 
 
-def tidy(df: DataFrame, sex: DataFrame, text: Sequence[str], order: Sequence[str], person: str = "FINNGENID") -> DataFrame:
+def tidy(df: DataFrame, sex: DataFrame, text: Sequence[str], order: Sequence[str], person: str = "PERSON_ID") -> DataFrame:
     """Attach sex (a row per person), sanitise untrusted text, fix the column order."""
     both = df.join(sex, person, "left")
     return both.withColumns({c: sanitise_text(F.col(c)) for c in text}).select(*order)

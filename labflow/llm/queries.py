@@ -26,4 +26,27 @@ QUERIES = {
     "op10_token_output": op10_token_output,
 }
 
-SQL: dict[str, str] = {}
+LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _words(text: str, pattern: str, source: str, key: str) -> str:
+    return f"SELECT {key}, list_filter(regexp_split_to_array(coalesce({text}, ''), '{pattern}'), lambda x: x <> '') AS ws FROM {source}"
+
+
+SQL: dict[str, str] = {
+    "op4_substring_dedup": f"""WITH d AS ({_words("text", "[ \\t-\\r]+", "documents", "doc_id")}),
+ p AS (SELECT doc_id, unnest(range(1, len(ws) - 33)) AS i, ws FROM d WHERE len(ws) >= 35), w AS (SELECT doc_id, i, array_to_string(ws[i : i + 34], ' ') AS t FROM p),
+ r AS (SELECT doc_id, i FROM w WHERE t IN (SELECT t FROM w GROUP BY t HAVING count(*) > 1)), c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS j FROM r),
+ a AS (SELECT doc_id, unnest(range(1, len(ws) + 1)) AS j, unnest(ws) AS word FROM d), k AS (SELECT doc_id, string_agg(word, ' ' ORDER BY j) AS kept, count(*) AS n FROM a ANTI JOIN c USING (doc_id, j) GROUP BY 1)
+ SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (doc_id)""",
+    "op7_ngram_jaccard_join": f"""WITH RECURSIVE d AS ({_words(LOWER, "[ \\t-\\r]+", "documents", "doc_id")}),
+ g AS (SELECT doc_id, unnest(range(1, greatest(len(ws) - 3, 2))) AS i, ws FROM d WHERE len(ws) > 0), s AS (SELECT DISTINCT doc_id, md5(array_to_string(ws[i : i + 4], ' ')) AS h FROM g), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+ o AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y ON x.h = y.h AND x.doc_id <> y.doc_id GROUP BY 1, 2), l AS (SELECT a, b FROM o JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * k >= 80 * (p.n + q.n - k)),
+ r(doc_id, t) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, l.b FROM r JOIN l ON r.t = l.a)
+ SELECT r.doc_id, coalesce(max(n.n), 0) AS n_shingles, min(t) AS component_id FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id""",
+    "op8_decontamination": f"""WITH d AS ({_words(LOWER, "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+", "documents", "doc_id")}), b AS ({_words(LOWER, "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+", "benchmark", "item_id")}),
+ q AS (SELECT item_id, least(len(ws), 10) AS n, unnest(range(1, greatest(len(ws) - 8, 2))) AS i, ws FROM b WHERE len(ws) > 0), pt AS (SELECT DISTINCT item_id, n, array_to_string(ws[i : i + n - 1], ' ') AS t FROM q),
+ v AS (SELECT doc_id, n, unnest(range(1, len(ws) - n + 2)) AS i, ws FROM d, (SELECT DISTINCT n FROM pt) WHERE len(ws) >= n), h AS (SELECT doc_id, v.n, i, item_id FROM v JOIN pt ON v.n = pt.n AND array_to_string(ws[i : i + v.n - 1], ' ') = pt.t),
+ c AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS j FROM h) GROUP BY 1), m AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids FROM h GROUP BY 1)
+ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated FROM d LEFT JOIN c USING (doc_id) LEFT JOIN m USING (doc_id)""",
+}

@@ -36,11 +36,11 @@ def featurise(batch: tb.Batch) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of each word's four features (n, 4), and ``first`` by document."""
     data = tb.lower_ascii(batch.data)
     starts, ends, first = tb.words(tb.Batch(data, batch.offsets), BREAKS)
-    out = np.empty((len(starts), 4), np.int64)
+    out = np.empty((len(starts), 4), np.int32)
     for k, width in enumerate((None, 4, 5, 6)):
         stop = ends if width is None else np.minimum(ends, starts + width)
         hashes = tb.word_hashes(data, starts, stop)
-        out[:, k] = (tb.mix(hashes + np.uint64(k + 1)) % np.uint64(TABLE)).astype(np.int64)
+        out[:, k] = (tb.mix(hashes + np.uint64(k + 1)) % np.uint64(TABLE)).astype(np.int32)
         if width is not None:
             out[ends - starts < width, k] = -1
     return out, first
@@ -61,9 +61,9 @@ class Model:
 
     def rows(self, buckets: np.ndarray) -> np.ndarray:
         if not len(self.known):
-            return np.zeros(buckets.shape, np.int64)
+            return np.zeros(buckets.shape, np.int32)
         at = np.minimum(np.searchsorted(self.known, buckets), len(self.known) - 1)
-        return np.where(self.known[at] == buckets, at, len(self.known))
+        return np.where(self.known[at] == buckets, at, len(self.known)).astype(np.int32)
 
     def lay(self, rows: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Word vectors with ``PAD`` zero rows after each text, and the start of each text."""
@@ -96,17 +96,17 @@ class Model:
 def fit(texts: list[str], labels: np.ndarray, langs: list[str | None], seed: int = 5) -> Model:
     rng = np.random.default_rng(seed)
     prior = float(np.clip(labels.mean() if len(labels) else 0.5, 1e-3, 1 - 1e-3))
-    parts = [featurise(tb.Batch.of(pa.array([t]))) [0] for t in texts]
+    parts = [featurise(tb.Batch.of(pa.array([t])))[0] for t in texts]
     held = np.arange(len(texts)) % 5 == 4
-    seen: dict[int, int] = {}
-    for p, h in zip(parts, held, strict=True):
-        if not h:
-            for b in np.unique(p).tolist():
-                seen[b] = seen.get(b, 0) + 1
-    known = np.array(sorted(b for b, c in seen.items() if c >= MIN_TEXTS and b >= 0), np.int64)
+    each = [np.unique(p) for p, h in zip(parts, held, strict=True) if not h]
+    seen, texts_with = np.unique(np.concatenate(each), return_counts=True) if each else (np.zeros(0, np.int32), np.zeros(0, np.int64))
+    known = seen[(texts_with >= MIN_TEXTS) & (seen >= 0)]
+    del each, seen, texts_with
     model = Model(known, np.r_[rng.normal(0, 0.1, (len(known), DIM)), np.zeros((1, DIM))].astype(np.float32), [rng.normal(0, 0.3, (w, DIM, FILTERS)).astype(np.float32) for w in WIDTHS], [np.zeros(FILTERS, np.float32) for _ in WIDTHS], np.full(FILTERS * len(WIDTHS), 0.3, np.float32), float(np.log(prior / (1 - prior))))
     if len(known) and 0 < labels.sum() < len(labels):
-        _train(model, [model.rows(p) for p in parts], labels, np.flatnonzero(~held), rng)
+        for i, p in enumerate(parts):
+            parts[i] = model.rows(p)
+        _train(model, parts, labels, np.flatnonzero(~held), rng)
     _calibrate(model, texts, labels, langs, np.flatnonzero(held))
     return model
 

@@ -7,7 +7,7 @@
     sets with Jaccard similarity of at least t share one of the first ``n - ceil(t n) + 1`` shingles of each, under *every*
     such order.  Three orders (frequency with two tie-breaks, and logarithmic frequency with a third) give three prefixes.
 4.  The first order's prefixes are the index.  Instead of all pairs of a posting list, one leader per list is compared
-    with the rest; pairs must pass the length filter and share prefix tokens under the other orders too, then
+    with the rest; pairs must pass the length and position filters and share prefix tokens under the other orders too, then
     the shared shingles are counted exactly.  Lists whose members ended in several components get further leaders, each out of
     the smallest components, until every list is one component or all its pairs of different components are compared.  So no
     link between components is lost and a group of near copies costs its size, not its square.
@@ -215,7 +215,9 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def link(sets: DataFrame) -> DataFrame:
     """node, root of every set that is linked to another, with all components found."""
     spark = sets.sparkSession
-    lists = sets.select(F.explode("p1").alias("token"), "set_key", "n", "shared", "rank")
+    # ``left``: shared shingles from this one on in the first order.  If it is the first that two sets have in common,
+    # they have no more than that in common.
+    lists = sets.select(F.posexplode("p1").alias("at", "token"), "set_key", "n", "shared", "rank").withColumn("left", F.col("shared") - F.col("at")).drop("at", "shared")
     several = lists.groupBy("token").agg(F.count("*").alias("k")).filter("k > 1").select("token")
     active = stage(lists.join(several, "token", "left_semi"), "jaccard-lists")
     active = active.withColumn("root", F.col("set_key"))
@@ -224,7 +226,7 @@ def link(sets: DataFrame) -> DataFrame:
     while True:
         # lists with sets of several components, and in them the sets that may still meet another one
         lists = active.groupBy("token").agg(F.min("n").alias("least_n"), (F.min("root") != F.max("root")).alias("open")).filter("open")
-        named = active.join(lists, "token").filter(9 * F.col("shared") >= 4 * (F.col("n") + F.col("least_n"))).drop("least_n", "open")
+        named = active.join(lists, "token").filter(9 * F.col("left") >= 4 * (F.col("n") + F.col("least_n"))).drop("least_n", "open")
         named = stage(named, "jaccard-open")
         if named.isEmpty():
             return roots
@@ -236,9 +238,9 @@ def link(sets: DataFrame) -> DataFrame:
             picks = [F.min(F.struct("k", F.xxhash64("root", F.lit(i)), "u"))["u"] for i in range(leaders)]
             heads = by_root.groupBy("token").agg(F.array_distinct(F.array(*picks)).alias("heads"))
         each = stage(heads.select("token", F.explode("heads").alias("u")), "jaccard-heads")
-        own = each.join(named.select("token", F.col("set_key").alias("u"), F.col("root").alias("u_root"), F.col("n").alias("u_n"), F.col("shared").alias("u_shared")), ["token", "u"])
-        # both must be large enough, and the shingles that others share must suffice
-        fits = 9 * F.least("shared", "u_shared") >= 4 * (F.col("n") + F.col("u_n"))
+        own = each.join(named.select("token", F.col("set_key").alias("u"), F.col("root").alias("u_root"), F.col("n").alias("u_n"), F.col("left").alias("u_left")), ["token", "u"])
+        # length and position filters: both must be large enough, and what is left of them must suffice
+        fits = 9 * F.least("left", "u_left") >= 4 * (F.col("n") + F.col("u_n"))
         pairs = named.join(own, (named.token == own.token) & (F.col("root") != F.col("u_root")) & (100 * F.least("n", "u_n") >= PERCENT * F.greatest("n", "u_n")) & fits)
         pairs = pairs.select("u", F.col("set_key").alias("v")).distinct()
         found = stage(verify(pairs, sets), "jaccard-links")

@@ -100,6 +100,17 @@ def maybe_seen(bitmap: np.ndarray, key: np.ndarray) -> np.ndarray:
     return (bitmap[place >> np.uint32(3)] >> (np.uint8(7) - (place & np.uint32(7)).astype(np.uint8))) & np.uint8(1)
 
 
+def _stretch(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First byte and bytes of the bitmap that sorted keys set; a shard's keys are one range."""
+    place = (key >> U64(KEY_BITS - MAP_BITS)).astype(np.int64)
+    if not len(place):
+        return np.zeros(1, np.int64), np.zeros(0, np.uint8)
+    low = place[0] >> 3
+    bits = np.zeros(((place[-1] >> 3) - low + 1) * 8, bool)
+    bits[place - low * 8] = True
+    return np.array([low], np.int64), np.packbits(bits)
+
+
 def discounts(n: np.ndarray) -> np.ndarray:
     """D1, D2, D3+ from the numbers of entries with count 1, 2, 3 and 4."""
     n = np.maximum(n.astype(float), 1e-9)
@@ -147,35 +158,31 @@ def word_tables(counts: DataFrame) -> tuple[Words, np.ndarray]:
                 total = np.bincount(v, weights=count, minlength=VOCABULARY)
                 by = [np.bincount(v[m], minlength=VOCABULARY) for m in (count == 1, count == 2, count >= 3)]
                 of = np.array([(count == k).sum() for k in (1, 2, 3, 4)], np.int64)
-                bits = np.unique((key >> U64(KEY_BITS - MAP_BITS)).astype(np.uint32))
-                # rows 16 and above carry the counts of counts and the shard's part of the bitmap
+                # rows 16 and above carry the counts of counts and the shard's stretch of the bitmap
                 out = [(i, pack(*[x[i * width : (i + 1) * width].astype(np.uint32) for x in (follow, total, *by)])) for i in range(slices)]
-                yield packed_rows([*out, (slices, pack(of)), (slices + 1, pack(bits))])
+                yield packed_rows([*out, (slices, pack(of)), (slices + 1, pack(*_stretch(key)))])
 
-    def add(payloads: list[bytes]) -> Iterator[pa.RecordBatch]:
-        first, *rest = (unpack(p) for p in payloads)
-        if first[0].dtype == np.uint32 and len(first) == 1:
-            yield packed_rows([(slices + 1, pack(np.unique(np.concatenate([first[0], *[r[0] for r in rest]]))))])
+    def add(slice_no: int, payloads: list[bytes]) -> Iterator[bytes]:
+        if slice_no == slices + 1:
+            yield from payloads
             return
-        total = [x.astype(np.int64) for x in first]
-        for r in rest:
-            for t, x in zip(total, r, strict=True):
+        total = [x.astype(np.int64) for x in unpack(payloads[0])]
+        for p in payloads[1:]:
+            for t, x in zip(total, unpack(p), strict=True):
                 t += x
-        yield packed_rows([(slices if len(total) == 1 else 0, pack(*total))])
-
-    def ordered(payloads: list[bytes]) -> Iterator[pa.RecordBatch]:
-        yield from add(payloads)
+        yield pack(*total)
 
     # slice number in front: rows of one slice meet in one task
-    merged = split_and_add(counts, split, ordered, slices)
+    merged = split_and_add(counts, split, add, slices)
     follow, total, ones, twos, more = (np.zeros(VOCABULARY, np.int64) for _ in range(5))
-    of, bits = np.zeros(4, np.int64), np.zeros(0, np.uint32)
+    of, seen = np.zeros(4, np.int64), np.zeros(1 << (MAP_BITS - 3), np.uint8)
     for i, raw in merged:
         got = unpack(raw)
         if i == slices:
             of = got[0]
         elif i == slices + 1:
-            bits = got[0]
+            low, part = int(got[0][0]), got[1]
+            seen[low : low + len(part)] |= part
         else:
             at = slice(i * width, (i + 1) * width)
             follow[at], total[at], ones[at], twos[at], more[at] = got
@@ -186,13 +193,11 @@ def word_tables(counts: DataFrame) -> tuple[Words, np.ndarray]:
     spare = cut1.sum() / entries if follow.sum() else 1.0
     p1 = np.maximum(follow - cut1, 0) / entries + max(spare, 1e-6) / VOCABULARY
     g = np.where(total > 0, (d2[0] * ones + d2[1] * twos + d2[2] * more) / np.maximum(total, 1), 1.0)
-    seen = np.zeros(1 << MAP_BITS, bool)
-    seen[bits] = True
-    return Words(np.log(p1).astype(np.float32), np.log(np.clip(g, 1e-6, 1.0)).astype(np.float32), np.packbits(seen)), np.r_[d2, np.log(1.0)]
+    return Words(np.log(p1).astype(np.float32), np.log(np.clip(g, 1e-6, 1.0)).astype(np.float32), seen), np.r_[d2, np.log(1.0)]
 
 
 def split_and_add(counts: DataFrame, split, add, slices: int) -> list[tuple[int, bytes]]:
-    """Sums per slice: at most ``slices + 2`` rows of bounded size reach the driver."""
+    """Sums per slice, of fixed size, and the shards' stretches of the bitmap, of fixed size together, reach the driver."""
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[bytes]] = {}
@@ -200,8 +205,7 @@ def split_and_add(counts: DataFrame, split, add, slices: int) -> list[tuple[int,
             for s, p in zip(b.column("shard").to_pylist(), b.column("payload").to_pylist(), strict=True):
                 held.setdefault(s, []).append(p)
         for s in sorted(held):
-            for out in add(held[s]):
-                yield pa.record_batch([pa.array([s] * out.num_rows, pa.int32()), out.column("payload")], ["shard", "payload"])
+            yield packed_rows([(s, p) for p in add(s, held.pop(s))])
 
     merged = counts.mapInArrow(split, "shard int, payload binary").repartitionById(slices + 2, F.col("shard")).mapInArrow(keyed, "shard int, payload binary")
     return [(r["shard"], bytes(r["payload"])) for r in merged.collect()]

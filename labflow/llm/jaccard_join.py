@@ -230,13 +230,14 @@ def link(sets: DataFrame) -> DataFrame:
         named = stage(named, "jaccard-open")
         if named.isEmpty():
             return roots
-        # leaders: of the smallest components in a list the set whose shingles are most shared
+        # leaders: first the set whose shingles are most shared, then sets of the smallest components in a list
         by_root = named.groupBy("token", "root").agg(F.count("*").alias("k"), F.max(F.struct("rank", "set_key"))["set_key"].alias("u"), F.max("rank").alias("rank"))
         if leaders == 1:
             heads = by_root.groupBy("token").agg(F.array(F.max(F.struct("rank", "u"))["u"]).alias("heads"))
         else:
-            picks = [F.min(F.struct("k", F.xxhash64("root", F.lit(i)), "u"))["u"] for i in range(leaders)]
-            heads = by_root.groupBy("token").agg(F.array_distinct(F.array(*picks)).alias("heads"))
+            picks = [F.min(F.struct("k", F.xxhash64("set_key", F.lit(i)), "set_key"))["set_key"] for i in range(leaders)]
+            members = named.select("token", "root", "set_key").join(by_root.select("token", "root", "k"), ["token", "root"])
+            heads = members.groupBy("token").agg(F.array_distinct(F.array(*picks)).alias("heads"))
         each = stage(heads.select("token", F.explode("heads").alias("u")), "jaccard-heads")
         own = each.join(named.select("token", F.col("set_key").alias("u"), F.col("root").alias("u_root"), F.col("n").alias("u_n"), F.col("left").alias("u_left")), ["token", "u"])
         # length and position filters: both must be large enough, and what is left of them must suffice

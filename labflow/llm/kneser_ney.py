@@ -34,6 +34,8 @@ from .common import U64, by_shard, cut, pack, packed_rows, release, row_key, run
 
 VOCABULARY = 1 << 18
 KEY_BITS = 36
+#: Text bytes taken at a time: what a Python worker keeps between tasks follows it.
+BATCH = 2 << 20
 MAP_BITS = 26
 #: Quantile of held-out trusted perplexity, factor above it, and held-out documents that a threshold needs.
 QUANTILE, SLACK, MIN_HELD = 0.98, 1.15, 60
@@ -125,7 +127,7 @@ def count_bigrams(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
     own = F.broadcast(trained) if trained.count() <= BROADCAST_IDS else trained
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in tb.joined(batches, "text", tb.BATCH_BYTES):
+        for rows in tb.joined(batches, "text", BATCH):
             key, _ = bigrams(*classes(tb.Batch.of(rows.column("text"))))
             key, count = np.unique(key, return_counts=True)
             yield packed_rows([(s, pack(key[at], count[at].astype(np.uint32))) for s, at in cut(_place(key), n)])
@@ -260,7 +262,7 @@ def score(docs: DataFrame, words: Words, gains: DataFrame, n: int) -> DataFrame:
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w, at = shared.value, TaskContext.get().partitionId() << 36
-        for rows in tb.joined(batches, "text", tb.BATCH_BYTES):
+        for rows in tb.joined(batches, "text", BATCH):
             word, first = classes(tb.Batch.of(rows.column("text")))
             key, before = bigrams(word, first)
             base = np.r_[0, np.cumsum(w.log_p1[word.astype(np.int64)].astype(float) + w.log_g[before.astype(np.int64)])]
@@ -278,6 +280,8 @@ def score(docs: DataFrame, words: Words, gains: DataFrame, n: int) -> DataFrame:
             # the documents themselves travel to the part that sums their answers
             out += [(int(p), b"D" + _documents(rows, row, base, np.diff(first), p, n)) for p in np.unique(row % n)]
             yield packed_rows(out)
+            del word, first, key, before, base, maybe, doc, order, begin, times, out
+            pa.default_memory_pool().release_unused()
 
     def join(payloads: list[bytes]) -> Iterator[pa.RecordBatch]:
         model_key, model_gain = [np.zeros(0, U64)], [np.zeros(0, np.float32)]

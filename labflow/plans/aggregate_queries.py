@@ -418,7 +418,7 @@ def unharmonised_audit(spark, sf_dir):
 SQL["unharmonised_audit"] = SQL["unharmonised_audit"].replace("FROM k WHERE n_cand > 0", "FROM k WHERE n_cand > 0 AND ks IS NOT NULL")
 
 
-@query("injection_audit", f"WITH {M_SQL}, s AS (SELECT concept AS event_type, CASE WHEN unit = 'Brand#1' AND test = 'SMALL' THEN 'cand' ELSE 'targ' END AS side, value FROM m WHERE concept <= 20), {_KS} SELECT event_type AS concept, 1 AS rule, n_cand AS n_rule, n_targ AS n_rest, round(ks, 6) AS ks FROM k WHERE n_cand > 0")
+@query("injection_audit", f"WITH {M_SQL}, s AS (SELECT concept AS event_type, CASE WHEN unit = 'Brand#1' AND test = 'SMALL' THEN 'cand' ELSE 'targ' END AS side, value FROM m WHERE concept <= 20), {_KS} SELECT event_type AS concept, rule, n_cand AS n_rule, n_targ AS n_rest, round(ks, 6) AS ks FROM (VALUES (1)) AS r(rule) LEFT JOIN (SELECT * FROM k WHERE n_cand > 0) ON true")
 def injection_audit(spark, sf_dir):
     m = measurements(spark, sf_dir).filter("concept <= 20").withColumn("fixed", (F.col("unit") == "Brand#1") & (F.col("test") == "SMALL"))
     return audit.injection_audit(m, inline(spark, "(1, 'SMALL', 'Brand#1')", "rule, test, unit")).select("concept", "rule", "n_rule", "n_rest", F.round("ks", 6).alias("ks"))

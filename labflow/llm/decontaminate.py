@@ -66,7 +66,8 @@ def automaton(items: tuple[tuple[object, str], ...]):
 
     found: dict[str, tuple[int, list]] = {}
     for item, line in items:
-        for p in item_patterns(line.split()):
+        # bytes stand as latin-1 characters: only the joining space parts words, not U+0085 or U+00A0
+        for p in item_patterns(line.split(" ") if line else []):
             held = found.setdefault(p, (p.count(" ") - 1, []))
             if item not in held[1]:
                 held[1].append(item)

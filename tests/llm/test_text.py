@@ -158,6 +158,20 @@ def test_decontamination(spark, docs):  # noqa: F811
     assert find(docs, bench.limit(0)).filter("n_hit > 0").count() == 0
 
 
+def test_decontamination_keeps_every_byte_of_a_word(spark, docs):  # noqa: F811
+    """Bytes 0x85 and 0xA0 inside UTF-8 words do not part them, in windows of ten words and in short items."""
+    from labflow.llm.decontaminate import clean_only, find
+
+    long = "voilà la Åsa déjà vu à côté du Р хор 蠅 充電 mot fin"
+    items = [(1, long), (2, "Déjà, voilà!"), (3, "蠅"), (4, "à"), (5, "Р хор")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    texts = [(1, f"x {long} y"), (2, "on dit déjà voilà ici"), (3, "un 蠅 seul"), (4, "Ã la dÃ j voil"), (5, "Р, хор"), (6, "Рхор d voil"), (7, "la Åsa déjà vu à côté du Р хор 蠅")]
+    df = spark.createDataFrame([(i, t, None, None, 1, "", "", 1) for i, t in texts], docs.schema)
+    got = {r.doc_id: (r.n_words, r.n_hit, r["items"]) for r in find(df, bench).collect()}
+    assert got == {1: (16, 14, ["1", "3", "4", "5"]), 2: (5, 2, ["2"]), 3: (3, 1, ["3"]), 4: (5, 0, []), 5: (2, 2, ["5"]), 6: (3, 0, []), 7: (10, 10, ["1", "3", "4", "5"])}
+    assert sorted(r.doc_id for r in clean_only(df, bench).collect()) == [4, 6]
+
+
 HTML = """<!DOCTYPE html><html><head><title>t</title><script>var a = "<p>no</p>";</script></head><body class="has-sidebar"><header><h1>Site</h1></header>
 <div id="cookie-notice">We use cookies, all of them</div><nav><a href=/>Home</a></nav><div class="wrap"><div class="content"><h2>Title &eacute;</h2>
 <p>First&nbsp;paragraph, with <a href=x>a link</a>,

@@ -276,7 +276,7 @@ def score(docs: DataFrame, words: Words, gains: DataFrame, n: int) -> DataFrame:
             begin, times = runs(key + (doc.astype(U64) << U64(KEY_BITS))) if len(doc) else (np.zeros(0, np.int64), np.zeros(0, np.int64))
             key, doc = key[begin], doc[begin]
             small = np.uint16 if rows.num_rows < 65_536 else np.uint32
-            out = [(s, b"R" + pack(key[own], doc[own].astype(small), times[own].astype(np.uint16), row[:1].astype(U64))) for s, own in cut(_place(key), n)]
+            out = [(s, b"R" + pack(key[own], doc[own].astype(small), times[own].astype(np.uint32), row[:1].astype(U64))) for s, own in cut(_place(key), n)]
             # the documents themselves travel to the part that sums their answers
             out += [(int(p), b"D" + _documents(rows, row, base, np.diff(first), p, n)) for p in np.unique(row % n)]
             yield packed_rows(out)

@@ -254,6 +254,19 @@ def test_kneser_ney_matches_formula(spark):
     assert got[None] == (0, 0.0) and got[400] == (0, 0.0)
 
 
+def test_kneser_ney_counts_beyond_16_bits(spark):
+    """A bigram that a document holds 70,000 times weighs 70,000 times what it weighs once."""
+    from labflow.llm import kneser_ney as kn
+
+    texts = ["a b " * 20 + f"c{i}" for i in range(40)] + ["a " * 3, "a " * 4, "a " * 70_001, "a b " * 2, "a b " * 3, "a b " * 65_538]
+    df = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    counts = kn.count_bigrams(df, df.select("doc_id").filter("doc_id < 41"), 3)
+    words, d = kn.word_tables(counts)
+    got = {r.doc_id: r.log_prob for r in kn.score(df, words, kn.bigram_gains(counts, words, d, 3), 3).collect()}
+    for few, more, many, step in ((40, 41, 42, 69_997), (43, 44, 45, 65_535)):
+        assert got[many] == pytest.approx(got[more] + step * (got[more] - got[few]), rel=1e-3)
+
+
 def test_classifier_edge_cases(spark, docs):  # noqa: F811
     from labflow.llm.kneser_ney import classify
 

@@ -65,6 +65,15 @@ def release(spark: SparkSession) -> None:
         time.sleep(0.4)
 
 
+def drop(*staged: DataFrame) -> None:
+    """Delete staged steps that nothing reads any more."""
+    for df in staged:
+        jvm = df.sparkSession.sparkContext._jvm
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def text_bytes(docs: DataFrame, text: str = "text") -> int:
     return docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
 

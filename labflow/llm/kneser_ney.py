@@ -1,14 +1,18 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney bigram model of trusted text.
 
-Words are hashed to a fixed vocabulary of ``VOCABULARY`` classes, so every per-word table has a proven size.  All bigrams
+Words and bigrams are told apart by 64-bit hashes of their content, so the model grows with the trusted text.  All bigrams
 of the trusted documents are counted in shards; discounts come from the counts of counts, the lower order from
-continuation counts.  With g(v) the weight left to the lower order after v and p1 the lower order,
+continuation counts, which word shards add up and answer to every bigram shard that holds the word.  The mass of unseen
+words is spread over the counted distinct words and one more, or over ``VOCABULARY`` if they are fewer.  With g(v) the
+weight left to the lower order after v, p1 the lower order and u that of an unseen word,
 
     log p(w | v) = log g(v) + log p1(w) + d(v, w),    d(v, w) = log p2(w | v) - log g(v) - log p1(w), 0 if vw is unseen.
 
-So a document's score is a sum over its words (two tables of fixed size, broadcast) and a sum over its seen bigrams.  The
-second is a sharded join: documents send their bigrams, packed with a row number; the shard that holds the
-counts returns one partial sum per document.  A bitmap of 2**26 bits, whatever the input, keeps most unseen bigrams at home.
+So a document's score is log u for each word, and gains by key: log p1(w) - log u + log g(w) for each word, -log g(w) for
+the last one, which is nobody's context, and d(v, w) for each bigram.  The gains of the most frequent keys are a table of
+at most ``HOME`` slots that every task holds; for the others documents send their keys, packed with a row number, and the
+shard that holds the gains returns one partial sum per document.  A filter of 2**28 bits with two bits a key, whatever the
+input, keeps most unseen keys at home.
 
 An eighth of the trusted documents, taken by hash, is not trained on.  From these come, for each language and each band
 of lengths, a quantile of the perplexity; a document above its threshold is rejected.  A band with few held-out
@@ -30,55 +34,45 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textblocks as tb
-from .common import U64, by_shard, cut, pack, packed_rows, release, row_key, runs, shards_for, stage, unpack
+from .common import PACKED, U64, by_shard, cut, drop, pack, packed_rows, release, row_key, runs, shard_count, shards_for, stage, unpack
 
+#: The mass of unseen words is spread over at least so many words.
 VOCABULARY = 1 << 18
-KEY_BITS = 36
+#: Slots of the table of frequent keys; bigram shards that one word shard serves.
+HOME, WORD_SHARE = 1 << 21, 8
 #: Text bytes taken at a time: what a Python worker keeps between tasks follows it.
 BATCH = 2 << 20
-MAP_BITS = 26
+MAP_BITS = 28
 #: Quantile of held-out trusted perplexity, factor above it, and held-out documents that a threshold needs.
 QUANTILE, SLACK, MIN_HELD = 0.98, 1.15, 60
 #: Trusted ids up to this number are broadcast (8 bytes each); more are joined by shuffle.
 BROADCAST_IDS = 2_000_000
-_KEY = U64((1 << KEY_BITS) - 1)
-_ODD = U64(0x9E3779B97F4A7C15 & ((1 << KEY_BITS) - 1) | 1)
+_PAIR, _WORD, _END = U64(0xA24BAED4963EE407), U64(0x9FB21C651E98DF25), U64(0xD1342543DE82EF95)
 
 
-def _spread(x: np.ndarray) -> np.ndarray:
-    """A bijection of ``KEY_BITS``-bit numbers, so that shards by range are even."""
-    for _ in range(2):
-        x = (x * _ODD) & _KEY
-        x = x ^ (x >> U64(KEY_BITS // 2))
-    return x
+def classes(batch: tb.Batch) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every word (0 marks a text's start), and ``first``."""
+    starts, ends, first = tb.words(batch)
+    return np.maximum(tb.word_hashes(batch.data, starts, ends), U64(1)), first
 
 
-_BACK = pow(int(_ODD), -1, 1 << KEY_BITS)
+def pair_key(v: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return tb.mix(tb.mix(v + _PAIR) + w)
 
 
-def _gather(x: np.ndarray) -> np.ndarray:
-    """The inverse of ``_spread``."""
-    for _ in range(2):
-        x = x ^ (x >> U64(KEY_BITS // 2))
-        x = (x * U64(_BACK)) & _KEY
-    return x
+def word_key(w: np.ndarray) -> np.ndarray:
+    return tb.mix(w ^ _WORD)
 
 
-def classes(batch: tb.Batch) -> tuple[np.ndarray, np.ndarray]:
-    """Class of every word (1 to VOCABULARY - 1; 0 marks a text's start), and ``first``."""
-    starts, ends, first = tb.words(batch)
-    return tb.word_hashes(batch.data, starts, ends) % U64(VOCABULARY - 1) + U64(1), first
+def end_key(w: np.ndarray) -> np.ndarray:
+    return tb.mix(w ^ _END)
 
 
 def bigrams(word: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Key of the bigram that ends at each word, and the class before it."""
-    before = np.r_[np.zeros(1, U64), word[:-1]]
+    """Key of the bigram that ends at each word, and the word before it."""
+    before = np.r_[np.zeros(1, U64), word[:-1]][: len(word)]
     before[first[:-1][np.diff(first) > 0]] = U64(0)
-    return _spread(before << U64(18) | word), before
-
-
-def _place(key: np.ndarray) -> np.ndarray:
-    return key << U64(64 - KEY_BITS)
+    return pair_key(before, word), before
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -91,28 +85,73 @@ def held_out(doc_id: str = "doc_id"):
 
 @dataclass
 class Words:
-    log_p1: np.ndarray
-    log_g: np.ndarray
-    seen: np.ndarray  # bitmap over the top bits of bigram keys
+    """The lower order: its staged counts by word, and the numbers that turn them into probabilities."""
+
+    table: DataFrame
+    d1: np.ndarray
+    d2: np.ndarray
+    entries: int
+    unseen: float  # p1 of a word that was not counted
+    log_g_start: float
+
+    def numbers(self) -> tuple:
+        return self.d1, self.d2, self.entries, self.unseen
+
+
+def lower_order(numbers: tuple, follow: np.ndarray, total: np.ndarray, *by: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """log p1 and log g of words from their counts."""
+    d1, d2, entries, unseen = numbers
+    cut1 = np.choose(np.minimum(follow, 3), [0, *d1])
+    p1 = np.maximum(follow - cut1, 0) / entries + unseen
+    g = np.where(total > 0, sum(d * x for d, x in zip(d2, by, strict=True)) / np.maximum(total, 1), 1.0)
+    return np.log(p1), np.log(np.clip(g, 1e-6, 1.0))
+
+
+def _places(key: np.ndarray) -> list[np.ndarray]:
+    """A key's two bits of the filter, both in one block of 512, so that a range of keys has a range of bits."""
+    block = (key >> U64(73 - MAP_BITS)) << U64(9)
+    return [(block | (key >> U64(shift) & U64(511))).astype(np.uint32) for shift in (0, 9)]
 
 
 def maybe_seen(bitmap: np.ndarray, key: np.ndarray) -> np.ndarray:
-    """False for bigrams that were certainly not counted."""
-    place = (key >> U64(KEY_BITS - MAP_BITS)).astype(np.uint32)
-    return (bitmap[place >> np.uint32(3)] >> (np.uint8(7) - (place & np.uint32(7)).astype(np.uint8))) & np.uint8(1)
+    """False for keys that certainly have no gain."""
+    a, b = ((bitmap[x >> np.uint32(3)] >> (np.uint8(7) - (x & np.uint32(7)).astype(np.uint8))) & np.uint8(1) for x in _places(key))
+    return (a & b).astype(bool)
 
 
 def _stretch(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First byte and bytes of the bitmap that sorted keys set; a shard's keys are one range."""
-    place = (key >> U64(KEY_BITS - MAP_BITS)).astype(np.int64)
-    if not len(place):
+    """First byte and bytes of the filter that sorted keys set; a shard's keys are one range."""
+    if not len(key):
         return np.zeros(1, np.int64), np.zeros(0, np.uint8)
-    low = place[0] >> 3
-    bits = np.zeros(((place[-1] >> 3) - low + 1) * 8, bool)
-    bits[place - low * 8] = True
+    places = [x.astype(np.int64) for x in _places(key)]
+    low, high = int(places[0][0] >> 9 << 6), int((places[0][-1] >> 9) + 1 << 6)
+    bits = np.zeros((high - low) * 8, bool)
+    for x in places:
+        bits[x - low * 8] = True
     return np.array([low], np.int64), np.packbits(bits)
 
 
+def _slot(key: np.ndarray) -> np.ndarray:
+    return (key & U64(HOME - 1)).astype(np.int64)
+
+
+def at_home(gains: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys and gains by slot, the most frequent key of each slot, and the filter: tables of fixed size."""
+    keys, values, seen = np.zeros(HOME, U64), np.zeros(HOME, np.float32), np.zeros(1 << (MAP_BITS - 3), np.uint8)
+    tops = [(np.zeros(0, U64), np.zeros(0, np.float32), np.zeros(0, U64))]
+    for r in gains.filter("shard < 0").collect():
+        got = unpack(bytes(r["payload"]))
+        if r["shard"] == -1:
+            tops.append(got)
+        else:
+            low, part = int(got[0][0]), got[1]
+            seen[low : low + len(part)] |= part
+    key, gain, count = (np.concatenate(x) for x in zip(*tops, strict=True))
+    order = np.argsort(count, kind="stable")  # of one slot's keys the last one written stays
+    keys[_slot(key[order])], values[_slot(key[order])] = key[order], gain[order]
+    return keys, values, seen
+
+
 def discounts(n: np.ndarray) -> np.ndarray:
     """D1, D2, D3+ from the numbers of entries with count 1, 2, 3 and 4."""
     n = np.maximum(n.astype(float), 1e-9)
@@ -121,166 +160,161 @@ def discounts(n: np.ndarray) -> np.ndarray:
     return np.clip(d, 0.1, np.array([0.95, 1.9, 2.85]))
 
 
+def _counts(v: np.ndarray, w: np.ndarray, count: np.ndarray) -> bytes:
+    order = np.lexsort((w, v))  # equal first words cost next to nothing
+    return pack(v[order], w[order], count[order].astype(U64))
+
+
 def count_bigrams(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
-    """shard, payload (sorted distinct keys, counts): all bigrams of the trusted documents that are trained on."""
+    """shard, payload (first words, second words, counts): all bigrams of the trusted documents that are trained on."""
     trained = ids.filter(~held_out())
     own = F.broadcast(trained) if trained.count() <= BROADCAST_IDS else trained
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in tb.joined(batches, "text", BATCH):
-            key, _ = bigrams(*classes(tb.Batch.of(rows.column("text"))))
-            key, count = np.unique(key, return_counts=True)
-            yield packed_rows([(s, pack(key[at], count[at].astype(np.uint32))) for s, at in cut(_place(key), n)])
+            word, first = classes(tb.Batch.of(rows.column("text")))
+            key, before = bigrams(word, first)
+            key, at, count = np.unique(key, return_index=True, return_counts=True)
+            yield packed_rows([(s, _counts(before[at[own]], word[at[own]], count[own])) for s, own in cut(key, n)])
 
     def add(payloads: list[bytes]) -> Iterator[pa.RecordBatch]:
-        parts = [unpack(p) for p in payloads]
-        key, count = (np.concatenate(x) for x in zip(*parts, strict=True))
+        v, w, count = (np.concatenate(x) for x in zip(*map(unpack, payloads), strict=True))
+        key = pair_key(v, w)
         order = np.argsort(key, kind="stable")
         start, _ = runs(key[order])
-        total = np.add.reduceat(count[order].astype(np.int64), start)
-        distinct = key[order][start]
-        for s, at in cut(_place(distinct), n):
-            yield packed_rows([(s, pack(distinct[at], total[at].astype(np.uint32)))])
+        total = np.add.reduceat(count[order], start)
+        at = order[start]
+        for s, own in cut(key[at], n):
+            yield packed_rows([(s, _counts(v[at[own]], w[at[own]], total[own]))])
 
-    return stage(by_shard(docs.select("doc_id", "text").join(own, "doc_id", "left_semi").select("text").mapInArrow(send, "shard int, payload binary"), n, add, "shard int, payload binary"), "bigram-counts")
+    return stage(by_shard(docs.select("doc_id", "text").join(own, "doc_id", "left_semi").select("text").mapInArrow(send, PACKED), n, add, PACKED), "bigram-counts")
 
 
 def word_tables(counts: DataFrame) -> tuple[Words, np.ndarray]:
-    """Tables by class, of fixed size, and the bigrams' discounts."""
-    slices = 16
-    width = VOCABULARY // slices
-
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for raw in b.column("payload").to_pylist():
-                key, count = unpack(raw)
-                pair = _gather(key)
-                v, w = (pair >> U64(18)).astype(np.int64), (pair & U64(VOCABULARY - 1)).astype(np.int64)
-                follow = np.bincount(w, minlength=VOCABULARY)
-                total = np.bincount(v, weights=count, minlength=VOCABULARY)
-                by = [np.bincount(v[m], minlength=VOCABULARY) for m in (count == 1, count == 2, count >= 3)]
-                of = np.array([(count == k).sum() for k in (1, 2, 3, 4)], np.int64)
-                # rows 16 and above carry the counts of counts and the shard's stretch of the bitmap
-                out = [(i, pack(*[x[i * width : (i + 1) * width].astype(np.uint32) for x in (follow, total, *by)])) for i in range(slices)]
-                yield packed_rows([*out, (slices, pack(of)), (slices + 1, pack(*_stretch(key)))])
-
-    def add(slice_no: int, payloads: list[bytes]) -> Iterator[bytes]:
-        if slice_no == slices + 1:
-            yield from payloads
-            return
-        total = [x.astype(np.int64) for x in unpack(payloads[0])]
-        for p in payloads[1:]:
-            for t, x in zip(total, unpack(p), strict=True):
-                t += x
-        yield pack(*total)
-
-    # slice number in front: rows of one slice meet in one task
-    merged = split_and_add(counts, split, add, slices)
-    follow, total, ones, twos, more = (np.zeros(VOCABULARY, np.int64) for _ in range(5))
-    of, seen = np.zeros(4, np.int64), np.zeros(1 << (MAP_BITS - 3), np.uint8)
-    for i, raw in merged:
-        got = unpack(raw)
-        if i == slices:
-            of = got[0]
-        elif i == slices + 1:
-            low, part = int(got[0][0]), got[1]
-            seen[low : low + len(part)] |= part
-        else:
-            at = slice(i * width, (i + 1) * width)
-            follow[at], total[at], ones[at], twos[at], more[at] = got
-    d2 = discounts(of)
-    entries = max(int(follow.sum()), 1)
-    d1 = discounts(np.array([(follow == k).sum() for k in (1, 2, 3, 4)]))
-    cut1 = np.choose(np.minimum(follow, 3), [0, *d1])
-    spare = cut1.sum() / entries if follow.sum() else 1.0
-    p1 = np.maximum(follow - cut1, 0) / entries + max(spare, 1e-6) / VOCABULARY
-    g = np.where(total > 0, (d2[0] * ones + d2[1] * twos + d2[2] * more) / np.maximum(total, 1), 1.0)
-    return Words(np.log(p1).astype(np.float32), np.log(np.clip(g, 1e-6, 1.0)).astype(np.float32), seen), np.r_[d2, np.log(1.0)]
+    """The lower order, and the bigrams' discounts.
 
+    A bigram shard sends each of its words once.  The word's shard adds up and answers to each sender; a row with shard -1
+    holds its words once, a row with -2 its sums.
+    """
+    m = max(shard_count(counts.sparkSession, 0), (counts.agg(F.max("shard")).first()[0] or 0) // WORD_SHARE)
 
-def split_and_add(counts: DataFrame, split, add, slices: int) -> list[tuple[int, bytes]]:
-    """Sums per slice, of fixed size, and the shards' stretches of the bitmap, of fixed size together, reach the driver."""
-
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[bytes]] = {}
-        for b in batches:
-            for s, p in zip(b.column("shard").to_pylist(), b.column("payload").to_pylist(), strict=True):
-                held.setdefault(s, []).append(p)
-        for s in sorted(held):
-            yield packed_rows([(s, p) for p in add(s, held.pop(s))])
-
-    merged = counts.mapInArrow(split, "shard int, payload binary").repartitionById(slices + 2, F.col("shard")).mapInArrow(keyed, "shard int, payload binary")
-    return [(r["shard"], bytes(r["payload"])) for r in merged.collect()]
-
-
-def bigram_gains(counts: DataFrame, words: Words, d: np.ndarray, n: int) -> DataFrame:
-    """shard, payload (keys, d(v, w)) of every seen bigram; tagged as the model's side."""
-    shared = counts.sparkSession.sparkContext.broadcast((words.log_p1, words.log_g, d))
-    totals = context_totals(counts)
-    totals_shared = counts.sparkSession.sparkContext.broadcast(totals)
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        log_p1, log_g, d = shared.value
-        total = totals_shared.value
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for s, raw in zip(b.column("shard").to_pylist(), b.column("payload").to_pylist(), strict=True):
-                key, count = unpack(raw)
-                pair = _gather(key)
-                v, w = (pair >> U64(18)).astype(np.int64), (pair & U64(VOCABULARY - 1)).astype(np.int64)
-                left = np.maximum(count - d[np.minimum(count, 3).astype(np.int64) - 1], 0) / np.maximum(total[v], 1)
-                low = log_g[v].astype(float) + log_p1[w]
-                yield packed_rows([(s, b"M" + pack(key, (np.log(left + np.exp(low)) - low).astype(np.float32)))])
-
-    return counts.mapInArrow(task, "shard int, payload binary")
+                v, w, count = unpack(raw)
+                names, back = np.unique(np.r_[v, w], return_inverse=True)
+                v, w, k = back[: len(v)], back[len(v) :], len(names)
+                sums = [np.bincount(w, minlength=k), np.bincount(v, count, k), *(np.bincount(v[x], minlength=k) for x in (count == 1, count == 2, count >= 3))]
+                sums = [x.astype(U64) for x in sums]
+                of = np.array([(count == c).sum() for c in (1, 2, 3, 4)], np.int64)
+                out = [(t, pack(np.array([s], np.int64), names[own], *[x[own] for x in sums])) for t, own in cut(names, m)]
+                yield packed_rows([*out, (s % m, pack(of))])
 
+    def add(payloads: list[bytes]) -> Iterator[pa.RecordBatch]:
+        parts = [unpack(p) for p in payloads]
+        of = sum((p[0] for p in parts if len(p) == 1), np.zeros(4, np.int64))
+        parts = [p for p in parts if len(p) > 1]
+        if not parts:
+            yield packed_rows([(-2, pack(of, np.zeros(7, np.int64), np.zeros(4, np.int64)))])
+            return
+        names, back = np.unique(np.concatenate([p[1] for p in parts]), return_inverse=True)
+        sums = [np.bincount(back, np.concatenate([p[i] for p in parts]), len(names)).astype(U64) for i in range(2, 7)]
+        follow, start = sums[0], np.flatnonzero(names == 0)
+        n1 = np.array([*((follow == c).sum() for c in (1, 2, 3, 4)), (follow >= 3).sum(), (follow > 0).sum(), follow.sum()], np.int64)
+        own = np.flatnonzero(names)
+        yield packed_rows([(-2, pack(of, n1, np.array([x[start].sum() for x in sums[1:]], np.int64))), (-1, pack(names[own], *[x[own] for x in sums]))])
+        at = 0
+        for p in parts:
+            mine = back[at : at + len(p[1])]
+            at += len(p[1])
+            yield packed_rows([(int(p[0][0]), pack(p[1], *[x[mine] for x in sums]))])
+
+    table = stage(by_shard(counts.mapInArrow(send, PACKED), m, add, PACKED), "word-counts")
+    of, n1, start = np.zeros(4, np.int64), np.zeros(7, np.int64), np.zeros(4, np.int64)
+    for r in table.filter("shard = -2").collect():
+        a, b, c = unpack(bytes(r["payload"]))
+        of, n1, start = of + a, n1 + b, start + c
+    d1, d2, entries = discounts(n1[:4]), discounts(of), max(int(n1[6]), 1)
+    spare = float(d1 @ n1[[0, 1, 4]]) / entries if n1[6] else 1.0
+    words = Words(table, d1, d2, entries, max(spare, 1e-6) / max(VOCABULARY, int(n1[5]) + 1), 0.0)
+    words.log_g_start = float(lower_order(words.numbers(), np.zeros(1, np.int64), *start.reshape(4, 1))[1][0])
+    return words, d2
 
-def context_totals(counts: DataFrame) -> np.ndarray:
-    """Trained tokens after each class: a vector of fixed size, summed in Spark."""
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = np.zeros(VOCABULARY)
-        for b in batches:
-            for raw in b.column("payload").to_pylist():
-                key, count = unpack(raw)
-                out += np.bincount((_gather(key) >> U64(18)).astype(np.int64), weights=count, minlength=VOCABULARY)
-        yield packed_rows([(0, pack(out.astype(np.uint32)))])
+def bigram_gains(counts: DataFrame, words: Words, d: np.ndarray, n: int) -> DataFrame:
+    """shard, payload (keys, gains): the model's side.  Rows -1 hold a shard's most frequent keys, rows -2 its part of the filter."""
+    numbers = words.numbers()
+    tops = max(HOME // 2 // n, 1)
 
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = np.zeros(VOCABULARY, np.int64)
+    def own_gains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for raw in b.column("payload").to_pylist():
-                out += unpack(raw)[0]
-        yield packed_rows([(0, pack(out))])
+                names, *sums = unpack(raw)
+                log_p1, log_g = lower_order(numbers, *[x.astype(np.int64) for x in sums])
+                key = np.r_[word_key(names), end_key(names)]
+                gain = np.r_[log_p1 - np.log(numbers[3]) + log_g, -log_g].astype(np.float32)
+                often = np.r_[sums[1], np.zeros(len(names), U64)]
+                order = np.argsort(key)
+                yield packed_rows([(s, pack(key[order[at]], gain[order[at]], often[order[at]], np.zeros(0))) for s, at in cut(key[order], n)])
 
-    rows = counts.mapInArrow(task, "shard int, payload binary").repartitionById(1, F.col("shard")).mapInArrow(keyed, "shard int, payload binary").collect()
-    return unpack(bytes(rows[0]["payload"]))[0] if rows else np.zeros(VOCABULARY, np.int64)
+    def join(payloads: list[bytes]) -> Iterator[pa.RecordBatch]:
+        parts = [unpack(p) for p in payloads]  # 3 arrays: bigrams; 4: gains of words; 6: answers of word shards
+        keys, gains, often = ([p[i] for p in parts if len(p) == 4] for i in range(3))
+        answers, pairs = [p for p in parts if len(p) == 6], [p for p in parts if len(p) == 3]
+        if pairs:
+            names, *sums = (np.concatenate(x) for x in zip(*answers, strict=True))
+            order = np.argsort(names)
+            names, sums = names[order], [x[order].astype(np.int64) for x in sums]
+            log_p1, log_g = lower_order(numbers, *sums)
+            for v, w, count in pairs:
+                a, b = np.searchsorted(names, v), np.searchsorted(names, w)
+                left = np.maximum(count - d[np.minimum(count, U64(3)).astype(np.int64) - 1], 0) / np.maximum(sums[1][a], 1)
+                low = log_g[a] + log_p1[b]
+                keys.append(pair_key(v, w)), gains.append((np.log(left + np.exp(low)) - low).astype(np.float32)), often.append(count)
+        key, gain, often = np.concatenate(keys), np.concatenate(gains), np.concatenate(often)
+        order = np.argsort(key)
+        key, gain, often = key[order], gain[order], often[order]
+        top = np.argpartition(often, -tops)[-tops:] if len(often) > tops else np.arange(len(often))
+        for s, at in cut(key, n):
+            yield packed_rows([(s, b"M" + pack(key[at], gain[at]))])
+        yield packed_rows([(-1, pack(key[top], gain[top], often[top])), (-2, pack(*_stretch(key)))])
+
+    own = words.table.filter("shard = -1").mapInArrow(own_gains, PACKED)
+    return stage(by_shard(counts.unionByName(words.table.filter("shard >= 0")).unionByName(own), n, join, PACKED), "gains")
 
 
 def score(docs: DataFrame, words: Words, gains: DataFrame, n: int) -> DataFrame:
     """key (of the row), doc_id, lang, n_words, log_prob of every document."""
-    shared = docs.sparkSession.sparkContext.broadcast(words)
+    shared = docs.sparkSession.sparkContext.broadcast((*at_home(gains), float(np.log(words.unseen)), words.log_g_start))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w, at = shared.value, TaskContext.get().partitionId() << 36
+        home_key, home_gain, seen, log_unseen, log_g_start = shared.value
+        at = TaskContext.get().partitionId() << 36
         for rows in tb.joined(batches, "text", BATCH):
             word, first = classes(tb.Batch.of(rows.column("text")))
-            key, before = bigrams(word, first)
-            base = np.r_[0, np.cumsum(w.log_p1[word.astype(np.int64)].astype(float) + w.log_g[before.astype(np.int64)])]
-            base = base[first[1:]] - base[first[:-1]]
+            n_words = np.diff(first)
+            some = np.flatnonzero(n_words)
+            key = np.concatenate([word_key(word), bigrams(word, first)[0], end_key(word[first[1:][some] - 1])])
+            doc = np.repeat(np.arange(rows.num_rows, dtype=np.uint32), n_words)
+            doc = np.concatenate([doc, doc, some.astype(np.uint32)])
+            slot = _slot(key)
+            known = home_key[slot] == key
+            base = n_words * log_unseen + (n_words > 0) * log_g_start + np.bincount(doc[known], home_gain[slot[known]], rows.num_rows)
             row = np.arange(at, at + rows.num_rows)
             at += rows.num_rows
-            maybe = np.flatnonzero(maybe_seen(w.seen, key))
-            doc = (np.searchsorted(first, maybe, side="right") - 1).astype(np.uint32)
-            order = np.lexsort((doc, key[maybe]))
-            key, doc = key[maybe][order], doc[order]
-            begin, times = runs(key + (doc.astype(U64) << U64(KEY_BITS))) if len(doc) else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+            maybe = np.flatnonzero(~known & maybe_seen(seen, key))
+            key, doc = key[maybe], doc[maybe]
+            order = np.lexsort((doc, key))
+            key, doc = key[order], doc[order]
+            begin = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])]) if len(key) else np.zeros(0, np.int64)
+            times = np.diff(np.r_[begin, len(key)])
             key, doc = key[begin], doc[begin]
             small = np.uint16 if rows.num_rows < 65_536 else np.uint32
-            out = [(s, b"R" + pack(key[own], doc[own].astype(small), times[own].astype(np.uint32), row[:1].astype(U64))) for s, own in cut(_place(key), n)]
+            out = [(s, b"R" + pack(key[own], doc[own].astype(small), times[own].astype(np.uint32), row[:1].astype(U64))) for s, own in cut(key, n)]
             # the documents themselves travel to the part that sums their answers
-            out += [(int(p), b"D" + _documents(rows, row, base, np.diff(first), p, n)) for p in np.unique(row % n)]
+            out += [(int(p), b"D" + _documents(rows, row, base, n_words, p, n)) for p in np.unique(row % n)]
             yield packed_rows(out)
-            del word, first, key, before, base, maybe, doc, order, begin, times, out
+            del word, first, key, slot, known, base, maybe, doc, order, begin, times, out
             pa.default_memory_pool().release_unused()
 
     def join(payloads: list[bytes]) -> Iterator[pa.RecordBatch]:
@@ -330,7 +364,7 @@ def score(docs: DataFrame, words: Words, gains: DataFrame, n: int) -> DataFrame:
             a, b = np.searchsorted(row, own), np.searchsorted(row, own, side="right")
             yield pa.record_batch([*names, pa.array(n_words), pa.array(base + s[b] - s[a])], ["key", "doc_id", "lang", "n_words", "log_prob"])
 
-    sent = docs.select(row_key("doc_id", "text").alias("key"), "doc_id", "lang", "text").mapInArrow(send, "shard int, payload binary").unionByName(gains)
+    sent = docs.select(row_key("doc_id", "text").alias("key"), "doc_id", "lang", "text").mapInArrow(send, "shard int, payload binary").unionByName(gains.filter("shard >= 0"))
     joined = by_shard(sent, n, join, "shard int, payload binary").select((-1 - F.col("shard")).alias("shard"), "payload")
     return by_shard(joined, n, total, "key long, doc_id long, lang string, n_words long, log_prob double")
 
@@ -376,7 +410,11 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     counts = count_bigrams(docs, ids, n)
     release(docs.sparkSession)
     words, d = word_tables(counts)
-    scored = score(docs, words, bigram_gains(counts, words, d, n), n)
+    release(docs.sparkSession)
+    gains = bigram_gains(counts, words, d, n)
+    drop(counts, words.table)
+    release(docs.sparkSession)
+    scored = score(docs, words, gains, n)
     scored = scored.withColumn("log_ppl", F.when(F.col("n_words") > 0, -F.col("log_prob") / F.col("n_words")).otherwise(0.0))
     scored = stage(scored.withColumn("band", F.least(F.floor(F.log(F.greatest("n_words", F.lit(1))) / float(np.log(3))), F.lit(7)).cast("int")), "perplexities")
     release(docs.sparkSession)

@@ -254,6 +254,29 @@ def test_kneser_ney_matches_formula(spark):
     assert got[None] == (0, 0.0) and got[400] == (0, 0.0)
 
 
+def test_kneser_ney_tells_words_apart(spark):
+    """A word that was never trusted inherits nothing from a trusted word, however many words there are."""
+    from labflow.llm import kneser_ney as kn
+    from labflow.llm import textblocks as tb
+
+    names = [f"q{i}" for i in range(6000)]
+    starts, ends, _ = tb.words(tb.Batch.of(pa.array([" ".join(names)])))
+    old = tb.word_hashes(tb.Batch.of(pa.array([" ".join(names)])).data, starts, ends) % np.uint64((1 << 18) - 1)
+    by = collections.defaultdict(list)
+    for name, c in zip(names, old.tolist(), strict=True):
+        by[c].append(name)
+    pairs = [x[:2] for x in by.values() if len(x) > 1]
+    assert len(pairs) > 20
+    trusted = [f"c{i} {a} d{i} {a}" for i, (a, _) in enumerate(pairs) for _ in range(3)]
+    texts = [*trusted, *[x for pair in pairs for x in pair], "neverseen"]
+    df = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    counts = kn.count_bigrams(df, df.select("doc_id").filter(f"doc_id < {len(trusted)}"), 3)
+    words, d = kn.word_tables(counts)
+    got = {r.doc_id: r.log_prob for r in kn.score(df, words, kn.bigram_gains(counts, words, d, 3), 3).collect()}
+    for i in range(len(trusted), len(texts) - 1, 2):
+        assert got[i] > got[i + 1] + 1 and got[i + 1] == pytest.approx(got[len(texts) - 1], rel=1e-9)
+
+
 def test_kneser_ney_counts_beyond_16_bits(spark):
     """A bigram that a document holds 70,000 times weighs 70,000 times what it weighs once."""
     from labflow.llm import kneser_ney as kn

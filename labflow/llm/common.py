@@ -9,10 +9,8 @@ collapse before the shuffle, so a key that fills a third of the corpus weighs on
 
 from __future__ import annotations
 
-import gc
 import struct
 import tempfile
-import time
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -47,22 +45,23 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder and read back: the lineage ends there, so a lost executor costs no earlier work."""
-    path = scratch(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+#: Spark's own setting: an execution's shuffle files go when it ends.  A staged step's result is in the shared folder by then.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of finished, staged steps now instead of at its next collection of garbage.
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write to the shared folder and read back: the lineage ends there, so a lost executor costs no earlier work.
 
-    The first round frees what Python held, the second what Spark's driver held for it.
+    The shuffle files of the step are deleted when it has been written.
     """
-    for _ in range(2):
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.4)
+    spark = df.sparkSession
+    path, before = scratch(spark, name), spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def drop(*staged: DataFrame) -> None:
@@ -78,6 +77,11 @@ def text_bytes(docs: DataFrame, text: str = "text") -> int:
     return docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
 
 
+def small(x: np.ndarray) -> np.ndarray:
+    """Non-negative integers as 32-bit ones if they fit, else as 64-bit ones."""
+    return x.astype(np.uint32 if not len(x) or int(x.max()) < 1 << 32 else U64)
+
+
 def key_bits(size: int) -> int:
     """Bits of a hash that a filter over ``size`` bytes of text needs: a chance match is rarer than one in a thousand."""
     return min(64, max(40, int(size).bit_length() + 11))

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textblocks as tb
-from .common import U64, by_shard, cut, key_bits, pack, packed_rows, part_of, release, row_key, runs, shard_count, stage, text_bytes, unpack
+from .common import U64, by_shard, cut, key_bits, pack, packed_rows, part_of, row_key, runs, shard_count, stage, text_bytes, unpack
 from .components import components
 
 SHINGLE, PERCENT = 5, 80
@@ -251,7 +251,6 @@ def link(sets: DataFrame) -> DataFrame:
             roots = components(found.unionByName(roots.select(F.col("node").alias("u"), F.col("root").alias("v"))))
             active = active.drop("root").join(roots.withColumnRenamed("node", "set_key"), "set_key", "left").withColumn("root", F.coalesce("root", "set_key"))
         leaders = min(leaders * 8, MOST_LEADERS)
-        release(spark)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -260,7 +259,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     n = shard_count(docs.sparkSession, size)
     members = documents_sets(docs)
     sets = candidate_sets(docs, n, max(48, min(64, key_bits(size) + 8)))
-    release(docs.sparkSession)
     roots = link(sets).select(F.col("node").alias("set_key"), "root")
     by_set = members.filter("n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").alias("least"), F.count("*").alias("k"))
     rooted = stage(by_set.join(roots, "set_key", "left").withColumn("root", F.coalesce("root", "set_key")), "jaccard-rooted")

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textblocks as tb
-from .common import U64, Answers, answer_rows, by_shard, cut, key_bits, pack, packed_rows, release, row_key, runs, shard_count, stage, text_bytes, unpack, with_side
+from .common import U64, Answers, answer_rows, by_shard, cut, key_bits, pack, packed_rows, row_key, runs, shard_count, stage, text_bytes, unpack, with_side
 
 WINDOW = 35
 BLOCK = (WINDOW + 1) // 2
@@ -167,11 +167,8 @@ def remove_repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     n = shard_count(spark, size)
     keyed = docs.select(row_key("doc_id", "text").alias("key"), "doc_id", "text")
     anchors = _probes(keyed, n, key_bits(size))
-    release(spark)
     parts = _extend(keyed, anchors, n)
-    release(spark)
     repeats = _count(parts.filter("kind = 1").select("shard", "payload"), n)
-    release(spark)
     done = parts.filter("kind = 0").select("doc_id", "n_words", F.col("sha").alias("kept_sha256"))
     return done, _remove(parts.filter("kind = 2").select("key", "doc_id", "text"), repeats, n, WINDOW)
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textblocks as tb
-from .common import U64, Answers, answer_rows, by_shard, cut, key_bits, pack, packed_rows, release, row_key, runs, shard_count, stage, text_bytes, unpack, with_side
+from .common import U64, Answers, answer_rows, by_shard, cut, key_bits, pack, packed_rows, row_key, runs, shard_count, stage, text_bytes, unpack, with_side
 
 WINDOW, GRAM = 50, 24
 REACH = WINDOW - GRAM  # how far an anchor may lie from its string's start
@@ -344,10 +344,8 @@ def remove_repeats(docs: DataFrame, buckets: int | None = None) -> DataFrame:
     n = shard_count(spark, size)
     keyed = docs.select(row_key("doc_id", "text").alias("key"), "doc_id", "text")
     shared = _shared(keyed, n, key_bits(size))
-    release(spark)
     bounds = splitters(keyed, buckets or n)
     results = _sort_buckets(_suffixes(keyed, shared, bounds, n), bounds, n)
-    release(spark)
     covered = results.filter("kind = 0").select("shard", "payload")
     across = _compare_across(results.filter("kind = 1").select("shard", "payload"), n)
     return _remove(keyed, covered.unionByName(across), n)

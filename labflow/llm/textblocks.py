@@ -115,13 +115,13 @@ def words(batch: Batch, breaks: np.ndarray = SPACES) -> tuple[np.ndarray, np.nda
 
     A word is a maximal run of bytes outside ``breaks`` that does not leave its document.
     """
-    inside = np.zeros(len(batch.data) + 2, np.int8)
-    inside[1:-1] = ~breaks[batch.data]
-    turn = np.diff(inside)
-    starts, ends = np.flatnonzero(turn == 1), np.flatnonzero(turn == -1)
+    inside = np.zeros(len(batch.data) + 2, bool)
+    inside[1:-1] = np.frombuffer(batch.data.tobytes().translate((~breaks).tobytes()), bool)
+    turn = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = turn[::2], turn[1::2]
     cuts = batch.offsets[1:-1]
     cuts = np.unique(cuts[(cuts > 0) & (cuts < len(batch.data))])
-    cuts = cuts[(inside[cuts] == 1) & (inside[cuts + 1] == 1)]
+    cuts = cuts[inside[cuts] & inside[cuts + 1]]
     if len(cuts):
         starts, ends = np.sort(np.concatenate([starts, cuts])), np.sort(np.concatenate([ends, cuts]))
     return starts, ends, np.searchsorted(starts, batch.offsets)

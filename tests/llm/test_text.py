@@ -210,6 +210,16 @@ def test_toxicity_learns(spark):
     assert toxicity.score(df, toxicity.train(df, df.select("doc_id", df.y.alias("toxic")).limit(0))).count() == 700
 
 
+def _scores(df, ids, n=3):
+    from labflow.llm import kneser_ney as kn
+
+    keys = kn.keys_for(1 << 20)
+    counts = kn.count_bigrams(df, ids, n, keys)
+    words, d = kn.word_tables(counts)
+    gains = kn.bigram_gains(counts, words, d, n, keys)
+    return kn.score(df, kn.home_tables(words, gains, keys), gains, n, keys)
+
+
 def test_kneser_ney_matches_formula(spark):
     """Log probabilities of the sharded model against the textbook formula on the same classes."""
     from labflow.llm import kneser_ney as kn
@@ -219,13 +229,11 @@ def test_kneser_ney_matches_formula(spark):
     texts = [" ".join(f"t{int(x)}" for x in rng.zipf(1.5, rng.integers(1, 60)) % 50) for _ in range(300)]
     df = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)] + [(None, None, None), (400, "", "de")], "doc_id long, text string, lang string")
     ids = df.select("doc_id").filter("doc_id < 200")
-    counts = kn.count_bigrams(df, ids, 3)
-    words, d = kn.word_tables(counts)
-    got = {r.doc_id: (r.n_words, r.log_prob) for r in kn.score(df, words, kn.bigram_gains(counts, words, d, 3), 3).collect()}
+    got = {r.doc_id: (r.n_words, r.log_prob) for r in _scores(df, ids).collect()}
     trained = {r.doc_id for r in ids.filter(~kn.held_out()).collect()}
     big, cls = collections.Counter(), {}
     for i, t in enumerate(texts):
-        w, _ = kn.classes(tb.Batch.of(pa.array([t])))
+        w, _ = kn.keys_for(1 << 20).words(tb.Batch.of(pa.array([t])))
         cls[i] = [0, *w.tolist()]
         if i in trained:
             big.update(zip(cls[i], cls[i][1:], strict=False))
@@ -270,9 +278,7 @@ def test_kneser_ney_tells_words_apart(spark):
     trusted = [f"c{i} {a} d{i} {a}" for i, (a, _) in enumerate(pairs) for _ in range(3)]
     texts = [*trusted, *[x for pair in pairs for x in pair], "neverseen"]
     df = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
-    counts = kn.count_bigrams(df, df.select("doc_id").filter(f"doc_id < {len(trusted)}"), 3)
-    words, d = kn.word_tables(counts)
-    got = {r.doc_id: r.log_prob for r in kn.score(df, words, kn.bigram_gains(counts, words, d, 3), 3).collect()}
+    got = {r.doc_id: r.log_prob for r in _scores(df, df.select("doc_id").filter(f"doc_id < {len(trusted)}")).collect()}
     for i in range(len(trusted), len(texts) - 1, 2):
         assert got[i] > got[i + 1] + 1 and got[i + 1] == pytest.approx(got[len(texts) - 1], rel=1e-9)
 
@@ -283,9 +289,7 @@ def test_kneser_ney_counts_beyond_16_bits(spark):
 
     texts = ["a b " * 20 + f"c{i}" for i in range(40)] + ["a " * 3, "a " * 4, "a " * 70_001, "a b " * 2, "a b " * 3, "a b " * 65_538]
     df = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
-    counts = kn.count_bigrams(df, df.select("doc_id").filter("doc_id < 41"), 3)
-    words, d = kn.word_tables(counts)
-    got = {r.doc_id: r.log_prob for r in kn.score(df, words, kn.bigram_gains(counts, words, d, 3), 3).collect()}
+    got = {r.doc_id: r.log_prob for r in _scores(df, df.select("doc_id").filter("doc_id < 41")).collect()}
     for few, more, many, step in ((40, 41, 42, 69_997), (43, 44, 45, 65_535)):
         assert got[many] == pytest.approx(got[more] + step * (got[more] - got[few]), rel=1e-3)
 

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from . import textblocks as tb
 from .common import shards_for, stage
-from .tokens import default_path, tokenizer
+from .tokens import default_path, tokenizer, with_end
 
 BUCKETS, DIMS, BITS = 64, 4, 12
 LENGTH = 4096
@@ -65,21 +66,26 @@ def hilbert(points: np.ndarray, bits: int) -> np.ndarray:
     return key
 
 
+@lru_cache(maxsize=2)
+def _id_table(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket and sign of each id below ``size``."""
+    mixed = tb.mix(np.arange(1, size + 1, dtype=np.uint64))
+    return (mixed % np.uint64(BUCKETS)).astype(np.int64), np.where((mixed >> np.uint64(40)) & np.uint64(1), 1.0, -1.0)
+
+
 def curve_keys(ids: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Hilbert key of each document of ids."""
     n = len(offsets) - 1
-    mixed = tb.mix(ids.astype(np.uint64) + np.uint64(1))
-    bucket = (mixed % np.uint64(BUCKETS)).astype(np.int64)
-    sign = np.where((mixed >> np.uint64(40)) & np.uint64(1), 1.0, -1.0)
-    doc = np.repeat(np.arange(n), np.diff(offsets))
-    bags = np.bincount(doc * BUCKETS + bucket, weights=sign, minlength=n * BUCKETS).reshape(n, BUCKETS)
+    bucket, sign = _id_table(1 << max(int(ids.max(initial=0)).bit_length(), 16))
+    doc = np.repeat(np.arange(n) * BUCKETS, np.diff(offsets))
+    bags = np.bincount(doc + bucket[ids], weights=sign[ids], minlength=n * BUCKETS).reshape(n, BUCKETS)
     bags /= np.maximum(np.linalg.norm(bags, axis=1, keepdims=True), 1e-9)
     flat = np.tanh(bags @ _projection())
     return hilbert(((flat + 1) / 2 * ((1 << BITS) - 1)).astype(np.int64), BITS)
 
 
-def place_documents(docs: DataFrame, *, tokenizer_path: str | None = None, end_id: int | None = 2) -> DataFrame:
-    """rid, doc_id, curve, n_tokens, ids (little-endian u16 or u32 by vocabulary) of each document, staged."""
+def place_documents(docs: DataFrame, *, tokenizer_path: str | None = None, end_id: int | None = 2, width: int = 2) -> DataFrame:
+    """rid, doc_id, curve, n_tokens, ids (little-endian, ``width`` bytes each) of each document, staged."""
     where = tokenizer_path or default_path()
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -88,14 +94,9 @@ def place_documents(docs: DataFrame, *, tokenizer_path: str | None = None, end_i
         for batch in tb.joined(batches, "text", tb.BATCH_BYTES):
             ids, offsets = lib.encode(tb.Batch.of(batch.column("text")))
             keys = curve_keys(ids, offsets)
-            if end_id is not None:
-                ids = np.insert(ids, offsets[1:], end_id)
-                offsets = offsets + np.arange(len(offsets))
-            raw = ids.astype("<u2")
-            if (raw != ids).any():
-                raise ValueError("this vocabulary has ids above 65,535")
+            raw, offsets = with_end(ids, offsets, end_id, width)
             n = len(keys)
-            values = pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer((offsets * 2).astype(np.int64)), pa.py_buffer(raw)])
+            values = pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer((offsets * width).astype(np.int64)), pa.py_buffer(raw)])
             yield pa.record_batch([pa.array(np.arange(at, at + n)), batch.column("doc_id"), pa.array(keys), pa.array(np.diff(offsets)), values.cast(pa.binary())], ["rid", "doc_id", "curve", "n_tokens", "ids"])
             at += n
 
@@ -119,31 +120,32 @@ def lay_out(placed: DataFrame, order: list[str], size: str, n: int) -> DataFrame
     return local.join(F.broadcast(before), "part").select("rid", (F.col("at") + F.col("before")).alias("at"))  # a row per partition
 
 
-def cut_sequences(placed: DataFrame, places: DataFrame, length: int = LENGTH) -> DataFrame:
+def cut_sequences(placed: DataFrame, places: DataFrame, length: int = LENGTH, width: int = 2) -> DataFrame:
     """A row per piece of a document: ``PIECES`` and the ids themselves are cut at every ``length`` ids of the line."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows: list[tuple] = []
-            for doc, at, n, raw in zip(b.column("doc_id").to_pylist(), b.column("at").to_pylist(), b.column("n_tokens").to_pylist(), b.column("ids").to_pylist(), strict=True):
-                ids = np.frombuffer(raw, "<u2").astype("<u4")
-                start = 0
-                while start < n:
-                    offset = (at + start) % length
-                    take = min(length - offset, n - start)
-                    rows.append((doc, start, take, zlib.crc32(ids[start : start + take].tobytes()), n, (at + start) // length, offset))
-                    start += take
-            columns = list(zip(*rows, strict=True)) or [()] * 7
-            yield pa.record_batch([pa.array(c, pa.int64()) for c in columns], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
+            raw = tb.Batch.of(b.column("ids"))
+            wide = memoryview(raw.data.view(f"<u{width}").astype("<u4").tobytes())
+            at, n = np.asarray(b.column("at")), np.asarray(b.column("n_tokens"))
+            first = at // length
+            pieces = np.where(n > 0, (at + n - 1) // length - first + 1, 0)
+            own = np.repeat(np.arange(len(n)), pieces)
+            seq = first[own] + np.arange(len(own)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+            begin, end = np.maximum(seq * length, at[own]), np.minimum((seq + 1) * length, (at + n)[own])
+            byte = 4 * (raw.offsets[own] // width + begin - at[own])
+            crc = [zlib.crc32(wide[x:y]) for x, y in zip(byte.tolist(), (byte + 4 * (end - begin)).tolist(), strict=True)]
+            columns = (begin - at[own], end - begin, np.array(crc, np.int64), n[own], seq, begin - seq * length)
+            yield pa.record_batch([b.column("doc_id").take(pa.array(own)), *map(pa.array, columns)], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
 
     return placed.select("rid", "doc_id", "n_tokens", "ids").join(places, "rid").select("doc_id", "at", "n_tokens", "ids").mapInArrow(task, PIECES)
 
 
-def pack(docs: DataFrame, **kw) -> DataFrame:
-    """Pieces of all documents, packed along the curve."""
+def pack(docs: DataFrame, width: int = 2, **kw) -> DataFrame:
+    """Pieces of all documents, packed along the curve.  ``width``: bytes an id takes on its way (2: vocabularies up to 65,536)."""
     n = shards_for(docs)
-    placed = place_documents(docs, **kw)
-    return cut_sequences(placed, lay_out(placed, ["curve", "doc_id", "rid"], "n_tokens", n))
+    placed = place_documents(docs, width=width, **kw)
+    return cut_sequences(placed, lay_out(placed, ["curve", "doc_id", "rid"], "n_tokens", n), width=width)
 
 
 def op1_packing(spark, sf_dir: str) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from . import textblocks as tb
 from .common import pack, runs, scratch, shards_for, stage, unpack
-from .tokens import default_path, tokenizer
+from .tokens import default_path, tokenizer, with_end
 
 MAGIC = b"LFIDS001"
 HEADER = 16
@@ -50,11 +50,10 @@ def _open_dir(uri: str):
 def write_shards(docs: DataFrame, uri: str, *, tokenizer_path: str | None = None, end_id: int | None = 1, width: int = 2) -> DataFrame:
     """Write ``docs`` (doc_id, text) as id shards below ``uri``; one entry row per document, staged as a table.
 
-    ``width``: bytes an id takes in the files (2 holds vocabularies up to 65,536).
+    ``width``: bytes an id takes in the files (2 holds vocabularies up to 65,536; an id that doesn't fit is an error).
     """
     where = tokenizer_path or default_path()
     n = shards_for(docs)
-    kind = np.dtype(f"<u{width}")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lib, part = tokenizer(where), TaskContext.get().partitionId()
@@ -68,11 +67,9 @@ def write_shards(docs: DataFrame, uri: str, *, tokenizer_path: str | None = None
                 sink = files.open_output_stream(f"{path}/{name}")
                 sink.write(MAGIC + struct.pack("<II", width, 0))
             ids, offsets = lib.encode(tb.Batch.of(batch.column("text")))
+            ids, offsets = with_end(ids, offsets, end_id, width)
             counts = np.diff(offsets)
-            if end_id is not None:
-                ids = np.insert(ids, offsets[1:], end_id)
-                counts = counts + 1
-            sink.write(ids.astype(kind).tobytes())
+            sink.write(ids)
             occurrence = []
             for d in (doc_ids := batch.column("doc_id").to_pylist()):
                 seen = seen + 1 if d == last else 0
@@ -87,11 +84,20 @@ def write_shards(docs: DataFrame, uri: str, *, tokenizer_path: str | None = None
 
     ordered = docs.select("doc_id", "text").repartitionByRange(n, "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", "text")
     entries = stage(ordered.mapInArrow(task, ENTRIES), "id-entries")
-    # equal ids may straddle two partitions: number them over all of them
-    repeated = entries.groupBy("doc_id").agg(F.count("*").alias("copies")).filter("copies > 1").select(F.col("doc_id").alias("again"))
-    again = entries.join(repeated, F.col("doc_id").eqNullSafe(F.col("again")), "left_semi")
-    numbered = again.withColumn("occurrence", (F.row_number().over(Window.partitionBy("doc_id").orderBy("part", "at")) - 1).cast("long"))
-    return entries.join(repeated, F.col("doc_id").eqNullSafe(F.col("again")), "left_anti").unionByName(numbered)
+    return _numbered(entries)
+
+
+def _numbered(entries: DataFrame) -> DataFrame:
+    """Equal ids may straddle partitions: they go on counting where the partition before stopped.
+
+    Only a partition's first and last id can straddle, so what is joined has at most two ids for each partition.
+    """
+    edges = entries.groupBy("part").agg(F.min_by("doc_id", "at").alias("a"), F.max_by("doc_id", "at").alias("b"))
+    edges = edges.select(F.explode(F.array("a", "b")).alias("edge")).distinct()
+    here = entries.join(F.broadcast(edges), F.col("doc_id").eqNullSafe(F.col("edge"))).groupBy("edge", "part").agg(F.count("*").alias("k"))
+    before = here.select("edge", F.col("part").alias("in_part"), (F.sum("k").over(Window.partitionBy("edge").orderBy("part")) - F.col("k")).alias("before")).filter("before > 0")
+    on = F.col("doc_id").eqNullSafe(F.col("edge")) & (F.col("part") == F.col("in_part"))
+    return entries.join(F.broadcast(before), on, "left").withColumn("occurrence", F.col("occurrence") + F.coalesce("before", F.lit(0))).drop("edge", "in_part", "before")
 
 
 def shard_starts(entries: DataFrame) -> DataFrame:

@@ -4,7 +4,8 @@ The heavy operators send *packed arrays* instead of one row per n-gram: a task t
 64-bit keys, cuts them by key range into shards and emits one binary row per shard.  Spark shuffles those rows;
 a shard's task merges what it gets with a few numpy calls and answers in the same form.  Sorted keys are stored
 as differences, byte plane by byte plane, so a random 64-bit key costs about 5 bytes.  Equal keys of one task
-collapse before the shuffle, so a key that fills a third of the corpus weighs one entry per task.
+collapse before the shuffle: a batch that holds a key several times knows by itself that it is shared, answers its own
+rows and tells the shard of the key once.  So a key that fills a third of the corpus weighs an entry or two per batch.
 """
 
 from __future__ import annotations
@@ -154,13 +155,27 @@ def runs(sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return start, np.diff(np.r_[start, len(sorted_keys)])
 
 
+def copies(names: np.ndarray, most: int) -> np.ndarray:
+    """Mask of the first ``most`` rows of each row key."""
+    order = np.argsort(names, kind="stable")
+    start, length = runs(names[order])
+    keep = np.empty(len(names), bool)
+    keep[order] = np.arange(len(names)) - np.repeat(start, length) < most
+    return keep
+
+
 # ---------------------------------------------------------------------------------------------- answers by row
 def answer_rows(names: np.ndarray, n: int, *values: np.ndarray) -> list[tuple[int, bytes]]:
-    """Pack values by the partition of their row key: sorted by row, then by the first value."""
+    """Pack values by the partition of their row key: sorted by row, then by the first value, each pair of these once.
+
+    Copies of a row share its key, so what many copies are told is kept once.
+    """
     if not len(names):
         return []
     part = part_of(names, n)
     order = np.lexsort((values[0], names, part))
+    again = (names[order][1:] == names[order][:-1]) & (values[0][order][1:] == values[0][order][:-1])
+    order = order[np.r_[True, ~again]]
     names, values, part = names[order], [v[order] for v in values], part[order]
     out = []
     for a, k in zip(*runs(part), strict=True):
@@ -195,6 +210,8 @@ class Answers:
 
 # ---------------------------------------------------------------------------------------------- exchanges
 PACKED = "shard int, payload binary"
+#: First byte of a payload: a question to the shard of its keys, or an answer that only passes through to its partition.
+ASK, PASS = b"Q", b"A"
 
 
 def packed_rows(rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
@@ -215,6 +232,15 @@ def by_shard(df: DataFrame, n: int, fn: Callable[[list[bytes]], Iterator[pa.Reco
     return df.repartitionById(n, F.col("shard")).mapInArrow(task, schema)
 
 
+def passed_on(payloads: list[bytes]) -> tuple[list[bytes], list[bytes]]:
+    """Questions, and answers that pass through, without their first byte."""
+    ask, through = [], []
+    while payloads:
+        p = payloads.pop()
+        (ask if p[:1] == ASK else through).append(p[1:])
+    return ask, through
+
+
 def part_of(keys: np.ndarray, n: int) -> np.ndarray:
     """Partition of a row key, as ``part_column`` gives it."""
     return (keys.view(np.int64) % np.int64(n)).astype(np.int64)

@@ -9,6 +9,9 @@ blocks.  So blocks are the index and every rolling 18-word window of every text
     windows instead of comparing anchors in pairs keeps a passage with n copies at n entries.
 3.  Texts with repeats get their runs back and drop the covered words; texts without anchors were done in step 2.
 
+A batch that has a block or window at two places answers its own texts and sends the key once or twice, so a passage that a
+third of all texts share costs an entry or two per batch in its shard.  Copies of a row beyond the second add nothing.
+
 Windows are told apart by 64-bit hashes; the probe keys are cut to as many bits as the input's size asks for, since a
 chance anchor costs only a few counted windows.  Places are known by the row's content, so repeated rows count as
 separate places and get the same answer.
@@ -28,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textblocks as tb
-from .common import U64, Answers, answer_rows, by_shard, cut, key_bits, pack, packed_rows, row_key, runs, shard_count, stage, text_bytes, unpack, with_side
+from .common import ASK, PASS, U64, Answers, answer_rows, by_shard, copies, cut, drop, key_bits, pack, packed_rows, part_of, passed_on, row_key, runs, shard_count, stage, text_bytes, unpack, with_side
 
 WINDOW = 35
 BLOCK = (WINDOW + 1) // 2
@@ -37,7 +40,7 @@ DONE = pa.schema([("kind", pa.int32()), ("shard", pa.int32()), ("payload", pa.bi
 
 def _probes(docs: DataFrame, n: int, bits: int) -> DataFrame:
     """Anchors of every text, packed by its partition: row keys and block numbers."""
-    drop = U64(64 - bits)
+    low = U64(64 - bits)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in tb.joined(batches, "text", 2 * tb.BATCH_BYTES):
@@ -46,33 +49,45 @@ def _probes(docs: DataFrame, n: int, bits: int) -> DataFrame:
             starts, ends, first = tb.words(batch)
             keys = tb.rolling(tb.word_hashes(batch.data, starts, ends), BLOCK)
             place = np.flatnonzero(tb.within(first, BLOCK))
-            keys = keys[place] >> drop
+            keys = keys[place] >> low
             doc = np.searchsorted(first, place, side="right") - 1
+            once = copies(names, 2)[doc]
+            keys, place, doc = keys[once], place[once], doc[once]
             number, off = np.divmod(place - first[doc], BLOCK)
-            grid = off == 0
+            grid = np.flatnonzero(off == 0)
+            grid = grid[np.argsort(keys[grid])]
+            held, held_doc, held_no = keys[grid], doc[grid], number[grid].astype(np.uint32)
             probes = np.sort(keys)
-            order = np.argsort(keys[grid], kind="stable")
-            held, held_doc, held_no = keys[grid][order], doc[grid][order], number[grid][order].astype(np.uint32)
-            edges = {s: own for s, own in cut(held << drop, n)}
-            out = []
-            for shard, own in cut(probes << drop, n):
+            start, length = runs(probes)
+            here = length[np.searchsorted(probes[start], held)] > 1
+            out = [(p, PASS + x) for p, x in answer_rows(names[held_doc[here]], n, held_no[here])]
+            held, held_doc, held_no = held[~here], held_doc[~here], held_no[~here]
+            probes = np.repeat(probes[start], np.minimum(length, 2))
+            edges = {s: own for s, own in cut(held << low, n)}
+            for shard, own in cut(probes << low, n):
                 at = edges.get(shard, slice(0, 0))
                 used, local = np.unique(held_doc[at], return_inverse=True)
-                out.append((shard, pack(probes[own], held[at], local.astype(np.uint32), held_no[at], names[used])))
+                out.append((shard, ASK + pack(probes[own], held[at], local.astype(np.uint32), held_no[at], names[used])))
             yield packed_rows(out)
 
     def meet(payloads: list[bytes]) -> Iterator[pa.RecordBatch]:
         probes, blocks, names, numbers = [], [], [], []
-        while payloads:
-            p, held, local, number, name = unpack(payloads.pop())
+        ask, through = passed_on(payloads)
+        while ask:
+            p, held, local, number, name = unpack(ask.pop())
             probes.append(p), blocks.append(held), names.append(name[local]), numbers.append(number)
-        probe = np.sort(np.concatenate(probes))
-        block, name, number = np.concatenate(blocks), np.concatenate(names), np.concatenate(numbers)
-        del probes, blocks, names, numbers
-        again = probe[1:][probe[1:] == probe[:-1]]
-        at = np.minimum(np.searchsorted(again, block), max(len(again) - 1, 0))
-        hit = again[at] == block if len(again) else np.zeros(len(block), bool)
-        yield packed_rows(answer_rows(name[hit], n, number[hit]))
+        out = []
+        if probes:
+            probe = np.sort(np.concatenate(probes))
+            block, name, number = np.concatenate(blocks), np.concatenate(names), np.concatenate(numbers)
+            del probes, blocks, names, numbers
+            again = probe[1:][probe[1:] == probe[:-1]]
+            at = np.minimum(np.searchsorted(again, block), max(len(again) - 1, 0))
+            hit = again[at] == block if len(again) else np.zeros(len(block), bool)
+            out = answer_rows(name[hit], n, number[hit])
+        yield packed_rows(out)
+        if through:
+            yield packed_rows([(int(part_of(unpack(p)[0][:1], n)[0]), p) for p in through])
 
     sent = docs.select("key", "text").mapInArrow(send, "shard int, payload binary")
     return stage(by_shard(sent, n, meet, "shard int, payload binary"), "anchors")
@@ -101,10 +116,17 @@ def _extend(docs: DataFrame, anchors: DataFrame, n: int) -> DataFrame:
                 keys = tb.rolling(tb.word_hashes(batch.data, starts, ends), WINDOW)[place]
                 order = np.argsort(keys)
                 keys, own, at = keys[order], own[order], (place - first[own])[order].astype(np.uint32)
-                packed = []
-                for shard, part in cut(keys, n):
+                start, length = runs(keys)
+                several = np.repeat(length > 1, length)
+                here = np.flatnonzero(several)
+                packed = [(p, PASS + x) for p, x in answer_rows(names[own[here]], n, at[here])]
+                told = dict(cut(keys[start[length > 1]], n))
+                shared, keys, own, at = keys[start[length > 1]], keys[~several], own[~several], at[~several]
+                asked = dict(cut(keys, n))
+                for shard in sorted(told.keys() | asked.keys()):
+                    part = asked.get(shard, slice(0, 0))
                     used, local = np.unique(own[part], return_inverse=True)
-                    packed.append((shard, pack(keys[part], local.astype(np.uint16 if len(used) < 65_536 else np.uint32), at[part], names[used])))
+                    packed.append((shard, ASK + pack(keys[part], local.astype(np.uint16 if len(used) < 65_536 else np.uint32), at[part], names[used], shared[told.get(shard, slice(0, 0))])))
                 yield _batch(kind=[1] * len(packed), shard=[p[0] for p in packed], payload=[p[1] for p in packed])
             later, now = np.flatnonzero(waits), np.flatnonzero(~waits)
             if len(later):
@@ -126,14 +148,23 @@ def _count(windows: DataFrame, n: int) -> DataFrame:
     """Windows that occur at two places or more, back to their texts: row keys and start words."""
 
     def task(payloads: list[bytes]) -> Iterator[pa.RecordBatch]:
-        keys, names, places = [], [], []
-        while payloads:
-            key, local, at, name = unpack(payloads.pop())
-            keys.append(key), names.append(name[local]), places.append(at)
-        key, name, place = np.concatenate(keys), np.concatenate(names), np.concatenate(places)
+        keys, names, places, shared = [], [], [], []
+        ask, through = passed_on(payloads)
+        if through:
+            yield packed_rows([(int(part_of(unpack(p)[0][:1], n)[0]), p) for p in through])
+        if not ask:
+            return
+        while ask:
+            key, local, at, name, told = unpack(ask.pop())
+            keys.append(key), names.append(name[local]), places.append(at), shared.append(told)
+        key, name, place, told = np.concatenate(keys), np.concatenate(names), np.concatenate(places), np.unique(np.concatenate(shared))
         order = np.argsort(key)
-        same = key[order][1:] == key[order][:-1]
-        pick = order[np.r_[False, same] | np.r_[same, False]]
+        key = key[order]
+        same = key[1:] == key[:-1]
+        again = np.r_[False, same] | np.r_[same, False] if len(key) else np.zeros(0, bool)
+        if len(told):
+            again |= told[np.minimum(np.searchsorted(told, key), len(told) - 1)] == key
+        pick = order[again]
         yield packed_rows(answer_rows(name[pick], n, place[pick]))
 
     return stage(by_shard(windows, n, task, "shard int, payload binary"), "repeats")
@@ -168,6 +199,7 @@ def remove_repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     keyed = docs.select(row_key("doc_id", "text").alias("key"), "doc_id", "text")
     anchors = _probes(keyed, n, key_bits(size))
     parts = _extend(keyed, anchors, n)
+    drop(anchors)
     repeats = _count(parts.filter("kind = 1").select("shard", "payload"), n)
     done = parts.filter("kind = 0").select("doc_id", "n_words", F.col("sha").alias("kept_sha256"))
     return done, _remove(parts.filter("kind = 2").select("key", "doc_id", "text"), repeats, n, WINDOW)

@@ -5,16 +5,22 @@ same anchor at the same distance, so only suffixes that begin at anchors (7 in 1
 with one anchor are consecutive; they form its *zone*.
 
 1.  Anchor keys meet by hash, packed; an anchor whose 24 bytes occur in one document only is done.
-2.  The other suffixes are range-partitioned by their leading bytes with splitters from a sample.  A splitter is a pair
-    (leading 8 bytes, salt), so leading bytes that are more frequent than a bucket spread over several buckets.
-3.  A bucket sorts its suffixes by multikey quicksort, 8 bytes a key.  Suffixes with equal 24 bytes lie together; there
-    the strings of their zones are compared exactly by hash, and a string is covered if a smaller id has it.
-4.  Suffixes whose leading bytes continue in a neighbouring bucket are compared across the boundary: each bucket sends
-    its distinct strings with their least ids, these meet by hash and the result returns.
+2.  The other suffixes are range-partitioned by their 24 leading bytes with splitters from a sample.  A splitter is a pair
+    (leading bytes, salt), so leading bytes that are more frequent than a bucket spread over several buckets.
+3.  A bucket sorts its suffixes by multikey quicksort, 8 bytes a key, 50 bytes deep, and takes the longest common prefix
+    (LCP) of neighbours; likewise for what lies to the left of the anchors.  Two strings with their anchor at distance d are
+    equal exactly if no LCP between their suffixes is under 50 - d and no left LCP between them is under d.  So neighbours'
+    LCPs number the classes of equal strings, and a string is covered if a smaller id has one of its class.
+4.  Suffixes with a splitter's leading bytes may continue in a neighbouring bucket: each bucket keeps these aside and sends
+    its distinct strings with their least ids; equal strings meet, and the least id over all buckets returns to each.
 5.  Covered places return to their documents, which drop the covered bytes.
 
-A task sends the bytes around equal zones once, so copies cost one entry per task.  Strings are told apart by 64-bit
-hashes.  Defined cases: null text is empty; a text under 50 bytes keeps all; rows with one id never remove each
+A batch that has an anchor in two documents answers these by itself and sends the key once; it sends the bytes around equal
+zones once, so copies cost one entry per batch; copies of a row are sent once.  Classes are exact; the anchors in step 1 and
+the strings in step 4 meet by 64-bit hashes.  At most ``SAMPLE_MOST`` sampled suffixes go to the driver and ``MOST_BUCKETS``
+splitters to the tasks; above 1.5 TB of text buckets grow instead.
+
+Defined cases: null text is empty; a text under 50 bytes keeps all; rows with one id never remove each
 other's bytes; a null id is larger than any other; an empty table gives an empty result.
 """
 
@@ -29,12 +35,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textblocks as tb
-from .common import U64, Answers, answer_rows, by_shard, cut, key_bits, pack, packed_rows, row_key, runs, shard_count, stage, text_bytes, unpack, with_side
+from .common import ASK, PASS, U64, Answers, answer_rows, by_shard, copies, cut, drop, key_bits, pack, packed_rows, part_of, passed_on, row_key, runs, shard_count, stage, text_bytes, unpack, with_side
 
 WINDOW, GRAM = 50, 24
 REACH = WINDOW - GRAM  # how far an anchor may lie from its string's start
-#: Sampled suffixes per bucket.
-SAMPLE = 64
+#: Sampled suffixes per bucket, in all, and buckets.
+SAMPLE, SAMPLE_MOST, MOST_BUCKETS = 64, 1 << 19, 1 << 16
 #: Text bytes hashed at a time, and suffixes compared at a time; both bound a task's memory.
 BATCH, PIECE = 2 << 20, 1 << 14
 NULL_ID = np.iinfo(np.int64).max
@@ -63,6 +69,31 @@ def leading(data: np.ndarray, at: np.ndarray, skip: int = 0) -> np.ndarray:
     return np.ndarray((len(data) + skip + 1,), ">u8", padded, strides=(1,))[at + skip].astype(U64)
 
 
+def trailing(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The eight bytes before each place, last one first, as a big-endian number; 0 before the data."""
+    padded = np.concatenate([np.zeros(8, np.uint8), data])
+    return np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))[np.maximum(at, 0)].astype(U64)
+
+
+def heads(data: np.ndarray, at: np.ndarray, salt: np.ndarray) -> np.ndarray:
+    """The ``GRAM`` bytes from each place and its salt, as byte strings that compare in order."""
+    return np.ascontiguousarray(np.stack([*(leading(data, at, k) for k in range(0, GRAM, 8)), salt], axis=1).astype(">u8")).view(f"S{GRAM + 8}").ravel()
+
+
+def neighbour_lcp(keys: list[np.ndarray], order: np.ndarray) -> np.ndarray:
+    """Common bytes of each suffix in ``order`` with the one before it (0 for the first), as far as the keys reach."""
+    out = np.zeros(len(order), np.int64)
+    same = np.arange(1, len(order))
+    for key in keys:
+        ordered = key[order[same]] ^ key[order[same - 1]]
+        out[same] += 8 - np.searchsorted(_BYTES, ordered, side="right")
+        same = same[ordered == 0]
+    return out
+
+
+_BYTES = U64(1) << (np.arange(8, dtype=U64) * U64(8))
+
+
 def multikey_order(keys: list[np.ndarray]) -> np.ndarray:
     """Order by the first key; runs of equal keys are sorted by the next one, and so on."""
     order = np.argsort(keys[0], kind="stable")
@@ -86,34 +117,47 @@ def _ids(column: pa.Array) -> np.ndarray:
 
 def _shared(docs: DataFrame, n: int, bits: int) -> DataFrame:
     """Zones whose anchor bytes at least two rows have: row keys and first places, packed by partition."""
-    drop = U64(64 - bits)
+    low = U64(64 - bits)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in tb.joined(batches, "text", BATCH):
             batch = tb.Batch.of(rows.column("text"))
             names = np.asarray(rows.column("key")).view(U64)
             start, _, _, key, doc = zones(batch)
-            key = tb.mix(key) >> drop
+            once = copies(names, 1)[doc]
+            start, key, doc = start[once], tb.mix(key[once]) >> low, doc[once]
             order = np.argsort(key, kind="stable")
             key, doc, at = key[order], doc[order], (start - batch.offsets[doc])[order].astype(np.uint32)
-            out = []
-            for shard, own in cut(key << drop, n):
+            first, length = runs(key)
+            several = doc[first] != doc[first + length - 1]  # documents rise within a key
+            here = np.repeat(several, length)
+            out = [(p, PASS + x) for p, x in answer_rows(names[doc[here]], n, at[here])]
+            shared, key, doc, at = key[first[several]], key[~here], doc[~here], at[~here]
+            told, asked = dict(cut(shared << low, n)), dict(cut(key << low, n))
+            for shard in sorted(told.keys() | asked.keys()):
+                own = asked.get(shard, slice(0, 0))
                 used, local = np.unique(doc[own], return_inverse=True)
-                out.append((shard, pack(key[own], local.astype(np.uint16 if len(used) < 65_536 else np.uint32), at[own], names[used])))
+                out.append((shard, ASK + pack(key[own], local.astype(np.uint16 if len(used) < 65_536 else np.uint32), at[own], names[used], shared[told.get(shard, slice(0, 0))])))
             yield packed_rows(out)
 
     def meet(payloads: list[bytes]) -> Iterator[pa.RecordBatch]:
-        keys, names, places, task = [], [], [], []
-        while payloads:
-            key, local, at, name = unpack(payloads.pop())
-            keys.append(key), names.append(name[local]), places.append(at)
-            task.append(local.astype(np.uint64) + U64(len(task) << 32))
-        key, name, place, source = (np.concatenate(x) for x in (keys, names, places, task))
+        keys, names, places, task, shared = [], [], [], [], []
+        ask, through = passed_on(payloads)
+        if through:
+            yield packed_rows([(int(part_of(unpack(p)[0][:1], n)[0]), p) for p in through])
+        if not ask:
+            return
+        while ask:
+            key, local, at, name, told = unpack(ask.pop())
+            keys.append(key), names.append(name[local]), places.append(at), shared.append(told)
+        key, name, place, told = np.concatenate(keys), np.concatenate(names), np.concatenate(places), np.unique(np.concatenate(shared))
         order = np.argsort(key, kind="stable")
-        key, source = key[order], source[order]
+        key, source = key[order], name[order]
         start, length = runs(key)
         if len(start):
             several = np.minimum.reduceat(source, start) != np.maximum.reduceat(source, start)
+            if len(told):
+                several |= told[np.minimum(np.searchsorted(told, key[start]), len(told) - 1)] == key[start]
             pick = order[np.repeat(several, length)]
             yield packed_rows(answer_rows(name[pick], n, place[pick]))
 
@@ -121,48 +165,44 @@ def _shared(docs: DataFrame, n: int, bits: int) -> DataFrame:
     return stage(by_shard(sent, n, meet, "shard int, payload binary"), "shared-anchors")
 
 
-def splitters(docs: DataFrame, n: int) -> np.ndarray:
-    """Bounds (leading bytes, salt) of n buckets, from a sample of suffixes taken by hash."""
-    total = max(1, text_bytes(docs) * 7 // 100)
-    rate = max(1, total // (n * SAMPLE))
+def splitters(docs: DataFrame, n: int, size: int) -> np.ndarray:
+    """Bounds (leading bytes, salt) of n buckets, from suffixes of rows taken by hash."""
+    wanted = min(n * SAMPLE, SAMPLE_MOST)
+    rate = max(1, size * 7 // 100 // wanted)
+    rows = max(1, rate // 32)  # of one row in so many, one suffix in 32
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in tb.joined(batches, "text", BATCH):
-            batch = tb.Batch.of(rows.column("text"))
-            names = np.asarray(rows.column("key")).view(U64)
+        for part in tb.joined(batches, "text", BATCH):
+            batch = tb.Batch.of(part.column("text"))
+            names = np.asarray(part.column("key")).view(U64)
             _, _, anchor, _, doc = zones(batch)
             salt = _salt(names[doc], anchor - batch.offsets[doc])
-            pick = salt % U64(rate) == 0
-            lead = leading(batch.data, anchor[pick])
-            # signed numbers in the same order
-            yield pa.record_batch([pa.array((lead ^ U64(1 << 63)).view(np.int64)), pa.array((tb.mix(salt[pick]) ^ U64(1 << 63)).view(np.int64))], ["lead", "salt"])
+            pick = salt % U64(max(1, rate // rows)) == 0
+            yield pa.record_batch([pa.array(heads(batch.data, anchor[pick], tb.mix(salt[pick])).tolist(), pa.binary())], ["head"])
 
-    sample = docs.select("key", "text").mapInArrow(task, "lead long, salt long")
-    got = np.array(sample.orderBy("lead", "salt").select("lead", "salt").toPandas()).reshape(-1, 2).astype(np.int64)
-    pick = (np.arange(1, n) * len(got) // n) if len(got) else np.zeros(0, np.int64)
-    return got[pick].view(U64) ^ U64(1 << 63)
+    sample = docs.filter(F.pmod(F.xxhash64("key", F.lit(5)), F.lit(rows)) == 0).select("key", "text").mapInArrow(task, "head binary")
+    got = np.sort(np.array([bytes(r["head"]) for r in sample.toLocalIterator()], f"S{GRAM + 8}"))
+    return got[np.arange(1, n) * len(got) // n] if len(got) else got
 
 
 def _salt(names: np.ndarray, at: np.ndarray) -> np.ndarray:
     return tb.mix(names + at.astype(U64) * U64(0x9E3779B97F4A7C15))
 
 
-def bucket_of(lead: np.ndarray, salt: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Number of bounds (lead, salt) at or below each pair."""
-    low, high = np.searchsorted(bounds[:, 0], lead), np.searchsorted(bounds[:, 0], lead, side="right")
-    out = low.copy()
-    for i in np.flatnonzero(low != high):
-        out[i] = low[i] + np.searchsorted(bounds[low[i] : high[i], 1], salt[i], side="right")
-    return out
-
-
 def _suffixes(docs: DataFrame, shared: DataFrame, bounds: np.ndarray, n: int) -> DataFrame:
-    """Suffixes of shared anchors with the bytes their zones reach, packed by bucket."""
+    """Suffixes of shared anchors with the bytes their zones reach, packed by bucket.
+
+    Kind 1 has those that start with a splitter's bytes, kind 0 the others.
+    """
+    edges = np.unique(bounds.astype(f"S{GRAM}"))
 
     def task(payloads: list[bytes], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: Answers | None = None
+        done: set[int] = set()  # rows of this partition whose copies need not be sent again
         for rows in tb.joined(batches, "text", BATCH):
             known = known or Answers(payloads, 1)
+            new = [i for i, k in enumerate(rows.column("key").to_pylist()) if not (k in done or done.add(k))]
+            rows = rows.take(pa.array(new, pa.int64())) if len(new) < rows.num_rows else rows
             batch = tb.Batch.of(rows.column("text"))
             names, ids = np.asarray(rows.column("key")).view(U64), _ids(rows.column("doc_id"))
             which, (place,) = known.of(names)
@@ -177,20 +217,22 @@ def _suffixes(docs: DataFrame, shared: DataFrame, bounds: np.ndarray, n: int) ->
             order = np.lexsort((ids[doc], content))
             s, length = runs(content[order])
             head = order[s]
-            lead = leading(batch.data, anchor[head])
-            bucket = bucket_of(lead, tb.mix(_salt(names[doc[head]], anchor[head] - batch.offsets[doc[head]])), bounds)
+            lead = heads(batch.data, anchor[head], tb.mix(_salt(names[doc[head]], anchor[head] - batch.offsets[doc[head]])))
+            bucket = np.searchsorted(bounds, lead, side="right")
+            edge = np.isin(lead.astype(f"S{GRAM}"), edges)
             out = []
-            by_bucket = np.lexsort((lead, bucket))
-            for a, k in zip(*runs(bucket[by_bucket]), strict=True):
+            target = bucket * 2 + edge
+            by_bucket = np.lexsort((leading(batch.data, anchor[head]), target))
+            for a, k in zip(*runs(target[by_bucket]), strict=True):
                 own = by_bucket[a : a + k]
                 h, sizes = head[own], count[head[own]] + WINDOW - 1
                 take = np.repeat(start[h] - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
                 refs = order[np.repeat(s[own] - (np.cumsum(length[own]) - length[own]), length[own]) + np.arange(int(length[own].sum()))]
                 used, local = np.unique(doc[refs], return_inverse=True)
-                out.append((int(bucket[own[0]]), pack(batch.data[take], count[h].astype(np.uint8), (anchor[h] - start[h]).astype(np.uint8), length[own].astype(np.uint32), local.astype(np.uint16 if len(used) < 65_536 else np.uint32), (start[refs] - batch.offsets[doc[refs]]).astype(np.uint32), names[used], ids[used], level=5)))
-            yield packed_rows(out)
+                out.append((int(edge[own[0]]), int(bucket[own[0]]), pack(batch.data[take], count[h].astype(np.uint8), (anchor[h] - start[h]).astype(np.uint8), length[own].astype(np.uint32), local.astype(np.uint16 if len(used) < 65_536 else np.uint32), (start[refs] - batch.offsets[doc[refs]]).astype(np.uint32), names[used], ids[used], level=5)))
+            yield _kinds(out)
 
-    return with_side(docs, shared, n, task, "shard int, payload binary")
+    return with_side(docs, shared, n, task, KINDS)
 
 
 def _zone_hashes(data: np.ndarray, start: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -213,14 +255,36 @@ class _Bucket:
         self.ref = np.cumsum(self.copies) - self.copies
         self.least = np.minimum.reduceat(self.ids, self.ref) if len(self.ref) else self.ids
 
-    def strings(self, zone: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Hash, zone and number in the zone of each 50-byte string of the given zones."""
+    def sort(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Order of the zones by what follows their anchors, LCP with the one before, and where the first 24 bytes change."""
+        anchor = self.start + self.skip
+        keys = [leading(self.data, anchor, k) for k in range(0, WINDOW, 8)]
+        keys[-1] &= ~U64(0) << U64(8 * (-WINDOW % 8))
+        order = multikey_order(keys)
+        lcp = neighbour_lcp(keys, order)
+        return order, lcp, np.flatnonzero(lcp < GRAM)[1:]
+
+    def strings(self, zone: np.ndarray, lcp: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Class, zone and number in the zone of each 50-byte string of neighbouring zones, given in order."""
+        anchor, m = (self.start + self.skip)[zone], len(zone)
+        keys = [trailing(self.data, anchor - k) for k in range(0, REACH, 8)]
+        keys[-1] &= ~U64(0) << U64(8 * (-REACH % 8))
+        left = multikey_order(keys)
+        left_lcp = neighbour_lcp(keys, left)
+        distance = np.arange(REACH + 1)[:, None]
+        right_rank = np.cumsum(lcp[None, :] < WINDOW - distance, axis=1)
+        left_rank = np.empty((REACH + 1, m), np.int64)
+        left_rank[:, left] = np.cumsum(left_lcp[None, :] < distance, axis=1)
         n = self.count[zone]
-        size = n + WINDOW - 1
-        at = np.cumsum(size) - size
-        own = self.data[np.repeat(self.start[zone] - at, size) + np.arange(int(size.sum()))]
+        owner = np.repeat(np.arange(m), n)
         number = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-        return tb.rolling(tb.byte_hashes(own), WINDOW)[np.repeat(at, n) + number], np.repeat(zone, n), number
+        d = self.skip[zone][owner] - number
+        return (d * (m + 1) + right_rank[d, owner]) * (m + 1) + left_rank[d, owner], zone[owner], number
+
+    def hashes(self, owner: np.ndarray, number: np.ndarray) -> np.ndarray:
+        """A hash of each string's bytes."""
+        at = self.start[owner] + number
+        return tb.word_hashes(self.data, at, at + WINDOW)
 
     def covered_places(self, owner: np.ndarray, number: np.ndarray, smaller: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places (row key, byte) of strings of which ``smaller`` is the least id anywhere."""
@@ -231,85 +295,99 @@ class _Bucket:
         return self.names[ref], (self.places[ref] + np.repeat(number, copies)[hit]).astype(np.uint32)
 
 
-def _sort_buckets(suffixes: DataFrame, bounds: np.ndarray, n: int) -> DataFrame:
-    """Kind 0: covered places by partition; kind 1: strings that must be compared across a boundary, by their hash."""
+KINDS = "kind int, shard int, payload binary"
+
+
+def _by_bucket(df: DataFrame, n: int, fn) -> DataFrame:
+    """``fn(bucket, payloads by kind)`` for each bucket."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[bytes]] = {}
+        held: dict[int, dict[int, list[bytes]]] = {}
         for b in batches:
-            for s, p in zip(b.column("shard").to_pylist(), b.column("payload").to_pylist(), strict=True):
-                held.setdefault(s, []).append(p)
+            for kind, s, p in zip(*(b.column(c).to_pylist() for c in ("kind", "shard", "payload")), strict=True):
+                held.setdefault(s, {}).setdefault(kind, []).append(p)
         for bucket in sorted(held):
-            own = _Bucket(held.pop(bucket))
-            anchor = own.start + own.skip
-            keys = [leading(own.data, anchor, k) for k in range(0, GRAM, 8)]
-            order = multikey_order(keys)
-            # leading bytes that a neighbouring bucket may also hold
-            edges = [bounds[i, 0] for i in (bucket - 1, bucket) if 0 <= i < len(bounds)]
-            across = np.isin(keys[0], np.array(edges, U64)) if edges else np.zeros(len(order), bool)
-            for a in _pieces(keys, order, PIECE):
-                zone = order[a]
-                yield from _answer(own, zone[~across[zone]], n)
-                crossing = zone[across[zone]]
-                if len(crossing):
-                    yield _kinds(1, _crossing(own, crossing, n))
-
-    return stage(suffixes.repartitionById(len(bounds) + 1, F.col("shard")).mapInArrow(task, "kind int, shard int, payload binary"), "bucket-results")
-
-
-def _pieces(keys: list[np.ndarray], order: np.ndarray, step: int) -> Iterator[slice]:
-    """Slices of about ``step`` sorted suffixes that end where the 24 bytes change."""
-    if not len(order):
-        return
-    change = np.zeros(len(order), bool)
-    for k in keys:
-        change[1:] |= k[order][1:] != k[order][:-1]
-    ends = np.r_[np.flatnonzero(change), len(order)]
+            yield from fn(bucket, held.pop(bucket))
+
+    return df.repartitionById(n, F.col("shard")).mapInArrow(task, KINDS)
+
+
+def _sort_buckets(suffixes: DataFrame, buckets: int, n: int) -> DataFrame:
+    """Kind 0: covered places by partition; kind 1: strings at the edges by their hash; kind 2: the edges' suffixes by bucket."""
+
+    def task(bucket: int, payloads: dict[int, list[bytes]]) -> Iterator[pa.RecordBatch]:
+        if 0 in payloads:
+            own = _Bucket(payloads.pop(0))
+            for zone, lcp in _pieces(own, PIECE):
+                label, owner, number = own.strings(zone, lcp)
+                order, start, length = _classes(label)
+                smaller = np.empty(len(label), np.int64)
+                smaller[order] = np.repeat(np.minimum.reduceat(own.least[owner[order]], start), length)
+                names, at = own.covered_places(owner, number, smaller)
+                yield _kinds([(0, p, x) for p, x in answer_rows(names, n, at)])
+        if 1 in payloads:
+            yield _kinds([(2, bucket, p) for p in payloads[1]])
+            own = _Bucket(payloads.pop(1))
+            for zone, lcp in _pieces(own, PIECE):
+                label, owner, number = own.strings(zone, lcp)
+                order, start, _ = _classes(label)
+                least, one = np.minimum.reduceat(own.least[owner[order]], start), order[start]
+                key = own.hashes(owner[one], number[one])
+                order = np.argsort(key)
+                yield _kinds([(1, s, pack(key[order[at]], least[order[at]], np.array([bucket], np.int64))) for s, at in cut(key[order], n)])
+
+    return stage(_by_bucket(suffixes, buckets, task), "bucket-results")
+
+
+def _classes(label: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    order = np.argsort(label)
+    return order, *runs(label[order])
+
+
+def _pieces(own: _Bucket, step: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """About ``step`` sorted zones at a time, with their LCPs; pieces end where the 24 bytes change."""
+    order, lcp, change = own.sort()
+    ends = np.r_[change, len(order)]
     at = 0
     while at < len(order):
-        stop = ends[min(np.searchsorted(ends, at + step), len(ends) - 1)]
-        yield slice(at, int(stop))
-        at = int(stop)
-
-
-def _answer(own: _Bucket, zone: np.ndarray, n: int) -> Iterator[pa.RecordBatch]:
-    if len(zone):
-        h, owner, number = own.strings(zone)
-        order = np.argsort(h, kind="stable")
-        start, length = runs(h[order])
-        smallest = np.minimum.reduceat(own.least[owner[order]], start)
-        smaller = np.empty(len(h), np.int64)
-        smaller[order] = np.repeat(smallest, length)
-        names, at = own.covered_places(owner, number, smaller)
-        yield _kinds(0, answer_rows(names, n, at))
-
+        stop = int(ends[min(np.searchsorted(ends, at + step), len(ends) - 1)])
+        yield order[at:stop], np.r_[0, lcp[at + 1 : stop]]
+        at = stop
 
-def _kinds(kind: int, rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
-    return pa.record_batch([pa.array([kind] * len(rows), pa.int32()), pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["kind", "shard", "payload"])
 
+def _kinds(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+    return pa.record_batch([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.binary()))], ["kind", "shard", "payload"])
 
-def _crossing(own: _Bucket, zone: np.ndarray, n: int) -> list[tuple[int, bytes]]:
-    """All strings of the zones with every place, by string hash."""
-    h, owner, number = own.strings(zone)
-    copies = own.copies[owner]
-    ref = np.repeat(own.ref[owner] - (np.cumsum(copies) - copies), copies) + np.arange(int(copies.sum()))
-    key, place = np.repeat(h, copies), own.places[ref] + np.repeat(number, copies)
-    order = np.argsort(key)
-    key, ref, place = key[order], ref[order], place[order].astype(np.uint32)
-    return [(shard, pack(key[at], own.names[ref[at]], own.ids[ref[at]], place[at])) for shard, at in cut(key, n)]
 
+def _compare_across(results: DataFrame, buckets: int, n: int) -> DataFrame:
+    """Covered places of the suffixes at the buckets' edges."""
 
-def _compare_across(crossing: DataFrame, n: int) -> DataFrame:
-    def task(payloads: list[bytes]) -> Iterator[pa.RecordBatch]:
+    def meet(payloads: list[bytes]) -> Iterator[pa.RecordBatch]:
         parts = [unpack(p) for p in payloads]
-        key, names, ids, place = (np.concatenate(x) for x in zip(*parts, strict=True))
-        order = np.argsort(key, kind="stable")
-        start, length = runs(key[order])
-        smaller = np.repeat(np.minimum.reduceat(ids[order], start), length)
-        hit = order[smaller < ids[order]]
-        yield packed_rows(answer_rows(names[hit], n, place[hit]))
-
-    return by_shard(crossing, n, task, "shard int, payload binary")
+        key, ids = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+        source = np.repeat([int(p[2][0]) for p in parts], [len(p[0]) for p in parts])
+        order, start, length = _classes(key)
+        least = np.empty(len(key), np.int64)
+        least[order] = np.repeat(np.minimum.reduceat(ids[order], start), length)
+        order = np.lexsort((key, source))
+        yield packed_rows([(int(source[order[a]]), pack(key[order[a : a + k]], least[order[a : a + k]])) for a, k in zip(*runs(source[order]), strict=True)])
+
+    def task(bucket: int, payloads: dict[int, list[bytes]]) -> Iterator[pa.RecordBatch]:
+        key, least = (np.concatenate(x) for x in zip(*map(unpack, payloads[0]), strict=True))
+        order = np.argsort(key)
+        key, least = key[order], least[order]
+        own = _Bucket(payloads.pop(2))
+        for a in range(0, len(own.count), PIECE):
+            n_strings = own.count[a : a + PIECE]
+            owner = np.repeat(np.arange(a, a + len(n_strings)), n_strings)
+            number = np.arange(len(owner)) - np.repeat(np.cumsum(n_strings) - n_strings, n_strings)
+            smaller = least[np.searchsorted(key, own.hashes(owner, number))]
+            names, at = own.covered_places(owner, number, smaller)
+            yield _kinds([(0, p, x) for p, x in answer_rows(names, n, at)])
+
+    answers = by_shard(results.filter("kind = 1").select("shard", "payload"), n, meet, "shard int, payload binary")
+    both = results.filter("kind = 2").unionByName(answers.select(F.lit(0).alias("kind"), "shard", "payload"))
+    return _by_bucket(both, buckets, task).select("shard", "payload")
 
 
 def _remove(docs: DataFrame, covered: DataFrame, n: int) -> DataFrame:
@@ -344,11 +422,11 @@ def remove_repeats(docs: DataFrame, buckets: int | None = None) -> DataFrame:
     n = shard_count(spark, size)
     keyed = docs.select(row_key("doc_id", "text").alias("key"), "doc_id", "text")
     shared = _shared(keyed, n, key_bits(size))
-    bounds = splitters(keyed, buckets or n)
-    results = _sort_buckets(_suffixes(keyed, shared, bounds, n), bounds, n)
+    bounds = splitters(keyed, buckets or min(n, MOST_BUCKETS), size)
+    results = _sort_buckets(_suffixes(keyed, shared, bounds, n), len(bounds) + 1, n)
+    drop(shared)
     covered = results.filter("kind = 0").select("shard", "payload")
-    across = _compare_across(results.filter("kind = 1").select("shard", "payload"), n)
-    return _remove(keyed, covered.unionByName(across), n)
+    return _remove(keyed, covered.unionByName(_compare_across(results, len(bounds) + 1, n)), n)
 
 
 def op3_suffix_array_dedup(spark, sf_dir: str) -> DataFrame:

@@ -7,10 +7,11 @@
     sets with Jaccard similarity of at least t share one of the first ``n - ceil(t n) + 1`` shingles of each, under *every*
     such order.  Three orders (frequency with two tie-breaks, and logarithmic frequency with a third) give three prefixes.
 4.  The first order's prefixes are the index.  Instead of all pairs of a posting list, one leader per list is compared
-    with the rest; pairs must pass the length and position filters and share prefix tokens under the other orders too, then
-    the shared shingles are counted exactly.  Lists whose members ended in several components get further leaders, each out of
-    the smallest components, until every list is one component or all its pairs of different components are compared.  So no
-    link between components is lost and a group of near copies costs its size, not its square.
+    with the rest.  A pair must pass the length and position filters, then share a prefix token under the second and under the
+    third order too; whole sets are fetched for the pairs that pass all three, and their shared shingles are counted exactly.
+    Lists whose members ended in several components get further leaders, spread over these components, eight times as many in
+    each round, until every list is one component or all its pairs of different components are compared.  So no link between
+    components is lost, a group of near copies costs its size, not its square, and the rounds are the logarithm of the longest list.
 
 Sets and shingles are told apart by 64-bit hashes.  Defined cases: null or wordless text has an empty set, linked with
 nothing; a text of fewer than five words is one shingle; repeated rows and equal texts share a set and so a component;
@@ -27,11 +28,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textblocks as tb
-from .common import U64, by_shard, cut, key_bits, pack, packed_rows, part_of, row_key, runs, shard_count, stage, text_bytes, unpack
+from .common import U64, by_shard, cut, drop, key_bits, pack, packed_rows, part_of, row_key, runs, shard_count, stage, text_bytes, unpack
 from .components import components
 
 SHINGLE, PERCENT = 5, 80
-MOST_LEADERS = 32
+#: By how much the leaders of an open list grow from round to round.
+MORE_LEADERS = 8
 
 
 def shingle_sets(batch: tb.Batch, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -91,12 +93,12 @@ def _log2(x: np.ndarray) -> np.ndarray:
 
 
 def candidate_sets(docs: DataFrame, n: int, bits: int) -> DataFrame:
-    """set_key, n, shared, rank, p1 (array of longs), rest (packed: shared shingles, and which are in the other prefixes).
+    """set_key, n, shared, rank, the prefixes p1 (longs), p2 and p3 (32-bit cuts of the shingles), rest (packed: all shared shingles).
 
     Only sets whose first prefix reaches a shared shingle appear.  Shingles keep ``bits`` bits, so many that a chance
     match within a pair of sets is rarer than one in a million.  ``rank`` is the mean logarithm of the shingles' frequency.
     """
-    drop = U64(64 - bits)
+    low = U64(64 - bits)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in tb.joined(batches, "text", tb.BATCH_BYTES):
@@ -108,11 +110,11 @@ def candidate_sets(docs: DataFrame, n: int, bits: int) -> DataFrame:
             once &= size > 0
             doc = np.repeat(np.arange(len(names)), size)
             keep = once[doc]
-            keys, doc = keys[keep] >> drop, doc[keep]
+            keys, doc = keys[keep] >> low, doc[keep]
             order = np.argsort(keys)
             keys, doc = keys[order], doc[order]
             out = []
-            for shard, own in cut(keys << drop, n):
+            for shard, own in cut(keys << low, n):
                 used, local = np.unique(doc[own], return_inverse=True)
                 out.append((shard, pack(keys[own], local.astype(np.uint16 if len(used) <= 65_536 else np.uint32), names[used], size[used].astype(np.uint32))))
             yield packed_rows(out)
@@ -165,46 +167,51 @@ def candidate_sets(docs: DataFrame, n: int, bits: int) -> DataFrame:
             own = slice(start[i], start[i] + shared[i])
             k, f = key[own], often[own].astype(np.int64)
             second, third = np.lexsort((tb.mix(k ^ U64(0x5DEECE66D)), f)), np.lexsort((tb.mix(k ^ U64(0x9E3779B9)), _log2(f)))
-            masks = np.zeros((2, len(k)), bool)
-            masks[0][second[: take[i]]] = masks[1][third[: take[i]]] = True
-            by_key = np.argsort(k)
             rank = int(1000 * np.log2(f).sum() / size[own.start])
-            rows.append((int(name[own.start].view(np.int64)), int(size[own.start]), len(k), rank, k[: take[i]].view(np.int64), pack(k[by_key], np.packbits(masks[0][by_key]), np.packbits(masks[1][by_key]))))
+            prefixes = [(tb.mix(k[order[: take[i]]]) >> U64(32)).astype(np.uint32).view(np.int32) for order in (second, third)]
+            rows.append((int(name[own.start].view(np.int64)), int(size[own.start]), len(k), rank, k[: take[i]].view(np.int64), *prefixes, pack(np.sort(k))))
             if len(rows) == 2000:
                 yield _rows(rows)
                 rows = []
         yield _rows(rows)
 
     def _rows(rows: list[tuple]) -> pa.RecordBatch:
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
-        return pa.record_batch([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], ["set_key", "n", "shared", "rank", "p1", "rest"])
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary()]
+        return pa.record_batch([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], ["set_key", "n", "shared", "rank", "p1", "p2", "p3", "rest"])
 
     sent = docs.select("text").mapInArrow(send, "shard int, payload binary")
     counted = by_shard(sent, n, count, "shard int, payload binary")
-    return stage(by_shard(counted, n, prefixes, "set_key long, n long, shared long, rank long, p1 array<long>, rest binary"), "jaccard-candidates")
+    return stage(by_shard(counted, n, prefixes, "set_key long, n long, shared long, rank long, p1 array<long>, p2 array<int>, p3 array<int>, rest binary"), "jaccard-candidates")
+
+
+def other_orders(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """u, v of each pair, and whether they share a prefix token under the second and under the third order."""
+    left = sets.select(F.col("set_key").alias("u"), F.col("p2").alias("u2"), F.col("p3").alias("u3"))
+    right = sets.select(F.col("set_key").alias("v"), F.col("p2").alias("v2"), F.col("p3").alias("v3"))
+    both = pairs.join(right, "v").join(left, "u")
+    return both.select("u", "v", F.arrays_overlap("u2", "v2").alias("second"), F.arrays_overlap("u3", "v3").alias("third"))
 
 
 def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (u, v) whose sets pass the remaining orders' prefix filters and the similarity itself."""
+    """Pairs (u, v) that are similar: their whole sets are fetched and the shared shingles counted."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[bytes, list[np.ndarray]] = {}
+        held: dict[bytes, np.ndarray] = {}
 
-        def opened(raw: bytes) -> list[np.ndarray]:
+        def opened(raw: bytes) -> np.ndarray:
             got = held.get(raw)
             if got is None:
                 if len(held) > 256:
                     held.clear()
-                got = held[raw] = unpack(raw)
+                got = held[raw] = unpack(raw)[0]
             return got
 
         for b in batches:
             good = np.zeros(b.num_rows, bool)
             for i, (n, m, x, y) in enumerate(zip(b.column("n").to_pylist(), b.column("m").to_pylist(), b.column("x").to_pylist(), b.column("y").to_pylist(), strict=True)):
-                (p, p2, p3), (q, q2, q3) = opened(x), unpack(y)
-                both, i_p, i_q = np.intersect1d(p, q, True, True)
-                if all(bool((np.unpackbits(a)[i_p] & np.unpackbits(c)[i_q]).any()) for a, c in ((p2, q2), (p3, q3))):
-                    good[i] = 100 * len(both) >= PERCENT * (n + m - len(both))
+                p, q = sorted((opened(x), unpack(y)[0]), key=len)
+                both = int((q[np.minimum(np.searchsorted(q, p), len(q) - 1)] == p).sum())
+                good[i] = 100 * both >= PERCENT * (n + m - both)
             yield b.select(["u", "v"]).filter(pa.array(good))
 
     left = sets.select(F.col("set_key").alias("u"), "n", F.col("rest").alias("x"))
@@ -219,38 +226,45 @@ def link(sets: DataFrame) -> DataFrame:
     # they have no more than that in common.
     lists = sets.select(F.posexplode("p1").alias("at", "token"), "set_key", "n", "shared", "rank").withColumn("left", F.col("shared") - F.col("at")).drop("at", "shared")
     several = lists.groupBy("token").agg(F.count("*").alias("k")).filter("k > 1").select("token")
-    active = stage(lists.join(several, "token", "left_semi"), "jaccard-lists")
-    active = active.withColumn("root", F.col("set_key"))
+    lists = stage(lists.join(several, "token", "left_semi"), "jaccard-lists")
+    active = lists.withColumn("root", F.col("set_key"))
     roots = spark.createDataFrame([], "node long, root long")
-    leaders = 1
+    leaders, used = 1, [lists]
     while True:
         # lists with sets of several components, and in them the sets that may still meet another one
-        lists = active.groupBy("token").agg(F.min("n").alias("least_n"), (F.min("root") != F.max("root")).alias("open")).filter("open")
-        named = active.join(lists, "token").filter(9 * F.col("left") >= 4 * (F.col("n") + F.col("least_n"))).drop("least_n", "open")
+        still = active.groupBy("token").agg(F.min("n").alias("least_n"), (F.min("root") != F.max("root")).alias("open")).filter("open")
+        named = active.join(still, "token").filter(9 * F.col("left") >= 4 * (F.col("n") + F.col("least_n"))).drop("least_n", "open")
         named = stage(named, "jaccard-open")
+        drop(*used)
         if named.isEmpty():
+            drop(named)
             return roots
-        # leaders: first the set whose shingles are most shared, then sets of the smallest components in a list
+        # leaders: the set whose shingles are most shared (later: one of the smallest component), and others by chance, as many
+        # from each component of a list
         by_root = named.groupBy("token", "root").agg(F.count("*").alias("k"), F.max(F.struct("rank", "set_key"))["set_key"].alias("u"), F.max("rank").alias("rank"))
-        if leaders == 1:
-            heads = by_root.groupBy("token").agg(F.array(F.max(F.struct("rank", "u"))["u"]).alias("heads"))
-        else:
-            picks = [F.min(F.struct("k", F.xxhash64("set_key", F.lit(i)), "set_key"))["set_key"] for i in range(leaders)]
-            members = named.select("token", "root", "set_key").join(by_root.select("token", "root", "k"), ["token", "root"])
-            heads = members.groupBy("token").agg(F.array_distinct(F.array(*picks)).alias("heads"))
-        each = stage(heads.select("token", F.explode("heads").alias("u")), "jaccard-heads")
+        first = F.struct("rank", "u") if leaders == 1 else F.struct(-F.col("k"), "rank", "u")
+        heads = by_root.groupBy("token").agg(F.max(first)["u"].alias("u"), F.count("*").alias("parts"))
+        each = heads.select("token", "u")
+        if leaders > 1:
+            members = named.select("token", "root", "set_key").join(by_root.select("token", "root", "k"), ["token", "root"]).join(heads.select("token", "parts"), "token")
+            chance = members.filter(F.pmod(F.xxhash64("set_key", "token", F.lit(leaders)), F.col("k") * F.col("parts")) < leaders)
+            each = each.unionByName(chance.select("token", F.col("set_key").alias("u"))).distinct()
+        each = stage(each, "jaccard-heads")
         own = each.join(named.select("token", F.col("set_key").alias("u"), F.col("root").alias("u_root"), F.col("n").alias("u_n"), F.col("left").alias("u_left")), ["token", "u"])
         # length and position filters: both must be large enough, and what is left of them must suffice
         fits = 9 * F.least("left", "u_left") >= 4 * (F.col("n") + F.col("u_n"))
         pairs = named.join(own, (named.token == own.token) & (F.col("root") != F.col("u_root")) & (100 * F.least("n", "u_n") >= PERCENT * F.greatest("n", "u_n")) & fits)
-        pairs = pairs.select("u", F.col("set_key").alias("v")).distinct()
-        found = stage(verify(pairs, sets), "jaccard-links")
+        pairs = stage(pairs.select("u", F.col("set_key").alias("v")).distinct(), "jaccard-pairs")
+        passed = stage(other_orders(pairs, sets).filter("second AND third").select("u", "v"), "jaccard-passed")
+        found = stage(verify(passed, sets), "jaccard-links")
+        drop(pairs, passed)
+        used = [named, each]
         active = named.join(each.withColumnRenamed("u", "set_key"), ["token", "set_key"], "left_anti")
         if not found.isEmpty():
             # earlier components enter as stars
             roots = components(found.unionByName(roots.select(F.col("node").alias("u"), F.col("root").alias("v"))))
             active = active.drop("root").join(roots.withColumnRenamed("node", "set_key"), "set_key", "left").withColumn("root", F.coalesce("root", "set_key"))
-        leaders = min(leaders * 8, MOST_LEADERS)
+        leaders *= MORE_LEADERS
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -264,7 +278,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rooted = stage(by_set.join(roots, "set_key", "left").withColumn("root", F.coalesce("root", "set_key")), "jaccard-rooted")
     least = rooted.groupBy("root").agg(F.min("least").alias("component"), F.sum("k").alias("k")).filter("k > 1")
     named = rooted.join(least, "root").select("set_key", "component")
-    return members.join(named, "set_key", "left").select("key", "doc_id", "n_shingles", "set_key", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.coalesce("component", "doc_id")).alias("component_id"))
+    # texts without words have no set to join on
+    full = members.filter("n_shingles > 0").join(named, "set_key", "left").withColumn("component_id", F.coalesce("component", "doc_id"))
+    empty = members.filter("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
+    columns = ["key", "doc_id", "n_shingles", "set_key", "component_id"]
+    return full.select(columns).unionByName(empty.select(columns))
 
 
 def op7_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:

@@ -53,7 +53,8 @@ def normal_quantile(p: Column) -> Column:
 
 
 def kolmogorov_p(d: Column, n: Column, m: Column) -> Column:
-    """Two-sided p-value of a two-sample KS statistic by the limiting series."""
-    lam = d * F.sqrt(n * m / (n + m))
+    """Two-sided p-value of a two-sample KS statistic by the limiting series, with the correction for finite samples."""
+    size = F.sqrt(F.try_divide(n * m, n + m))
+    lam = d * (size + 0.12 + F.try_divide(F.lit(0.11), size))
     series = F.aggregate(F.sequence(F.lit(1), F.lit(100)), F.lit(0.0), lambda s, k: s + 2 * F.when(k % 2 == 1, 1.0).otherwise(-1.0) * F.exp(-2.0 * k * k * lam * lam))
-    return F.when(lam < 0.2, 1.0).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), series)))
+    return F.when(lam < 0.2, 1.0).when(lam.isNotNull(), F.least(F.lit(1.0), F.greatest(F.lit(0.0), series)))

@@ -11,10 +11,10 @@ from . import stats
 
 
 def null_report(df: DataFrame) -> DataFrame:
-    """column, n_null, percent, from one pass."""
+    """column, n_null, percent (null for an empty table), from one pass."""
     one = df.agg(F.count("*").alias("__n"), *[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in df.columns])
     long = one.unpivot("__n", df.columns, "column", "n_null")
-    return long.select("column", "n_null", F.round(100 * F.col("n_null") / F.col("__n"), 2).alias("percent"))
+    return long.select("column", "n_null", F.round(F.try_divide(100 * F.col("n_null"), F.col("__n")), 2).alias("percent"))
 
 
 def release_summary(df: DataFrame, person: str = "person", concept: str = "concept") -> DataFrame:
@@ -25,14 +25,16 @@ def release_summary(df: DataFrame, person: str = "person", concept: str = "conce
 def concept_counts(df: DataFrame, counted: Sequence[str], binary: Sequence[str] = (), person: str = "person", concept: str = "concept") -> DataFrame:
     """Persons, rows, non-nulls and zeros per concept, and an ALL row over rows with a person."""
     aggs = [F.count_distinct(person).alias("persons"), F.count("*").alias("n_rows"), *[F.count(c).alias(f"n_{c}") for c in counted], *[F.count_if(F.col(c) == 0).alias(f"zero_{c}") for c in binary]]
-    each = df.groupBy(F.col(concept).cast("string").alias("concept")).agg(*aggs)
-    return each.unionByName(df.filter(F.col(person).isNotNull()).agg(*aggs).withColumn("concept", F.lit("ALL")))
+    # one scan: a concept's rows, and all rows with a person, are levels of one roll-up; rows without a person count in theirs only
+    named = df.withColumns({"__name": F.col(concept).cast("string"), "__person": F.col(person).isNotNull()})
+    levels = named.groupingSets([[F.col("__name")], [F.col("__person")]], "__name", "__person").agg(F.grouping("__name").alias("__all"), *aggs)
+    return levels.filter("__all = 0 or __person").withColumn("concept", F.when(F.col("__all") == 1, "ALL").otherwise(F.col("__name"))).drop("__name", "__person", "__all")
 
 
 def version_compare(new: DataFrame, old: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
-    """new / old per column to three decimals (null without an old count), and the growth over all keys."""
+    """new / old per column to three decimals and the growth over all keys; null without an old count."""
     o = old.select(key, *[F.col(c).alias(f"old_{c}") for c in columns])
-    growth = new.agg(F.sum(columns[0]).alias("a")).crossJoin(old.agg(F.sum(columns[0]).alias("b"))).select(F.round(F.col("a") / F.col("b"), 3).alias("growth"))  # one row each
+    growth = new.agg(F.sum(columns[0]).alias("a")).crossJoin(old.agg(F.sum(columns[0]).alias("b"))).select(F.round(F.try_divide("a", "b"), 3).alias("growth"))  # one row each
     ratios = [F.when(F.col(f"old_{c}") > 0, F.round(F.col(c) / F.col(f"old_{c}"), 3)).alias(f"{c}_ratio") for c in columns]
     return new.join(o, key, "left").select(key, *columns, *ratios).crossJoin(F.broadcast(growth))
 
@@ -55,9 +57,9 @@ def affected_tests(diff: DataFrame, counts: DataFrame, mapped: DataFrame, key: s
 
 
 def reconcile(new: DataFrame, old: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Counts against a prior table: ratios, whether a row is new, and carried notes."""
+    """Counts against a prior table: ratios (null without an old count), whether a row is new, and carried notes."""
     o = old.dropDuplicates(list(keys)).select(*keys, F.col("n_rows").alias("old_rows"), F.col("people").alias("old_people"), "note")
-    return new.join(o, list(keys), "left").select(*keys, "n_rows", "people", F.round(F.col("n_rows") / F.col("old_rows"), 3).alias("rows_ratio"), F.round(F.col("people") / F.col("old_people"), 3).alias("people_ratio"), F.col("old_rows").isNull().alias("is_new"), "note")
+    return new.join(o, list(keys), "left").select(*keys, "n_rows", "people", F.round(F.try_divide("n_rows", "old_rows"), 3).alias("rows_ratio"), F.round(F.try_divide("people", "old_people"), 3).alias("people_ratio"), F.col("old_rows").isNull().alias("is_new"), "note")
 
 
 def unmapped_counts(df: DataFrame, mapped: DataFrame, min_count: int) -> DataFrame:
@@ -73,6 +75,12 @@ def reference_stats(df: DataFrame) -> DataFrame:
     return df.groupBy("concept").agg(F.count("value").alias("n_rows"), F.percentile("value", F.array(*[F.lit(i / 10) for i in range(11)])).alias("quantiles")).join(top, "concept")
 
 
+def with_reference(candidates: DataFrame, reference: DataFrame, targets: DataFrame) -> DataFrame:
+    """Candidates beside their concept's reference (rows, top unit, quantiles) and target unit; those without one keep nulls."""
+    ref = reference.select("concept", F.col("n_rows").alias("ref_rows"), F.col("top_unit").alias("ref_unit"), F.col("quantiles").alias("ref_quantiles"))
+    return candidates.join(ref, "concept", "left").join(targets.select("concept", "target_unit"), "concept", "left")
+
+
 def candidates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Groups with a source value but no harmonised one, with their deciles."""
     return df.filter("value is not null and harm_value is null").groupBy(*keys).agg(F.count("*").alias("n_rows"), F.percentile("value", F.array(*[F.lit(i / 10) for i in range(11)])).alias("quantiles"))
@@ -102,6 +110,22 @@ def elect_unit(df: DataFrame, locks: DataFrame | None = None) -> DataFrame:
     return both.select(*keys, "source_unit", "source_share", "injected_unit", "injected_share", target.alias("target_unit"), note.alias("note"))
 
 
+def with_names(counts: DataFrame, names: DataFrame, key: str = "concept") -> DataFrame:
+    """Counts with their concepts' descriptions (key, name)."""
+    return counts.join(names.select(key, "name"), key, "left")
+
+
+def as_json(df: DataFrame, keys: Sequence[str], name: str, value: str) -> DataFrame:
+    """keys, json: each group's names and values as one JSON object, in order of names (a row per group and name comes in)."""
+    pairs = F.array_sort(F.collect_list(F.struct(F.col(name).alias("k"), F.col(value).alias("v"))))
+    return df.groupBy(*keys).agg(F.to_json(F.map_from_entries(pairs)).alias("json"))
+
+
+def content_hash(df: DataFrame, columns: Sequence[str], out: str = "hash") -> DataFrame:
+    """A row's content as one SHA-256, nulls told apart from empty text."""
+    return df.withColumn(out, F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256))
+
+
 def text_counts(df: DataFrame, pattern: str, keys: Sequence[str], people: int = 5) -> DataFrame:
     """Texts that match a pattern: rows and people per group, at least ``people`` of them."""
     return df.filter(F.col("text").rlike(pattern)).groupBy(*keys).agg(F.count("*").alias("n_rows"), F.count_distinct("person").alias("people")).filter(F.col("people") >= people)
@@ -113,11 +137,13 @@ def spreadsheet_safe(c):
 
 def row_accounting(before: DataFrame, after: DataFrame, quarantined: DataFrame) -> DataFrame:
     """One row: rows in, rows out, rows set aside, and whether they add up."""
-    counts = before.agg(F.count("*").alias("n_in")).crossJoin(after.agg(F.count("*").alias("n_out"))).crossJoin(quarantined.agg(F.count("*").alias("n_quarantined")))
+    names = ("n_in", "n_out", "n_quarantined")
+    marked = [df.select(F.lit(name).alias("part")) for df, name in zip((before, after, quarantined), names, strict=True)]
+    counts = marked[0].unionByName(marked[1]).unionByName(marked[2]).agg(*[F.count_if(F.col("part") == name).alias(name) for name in names])
     return counts.withColumn("balanced", F.col("n_in") == F.col("n_out") + F.col("n_quarantined"))
 
 
-def injection_audit(df: DataFrame, rules: DataFrame, alpha: float = 0.05) -> DataFrame:
+def injection_audit(df: DataFrame, rules: DataFrame, alpha: float = 0.05, exact_rows: int = stats.EXACT_ROWS) -> DataFrame:
     """For each fix rule (rule, test, unit) the rows it made against the rest of their concept.
 
     Rows: concept, test, unit, fixed, value.  One histogram per concept serves all rules: the rest is the concept minus the rule.
@@ -130,22 +156,20 @@ def injection_audit(df: DataFrame, rules: DataFrame, alpha: float = 0.05) -> Dat
     w = Window.partitionBy("rule", "concept")
     run = w.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     d = grid.withColumns({"cc": F.sum("c").over(run), "ct": F.sum("t").over(run), "n1": F.sum("c").over(w), "n2": F.sum("t").over(w)}).groupBy("rule", "concept").agg(F.max("n1").alias("n1"), F.max("n2").alias("n2"), F.max(F.abs(F.try_divide("cc", "n1") - F.try_divide("ct", "n2"))).alias("ks"))
-    from ..functions.scalar import kolmogorov_p
-
     out = rules.select("rule").join(per_rule, "rule", "left").join(d, ["rule", "concept"], "left")
     tests = F.greatest(F.count("*").over(Window.partitionBy(F.lit(1))), F.lit(1))  # a row per rule
-    p = kolmogorov_p(F.col("ks"), F.col("n1").cast("double"), F.col("n2").cast("double"))
-    status = F.when(F.col("n").isNull(), "NO_DATA").when(F.coalesce("n1", F.lit(0)) == 0, "NO_HARMONIZED_DATA").when(F.coalesce("n2", F.lit(0)) == 0, "NO_OMOP_DATA").when(p < alpha / tests, "FAILED_KS").otherwise("SUCCESS")
-    return out.select("rule", "concept", F.col("n1").alias("n_rule"), F.col("n2").alias("n_rest"), "ks", p.alias("p"), status.alias("status"))
+    out = out.withColumn("p", stats.ks_p(F.col("ks"), F.col("n1"), F.col("n2"), exact_rows))
+    status = F.when(F.col("n").isNull(), "NO_DATA").when(F.coalesce("n1", F.lit(0)) == 0, "NO_HARMONIZED_DATA").when(F.coalesce("n2", F.lit(0)) == 0, "NO_OMOP_DATA").when(F.col("p") < alpha / tests, "FAILED_KS").otherwise("SUCCESS")
+    return out.select("rule", "concept", F.col("n1").alias("n_rule"), F.col("n2").alias("n_rest"), "ks", "p", status.alias("status"))
 
 
-def unharmonised_audit(samples: DataFrame, keys: Sequence[str], units: DataFrame, min_rows: int = 10, limit: float = 0.3) -> DataFrame:
+def unharmonised_audit(samples: DataFrame, keys: Sequence[str], units: DataFrame, min_rows: int = 10, limit: float = 0.3, exact_rows: int = stats.EXACT_ROWS) -> DataFrame:
     """Groups without a harmonised value against their concept's reference pool: target unit if the distributions agree.
 
     ``samples``: keys, side, value; ``units``: concept, target_unit.
     """
     sizes = samples.groupBy(*keys).agg(F.count_if(F.col("side") == "cand").alias("n_cand"), F.count_if(F.col("side") == "targ").alias("n_targ"))
-    test = stats.ks(samples, keys).select(*keys, "ks", "ks_p")
+    test = stats.ks(samples, keys, exact_rows).select(*keys, "ks", "ks_p")
     out = sizes.join(test, list(keys), "left").join(F.broadcast(units), "concept", "left").filter("n_cand > 0")
     status = F.when(F.col("n_targ") == 0, "NO_REF_DATA").when(F.least("n_cand", "n_targ") < min_rows, "INSUFFICIENT_DATA").when(F.col("ks") < limit, "SUCCESS").otherwise("KS_FAIL")
     return out.withColumns({"status": status, "proposed_unit": F.when(status == "SUCCESS", F.col("target_unit"))}).drop("target_unit")
@@ -158,6 +182,8 @@ def extracted_audit(df: DataFrame) -> DataFrame:
     """
     kept = stats.sigma_filter(df, ["concept", "side"]).filter("kept")
     k = stats.ks(kept, ["concept"]).select("concept", "n_cand", "n_targ", "ks")
-    med = kept.groupBy("concept").agg(F.percentile(F.when(F.col("side") == "cand", F.col("value")), 0.5).alias("median_cand"), F.percentile(F.when(F.col("side") == "targ", F.col("value")), 0.5).alias("median_targ"))
-    out = k.join(med, "concept").withColumn("n_ratio", F.round(F.col("n_cand") / F.col("n_targ"), 4))
-    return out.withColumn("rank", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(F.desc("ks"), "concept")))  # a row per concept
+    tenths = F.array(*[F.lit(i / 10) for i in range(11)])
+    side = {s: F.percentile(F.when(F.col("side") == s, F.col("value")), tenths) for s in ("cand", "targ")}
+    med = kept.groupBy("concept").agg(*[q.alias(f"deciles_{s}") for s, q in side.items()]).withColumns({f"median_{s}": F.col(f"deciles_{s}")[5] for s in side})
+    out = k.join(med, "concept").withColumn("n_ratio", F.round(F.try_divide("n_cand", "n_targ"), 4))
+    return out.withColumn("rank", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(F.desc(F.round("ks", 9)), "concept")))  # a row per concept

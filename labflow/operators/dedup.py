@@ -36,8 +36,9 @@ def split_duplicates(flagged: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def duplicate_rate(flagged: DataFrame) -> DataFrame:
+    """Rows, duplicates and their percentage (null for an empty table)."""
     n = F.count_if("duplicate")
-    return flagged.agg(F.count("*").alias("n_rows"), n.alias("n_duplicates"), F.round(100 * n / F.count("*"), 4).alias("percent"))
+    return flagged.agg(F.count("*").alias("n_rows"), n.alias("n_duplicates"), F.round(F.try_divide(100 * n, F.count("*")), 4).alias("percent"))
 
 
 def sorted_dedup(df: DataFrame, keys: Sequence[str], order: Sequence[str], malformed: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -67,10 +68,15 @@ def rank_sample(df: DataFrame, groups: Sequence[str], value: str, tie: str, k: i
     """Up to k rows per group at evenly spaced ranks of the value."""
     w = Window.partitionBy(*groups)
     ranked = df.withColumns({"__r": F.row_number().over(w.orderBy(value, tie)) - 1, "__n": F.count("*").over(w)})
-    step = F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.floor(i * (F.col("__n") - 1) / (k - 1)))
+    step = F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.floor(i * (F.col("__n") - 1) / max(k - 1, 1)))
     return ranked.filter(F.array_contains(step, F.col("__r").cast("long"))).withColumn("rank", F.col("__r")).drop("__r", "__n")
 
 
+def sort_by(df: DataFrame, *keys: str) -> DataFrame:
+    """Total order by several keys, each with an optional "-" for descending; nulls first, or last if descending."""
+    return df.orderBy(*[F.col(k[1:]).desc() if k.startswith("-") else F.col(k).asc() for k in keys])
+
+
 def genomic_sort(df: DataFrame, chromosome: str, position: str) -> DataFrame:
     return df.orderBy(F.col(chromosome).try_cast("int"), F.col(position).cast("long"))
 

@@ -29,10 +29,8 @@ def covariate_screen(df: DataFrame, phenotypes: Sequence[str], covariates: Seque
 
 def binary_screen(df: DataFrame, covariates: Sequence[str], threshold: int) -> DataFrame:
     """Binary covariates need enough zeros and ones; quantitative ones pass."""
-    parts = [df.agg(F.lit(c).alias("covariate"), F.count_if(F.col(c) == 0).alias("zeros"), F.count_if(F.col(c) == 1).alias("ones"), F.coalesce(F.bool_or(~F.col(c).isin(0, 1)), F.lit(False)).alias("quantitative")) for c in covariates]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    states = [F.struct(F.lit(c).alias("covariate"), F.count_if(F.col(c) == 0).alias("zeros"), F.count_if(F.col(c) == 1).alias("ones"), F.coalesce(F.bool_or(~F.col(c).isin(0, 1)), F.lit(False)).alias("quantitative")) for c in covariates]
+    out = df.agg(F.array(*states).alias("all")).select(F.inline("all"))  # one pass for all covariates
     return out.withColumn("usable", F.col("quantitative") | ((F.col("zeros") > threshold) & (F.col("ones") > threshold)))
 
 

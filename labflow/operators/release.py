@@ -12,6 +12,20 @@ MUNGED = (*CORE[:9], ("TEST_OUTCOME", "string", "outcome"), ("MEASUREMENT_STATUS
 UNITS_INPUT = (("TEST_NAME", "string", "test"), ("OMOP_CONCEPT_ID", "string", "concept"), ("MEASUREMENT_UNIT", "string", "clean_unit"), ("MEASUREMENT_VALUE", "double", "value"), ("MEASUREMENT_VALUE_EXTRACTED", "double", "extracted_value"))
 
 
+#: Columns that identify a person's free text: the core release goes without them.
+SENSITIVE = ("text",)
+
+
+def without(df: DataFrame, columns=SENSITIVE) -> DataFrame:
+    """Drop sensitive columns."""
+    return df.drop(*columns)
+
+
+def last(df: DataFrame, columns=SENSITIVE) -> DataFrame:
+    """Sensitive columns moved behind all others."""
+    return df.select(*[c for c in df.columns if c not in columns], *[c for c in columns if c in df.columns])
+
+
 def project(df: DataFrame, spec=CORE, person: str = "PERSON_ID") -> DataFrame:
     """Published columns; a working column that the frame lacks is null, concepts -1 and 0 are missing.
 

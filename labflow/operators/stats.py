@@ -14,14 +14,54 @@ from pyspark.sql import types as T
 from ..functions.scalar import kolmogorov_p, normal_quantile
 
 
-def ks(samples: DataFrame, keys: Sequence[str]) -> DataFrame:
+#: Up to so many values on the larger side, p of a Kolmogorov-Smirnov statistic is exact.
+EXACT_ROWS = 10_000
+
+
+def ks(samples: DataFrame, keys: Sequence[str], exact_rows: int = EXACT_ROWS) -> DataFrame:
     """Exact two-sample Kolmogorov-Smirnov: statistic, sizes, p-value.  Works on the histogram of distinct values."""
     hist = samples.filter("value is not null").groupBy(*keys, "value").agg(F.count_if(F.col("side") == "cand").alias("__c"), F.count_if(F.col("side") == "targ").alias("__t"))
     w = Window.partitionBy(*keys)
     run = w.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     cdf = hist.withColumns({"__cc": F.sum("__c").over(run), "__ct": F.sum("__t").over(run), "__n": F.sum("__c").over(w), "__m": F.sum("__t").over(w)})
     out = cdf.filter("__n > 0 and __m > 0").groupBy(*keys).agg(F.max("__n").alias("n_cand"), F.max("__m").alias("n_targ"), F.max(F.abs(F.col("__cc") / F.col("__n") - F.col("__ct") / F.col("__m"))).alias("ks"))
-    return out.withColumn("ks_p", kolmogorov_p(F.col("ks"), F.col("n_cand").cast("double"), F.col("n_targ").cast("double")))
+    return out.withColumn("ks_p", ks_p(F.col("ks"), F.col("n_cand"), F.col("n_targ"), exact_rows))
+
+
+def ks_p(d, n, m, exact_rows: int = EXACT_ROWS):
+    """Two-sided p: exact while neither side has more than ``exact_rows`` values, else by the corrected limit."""
+    n, m = n.cast("double"), m.cast("double")
+    limit = kolmogorov_p(d, n, m)
+    if not exact_rows:
+        return limit
+    small = F.greatest(n, m) <= exact_rows
+    return F.when(small, exact_ks_p(F.when(small, d), n, m)).otherwise(limit)
+
+
+@F.pandas_udf(T.DoubleType())
+def exact_ks_p(d: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
+    """Exact p of a two-sample KS statistic (one row per key): the share of interleavings that reach it."""
+    return pd.Series([_reached(*x) if x[0] == x[0] and min(x[1:]) > 0 else None for x in zip(d.astype(float), n.astype(float), m.astype(float), strict=True)], dtype="float64")
+
+
+def _reached(d: float, n: float, m: float) -> float:
+    """1 minus the chance that a random path from (0, 0) to (n, m) keeps |i/n - j/m| below d at every step.
+
+    With u(i, j) the chance given that the path passes (i, j): u(i, j) = i/(i+j) u(i-1, j) + j/(i+j) u(i, j-1) inside the band,
+    0 outside; a diagonal i + j = s at a time.
+    """
+    n, m = int(min(n, m)), int(max(n, m))
+    reach = round(d * n * m)
+    if not reach:
+        return 1.0
+    i = np.arange(n + 1)
+    u = np.zeros(n + 1)
+    u[0] = 1.0
+    for s in range(1, n + m + 1):
+        j = s - i
+        before = np.r_[0.0, u[:-1]]
+        u = np.where((j >= 0) & (j <= m) & (np.abs(i * m - j * n) < reach), i / s * before + j / s * u, 0.0)
+    return float(min(max(1.0 - u[n], 0.0), 1.0))
 
 
 def binned(samples: DataFrame, keys: Sequence[str], bins: int = 100_000, above: int = 500_000) -> DataFrame:
@@ -103,54 +143,99 @@ def bimodal_status(bc, dip_p=None):
     return F.when(dip_p >= 0.05, "unimodal").when(bc >= 0.555, "bimodal").otherwise("bimodal_cautious")
 
 
-def mixture(df: DataFrame, keys: Sequence[str], rounds: int = 60, log10: bool = False) -> DataFrame:
-    """Two normal components per key by EM on the histogram of values: weights, means, deviations, BIC.
-
-    All keys advance together: the E-step is column expressions, the M-step one aggregation; the parameters are a row per
-    key, broadcast while there are few keys, and the plan is cut by ``checkpoint`` every ten rounds.
-    """
-    v = F.log10("value") if log10 else F.col("value")
-    hist = df.filter("value > 0" if log10 else "value is not null").groupBy(*keys, v.alias("x")).agg(F.count("*").alias("__k")).persist()
-    p = hist.groupBy(*keys).agg(F.percentile("x", F.array(F.lit(0.25), F.lit(0.75)), F.col("__k")).alias("q"), F.stddev_pop("x").alias("sd"), F.sum("__k").alias("n")).select(*keys, "n", F.lit(0.5).alias("w"), F.col("q")[0].alias("m1"), F.col("q")[1].alias("m2"), F.greatest("sd", F.lit(1e-6)).alias("s1"), F.greatest("sd", F.lit(1e-6)).alias("s2"), F.lit(0.0).alias("ll"))
-
-    def density(m: str, s: str):
-        z = (F.col("x") - F.col(m)) / F.col(s)
-        return F.exp(-z * z / 2) / (F.col(s) * math.sqrt(2 * math.pi))
+#: Cells that a key's histogram is put into if it has more distinct values; EM stops at this change of the mean log likelihood.
+CELLS, TOLERANCE, MOST_ROUNDS = 8192, 1e-3, 300
+_FIT = "n long, w double, m1 double, m2 double, s1 double, s2 double, bic double, bc double, separator double, overlap_pct double"
 
-    for i in range(rounds):
-        a, b = F.col("w") * density("m1", "s1"), (1 - F.col("w")) * density("m2", "s2")
-        e = hist.join(p.drop("ll", "n"), list(keys)).withColumns({"tot": F.greatest(a + b, F.lit(1e-300)), "r": a / F.greatest(a + b, F.lit(1e-300))})
-        r1, r2 = F.col("__k") * F.col("r"), F.col("__k") * (1 - F.col("r"))
-        agg = e.groupBy(*keys).agg(F.sum("__k").alias("n"), F.sum(r1).alias("n1"), F.sum(r2).alias("n2"), F.sum(r1 * F.col("x")).alias("x1"), F.sum(r2 * F.col("x")).alias("x2"), F.sum(r1 * F.col("x") * F.col("x")).alias("y1"), F.sum(r2 * F.col("x") * F.col("x")).alias("y2"), F.sum(F.col("__k") * F.log("tot")).alias("ll"))
-        m1, m2 = F.col("x1") / F.greatest("n1", F.lit(1e-9)), F.col("x2") / F.greatest("n2", F.lit(1e-9))
-        p = agg.select(*keys, "n", (F.col("n1") / F.col("n")).alias("w"), m1.alias("m1"), m2.alias("m2"), F.sqrt(F.greatest(F.col("y1") / F.greatest("n1", F.lit(1e-9)) - m1 * m1, F.lit(1e-12))).alias("s1"), F.sqrt(F.greatest(F.col("y2") / F.greatest("n2", F.lit(1e-9)) - m2 * m2, F.lit(1e-12))).alias("s2"), "ll")
-        if i % 10 == 9 and df.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-            p = p.checkpoint()
-    return p.withColumn("bic", 5 * F.log("n") - 2 * F.col("ll"))
 
+def histogram(df: DataFrame, keys: Sequence[str], log10: bool = False, cells: int = CELLS) -> DataFrame:
+    """keys, __x, __k: distinct values and their numbers; keys with more than ``cells`` of them in so many equal cells (__x: the mean)."""
+    v = F.log10("value") if log10 else F.col("value").cast("double")
+    hist = df.filter("value > 0" if log10 else "value is not null").groupBy(*keys, v.alias("__x")).agg(F.count("*").alias("__k"))
+    size = hist.groupBy(*keys).agg(F.count("*").alias("__distinct"), F.min("__x").alias("__lo"), F.max("__x").alias("__hi"))
+    cell = F.when(F.col("__distinct") > cells, F.least(F.width_bucket("__x", "__lo", "__hi", F.lit(cells)), F.lit(cells)))
+    return hist.join(size, list(keys)).groupBy(*keys, F.coalesce(cell.cast("double"), "__x").alias("__cell")).agg((F.sum(F.col("__x") * F.col("__k")) / F.sum("__k")).alias("__x"), F.sum("__k").alias("__k")).drop("__cell")
 
-def separator(m1: str = "m1", m2: str = "m2", s1: str = "s1", s2: str = "s2", w: str = "w", points: int = 2000):
-    """Where between the two means the weighted densities cross: the first of ``points`` places past the crossing."""
-    lo, hi = F.least(m1, m2), F.greatest(m1, m2)
-    grid = F.transform(F.sequence(F.lit(0), F.lit(points - 1)), lambda i: lo + (hi - lo) * i / (points - 1))
 
-    def part(x, weight, m, s):
-        z = (x - F.col(m)) / F.col(s)
-        return weight * F.exp(-z * z / 2) / F.col(s)
+def mixture(df: DataFrame, keys: Sequence[str], log10: bool = False) -> DataFrame:
+    """Two normal components per key: weights, means, deviations, BIC, bimodality coefficient, separator and overlap.
 
-    first_low = F.col(m1) <= F.col(m2)
-    gap = lambda x: F.when(first_low, part(x, F.col(w), m1, s1) - part(x, 1 - F.col(w), m2, s2)).otherwise(part(x, 1 - F.col(w), m2, s2) - part(x, F.col(w), m1, s1))
-    return F.coalesce(F.get(F.filter(grid, lambda x: gap(x) <= 0), F.lit(0)), (lo + hi) / 2)
+    EM runs on each key's bounded histogram, from the best split of the values in two, until the mean log likelihood changes by
+    less than ``TOLERANCE``.  With ``log10`` in that space, but with the separator in the values' own; positive values only, and
+    only keys with ten of them.
+    """
+    hist = histogram(df, keys, log10)
+    schema = ", ".join(f"`{c}` {t}" for c, t in hist.dtypes if c in keys) + ", " + _FIT
+
+    def fit(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("__x")
+        found = two_normals(part["__x"].to_numpy(float), part["__k"].to_numpy(float))
+        if log10:
+            found["separator"] = 10 ** found["separator"]
+        rows = [] if found["n"] < (10 if log10 else 2) else [dict(zip(keys, key, strict=True)) | found]
+        return pd.DataFrame(rows, columns=[*keys, *found])
+
+    return hist.groupBy(*keys).applyInPandas(fit, schema)
+
+
+def two_normals(x: np.ndarray, k: np.ndarray) -> dict:
+    """Fit of two normal components to sorted values x with weights k."""
+    n, mean = k.sum(), (k * x).sum() / max(k.sum(), 1)
+    c2, c3, c4 = (float((k * (x - mean) ** p).sum() / max(n, 1)) for p in (2, 3, 4))
+    bc = (c3 * c3 / c2**3 + 1) / (c4 / c2**2 - 3 + 3 * (n - 1) ** 2 / ((n - 2) * (n - 3))) if n > 3 and c2 > 0 else math.nan
+    # the split with the least variance within its parts
+    a, sx = np.cumsum(k)[:-1], np.cumsum(k * x)[:-1]
+    between = sx**2 / a + ((k * x).sum() - sx) ** 2 / (n - a) if len(x) > 1 else np.zeros(0)
+    low = np.arange(len(x)) <= (int(np.argmax(between)) if len(between) else 0)
+    r, before = low.astype(float), -np.inf
+    for _ in range(MOST_ROUNDS):
+        parts = []
+        for share in (k * r, k * (1 - r)):
+            size = share.sum() + 1e-15
+            m = (share * x).sum() / size
+            parts.append((size / n, m, math.sqrt((share * (x - m) ** 2).sum() / size + 1e-6)))
+        logs = [math.log(w) - np.log(s) - 0.5 * math.log(2 * math.pi) - (x - m) ** 2 / (2 * s * s) for w, m, s in parts]
+        total = np.logaddexp(*logs)
+        r, now = np.exp(logs[0] - total), float((k * total).sum() / max(n, 1))
+        if abs(now - before) < TOLERANCE:
+            break
+        before = now
+    (w, m1, s1), (v, m2, s2) = parts
+
+    def weighted(grid: np.ndarray) -> list[np.ndarray]:
+        return [weight * np.exp(-0.5 * ((grid - m) / s) ** 2) / (s * math.sqrt(2 * math.pi)) for weight, m, s in parts]
+
+    grid = np.linspace(min(m1, m2), max(m1, m2), 2000)
+    gap = np.subtract(*weighted(grid))
+    turn = np.flatnonzero(np.sign(gap[1:]) != np.sign(gap[:-1]))
+    cut = (m1 + m2) / 2
+    if len(turn):
+        i = int(turn[0])
+        cut = grid[i] - gap[i] * (grid[i + 1] - grid[i]) / (gap[i + 1] - gap[i])
+    wide = np.linspace(min(m1 - 4 * s1, m2 - 4 * s2), max(m1 + 4 * s1, m2 + 4 * s2), 2000)
+    least = np.minimum(*weighted(wide))
+    overlap = float(((least[1:] + least[:-1]) / 2 * np.diff(wide)).sum() * 100)
+    return {"n": int(n), "w": w, "m1": m1, "m2": m2, "s1": s1, "s2": s2, "bic": 5 * math.log(max(n, 1)) - 2 * now * n, "bc": bc, "separator": float(cut), "overlap_pct": overlap}
+
+
+def bimodal_check(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The better of the linear and the log10 fit by BIC, with the shape judged by the coefficient in that space."""
+    both = mixture(df, keys).withColumn("log_space", F.lit(False)).unionByName(mixture(df, keys, log10=True).withColumn("log_space", F.lit(True)))
+    best = both.groupBy(*keys).agg(F.min_by(F.struct(*[c for c in both.columns if c not in keys]), F.struct("bic", "log_space")).alias("b")).select(*keys, "b.*")
+    return best.withColumn("shape", bimodal_status(F.nanvl(F.col("bc"), F.lit(None).cast("double"))))
 
 
 def split_score(scored: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows (key..., sub in {all, low, high}, unit, ks, n): size-weighted best KS of the halves against the whole."""
+    """Rows (key..., sub in {all, low, high}, unit, ks, n): size-weighted best KS of the halves against the whole.
+
+    The improvement is 0 where the whole sample already agrees, null where a half is missing.
+    """
     best = scored.groupBy(*keys, "sub").agg(F.min(F.struct("ks", "unit")).alias("b"), F.max("n").alias("n"))
     by = {s: F.max(F.when(F.col("sub") == s, F.col("b"))) for s in ("all", "low", "high")}
     size = {s: F.max(F.when(F.col("sub") == s, F.col("n"))) for s in ("low", "high")}
     out = best.groupBy(*keys).agg(*[c.alias(s) for s, c in by.items()], *[c.alias(f"n_{s}") for s, c in size.items()])
-    split = (F.col("low.ks") * F.col("n_low") + F.col("high.ks") * F.col("n_high")) / (F.col("n_low") + F.col("n_high"))
-    return out.select(*keys, F.col("all.ks").alias("ks_all"), split.alias("ks_split"), ((F.col("all.ks") - split) / F.col("all.ks")).alias("improvement"), (F.col("low.unit") == F.col("high.unit")).alias("same_unit"))
+    split = F.try_divide(F.col("low.ks") * F.col("n_low") + F.col("high.ks") * F.col("n_high"), F.col("n_low") + F.col("n_high"))
+    return out.select(*keys, F.col("all.ks").alias("ks_all"), split.alias("ks_split"), F.when(F.col("all.ks") > 0, (F.col("all.ks") - split) / F.col("all.ks")).otherwise(0.0).alias("improvement"), (F.col("low.unit") == F.col("high.unit")).alias("same_unit"))
 
 
 def sigma_filter(df: DataFrame, keys: Sequence[str], times: float = 3.0) -> DataFrame:

@@ -71,7 +71,7 @@ def concept_units(mapping: DataFrame, conversions: DataFrame) -> DataFrame:
     a, b = units.select("concept", "quantity", F.col("unit").alias("source_unit")), units.select("concept", "quantity", F.col("unit").alias("target_unit"))
     pairs = a.join(b, ["concept", "quantity"]).filter(F.col("source_unit") < F.col("target_unit"))  # units of one concept
     f1 = conversions.select("quantity", "source_unit", "target_unit", F.col("factor").alias("f1"))
-    f2 = conversions.select("quantity", F.col("source_unit").alias("target_unit"), F.col("target_unit").alias("source_unit"), (1 / F.col("factor")).alias("f2"))
+    f2 = conversions.select("quantity", F.col("source_unit").alias("target_unit"), F.col("target_unit").alias("source_unit"), F.try_divide(F.lit(1), "factor").alias("f2"))
     known = pairs.join(f1, ["quantity", "source_unit", "target_unit"], "left").join(f2, ["quantity", "source_unit", "target_unit"], "left").withColumn("f", F.coalesce("f1", "f2"))
     same = known.groupBy("concept").agg(F.bool_and(F.col("f").isNotNull()).alias("all_known"), F.bool_and(F.coalesce(F.abs(F.col("f") - 1) < 1e-9, F.lit(False))).alias("all_one"))
     status = F.when(F.col("quantity").isNull(), "NO_QUANTITY").when(F.col("n_units") <= 1, "SINGLE").when(F.col("all_one"), "EQUIVALENT").when(F.col("all_known"), "AMBIGUOUS").otherwise("NO_CONV")
@@ -110,27 +110,29 @@ def unambiguous_pass(sample: DataFrame, classified: DataFrame) -> DataFrame:
 def ambiguous_pass(sample: DataFrame, classified: DataFrame, top: DataFrame, min_rows: int = 30, min_pct: float = 1.0, gain: float = 0.15) -> DataFrame:
     """Best unit of each ambiguous test, for the whole sample or for its two halves.
 
-    The halves are cut at the crossing of a two-component mixture; they count if they fit different units clearly better,
-    or if no unit fits the whole and the sample is bimodal.
+    The halves are cut at the crossing of the better two-component mixture (linear or logarithmic); they count if they fit
+    different units clearly better, or if no unit fits the whole and the sample is bimodal.  A half of one row is left out.
     """
     tests = classified.filter("category = 'AMBIGUOUS'").select("test")
     units = top.join(tests, "test", "left_semi").filter((F.col("pct") > min_pct) & (F.col("cnt") >= min_rows)).select("test", "unit", "pct")
     cand = sample.filter("side = 'cand'").join(tests, "test", "left_semi")
-    cuts = stats.mixture(cand, ["test"], rounds=20).select("test", stats.separator().alias("cutoff"))
-    shape = stats.bimodality(cand, ["test"]).select("test", stats.bimodal_status(F.col("bc")).alias("shape"))
-    sub = cand.join(F.broadcast(cuts), "test").withColumn("sub", F.explode(F.array(F.lit("all"), F.when(F.col("value") <= F.col("cutoff"), "low").otherwise("high"))))
-    left = sub.select("test", "sub", "value").join(F.broadcast(units.select("test", "unit")), "test").select("test", "sub", "unit", F.lit("cand").alias("side"), "value")
-    right = sample.filter("side = 'targ'").join(F.broadcast(units.select("test", "unit")), ["test", "unit"]).withColumn("sub", F.explode(F.array(F.lit("all"), F.lit("low"), F.lit("high")))).select("test", "sub", "unit", "side", "value")
+    shape = stats.bimodal_check(cand, ["test"]).select("test", F.col("separator").alias("cutoff"), "shape", "overlap_pct")
+    sub = cand.join(shape.select("test", "cutoff"), "test").withColumn("sub", F.explode(F.array(F.lit("all"), F.when(F.col("value") <= F.col("cutoff"), "low").otherwise("high"))))
+    enough = sub.groupBy("test", "sub").agg(F.count("*").alias("k")).filter("k >= 2").select("test", "sub")
+    left = sub.select("test", "sub", "value").join(enough, ["test", "sub"], "left_semi").join(units.select("test", "unit"), "test").select("test", "sub", "unit", F.lit("cand").alias("side"), "value")
+    right = sample.filter("side = 'targ'").join(units.select("test", "unit"), ["test", "unit"]).join(enough, "test").select("test", "sub", "unit", "side", "value")
     verdict = stats.decide(left.unionByName(right), ["test", "sub", "unit"]).join(units, ["test", "unit"])
     score = stats.split_score(verdict.select("test", "sub", "unit", "ks", F.col("n_cand").alias("n")), ["test"]).join(shape, "test", "left")
-    whole = verdict.filter("sub = 'all'").groupBy("test").agg(F.bool_or(F.col("verdict") == "PASS").alias("any_pass"))
+    whole = verdict.groupBy("test").agg(F.bool_or((F.col("sub") == "all") & (F.col("verdict") == "PASS")).alias("any_pass"), F.bool_or(F.col("sub") != "all").alias("has_part"))
     prefer = F.coalesce((F.col("improvement") > gain) & ~F.col("same_unit"), F.lit(False))
-    plan = whole.join(score, "test", "left").withColumn("split", prefer | (~F.col("any_pass") & (F.col("shape") != "unimodal"))).select("test", "split", "any_pass")
+    halves = prefer | (~F.col("any_pass") & (F.col("shape") != "unimodal"))
+    status = F.when(F.col("any_pass") & ~prefer, "skipped").when(F.col("shape") != "unimodal", F.col("shape")).when(prefer, "split_by_score").otherwise(F.col("shape"))
+    plan = whole.join(score, "test", "left").select("test", "cutoff", (halves & F.col("has_part")).alias("split"), status.alias("status"))
     rows = verdict.join(plan, "test").filter(F.col("split") == (F.col("sub") != "all"))
     quality = F.when(F.col("decided_by") == "KS", 0).when(F.col("decided_by") == "T", 1).otherwise(2) + F.when(F.col("verdict") == "PASS", 0).otherwise(3)
     w = Window.partitionBy("test", "sub").orderBy(quality, "ks", F.desc("pct"), "unit")
-    best = rows.withColumn("rn", F.row_number().over(w)).filter("rn = 1").join(cuts, "test", "left")
-    return best.select("test", "sub", "unit", "ks", "verdict", "decided_by", F.when(F.col("sub") == "low", F.col("cutoff")).otherwise(F.lit(float("inf"))).alias("cutoff"), F.when(F.col("split"), "split").when(F.col("any_pass"), "skipped").otherwise("whole").alias("status"))
+    best = rows.withColumn("rn", F.row_number().over(w)).filter("rn = 1")
+    return best.select("test", "sub", "unit", "ks", "verdict", "decided_by", F.when(F.col("sub") == "low", F.col("cutoff")).otherwise(F.lit(float("inf"))).alias("cutoff"), "status")
 
 
 def unified(*parts: DataFrame) -> DataFrame:

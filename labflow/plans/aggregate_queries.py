@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -53,11 +55,28 @@ def abnormal_limits(spark, sf_dir):
     return limits.walk_limits(_coded(spark, sf_dir), 0.2)
 
 
-@query("impute_outcome", _limits_sql(0.2) + f""" SELECT m.concept, CASE WHEN value BETWEEN coalesce(low, '-inf'::DOUBLE) AND coalesce(high, 'inf'::DOUBLE) THEN 'N' WHEN value > coalesce(high, 'inf'::DOUBLE) THEN CASE WHEN high_problem THEN 'H*' ELSE 'H' END WHEN value < coalesce(low, '-inf'::DOUBLE) THEN CASE WHEN low_problem THEN 'L*' ELSE 'L' END END AS imputed_outcome, count(*) AS n_rows FROM m JOIN lim USING (concept) GROUP BY ALL""")
+#: Rows from which a concept takes the strict limits, so that both kinds occur at every size of the tables.
+MANY = 150
+
+
+def _choice_sql() -> str:
+    """``ch``: concept, low, low_problem, high, high_problem by strict (0.3) and loose (0.2) limits."""
+    both = [_limits_sql(t).removeprefix(f"WITH {M_SQL}, c AS (SELECT concept, value, coalesce({CODED}, 'NA') AS o FROM m), ") for t in (0.3, 0.2)]
+    for word in ("w_low", "w_high", "k_low", "k_high", "l_low", "l_high", "lim"):
+        both[1] = both[1].replace(f"{word} ", f"{word}2 ")
+
+    def pick(side: str, none: str) -> str:
+        use = f"(s.n_rows > {MANY} OR coalesce(o.{side}_problem, false))"
+        return f"coalesce(CASE WHEN {use} THEN s.{side} ELSE o.{side} END, '{none}'::DOUBLE) AS {side}, coalesce(CASE WHEN {use} THEN s.{side}_problem ELSE o.{side}_problem END, false) AS {side}_problem"
+
+    return f"WITH {M_SQL}, c AS (SELECT concept, value, coalesce({CODED}, 'NA') AS o FROM m), {both[0]}, {both[1]}, ch AS (SELECT concept, {pick('low', '-inf')}, {pick('high', 'inf')} FROM lim s JOIN lim2 o USING (concept))"
+
+
+@query("impute_outcome", _choice_sql() + """ SELECT m.concept, CASE WHEN value BETWEEN low AND high THEN 'N' WHEN value > high THEN CASE WHEN high_problem THEN 'H*' ELSE 'H' END WHEN value < low THEN CASE WHEN low_problem THEN 'L*' ELSE 'L' END END AS imputed_outcome, count(*) AS n_rows FROM m JOIN ch USING (concept) GROUP BY ALL""")
 def impute_outcome(spark, sf_dir):
     df = _coded(spark, sf_dir)
-    w = limits.walk_limits(df, 0.2)
-    out = qc.impute_outcome(df.withColumn("merged_value", F.col("value")), limits.choose_limits(w, w))
+    chosen = limits.choose_limits(limits.walk_limits(df, 0.3), limits.walk_limits(df, 0.2), MANY)
+    out = qc.impute_outcome(df.withColumn("merged_value", F.col("value")), chosen)
     return out.groupBy("concept", "imputed_outcome").agg(F.count("*").alias("n_rows"))
 
 
@@ -89,11 +108,11 @@ def dup_rate(spark, sf_dir):
     return dedup.duplicate_rate(_adjacent(spark, sf_dir))
 
 
-@query("sorted_dedup", "SELECT l_orderkey, l_linenumber, count(*) - 1 AS n_duplicates FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")
+@query("sorted_dedup", "WITH l AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_linenumber = 7 AS bad FROM lineitem), n AS (SELECT *, row_number() OVER (PARTITION BY bad, l_partkey, l_suppkey ORDER BY l_orderkey, l_linenumber) AS k FROM l) SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN bad THEN 'malformed' WHEN k = 1 THEN 'unique' ELSE 'duplicate' END AS part FROM n")
 def sorted_dedup(spark, sf_dir):
-    line = table(spark, sf_dir, "lineitem")
-    _, again, _ = dedup.sorted_dedup(line, ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey", "l_extendedprice"])
-    return again.groupBy("l_orderkey", "l_linenumber").agg(F.count("*").alias("n_duplicates"))
+    line = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.when(F.col("l_linenumber") == 7, "line").alias("bad"))
+    parts = dedup.sorted_dedup(line, ["l_partkey", "l_suppkey"], ["l_orderkey", "l_linenumber"], "bad")
+    return reduce(DataFrame.unionByName, [p.drop("bad").withColumn("part", F.lit(name)) for p, name in zip(parts, ("unique", "duplicate", "malformed"), strict=True)])
 
 
 @query("row_numbers", "SELECT o_orderkey, row_number() OVER (ORDER BY o_custkey, o_orderkey) AS row_id FROM orders")
@@ -101,10 +120,10 @@ def row_numbers(spark, sf_dir):
     return dedup.number_rows(table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey"), ["o_custkey", "o_orderkey"]).select("o_orderkey", "row_id")
 
 
-@query("order_check", "WITH e AS (SELECT event_id, user_id % 4 AS f, event_id AS i, CASE WHEN event_id % 97 = 0 THEN event_id - 50 ELSE event_id END AS id FROM events), g AS (SELECT *, lag(id) OVER (PARTITION BY f ORDER BY i) AS p FROM e) SELECT f, i, id, p AS previous FROM g WHERE id <= p")
+@query("order_check", "WITH e AS (SELECT event_id, user_id % 4 AS f, event_id AS i, CASE WHEN event_id % 97 = 0 THEN event_id - 50 ELSE event_id END AS id FROM events), g AS (SELECT *, lag(id) OVER (PARTITION BY f ORDER BY i) AS p FROM e), h AS (SELECT f, min(id) AS lo, lag(max(id)) OVER (ORDER BY f) AS p FROM e GROUP BY f) SELECT f, i, id, p AS previous FROM g WHERE id <= p UNION ALL SELECT f, -1, lo, p FROM h WHERE lo <= p")
 def order_check(spark, sf_dir):
     df = table(spark, sf_dir, "events").select((F.col("user_id") % 4).alias("f"), F.col("event_id").alias("i"), F.when(F.col("event_id") % 97 == 0, F.col("event_id") - 50).otherwise(F.col("event_id")).alias("id"))
-    return dedup.order_breaks(df, "f", "i", "id").filter("i >= 0")
+    return dedup.order_breaks(df, "f", "i", "id")
 
 
 @query("limit_by_group", "SELECT event_type, event_id FROM events QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY md5(CAST(event_id AS VARCHAR)), event_id) <= 5")
@@ -310,11 +329,11 @@ CONV = "('STANDARD', 'Brand#1', 'Brand#2', 1.0D), ('STANDARD', 'Brand#2', 'Brand
 
 
 def _concept_units(spark, sf_dir):
-    mapping = table(spark, sf_dir, "part").filter("p_partkey < 60 OR p_brand IN ('Brand#1', 'Brand#2')").select((F.col("p_size") * 10 + F.length("p_type")).alias("concept"), F.when(F.col("p_type") != "PROMO", F.col("p_type")).alias("quantity"), F.col("p_brand").alias("unit"))
+    mapping = table(spark, sf_dir, "part").select((F.col("p_size") * 10 + F.length("p_type")).alias("concept"), F.when(F.col("p_type") != "PROMO", F.col("p_type")).alias("quantity"), F.col("p_brand").alias("unit"))
     return units.concept_units(mapping.groupBy("concept", "unit").agg(F.min("quantity").alias("quantity")), inline(spark, CONV, "quantity, source_unit, target_unit, factor"))
 
 
-@query("concept_unit_table", f"""WITH p AS (SELECT p_size * 10 + length(p_type) AS concept, p_brand AS unit, min(CASE WHEN p_type <> 'PROMO' THEN p_type END) AS quantity FROM part WHERE p_partkey < 60 OR p_brand IN ('Brand#1', 'Brand#2') GROUP BY 1, 2),
+@query("concept_unit_table", f"""WITH p AS (SELECT p_size * 10 + length(p_type) AS concept, p_brand AS unit, min(CASE WHEN p_type <> 'PROMO' THEN p_type END) AS quantity FROM part GROUP BY 1, 2),
  s AS (SELECT concept, max(quantity) AS quantity, count(DISTINCT unit) AS n_units, min(unit) AS c FROM p GROUP BY 1), v AS (SELECT * FROM (VALUES {CONV.replace('D)', ')')}) AS v(q, a, b, f)),
  pr AS (SELECT x.concept, coalesce(v1.f, 1 / v2.f) AS f FROM p x JOIN p y ON x.concept = y.concept AND x.quantity = y.quantity AND x.unit < y.unit LEFT JOIN v v1 ON v1.q = x.quantity AND v1.a = x.unit AND v1.b = y.unit LEFT JOIN v v2 ON v2.q = x.quantity AND v2.a = y.unit AND v2.b = x.unit),
  g AS (SELECT concept, bool_and(f IS NOT NULL) AS known, bool_and(coalesce(abs(f - 1) < 1e-9, false)) AS one FROM pr GROUP BY 1), st AS (SELECT concept, quantity, n_units, c, CASE WHEN quantity IS NULL THEN 'NO_QUANTITY' WHEN n_units <= 1 THEN 'SINGLE' WHEN one THEN 'EQUIVALENT' WHEN known THEN 'AMBIGUOUS' ELSE 'NO_CONV' END AS status FROM s LEFT JOIN g USING (concept)) SELECT concept, quantity, n_units, status, CASE WHEN status IN ('SINGLE', 'EQUIVALENT') THEN c END AS canonical FROM st""")
@@ -331,9 +350,20 @@ _S = "s AS (SELECT event_type, CASE WHEN user_id % 3 = 0 THEN 'cand' ELSE 'targ'
 _KS = "h AS (SELECT event_type, value, count(*) FILTER (WHERE side = 'cand') AS c, count(*) FILTER (WHERE side = 'targ') AS t FROM s GROUP BY 1, 2), d AS (SELECT event_type, sum(c) OVER w AS cc, sum(t) OVER w AS ct, sum(c) OVER (PARTITION BY event_type) AS n, sum(t) OVER (PARTITION BY event_type) AS m FROM h WINDOW w AS (PARTITION BY event_type ORDER BY value ROWS UNBOUNDED PRECEDING)), k AS (SELECT event_type, max(n)::BIGINT AS n_cand, max(m)::BIGINT AS n_targ, max(abs(cc / n - ct / m)) AS ks FROM d GROUP BY 1)"
 
 
-@query("ks_test", f"WITH {_S}, {_KS} SELECT event_type, n_cand, n_targ, round(ks, 6) AS ks, round(CASE WHEN ks * sqrt(n_cand * n_targ / (n_cand + n_targ)) < 0.2 THEN 1.0 ELSE least(1.0, greatest(0.0, (SELECT sum(2 * (CASE WHEN i % 2 = 1 THEN 1 ELSE -1 END) * exp(-2.0 * i * i * pow(ks, 2) * n_cand * n_targ / (n_cand + n_targ))) FROM range(1, 101) AS t(i)))) END, 6) AS ks_p FROM k")
+def _p(d: str, n: str, m: str) -> str:
+    size = f"sqrt({n} * {m} / ({n} + {m}))"
+    lam = f"({d} * ({size} + 0.12 + 0.11 / {size}))"
+    return f"round(CASE WHEN {lam} < 0.2 THEN 1.0 ELSE least(1.0, greatest(0.0, (SELECT sum(2 * (CASE WHEN i % 2 = 1 THEN 1 ELSE -1 END) * exp(-2.0 * i * i * {lam} * {lam})) FROM range(1, 101) AS t(i)))) END, 6)"
+
+
+@query("ks_test", f"WITH {_S}, {_KS} SELECT event_type, n_cand, n_targ, round(ks, 6) AS ks, {_p("ks", "n_cand", "n_targ")} AS ks_p FROM k")
 def ks_test(spark, sf_dir):
-    return stats.ks(_samples(spark, sf_dir), ["event_type"]).withColumns(r6("ks", "ks_p"))
+    return stats.ks(_samples(spark, sf_dir), ["event_type"], exact_rows=0).withColumns(r6("ks", "ks_p"))
+
+
+@query("ks_exact")
+def ks_exact(spark, sf_dir):
+    return stats.ks(_samples(spark, sf_dir), ["event_type"])
 
 
 @query("ks_binned", f"WITH e AS (SELECT event_type, min(value) AS lo, max(value) AS hi FROM events GROUP BY 1), s AS (SELECT v.event_type, CASE WHEN user_id % 3 = 0 THEN 'cand' ELSE 'targ' END AS side, least(floor((value - lo) / ((hi - lo) / 64)) + 1, 64) AS value FROM events v JOIN e USING (event_type)), {_KS} SELECT event_type, n_cand, n_targ, round(ks, 6) AS ks FROM k")
@@ -386,14 +416,25 @@ def rint(spark, sf_dir):
 
 @query("mixture")
 def mixture(spark, sf_dir):
-    return stats.mixture(table(spark, sf_dir, "events"), ["event_type"], rounds=12, log10=True).withColumn("separator", stats.separator())
+    return stats.mixture(table(spark, sf_dir, "events"), ["event_type"], log10=True)
+
+
+@query("bimodal_check")
+def bimodal_check(spark, sf_dir):
+    return stats.bimodal_check(measurements(spark, sf_dir), ["test"])
+
+
+_SPLIT = f"""s AS (SELECT test AS t0, unit AS u0, CASE WHEN line_no <= 3 THEN 'low' WHEN line_no <= 5 THEN 'high' ELSE 'all' END AS sub, CASE WHEN order_id % 2 = 0 THEN 'cand' ELSE 'targ' END AS side, value FROM m),
+ hk AS (SELECT t0, u0, sub, value, count(*) FILTER (WHERE side = 'cand') AS c, count(*) FILTER (WHERE side = 'targ') AS t FROM s GROUP BY ALL), dk AS (SELECT t0, u0, sub, sum(c) OVER w AS cc, sum(t) OVER w AS ct, sum(c) OVER (PARTITION BY t0, u0, sub) AS n, sum(t) OVER (PARTITION BY t0, u0, sub) AS m FROM hk WINDOW w AS (PARTITION BY t0, u0, sub ORDER BY value ROWS UNBOUNDED PRECEDING)),
+ x AS (SELECT t0 AS test, u0 AS unit, sub, max(n) AS n, max(abs(cc / n - ct / m)) AS ks FROM dk WHERE n > 0 AND m > 0 GROUP BY ALL)"""
 
 
-@query("split_score", f"WITH {M_SQL}, x AS (SELECT test, unit, CASE WHEN line_no <= 3 THEN 'low' WHEN line_no <= 5 THEN 'high' ELSE 'all' END AS sub, round(avg(value) / 60, 6) AS ks, count(*) AS n FROM m WHERE unit IN ('Brand#1', 'Brand#2', 'Brand#3') GROUP BY ALL), b AS (SELECT test, sub, min(ks) AS ks, arg_min(unit, (ks, unit)) AS unit, max(n) AS n FROM x GROUP BY 1, 2), q AS (SELECT a.test, a.ks AS ks_all, (l.ks * l.n + h.ks * h.n) / (l.n + h.n) AS ks_split, l.unit = h.unit AS same_unit FROM b a JOIN b l ON a.test = l.test AND l.sub = 'low' JOIN b h ON a.test = h.test AND h.sub = 'high' WHERE a.sub = 'all') SELECT test, ks_all, round(ks_split, 6) AS ks_split, round((ks_all - ks_split) / ks_all, 6) AS improvement, same_unit FROM q")
+@query("split_score", f"WITH {M_SQL}, {_SPLIT}, b AS (SELECT test, sub, min(ks) AS ks, arg_min(unit, (ks, unit)) AS unit, max(n) AS n FROM x GROUP BY 1, 2), q AS (SELECT a.test, a.ks AS ks_all, (l.ks * l.n + h.ks * h.n) / (l.n + h.n) AS ks_split, l.unit = h.unit AS same_unit FROM b a JOIN b l ON a.test = l.test AND l.sub = 'low' JOIN b h ON a.test = h.test AND h.sub = 'high' WHERE a.sub = 'all') SELECT test, round(ks_all, 6) AS ks_all, round(ks_split, 6) AS ks_split, round(CASE WHEN ks_all > 0 THEN (ks_all - ks_split) / ks_all ELSE 0 END, 6) AS improvement, same_unit FROM q")
 def split_score(spark, sf_dir):
-    m = measurements(spark, sf_dir).filter("unit IN ('Brand#1', 'Brand#2', 'Brand#3')")
-    x = m.groupBy("test", "unit", F.when(F.col("line_no") <= 3, "low").when(F.col("line_no") <= 5, "high").otherwise("all").alias("sub")).agg(F.round(F.avg("value") / 60, 6).alias("ks"), F.count("*").alias("n"))
-    return stats.split_score(x, ["test"]).withColumns(r6("ks_split", "improvement"))
+    sub = F.when(F.col("line_no") <= 3, "low").when(F.col("line_no") <= 5, "high").otherwise("all").alias("sub")
+    m = measurements(spark, sf_dir).select("test", "unit", sub, F.when(F.col("order_id") % 2 == 0, "cand").otherwise("targ").alias("side"), "value")
+    x = stats.ks(m, ["test", "unit", "sub"], exact_rows=0).select("test", "unit", "sub", "ks", F.col("n_cand").alias("n"))
+    return stats.split_score(x, ["test"]).withColumns(r6("ks_all", "ks_split", "improvement"))
 
 
 @query("unambiguous_pass")
@@ -409,25 +450,65 @@ def ambiguous_pass(spark, sf_dir):
     return units.ambiguous_pass(units.samples(u), units.classify(units.targets(u, 10), top), top)
 
 
-@query("unharmonised_audit", f"WITH {M_SQL}, s AS (SELECT concept AS event_type, CASE WHEN unit = 'Brand#1' THEN 'cand' ELSE 'targ' END AS side, value FROM m WHERE concept <= 20), {_KS} SELECT event_type AS concept, n_cand, n_targ, round(ks, 6) AS ks, CASE WHEN least(n_cand, n_targ) < 10 THEN 'INSUFFICIENT_DATA' WHEN ks < 0.3 THEN 'SUCCESS' ELSE 'KS_FAIL' END AS status FROM k WHERE n_cand > 0")
+@query("unharmonised_audit", f"WITH {M_SQL}, s AS (SELECT concept AS event_type, CASE WHEN unit = 'Brand#1' THEN 'cand' ELSE 'targ' END AS side, value FROM m), {_KS}, z AS (SELECT event_type AS concept, count(*) FILTER (WHERE side = 'cand') AS n_cand, count(*) FILTER (WHERE side = 'targ') AS n_targ FROM s GROUP BY 1), r AS (SELECT z.*, round(ks, 6) AS ks, CASE WHEN ks IS NOT NULL THEN {_p('ks', 'z.n_cand', 'z.n_targ')} END AS ks_p, CASE WHEN z.n_targ = 0 THEN 'NO_REF_DATA' WHEN least(z.n_cand, z.n_targ) < 10 THEN 'INSUFFICIENT_DATA' WHEN ks < 0.3 THEN 'SUCCESS' ELSE 'KS_FAIL' END AS status FROM z LEFT JOIN k ON z.concept = k.event_type WHERE z.n_cand > 0) SELECT r.*, CASE WHEN status = 'SUCCESS' THEN u.unit END AS proposed_unit FROM r LEFT JOIN (VALUES (1, 'g'), (2, 'mg')) AS u(concept, unit) USING (concept)")
 def unharmonised_audit(spark, sf_dir):
-    m = measurements(spark, sf_dir).filter("concept <= 20").select("concept", F.when(F.col("unit") == "Brand#1", "cand").otherwise("targ").alias("side"), "value")
-    return audit.unharmonised_audit(m, ["concept"], inline(spark, "(1, 'g'), (2, 'mg')", "concept, target_unit")).select("concept", "n_cand", "n_targ", F.round("ks", 6).alias("ks"), "status")
+    m = measurements(spark, sf_dir).select("concept", F.when(F.col("unit") == "Brand#1", "cand").otherwise("targ").alias("side"), "value")
+    return audit.unharmonised_audit(m, ["concept"], inline(spark, "(1, 'g'), (2, 'mg')", "concept, target_unit"), exact_rows=0).withColumns(r6("ks", "ks_p"))
 
 
-SQL["unharmonised_audit"] = SQL["unharmonised_audit"].replace("FROM k WHERE n_cand > 0", "FROM k WHERE n_cand > 0 AND ks IS NOT NULL")
+_RULES = "(1, 'SMALL', 'Brand#1'), (2, 'LARGE', 'Brand#9'), (3, 'NONE', 'Brand#1')"
 
 
-@query("injection_audit", f"WITH {M_SQL}, s AS (SELECT concept AS event_type, CASE WHEN unit = 'Brand#1' AND test = 'SMALL' THEN 'cand' ELSE 'targ' END AS side, value FROM m WHERE concept <= 20), {_KS} SELECT event_type AS concept, rule, n_cand AS n_rule, n_targ AS n_rest, round(ks, 6) AS ks FROM (VALUES (1)) AS r(rule) LEFT JOIN (SELECT * FROM k WHERE n_cand > 0) ON true")
+@query("injection_audit", f"WITH {M_SQL}, f AS (SELECT rule, concept, value, count(*) AS c FROM m JOIN (VALUES {_RULES}) AS r(rule, t, u) ON test = t AND unit = u AND line_no > 1 GROUP BY ALL), g AS (SELECT DISTINCT rule, concept FROM f), w AS (SELECT concept, value, count(*) AS k FROM m GROUP BY ALL), x AS (SELECT g.rule, g.concept, w.value, coalesce(f.c, 0) AS c, k - coalesce(f.c, 0) AS t FROM g JOIN w USING (concept) LEFT JOIN f ON f.rule = g.rule AND f.concept = g.concept AND f.value = w.value), d AS (SELECT rule, concept, sum(c) OVER o AS cc, sum(t) OVER o AS ct, sum(c) OVER (PARTITION BY rule, concept) AS n, sum(t) OVER (PARTITION BY rule, concept) AS m FROM x WINDOW o AS (PARTITION BY rule, concept ORDER BY value ROWS UNBOUNDED PRECEDING)), k AS (SELECT rule, concept, max(n)::BIGINT AS n_rule, max(m)::BIGINT AS n_rest, max(abs(cc / n - ct / m)) AS ks FROM d GROUP BY 1, 2), a AS (SELECT r.rule, concept, n_rule, n_rest, ks, CASE WHEN ks IS NOT NULL THEN {_p('ks', 'n_rule', 'n_rest')} END AS p, count(*) OVER () AS tests FROM (VALUES {_RULES}) AS r(rule, t, u) LEFT JOIN k USING (rule)) SELECT rule, concept, n_rule, n_rest, round(ks, 6) AS ks, p, CASE WHEN n_rule IS NULL THEN 'NO_DATA' WHEN n_rest = 0 THEN 'NO_OMOP_DATA' WHEN p < 0.05 / tests THEN 'FAILED_KS' ELSE 'SUCCESS' END AS status FROM a")
 def injection_audit(spark, sf_dir):
-    m = measurements(spark, sf_dir).filter("concept <= 20").withColumn("fixed", (F.col("unit") == "Brand#1") & (F.col("test") == "SMALL"))
-    return audit.injection_audit(m, inline(spark, "(1, 'SMALL', 'Brand#1')", "rule, test, unit")).select("concept", "rule", "n_rule", "n_rest", F.round("ks", 6).alias("ks"))
+    m = measurements(spark, sf_dir).withColumn("fixed", F.col("line_no") > 1)
+    return audit.injection_audit(m, inline(spark, _RULES, "rule, test, unit"), exact_rows=0).withColumns(r6("ks", "p"))
 
 
-@query("extracted_audit", f"WITH {M_SQL}, a AS (SELECT concept, CASE WHEN line_no <= 2 THEN 'cand' ELSE 'targ' END AS side, value FROM m), g AS (SELECT concept, side, avg(value) AS mu, stddev_samp(value) AS sd FROM a GROUP BY 1, 2), s AS (SELECT concept AS event_type, side, value FROM a JOIN g USING (concept, side) WHERE abs(value - mu) <= 3 * sd OR coalesce(sd, 0) = 0), {_KS}, md AS (SELECT event_type, quantile_cont(value, 0.5) FILTER (WHERE side = 'cand') AS median_cand, quantile_cont(value, 0.5) FILTER (WHERE side = 'targ') AS median_targ FROM s GROUP BY 1) SELECT event_type AS concept, n_cand, n_targ, round(ks, 6) AS ks, median_cand, median_targ, round(n_cand / n_targ, 4) AS n_ratio FROM k JOIN md USING (event_type)")
+@query("extracted_audit", f"WITH {M_SQL}, a AS (SELECT concept, CASE WHEN line_no <= 2 THEN 'cand' ELSE 'targ' END AS side, value FROM m), g AS (SELECT concept, side, avg(value) AS mu, stddev_samp(value) AS sd FROM a GROUP BY 1, 2), s AS (SELECT concept AS event_type, side, value FROM a JOIN g USING (concept, side) WHERE abs(value - mu) <= 3 * sd OR coalesce(sd, 0) = 0), {_KS}, md AS (SELECT event_type, quantile_cont(value, 0.5) FILTER (WHERE side = 'cand') AS median_cand, quantile_cont(value, 0.5) FILTER (WHERE side = 'targ') AS median_targ, round(quantile_cont(value, 0.1) FILTER (WHERE side = 'cand'), 6) AS cand_d1, round(quantile_cont(value, 0.9) FILTER (WHERE side = 'targ'), 6) AS targ_d9 FROM s GROUP BY 1) SELECT event_type AS concept, n_cand, n_targ, round(ks, 6) AS ks, median_cand, median_targ, cand_d1, targ_d9, round(n_cand / n_targ, 4) AS n_ratio, row_number() OVER (ORDER BY round(ks, 9) DESC, event_type) AS rank FROM k JOIN md USING (event_type)")
 def extracted_audit(spark, sf_dir):
     m = measurements(spark, sf_dir).select("concept", F.when(F.col("line_no") <= 2, "cand").otherwise("targ").alias("side"), "value")
-    return audit.extracted_audit(m).drop("rank").withColumns(r6("ks"))
+    out = audit.extracted_audit(m).withColumns({"cand_d1": F.round(F.col("deciles_cand")[1], 6), "targ_d9": F.round(F.col("deciles_targ")[9], 6)})
+    return out.drop("deciles_cand", "deciles_targ").withColumns(r6("ks"))
+
+
+@query("audit_reference", f"WITH {M_SQL}, r AS (SELECT concept, count(value) AS ref_rows, quantile_cont(value, 0.5) AS ref_median FROM m WHERE line_no <= 3 GROUP BY 1), t AS (SELECT concept, unit FROM m WHERE line_no <= 3 GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY concept ORDER BY count(*) DESC, unit) = 1), c AS (SELECT concept, test, count(*) AS n_rows FROM m WHERE line_no > 3 GROUP BY 1, 2) SELECT c.*, ref_rows, t.unit AS ref_unit, round(ref_median, 6) AS ref_median, u.unit AS target_unit FROM c LEFT JOIN r USING (concept) LEFT JOIN t USING (concept) LEFT JOIN (VALUES (1, 'g'), (2, 'mg')) AS u(concept, unit) USING (concept)")
+def audit_reference(spark, sf_dir):
+    m = measurements(spark, sf_dir)
+    found = audit.candidates(m.filter("line_no > 3").withColumn("harm_value", F.lit(None).cast("double")), ["concept", "test"])
+    out = audit.with_reference(found, audit.reference_stats(m.filter("line_no <= 3")), inline(spark, "(1, 'g'), (2, 'mg')", "concept, target_unit"))
+    return out.select("concept", "test", "n_rows", "ref_rows", "ref_unit", F.round(F.col("ref_quantiles")[5], 6).alias("ref_median"), "target_unit")
+
+
+@query("units_json", f"WITH {M_SQL}, c AS (SELECT concept, unit, count(*) AS n FROM m GROUP BY 1, 2) SELECT concept, concat('{{', string_agg(concat('\"', unit, '\":', n), ',' ORDER BY unit), '}}') AS json FROM c GROUP BY 1")
+def units_json(spark, sf_dir):
+    counts = measurements(spark, sf_dir).groupBy("concept", "unit").agg(F.count("*").alias("n"))
+    return audit.as_json(counts, ["concept"], "unit", "n")
+
+
+@query("content_hash", "SELECT c_custkey, sha256(concat('{\"c_name\":\"', c_name, '\",\"c_mktsegment\":', CASE WHEN c_custkey % 3 = 0 THEN 'null' ELSE concat('\"', c_mktsegment, '\"') END, '}')) AS hash FROM customer")
+def content_hash(spark, sf_dir):
+    df = table(spark, sf_dir, "customer").select("c_custkey", "c_name", F.when(F.col("c_custkey") % 3 != 0, F.col("c_mktsegment")).alias("c_mktsegment"))
+    return audit.content_hash(df, ["c_name", "c_mktsegment"]).select("c_custkey", "hash")
+
+
+@query("multi_key_sort", "SELECT o_orderkey, o_custkey, o_orderpriority FROM orders ORDER BY o_orderpriority, o_custkey DESC, o_orderkey")
+def multi_key_sort(spark, sf_dir):
+    return dedup.sort_by(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority"), "o_orderpriority", "-o_custkey", "o_orderkey")
+
+
+@query("left_reports", "SELECT o_orderkey, o_custkey, CASE WHEN c_custkey IS NULL THEN 'NA' ELSE coalesce(c_mktsegment, 'NA') END AS report FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 3 <> 0) ON o_custkey = c_custkey")
+def left_reports(spark, sf_dir):
+    reports = table(spark, sf_dir, "customer").filter("c_custkey % 3 <> 0").select(F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("report"))
+    return readers.left_reports(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), reports, ["o_custkey"])
+
+
+@query("rule_vocabulary", "WITH v AS (SELECT lower(trim(p_type)) AS t, lower(trim(p_brand)) AS u, arg_min(p_name, p_partkey) AS name FROM part GROUP BY 1, 2), r AS (SELECT p_partkey AS rule, concat(' ', upper(p_type)) AS test, p_brand AS unit FROM part WHERE p_size <> 1) SELECT rule, test, unit, name FROM r LEFT JOIN v ON lower(trim(test)) = t AND lower(trim(unit)) = u")
+def rule_vocabulary(spark, sf_dir):
+    p = table(spark, sf_dir, "part")
+    rules = p.filter("p_size <> 1").select(F.col("p_partkey").alias("rule"), F.concat(F.lit(" "), F.upper("p_type")).alias("test"), F.col("p_brand").alias("unit"))
+    words = p.select(F.col("p_type").alias("test"), F.col("p_brand").alias("unit"), F.col("p_name").alias("name"), F.col("p_partkey").alias("at"))
+    return readers.rules_with_vocabulary(rules, words, "at").select("rule", "test", "unit", "name")
 
 
 # ------------------------------------------------------------------------------------------------ phenotypes
@@ -534,10 +615,10 @@ def phenotype_covariates(spark, sf_dir):
     return pheno.with_covariates(pheno.person_median(m, 7).select("person", "value"), cov)
 
 
-@query("limit_choice", f"WITH {M_SQL}, c AS (SELECT concept, value, coalesce({CODED}, 'NA') AS o FROM m), {_walk_sql(True, 0.2)}, {_walk_sql(False, 0.2)} SELECT concept, coalesce(low, '-inf'::DOUBLE) AS low, coalesce(low_problem, false) AS low_problem, coalesce(high, 'inf'::DOUBLE) AS high, coalesce(high_problem, false) AS high_problem FROM (SELECT DISTINCT concept FROM c) LEFT JOIN l_low USING (concept) LEFT JOIN l_high USING (concept)")
+@query("limit_choice", _choice_sql() + " SELECT * FROM ch")
 def limit_choice(spark, sf_dir):
-    w = limits.walk_limits(_coded(spark, sf_dir), 0.2)
-    return limits.choose_limits(w, w)
+    df = _coded(spark, sf_dir)
+    return limits.choose_limits(limits.walk_limits(df, 0.3), limits.walk_limits(df, 0.2), MANY)
 
 
 @query("spreadsheet_text", "SELECT event_id, CASE WHEN user_id % 3 = 0 THEN concat('''=', event_type) ELSE event_type END AS text FROM events")

@@ -23,14 +23,20 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-RAW_UNIT = "CASE p_size % 9 WHEN 0 THEN 'MMOL / L' WHEN 1 THEN 'y/l' WHEN 2 THEN 'kpl' WHEN 3 THEN 'Indeksi' WHEN 4 THEN '(mg.l)' WHEN 5 THEN 'sek' WHEN 6 THEN ' - ' WHEN 7 THEN 'pg/ml' ELSE concat(p_brand, '_u/l') END"
+RAW_UNIT = "CASE p_size % 12 WHEN 9 THEN '10e9 / L' WHEN 10 THEN '5E6/l' WHEN 11 THEN 'mmo/l' WHEN 0 THEN 'MMOL / L' WHEN 1 THEN 'y/l' WHEN 2 THEN 'kpl' WHEN 3 THEN 'Indeksi' WHEN 4 THEN '(mg.l)' WHEN 5 THEN 'sek' WHEN 6 THEN ' - ' WHEN 7 THEN 'pg/ml' ELSE concat(p_brand, '_u/l') END"
 UNIT_MAP = "('mmol/l', 'mmol/l'), ('sek', 's'), ('kpl', 'kpl')"
-PLAIN = [(p, r) for p, r in clean.UNIT_REWRITES if "(?=" not in p]
+#: The rewrites with look-ahead, for an engine without it.
+AHEAD = {
+    r"(^(\b)?\d+(?=e\d+))": [(r"^\d+(e\d+)", r"\1")],
+    r"(à?x?(10)?e0?(?=\d)|x?10(\^|\*)|^\^(?=[0-9]+.?l))": [(r"à?x?(?:10)?e0?(\d)", r"e\1"), (r"x?10(?:\^|\*)", "e"), (r"^\^([0-9]+.?l)", r"e\1")],
+    r"(mo(t|l|i)?(l)?)(?=$)|nol": [(r"mo(?:t|l|i)?l?$|nol", "mol")],
+}
 
 
 def _nested(column: str) -> str:
-    for p, r in PLAIN:
-        column = f"regexp_replace({column}, '{p}', '{r}', 'g')"
+    for p, r in clean.UNIT_REWRITES:
+        for pattern, new in AHEAD.get(p, [(p, r)]):
+            column = f"regexp_replace({column}, '{pattern}', '{new}', 'g')"
     return column
 
 
@@ -39,7 +45,7 @@ def _nested(column: str) -> str:
  SELECT p_partkey, unit, nullif(CASE WHEN d.a IS NOT NULL THEN d.b ELSE {_nested('unit')} END, 'NA') AS clean_unit FROM u LEFT JOIN d ON unit = d.a""")
 def clean_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = table(spark, sf_dir, "part").select("p_partkey", clean.strip_unit(F.expr(RAW_UNIT)).alias("unit"))
-    return clean.fix_units(df, "unit", inline(spark, UNIT_MAP, "from, to").toDF("from", "to"), pairs=PLAIN)
+    return clean.fix_units(df, "unit", inline(spark, UNIT_MAP, "from, to").toDF("from", "to"))
 
 
 @query("clean_names", "SELECT p_partkey, replace(regexp_replace(concat('1234,', p_name, '*_', p_size), '_|\\*|#|%|^\\d{4},|,\\d{4}$', '', 'g'), '–', '-') AS name FROM part")
@@ -205,20 +211,20 @@ def _qc(spark, sf_dir):
 
 
 @query("value_fix_rules", f"""WITH {M_SQL}, a AS (SELECT *, CASE WHEN concept = 1 AND value < 10 THEN value * 10 WHEN concept = 2 AND value >= 25 THEN value * CAST(0.1 AS DOUBLE) WHEN concept = 3 AND line_no > 3 AND value = 7 THEN value * 2 ELSE value END AS v1,
-  CASE WHEN concept = 1 AND value < 10 THEN 'x10' WHEN concept = 2 AND value >= 25 THEN 'tenth' WHEN concept = 3 AND line_no > 3 AND value = 7 THEN 'double' END AS n1 FROM m WHERE concept <= 4)
+  CASE WHEN concept = 1 AND value < 10 THEN 'x10' WHEN concept = 2 AND value >= 25 THEN 'tenth' WHEN concept = 3 AND line_no > 3 AND value = 7 THEN 'double' END AS n1 FROM m)
  SELECT order_id, line_no, concept, value, CASE WHEN concept = 1 AND v1 > 90 THEN v1 * 0.5 ELSE v1 END AS merged_value, nullif(concat_ws('; ', n1, CASE WHEN concept = 1 AND v1 > 90 THEN 'half' END), '') AS qc_note FROM a""")
 def value_fix_rules(spark, sf_dir):
     rules = inline(spark, VALUE_RULES, "concept, seq, column, side, limit, factor, note")
-    return qc.fix_values(_qc(spark, sf_dir).filter("concept <= 4"), rules).select("order_id", "line_no", "concept", "value", "merged_value", "qc_note")
+    return qc.fix_values(_qc(spark, sf_dir), rules).select("order_id", "line_no", "concept", "value", "merged_value", "qc_note")
 
 
 QC_RULES = "(1, 1, '<', 5.0D, 'low'), (1, 2, '>', 45.0D, 'high'), (2, 1, '!=', 20.0D, 'odd'), (3, 1, 'NA', CAST(NULL AS DOUBLE), 'checked')"
 
 
 @query("threshold_qc", f"""WITH {M_SQL} SELECT order_id, line_no, concept, value, CASE WHEN (concept = 1 AND (value < 5 OR value > 45)) OR (concept = 2 AND value <> 20) THEN 0 WHEN concept IN (1, 2, 3) THEN 1 ELSE 2 END AS qc_pass,
- CASE WHEN concept = 1 AND value < 5 THEN 'low' WHEN concept = 1 AND value > 45 THEN 'high' WHEN concept = 2 AND value <> 20 THEN 'odd' END AS qc_note FROM m WHERE concept <= 4""")
+ CASE WHEN concept = 1 AND value < 5 THEN 'low' WHEN concept = 1 AND value > 45 THEN 'high' WHEN concept = 2 AND value <> 20 THEN 'odd' END AS qc_note FROM m""")
 def threshold_qc(spark, sf_dir):
-    return qc.threshold_qc(_qc(spark, sf_dir).filter("concept <= 4"), inline(spark, QC_RULES, "concept, seq, side, limit, note")).select("order_id", "line_no", "concept", "value", "qc_pass", "qc_note")
+    return qc.threshold_qc(_qc(spark, sf_dir), inline(spark, QC_RULES, "concept, seq, side, limit, note")).select("order_id", "line_no", "concept", "value", "qc_pass", "qc_note")
 
 
 @query("outcome_conflict", f"WITH {M_SQL} SELECT outcome, CASE WHEN line_no % 2 = 0 THEN '1' ELSE '0' END AS is_pos, CASE WHEN (outcome = 'N' AND line_no % 2 = 0) OR (outcome = 'A' AND line_no % 2 = 1) THEN 0 ELSE 2 END AS qc_pass, CASE WHEN (outcome = 'N' AND line_no % 2 = 0) OR (outcome = 'A' AND line_no % 2 = 1) THEN 'OUTCOME_EXTRACT_CONFLICT' END AS qc_note, count(*) AS n_rows FROM m GROUP BY ALL")

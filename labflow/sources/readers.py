@@ -3,15 +3,44 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.clean import sanitise_text
 
 # The raw files' columns, in order.  The first one's name differs by data owner: see ``raw_columns``.
-MAIN_COLUMNS = "PERSON_ID EVENT_AGE APPROX_EVENT_DAY TIME asiakirjaoid_pseudo merkintaoid_pseudo entryoid_pseudo load_id_pseudo file_name_pseudo laboratoriotutkimusoid laboratoriotutkimusnimike paikallinentutkimusnimike_koodi paikallinentutkimusnimike_selite tutkimuskoodistonjarjestelma tiedonlahde tutkimusvastauksentila tutkimustulosarvo tutkimustulosyksikko tutkimuksennaytelaatu tutkimuksentekotapa tuloksenpoikkeavuus viitearvoryhma viitevalialkuarvo viitevalialkuyksikko viitevaliloppuarvo viitevaliloppuyksikko".split()
+MAIN_COLUMNS = [
+    "PERSON_ID",
+    "EVENT_AGE",
+    "APPROX_EVENT_DAY",
+    "TIME",
+    "asiakirjaoid_pseudo",
+    "merkintaoid_pseudo",
+    "entryoid_pseudo",
+    "load_id_pseudo",
+    "file_name_pseudo",
+    "laboratoriotutkimusoid",
+    "laboratoriotutkimusnimike",
+    "paikallinentutkimusnimike_koodi",
+    "paikallinentutkimusnimike_selite",
+    "tutkimuskoodistonjarjestelma",
+    "tiedonlahde",
+    "tutkimusvastauksentila",
+    "tutkimustulosarvo",
+    "tutkimustulosyksikko",
+    "tutkimuksennaytelaatu",
+    "tutkimuksentekotapa",
+    "tuloksenpoikkeavuus",
+    "viitearvoryhma",
+    "viitevalialkuarvo",
+    "viitevalialkuyksikko",
+    "viitevaliloppuarvo",
+    "viitevaliloppuyksikko",
+]
 FREETEXT_COLUMNS = [*MAIN_COLUMNS[:9], "tutkimustulosteksti"]
 BAD = "__corrupt"
 
@@ -50,11 +79,36 @@ def header_problems(spark: SparkSession, path: str, expected: Sequence[str]) ->
     return problems.select(F.lit(path).alias("path"), F.inline("p"))
 
 
-def manifest_problems(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of a manifest that don't name a pair of TSV files."""
-    lines = spark.read.text(path).filter(F.trim("value") != "").select("value", F.split("value", r"\s+").alias("parts"))
-    tsv = F.forall("parts", lambda p: p.rlike(r"\.tsv(\.gz)?$"))
-    return lines.select("value", F.when(F.size("parts") != 2, "NOT_A_PAIR").when(~tsv, "NOT_TSV").alias("problem")).filter("problem is not null")
+def manifest_pairs(spark: SparkSession, path: str) -> DataFrame:
+    """line, main, free of each non-empty line of a manifest: two paths with a tab between them."""
+    lines = spark.read.text(path).filter(F.trim("value") != "").select("value", F.split(F.trim("value"), "\t").alias("parts"))
+    return lines.select("value", F.size("parts").alias("n"), F.get("parts", F.lit(0)).alias("main"), F.get("parts", F.lit(1)).alias("free"))
+
+
+def manifest_problems(spark: SparkSession, path: str, main: Sequence[str] = (), free: Sequence[str] = ()) -> DataFrame:
+    """value, problem: lines of a manifest that don't name a pair of existing TSV files with the expected headers.
+
+    A manifest names tens of files, so their existence is asked from the driver; the headers are checked if columns are given.
+    """
+    pairs = manifest_pairs(spark, path)
+    tsv = F.col("main").rlike(r"\.tsv(\.gz)?$") & F.col("free").rlike(r"\.tsv(\.gz)?$")
+    kind = F.when(F.col("n") != 2, "NOT_A_PAIR").when(~tsv, "NOT_TSV")
+    found = [pairs.select("value", kind.alias("problem")).filter("problem is not null")]
+    for r in pairs.filter(kind.isNull()).collect():
+        for file, columns in ((r["main"], main), (r["free"], free)):
+            if not _exists(spark, file):
+                found.append(spark.createDataFrame([(r["value"], "MISSING_FILE")], "value string, problem string"))
+            elif columns:
+                bad = header_problems(spark, file, columns)
+                found.append(bad.select(F.lit(r["value"]).alias("value"), F.concat_ws(" ", F.lit("HEADER"), "problem", "column").alias("problem")))
+    return reduce(DataFrame.unionByName, found)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        return spark.read.format("binaryFile").load(path).select("length").limit(1).count() > 0
+    except AnalysisException:
+        return False
 
 
 def number_in_file(df: DataFrame, out: str = "row_no") -> DataFrame:
@@ -62,8 +116,6 @@ def number_in_file(df: DataFrame, out: str = "row_no") -> DataFrame:
 
     Text sources have no row index, but one file's partitions keep its order: number each partition and add what precedes it.
     """
-    from pyspark.sql import Window
-
     named = df.withColumns({"source_file": F.col("_metadata.file_name"), "__id": F.monotonically_increasing_id()}).persist()
     part = F.shiftright("__id", 33)
     size = named.groupBy("source_file", part.alias("__part")).agg(F.count("*").alias("__k"), F.min("__id").alias("__low"))
@@ -79,10 +131,8 @@ def prefixed(df: DataFrame, prefix: str) -> DataFrame:
 
 def zip_join(main: DataFrame, free: DataFrame, on: Sequence[str] = ("pair_id", "row_no")) -> DataFrame:
     """Rows of a file pair side by side; the shorter file is padded with nulls."""
-    left = prefixed(main.drop(*on), "main.").columns
     m = main.select(*on, *[F.col(c).alias("main." + c) for c in main.columns if c not in on])
     f = free.select(*on, *[F.col(c).alias("freetext." + c) for c in free.columns if c not in on])
-    del left
     return m.join(f, list(on), "full_outer")
 
 
@@ -106,8 +156,11 @@ def left_dimension(df: DataFrame, dim: DataFrame, key: str, broadcast_rows: int
     return df.join(F.broadcast(dim) if dim.count() <= broadcast_rows else dim, key, "left")
 
 
-def left_reports(responses: DataFrame, reports: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return responses.join(reports, list(keys), "left")
+def left_reports(responses: DataFrame, reports: DataFrame, keys: Sequence[str], missing: str | None = "NA") -> DataFrame:
+    """Reports beside the responses they belong to; string columns of a response without a report hold ``missing``."""
+    texts = [c for c, kind in reports.dtypes if kind == "string" and c not in keys]
+    joined = responses.join(reports, list(keys), "left")
+    return joined if missing is None else joined.withColumns({c: F.coalesce(c, F.lit(missing)) for c in texts})
 
 
 def roll_up_reports(df: DataFrame, keys: Sequence[str], seq: str, text: str) -> DataFrame:
@@ -145,6 +198,67 @@ def read_dictionary(spark: SparkSession, path: str, columns: Sequence[str], head
     return spark.read.schema(schema).option("sep", "\t").option("header", header).csv(path)
 
 
+def vocabulary(spark: SparkSession, path: str, names: dict[str, str]) -> DataFrame:
+    """Wanted columns of a vocabulary file under new names, blanks trimmed, each row once."""
+    df = spark.read.option("sep", "\t").option("header", True).csv(path)
+    return df.select(*[F.trim(F.col(f"`{old}`")).alias(new) for old, new in names.items()]).distinct()
+
+
+def approved_units(vocabulary: DataFrame, code: str = "unit", flag: str = "unique") -> DataFrame:
+    """unit: the vocabulary's units that are marked unique for laboratory use."""
+    return vocabulary.filter(F.lower(F.col(flag)).isin("true", "1")).select(F.col(code).alias("unit")).distinct()
+
+
+def unit_fix_table(spark: SparkSession, path: str) -> DataFrame:
+    """test, unit, fix: the first row of each (test, unit) in file order."""
+    lines = read_dictionary(spark, path, ["test", "unit", "fix"]).withColumn("__at", F.monotonically_increasing_id())
+    return first_per_key(lines, ["test", "unit"], "__at").drop("__at")
+
+
+def blacklist_table(spark: SparkSession, path: str) -> DataFrame:
+    return read_dictionary(spark, path, ["concept", "note", "description"]).select(F.col("concept").cast("int"), "note")
+
+
+def value_fix_table(spark: SparkSession, path: str) -> DataFrame:
+    """concept, seq (file order), column, side, limit, factor, note."""
+    raw = read_dictionary(spark, path, ["concept", "column", "limit", "side", "factor", "note"]).withColumn("__at", F.monotonically_increasing_id())
+    seq = F.row_number().over(Window.partitionBy("concept").orderBy("__at"))
+    return raw.select(F.col("concept").cast("int"), seq.alias("seq"), "column", "side", F.col("limit").cast("double"), F.col("factor").cast("double"), "note")
+
+
+def threshold_table(spark: SparkSession, path: str) -> DataFrame:
+    """concept, seq (file order), side, limit (null for "NA"), note."""
+    raw = read_dictionary(spark, path, ["concept", "limit", "side", "note"]).withColumn("__at", F.monotonically_increasing_id())
+    seq = F.row_number().over(Window.partitionBy("concept").orderBy("__at"))
+    return raw.select(F.col("concept").cast("int"), seq.alias("seq"), "side", F.col("limit").try_cast("double").alias("limit"), "note")
+
+
+def plus_table(spark: SparkSession, path: str) -> DataFrame:
+    """concept, text, flag of plus-sign texts that are judged positive or negative."""
+    raw = read_dictionary(spark, path, ["concept", "text", "flag", "description"])
+    return raw.filter(F.col("flag").isin("0", "1")).select(F.col("concept").cast("int"), "text", "flag")
+
+
+def posneg_table(spark: SparkSession, path: str) -> DataFrame:
+    return read_dictionary(spark, path, ["text", "flag"]).filter("text is not null and flag is not null")
+
+
+def target_units(spark: SparkSession, path: str) -> DataFrame:
+    """concept, quantity, target_unit; rows without a unit are no targets."""
+    raw = read_dictionary(spark, path, ["concept", "quantity", "target_unit", "origin"])
+    return raw.filter("target_unit is not null and target_unit != 'NA'").select(F.col("concept").cast("int"), "quantity", "target_unit")
+
+
+def rules_with_vocabulary(rules: DataFrame, words: DataFrame, order: str, keys: Sequence[str] = ("test", "unit")) -> DataFrame:
+    """Rules beside the first vocabulary row of their (test, unit), compared in lower case without outer blanks."""
+    def norm(df: DataFrame) -> DataFrame:
+        return df.withColumns({f"__{k}": F.lower(F.trim(F.col(k))) for k in keys})
+
+    own = [f"__{k}" for k in keys]
+    best = first_per_key(norm(words).drop(*keys), own, order)
+    return norm(rules).join(best, own, "left").drop(*own)
+
+
 def lookup(df: DataFrame, names: DataFrame, key: str, out: str, miss: str = "key", default: str | None = None) -> DataFrame:
     """Dictionary join with three policies for a miss: keep the key, a default, or null."""
     small = F.broadcast(names.select(F.col("from").alias("__from"), F.col("to").alias("__to")))

@@ -46,7 +46,9 @@ def test_sql_twin(spark, sf, duck, name):
 
 @pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(registry.SQL)))
 def test_rows_only(spark, sf, name):
-    assert registry.QUERIES[name](spark, sf).columns
+    """Their values are compared with brute force in test_operators."""
+    rows = registry.QUERIES[name](spark, sf).collect()
+    assert rows and all(any(v is not None for v in r) for r in rows)
 
 
 def test_flagship(spark, sf):

@@ -20,14 +20,13 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|iframe|textarea|title|svg|object|math|xmp)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<[!?][^>]*>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*?)>",
-    re.S | re.I,
-)
-_ATTR = re.compile(r"([a-zA-Z-]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)")
+#: Elements whose content is no markup; it ends at the first end tag of the same name.
+RAW = frozenset("script style noscript template iframe textarea title svg object math xmp".split())
+_RAW_END = {name: re.compile(rf"</{name}\s*+>", re.I) for name in RAW}
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_STOP = re.compile(r"[>\"']")
+_ATTR = re.compile(r"(?<![a-zA-Z-])([a-zA-Z-]++)\s*+=\s*+(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)")
+_DIGITS = re.compile(r"&#(?=[0-9])0*([0-9]{0,8})[0-9]*")
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 BLOCKS = frozenset("html body head article main section div header footer nav aside form fieldset p pre blockquote h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption figure figcaption address details summary dialog menu hr center hgroup search option select button label legend video audio".split())
@@ -46,6 +45,62 @@ ROLES = frozenset("navigation banner contentinfo complementary search menu menub
 LIKELY = frozenset("article body content entry main post story text".split())
 
 
+def _unescape(text: str) -> str:
+    """Character references decoded; a number of any length is no more work than its digits."""
+    if "&#" in text:
+        text = _DIGITS.sub(lambda m: f"&#{m[1] or 0}", text)
+    return html.unescape(text)
+
+
+def tokens(page: str) -> Iterator[tuple[int, int, bool, str | None, str]]:
+    """Start, end, whether it closes, lower-case tag and attributes of each tag; tag None for comments and raw elements.
+
+    A ``>`` in a quoted attribute doesn't end a tag.  If a page has a tag that no ``>`` outside quotes ends, that tag and all
+    later ones end at the first ``>``, so every character is looked at a bounded number of times.
+    """
+    at, n, quotes, last = 0, len(page), True, page.rfind(">")
+    ended: set[str] = set()  # quote signs that no longer occur
+    while (i := page.find("<", at)) >= 0:
+        if page.startswith("<!--", i):
+            j = page.find("-->", i + 4)
+            at = n if j < 0 else j + 3
+            yield i, at, False, None, ""
+            continue
+        if i > last:
+            return
+        if page[i + 1] in "!?":
+            at = page.find(">", i) + 1
+            yield i, at, False, None, ""
+            continue
+        m = _NAME.match(page, i)
+        if not m:
+            at = i + 1
+            continue
+        tag = m[2].lower()
+        if not m[1] and tag in RAW:
+            j = _RAW_END[tag].search(page, page.find(">", i) + 1)
+            at = j.end() if j else n
+            yield i, at, False, None, ""
+            continue
+        k = m.end()
+        while quotes:
+            stop = _STOP.search(page, k)
+            if not stop:
+                quotes = False
+            elif stop[0] == ">":
+                k = stop.start()
+                break
+            else:
+                j = -1 if stop[0] in ended else page.find(stop[0], stop.end())
+                if j < 0:
+                    ended.add(stop[0])
+                k = stop.end() if j < 0 else j + 1
+        if not quotes:
+            k = page.find(">", m.end())
+        at = k + 1
+        yield i, at, bool(m[1]), tag, page[m.end() : k]
+
+
 def _unlikely(tag: str, attrs: str) -> bool:
     found = {k.lower(): v.strip("\"'") for k, v in _ATTR.findall(attrs)}
     if found.get("role", "").lower() in ROLES or found.get("aria-hidden", "").lower() == "true":
@@ -72,41 +127,32 @@ class _Tree:
         self._read(page)
 
     def _read(self, page: str) -> None:
-        stack, opened, links, at = [0], {}, 0, 0
-        inline: list[tuple[str, int]] = []  # marked inline elements that are open
+        stack, links, at = [0], 0, 0
+        opened: dict[str, list[int]] = {}  # depths of the open elements of each tag
         chunks = self.chunks
 
         def pop_to(depth: int) -> None:
             while len(stack) > depth:
-                opened[self.tag[stack.pop()]] -= 1
+                opened[self.tag[stack.pop()]].pop()
 
         def nearest(tags, fences=()) -> int:
-            for depth in range(len(stack) - 1, 0, -1):
-                t = self.tag[stack[depth]]
-                if t in tags:
-                    return depth
-                if t in fences:
-                    return 0
-            return 0
-
-        for m in _TOKEN.finditer(page):
-            if m.start() > at:
-                chunks.append((stack[-1], page[at : m.start()], links > 0))
-            at = m.end()
-            tag = m[3]
+            """Depth of the innermost open element of ``tags``, 0 if one of ``fences`` lies inside it."""
+            depth = max((opened[t][-1] for t in tags if opened.get(t)), default=0)
+            return depth if depth > max((opened[t][-1] for t in fences if opened.get(t)), default=0) else 0
+
+        for start, end, closes, tag, attrs in tokens(page):
+            if start > at:
+                chunks.append((stack[-1], page[at:start], links > 0))
+            at = end
             if tag is None:
                 continue
-            tag = tag.lower()
-            if m[2]:
+            if closes:
                 if tag == "a":
                     links = 0
                 elif opened.get(tag):
-                    depth = nearest((tag,))
-                    if depth:
-                        pop_to(depth)
-                        links = 0
+                    pop_to(opened[tag][-1])
+                    links = 0
                 continue
-            attrs = m[4]
             if tag in SPACE:
                 chunks.append((stack[-1], " ", False))
                 continue
@@ -138,8 +184,8 @@ class _Tree:
             self.main.append(inside)
             self.marked.append(self.marked[up] or bad or tag in NEVER or tag == "header" and not inside or tag not in HEADINGS and self.tag[up] == "header" and self.main[up])
             if tag not in VOID:
+                opened.setdefault(tag, []).append(len(stack))
                 stack.append(len(self.tag) - 1)
-                opened[tag] = opened.get(tag, 0) + 1
         if at < len(page):
             chunks.append((stack[-1], page[at:], links > 0))
 
@@ -155,7 +201,7 @@ def _blocks(tree: _Tree, keep: list[bool]) -> list[str]:
                 out.append(line)
             run, last = [], node
         if keep[node]:
-            run.append(html.unescape(text))
+            run.append(_unescape(text))
     if run and (line := " ".join("".join(run).split())):
         out.append(line)
     return out

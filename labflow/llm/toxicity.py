@@ -2,8 +2,9 @@
 
 A word's vector is the sum of hashed embeddings of the word and of its first 4, 5 and 6 bytes, so inflected and compound
 forms share a vector with their stem.  Filters one, two and three words wide run over the whole text; each filter's
-maximum over the text goes to a logistic layer.  Training uses a bounded sample of labelled rows
-(``SAMPLE_ROWS``, ``SAMPLE_BYTES``), taken in hash order of the id; a fifth of it is left out of training to calibrate
+maximum over the text, from its first to its last word, goes to a logistic layer; zero rows between texts keep them apart.
+Training uses a bounded sample of labelled rows: in hash order of the id, at most ``SAMPLE_ROWS`` of them, up to the first
+whose text would bring the sample above ``SAMPLE_BYTES``; a text that is longer than that alone takes no part.  A fifth of it is left out of training to calibrate
 the score (Platt scaling) and to choose a threshold for each language.  Scoring runs over whole texts, in batches.
 
 Defined cases: a null or empty text is scored as a text without words; words unseen in training add nothing; a language
@@ -26,10 +27,12 @@ from .decontaminate import BREAKS
 
 SAMPLE_ROWS, SAMPLE_BYTES = 8_000, 32 << 20
 TABLE = 1 << 22
-DIM, FILTERS, WIDTHS, PAD = 12, 12, (1, 2, 3), 2
+DIM, FILTERS, WIDTHS = 12, 12, (1, 2, 3)
+PAD = max(WIDTHS)
 #: A feature has an embedding if so many training texts hold it.
 MIN_TEXTS = 3
 SCORE_BYTES = 1 << 20
+RIDGE = 1e-4
 
 
 def featurise(batch: tb.Batch) -> tuple[np.ndarray, np.ndarray]:
@@ -65,29 +68,33 @@ class Model:
         at = np.minimum(np.searchsorted(self.known, buckets), len(self.known) - 1)
         return np.where(self.known[at] == buckets, at, len(self.known)).astype(np.int32)
 
-    def lay(self, rows: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Word vectors with ``PAD`` zero rows after each text, and the start of each text."""
+    def lay(self, rows: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Word vectors with ``PAD`` zero rows after each text, and the places where windows begin in each text: start, stop.
+
+        A window that begins at a text's last word ends in its zero rows; a text without words has one window of zero rows.
+        """
         n = len(first) - 1
         start = first[:-1] + PAD * np.arange(n)
         x = np.zeros((int(first[-1]) + PAD * n + 1, DIM), np.float32)
         if len(rows):
             put = np.arange(len(rows)) + PAD * np.repeat(np.arange(n), np.diff(first))
             x[put] = self.table[rows[:, 0]] + self.table[rows[:, 1]] + self.table[rows[:, 2]] + self.table[rows[:, 3]]
-        return x, start
+        return x, start, start + np.maximum(np.diff(first), 1)
+
+    def maps(self, x: np.ndarray) -> list[np.ndarray]:
+        """Each width's filters at each place."""
+        n = len(x) - max(WIDTHS) + 1
+        return [sum(x[i : n + i] @ w[i] for i in range(width)) + b for width, w, b in zip(WIDTHS, self.filters, self.bias, strict=True)]
 
-    def pooled(self, x: np.ndarray, start: np.ndarray) -> np.ndarray:
-        maps = []
-        for width, w, b in zip(WIDTHS, self.filters, self.bias, strict=True):
-            y = sum(x[i : len(x) - PAD + i] @ w[i] for i in range(width)) + b
-            maps.append(np.maximum.reduceat(y, start, axis=0))
-        return np.maximum(np.concatenate(maps, axis=1), 0)
+    def pooled(self, x: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        ends = np.stack([start, stop], axis=1).ravel()
+        return np.maximum(np.concatenate([np.maximum.reduceat(y, ends, axis=0)[::2] for y in self.maps(x)], axis=1), 0)
 
     def logits(self, batch: tb.Batch) -> np.ndarray:
         if not len(batch):
             return np.zeros(0)
         buckets, first = featurise(batch)
-        x, start = self.lay(self.rows(buckets), first)
-        return self.pooled(x, start) @ self.out + self.base
+        return self.pooled(*self.lay(self.rows(buckets), first)) @ self.out + self.base
 
     def score(self, batch: tb.Batch) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * self.logits(batch) + self.shift, -30, 30)))
@@ -111,6 +118,32 @@ def fit(texts: list[str], labels: np.ndarray, langs: list[str | None], seed: int
     return model
 
 
+def gradients(model: Model, words: np.ndarray, first: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """Of the weighted logistic loss with a small ridge: by text's logit, by filters, biases and output, and by word vector (laid)."""
+    x, start, stop = model.lay(words, first)
+    places, values = [], []
+    for y in model.maps(x):
+        top = np.stack([s + y[s:e].argmax(axis=0) for s, e in zip(start, stop, strict=True)])
+        places.append(top)
+        values.append(y[top, np.arange(FILTERS)])
+    pooled = np.maximum(np.concatenate(values, axis=1), 0)
+    p = 1 / (1 + np.exp(-np.clip(pooled @ model.out + model.base, -30, 30)))
+    error = ((p - labels) * weights).astype(np.float32)
+    back = error[:, None] * model.out * (pooled > 0)
+    grads: list[np.ndarray] = []
+    gx = np.zeros_like(x)
+    for k, width in enumerate(WIDTHS):
+        g, top = back[:, k * FILTERS : (k + 1) * FILTERS], places[k]
+        gw = np.zeros_like(model.filters[k])
+        for i in range(width):
+            gw[i] = np.einsum("bfd,bf->df", x[top + i], g)
+            np.add.at(gx, (top + i).ravel(), (g[:, :, None] * model.filters[k][i].T[None]).reshape(-1, DIM))
+        grads.append(gw + RIDGE * model.filters[k])
+    grads += [back[:, k * FILTERS : (k + 1) * FILTERS].sum(axis=0) for k in range(len(WIDTHS))]
+    grads.append(pooled.T @ error + RIDGE * model.out)
+    return error, grads, gx
+
+
 def _train(model: Model, rows: list[np.ndarray], labels: np.ndarray, pick: np.ndarray, rng: np.random.Generator, batch: int = 32, steps: int = 1500, rate: float = 0.01) -> None:
     """Adam on the weighted logistic loss; embeddings move only where a filter's maximum lies."""
     share = labels[pick].mean()
@@ -126,29 +159,7 @@ def _train(model: Model, rows: list[np.ndarray], labels: np.ndarray, pick: np.nd
         at += batch
         first = np.r_[0, np.cumsum([len(rows[i]) for i in own])]
         words = np.concatenate([rows[i] for i in own])
-        x, start = model.lay(words, first)
-        stops = np.r_[start[1:], len(x) - 1]
-        places, values = [], []
-        for width, w, b in zip(WIDTHS, model.filters, model.bias, strict=True):
-            y = sum(x[i : len(x) - PAD + i] @ w[i] for i in range(width)) + b
-            top = np.stack([s + y[s:e].argmax(axis=0) for s, e in zip(start, np.minimum(stops, len(y)), strict=True)])
-            places.append(top)
-            values.append(y[top, np.arange(FILTERS)])
-        pooled = np.maximum(np.concatenate(values, axis=1), 0)
-        p = 1 / (1 + np.exp(-np.clip(pooled @ model.out + model.base, -30, 30)))
-        error = ((p - labels[own]) * weights[own] / len(own)).astype(np.float32)
-        back = error[:, None] * model.out * (pooled > 0)
-        grads: list[np.ndarray] = []
-        gx = np.zeros_like(x)
-        for k, width in enumerate(WIDTHS):
-            g, top = back[:, k * FILTERS : (k + 1) * FILTERS], places[k]
-            gw = np.zeros_like(model.filters[k])
-            for i in range(width):
-                gw[i] = np.einsum("bfd,bf->df", x[top + i], g)
-                np.add.at(gx, (top + i).ravel(), (g[:, :, None] * model.filters[k][i].T[None]).reshape(-1, DIM))
-            grads.append(gw + 1e-4 * model.filters[k])
-        grads += [back[:, k * FILTERS : (k + 1) * FILTERS].sum(axis=0) for k in range(len(WIDTHS))]
-        grads.append(pooled.T @ error + 1e-4 * model.out)
+        error, grads, gx = gradients(model, words, first, labels[own], weights[own] / len(own))
         model.base -= 0.5 * float(error.sum())
         fade = np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
         for param, grad, mv in zip(dense, grads, moments, strict=True):
@@ -206,16 +217,16 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = SAMPLE_ROWS) -> Model:
-    """Fit on at most ``rows`` labelled rows outside the held-out quarter, and at most ``SAMPLE_BYTES`` of text."""
+def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = SAMPLE_ROWS, size: int = SAMPLE_BYTES) -> Model:
+    """Fit on at most ``rows`` labelled rows outside the held-out quarter, and at most ``size`` bytes of text."""
     usable = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & ~held_out()).select("doc_id", F.col(label).alias("y"))
     sample = usable.orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id", "y").limit(rows)
     texts = docs.select("doc_id", "lang", "text").join(F.broadcast(sample), "doc_id")  # at most ``rows`` ids
-    sized = texts.select("doc_id", "lang", "y", F.coalesce("text", F.lit("")).alias("text")).withColumn("bytes", F.octet_length("text")).filter(F.col("bytes") <= SAMPLE_BYTES // 16)
-    got, size = [], 0
+    sized = texts.select("doc_id", "lang", "y", F.coalesce("text", F.lit("")).alias("text")).withColumn("bytes", F.octet_length("text")).filter(F.col("bytes") <= size)
+    got, used = [], 0
     for r in sized.orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id", "text", "y").limit(rows).toLocalIterator():
-        size += r["bytes"]
-        if size > SAMPLE_BYTES:
+        used += r["bytes"]
+        if used > size:
             break
         got.append(r)
     return fit([r["text"] for r in got], np.array([r["y"] for r in got], np.int64), [r["lang"] for r in got])

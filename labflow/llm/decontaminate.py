@@ -1,21 +1,23 @@
 """Benchmark decontamination by one Aho-Corasick automaton.
 
-Items are normalised to lower-case words; each run of ten consecutive item words (or a shorter item as a whole) is a
-pattern with a space on either side.  A batch of documents is normalised the same way into one string, with a
-separator that no pattern holds between documents, and scanned once.  An end position maps back through the
-word number to the place in the original text.
+Items are normalised to lower-case words.  A window is ten consecutive item words; every window holds one whole block of the
+item's grid of five words.  The automaton's patterns are these blocks, and the items of fewer than ten words as a whole, each with a
+space on either side: about one node for each byte of the items, where the windows themselves would take sixty for each word.
+A batch of documents is normalised the same way into one string, with a separator that no pattern holds between documents,
+and scanned once.  Around each block found, the windows that hold it are looked up in the sorted hashes of all item windows.
+An end position maps back through the word number to the place in the original text.
 
-The automaton is built on each Python worker from the normalised items, whose size is checked against
-``MAX_BENCHMARK_BYTES``; a test set is a fixed collection and does not grow with the corpus.
+The automaton is built on each Python worker from the normalised items (about 60 MB for 1 MB of them), whose size is checked
+against ``MAX_BENCHMARK_BYTES`` with an error beyond it; a test set is a fixed collection and does not grow with the corpus.
 
 Defined cases: null texts and items have no words; items without words have no pattern; repeated documents are
-judged each on their own; equal item texts are all reported; empty tables give empty or clean results.
+judged each on their own; equal item texts are all reported; a null item id is reported as empty text; empty tables give empty or clean results.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -25,8 +27,8 @@ from pyspark.sql import functions as F
 
 from . import textblocks as tb
 
-WINDOW = 10
-MAX_BENCHMARK_BYTES = 64 << 20
+WINDOW, BLOCK = 10, 5
+MAX_BENCHMARK_BYTES = 8 << 20
 #: Bytes that end a word once A-Z are lower-cased: everything in ASCII but digits and letters.
 BREAKS = np.ones(256, bool)
 BREAKS[0x30:0x3A] = BREAKS[0x61:0x7B] = BREAKS[0x80:] = False
@@ -53,29 +55,83 @@ def normalise(batch: tb.Batch) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarra
     return line.tobytes(), starts, ends, first, at + sizes
 
 
-def item_patterns(words: list[str]) -> list[str]:
-    if not words:
-        return []
-    return [" " + " ".join(words[i : i + WINDOW]) + " " for i in range(max(1, len(words) - WINDOW + 1))]
+@dataclass
+class Machine:
+    """The automaton, whose values are (words, items of fewer than ten words, whether it is a block), and the windows by hash."""
+
+    automaton: object
+    windows: np.ndarray  # sorted hashes
+    items: np.ndarray  # the item of each, by number
+    names: list
 
 
 @lru_cache(maxsize=1)
-def automaton(items: tuple[tuple[object, str], ...]):
-    """Automaton over all patterns; a pattern's value is (its number of words, the items that have it)."""
+def automaton(items: tuple[tuple[object, str], ...]) -> Machine | None:
+    """None if no item has words."""
     import ahocorasick
 
-    found: dict[str, tuple[int, list]] = {}
-    for item, line in items:
+    found: dict[str, tuple[int, list, bool]] = {}
+    keys, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int32)]
+    for number, (item, line) in enumerate(items):
         # bytes stand as latin-1 characters: only the joining space parts words, not U+0085 or U+00A0
-        for p in item_patterns(line.split(" ") if line else []):
-            held = found.setdefault(p, (p.count(" ") - 1, []))
-            if item not in held[1]:
-                held[1].append(item)
+        words = line.split(" ") if line else []
+        if len(words) < WINDOW:
+            if words:
+                held = found.setdefault(f" {line} ", (len(words), [], False))
+                if item not in held[1]:
+                    held[1].append(item)
+            continue
+        for at in range(0, len(words) - BLOCK + 1, BLOCK):
+            p = " " + " ".join(words[at : at + BLOCK]) + " "
+            found[p] = (BLOCK, found[p][1] if p in found else [], True)
+        raw = np.frombuffer(line.encode("latin-1"), np.uint8)
+        starts, ends, _ = tb.words(tb.Batch(raw, np.array([0, len(raw)])), BREAKS)
+        key = np.unique(tb.rolling(tb.word_hashes(raw, starts, ends), WINDOW))
+        keys.append(key), owners.append(np.full(len(key), number, np.int32))
+    if not found:
+        return None
     machine = ahocorasick.Automaton()
     for p, value in found.items():
         machine.add_word(p, value)
     machine.make_automaton()
-    return machine, len(found)
+    key, owner = np.concatenate(keys), np.concatenate(owners)
+    order = np.argsort(key, kind="stable")
+    return Machine(machine, key[order], owner[order], [i for i, _ in items])
+
+
+@dataclass
+class Matches:
+    """What a batch holds: word places and numbers of words of all occurrences, the items of each, and the batch's words."""
+
+    place: list[int]
+    words: list[int]
+    items: list[list]
+    starts: np.ndarray
+    ends: np.ndarray
+    first: np.ndarray
+
+
+def search(machine: Machine | None, batch: tb.Batch) -> Matches:
+    line, starts, ends, first, line_ends = normalise(batch)
+    out = Matches([], [], [], starts, ends, first)
+    found = [(end, v) for end, v in machine.automaton.iter(line.decode("latin-1"))] if machine and len(starts) else []
+    if not found:
+        return out
+    last = np.searchsorted(line_ends, [e for e, _ in found])
+    for w, (_, (n, short, _)) in zip(last.tolist(), found, strict=True):
+        if short:
+            out.place.append(w - n + 1), out.words.append(n), out.items.append(short)
+    begin = last[[block for _, (_, _, block) in found]] - BLOCK + 1
+    place = np.unique((begin[:, None] - np.arange(WINDOW - BLOCK + 1)).ravel())
+    place = place[place >= 0]
+    doc = np.searchsorted(first, place, side="right") - 1
+    place = place[place + WINDOW <= first[doc + 1]]
+    if len(place):
+        key = tb.rolling(tb.word_hashes(tb.lower_ascii(batch.data), starts, ends), WINDOW)[place]
+        a, b = np.searchsorted(machine.windows, key), np.searchsorted(machine.windows, key, side="right")
+        for i in np.flatnonzero(b > a):
+            out.place.append(int(place[i])), out.words.append(WINDOW), out.items.append([machine.names[k] for k in machine.items[a[i] : b[i]]])
+    return out
 
 
 def load_items(benchmark: DataFrame, key: str = "item_id") -> tuple[tuple[object, str], ...]:
@@ -96,25 +152,21 @@ def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = docs.sparkSession.sparkContext.broadcast(load_items(benchmark))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine, patterns = automaton(items.value)
+        machine = automaton(items.value)
         for rows in tb.joined(batches, "text", tb.BATCH_BYTES):
             batch = tb.Batch.of(rows.column("text"))
-            line, starts, ends, first, line_ends = normalise(batch)
+            m = search(machine, batch)
+            starts, ends, first = m.starts, m.ends, m.first
             hit = np.zeros(len(starts) + 1, np.int32)
             names: list[set] = [set() for _ in range(len(batch))]
-            if patterns and len(starts):
-                found = [(end, v) for end, v in machine.iter(line.decode("latin-1"))]
-                if found:
-                    last = np.searchsorted(line_ends, [e for e, _ in found])
-                    docs_hit = np.searchsorted(first, last, side="right") - 1
-                    for w, d, (_, (n, which)) in zip(last.tolist(), docs_hit.tolist(), found, strict=True):
-                        hit[w - n + 1] += 1
-                        hit[w + 1] -= 1
-                        names[d].update(which)
+            for w, n, d, which in zip(m.place, m.words, (np.searchsorted(first, m.place, side="right") - 1).tolist(), m.items, strict=True):
+                hit[w] += 1
+                hit[w + n] -= 1
+                names[d].update(which)
             covered = np.cumsum(hit[:-1]) > 0
             total = np.r_[0, np.cumsum(covered)]
             n_hit = total[first[1:]] - total[first[:-1]]
-            ids = [sorted(map(str, x)) for x in names]
+            ids = [sorted("" if i is None else str(i) for i in x) for x in names]
             spans: list[list] = [[] for _ in range(len(batch))]
             for d in np.flatnonzero(n_hit):
                 own = np.flatnonzero(np.diff(np.r_[0, covered[first[d] : first[d + 1]].astype(np.int8), 0]))
@@ -134,22 +186,16 @@ def clean_only(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = docs.sparkSession.sparkContext.broadcast(load_items(benchmark))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine, patterns = automaton(items.value)
+        machine = automaton(items.value)
         for rows in tb.joined(batches, "text", tb.BATCH_BYTES):
-            line, starts, _, first, line_ends = normalise(tb.Batch.of(rows.column("text")))
+            m = search(machine, tb.Batch.of(rows.column("text")))
             clean = np.ones(rows.num_rows, bool)
-            if patterns and len(starts):
-                ends = [end for end, _ in machine.iter(line.decode("latin-1"))]
-                clean[np.searchsorted(first, np.searchsorted(line_ends, ends), side="right") - 1] = not ends
+            clean[np.searchsorted(m.first, np.array(m.place, np.int64), side="right") - 1] = False
             yield rows.filter(pa.array(clean))
 
     return docs.mapInArrow(task, docs.schema)
 
 
-def item_digest(items: list[str]) -> str:
-    return hashlib.sha256(",".join(items).encode()).hexdigest()
-
-
 def op8_decontamination(spark, sf_dir: str) -> DataFrame:
     from .common import table
 

@@ -78,7 +78,7 @@ def curve_keys(ids: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     n = len(offsets) - 1
     bucket, sign = _id_table(1 << max(int(ids.max(initial=0)).bit_length(), 16))
     doc = np.repeat(np.arange(n) * BUCKETS, np.diff(offsets))
-    bags = np.bincount(doc + bucket[ids], weights=sign[ids], minlength=n * BUCKETS).reshape(n, BUCKETS)
+    bags = np.bincount(doc + bucket[ids], weights=sign[ids], minlength=n * BUCKETS).astype(float).reshape(n, BUCKETS)
     bags /= np.maximum(np.linalg.norm(bags, axis=1, keepdims=True), 1e-9)
     flat = np.tanh(bags @ _projection())
     return hilbert(((flat + 1) / 2 * ((1 << BITS) - 1)).astype(np.int64), BITS)

@@ -31,9 +31,13 @@ def test_tokens_equal_the_library():
         assert ids[offsets[i] : offsets[i + 1]].tolist() == library().encode(t, add_special_tokens=False).ids
 
 
-def encoded(end):
+def encoded_texts(texts, end):
     lib = library()
-    return [(i, [*lib.encode(t or "", add_special_tokens=False).ids, end]) for i, t in rows()]
+    return [[*lib.encode(t or "", add_special_tokens=False).ids, end] for t in texts]
+
+
+def encoded(end):
+    return list(zip([i for i, _ in rows()], encoded_texts([t for _, t in rows()], end), strict=True))
 
 
 def crc(ids):
@@ -114,6 +118,51 @@ def base_counts(text):
     return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), dup, len(again)
 
 
+def test_quality_rules_verdict(spark):
+    """Thresholds and verdicts against quartiles of the grid's values, taken one document at a time."""
+    import math
+
+    from labflow.llm import quality_rules as qr
+
+    rng = np.random.default_rng(11)
+    vocab = [f"word{k}" * (1 + k % 3) for k in range(400)]
+    data = []
+    for i in range(900):
+        words = list(rng.choice(vocab, int(rng.integers(25, 120))))
+        if i % 40 == 0:
+            words = [w + "#$%&" for w in words]
+        if i % 55 == 0:
+            words = [w.upper() for w in words]
+        if i % 70 == 0:
+            words = ["x" * 60] * 30
+        lang = ("en", "fi", None)[i % 3 if i < 700 else 0]
+        data.append((i, "\n".join(" ".join(words[k : k + 9]) for k in range(0, len(words), 9)), lang, f"s{i % 2}" if i % 50 else None))
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in qr.judge(df).collect()}
+
+    def cell(v):
+        return 0 if v <= 1e-4 else math.ceil(math.log(v / 1e-4) / math.log(qr.STEP))
+
+    def value(c):
+        return 0.0 if c <= 0 else 1e-4 * qr.STEP**c
+
+    groups = collections.defaultdict(list)
+    for i, _, lang, source in data:
+        for key in ((lang, source), (lang, "*"), ("*", "*")):
+            groups[key].append(got[i])
+    wrong = 0
+    for i, _, lang, source in data:
+        r, failed = got[i], []
+        own = next(groups[k] for k in ((lang, source), (lang, "*"), ("*", "*")) if len(groups[k]) >= qr.MIN_GROUP or k == ("*", "*"))
+        for m, (floor, both) in qr.METRICS.items():
+            low, high = (value(np.quantile([cell(x[m]) for x in own], q)) for q in (0.25, 0.75))
+            spread = max(high - low, floor)
+            if r[m] > high + qr.FENCE * spread or both and r[m] < low - qr.FENCE * spread:
+                failed.append(m)
+        wrong += list(r.failed_rules) != failed or r.kept != (not r.base_failed and not failed)
+    assert wrong == 0 and 0 < sum(not r.kept for r in got.values()) < 200
+
+
 def test_quality_rules(spark, docs):  # noqa: F811
     from labflow.llm.quality_rules import judge
 
@@ -158,6 +207,30 @@ def test_decontamination(spark, docs):  # noqa: F811
     assert find(docs, bench.limit(0)).filter("n_hit > 0").count() == 0
 
 
+def test_decontamination_on_few_words():
+    """Windows at every place of a block, in texts of three words that repeat all the time."""
+    from labflow.llm import decontaminate as dc
+
+    rng = np.random.default_rng(8)
+    made = lambda n: " ".join(rng.choice(["ab", "cd", "ef"], n))
+    items = [(k, made(int(rng.integers(1, 40)))) for k in range(30)]
+    texts = [made(int(rng.integers(0, 200))) for _ in range(60)]
+    machine = dc.automaton(tuple(items))
+    m = dc.search(machine, tb_of(texts))
+    got = {(p, n, i) for p, n, which in zip(m.place, m.words, m.items, strict=True) for i in which}
+    want, base = set(), 0
+    for t in texts:
+        w = t.split()
+        for i, x in items:
+            x = x.split()
+            n = min(len(x), 10)
+            windows = {tuple(x[k : k + n]) for k in range(len(x) - n + 1)}
+            want |= {(base + k, n, i) for k in range(len(w) - n + 1) if tuple(w[k : k + n]) in windows}
+        base += len(w)
+    assert got == want and len(want) > 100
+    assert dc.automaton(((1, ""),)) is None and not dc.search(None, tb_of(texts)).place
+
+
 def test_decontamination_keeps_every_byte_of_a_word(spark, docs):  # noqa: F811
     """Bytes 0x85 and 0xA0 inside UTF-8 words do not part them, in windows of ten words and in short items."""
     from labflow.llm.decontaminate import clean_only, find
@@ -179,6 +252,46 @@ HTML = """<!DOCTYPE html><html><head><title>t</title><script>var a = "<p>no</p>"
 <section class="comments"><p>I love it, really, so much, yes, indeed</section><form><p>Email</form><footer>foot</footer>"""
 
 
+def test_html_is_linear():
+    """Twice the page takes about twice the time, however the page is made to go wrong."""
+    import time
+
+    from labflow.llm.html_text import main_text
+
+    made = [lambda n: "<p><button>" + "<div>" * n, lambda n: "<script " * n, lambda n: "<a " + '"' * n, lambda n: "<b '\"> '" * n, lambda n: "<a<a" * n, lambda n: "<div " + "a" * n + ">", lambda n: "<a x='" * n + ">", lambda n: "<!--" * n, lambda n: "<ul><li>" * n, lambda n: "<p>&#" + "9" * n + ";</p>", lambda n: "<style>" * n + "</styl" * n]
+    for page in made:
+        took = []
+        for n in (10_000, 40_000):
+            began = time.process_time()
+            main_text(page(n))
+            took.append(time.process_time() - began)
+        assert took[1] < 12 * took[0] + 0.3, (page(3), took)
+
+
+def test_html_tokens_against_a_plain_pattern():
+    """On well-formed pages the tags are those of a plain pattern."""
+    from labflow.llm.html_text import tokens
+
+    plain = re.compile(r"<!--.*?-->|<(script|style)\b[^>]*>.*?</\1>|<!doctype[^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S | re.I)
+    rng = np.random.default_rng(3)
+    bits = ["<p>", "</p>", "<div class=\"a > b\" id='x'>", "</div>", "text & more ", "<!-- <p> -->", "<script>if (a < b) '<p>'</script>", "<br/>", "<A HREF=x>", "</A>", "<style>p > a</style>", "<!doctype html>", "\n", "1 < 2 "]
+    for _ in range(200):
+        page = "".join(rng.choice(bits, 40))
+        want = [(m.start(), m.end(), bool(m[2]), m[3].lower() if m[3] else None, m[4] or "") for m in plain.finditer(page)]
+        assert list(tokens(page)) == want
+
+
+def test_html_awkward_rows(spark):
+    from labflow.llm.html_text import extract, main_text
+
+    assert main_text("<p>&#" + "0" * 5000 + "65; &#" + "9" * 5000 + ";</p>") == "A \ufffd"
+    schema = "page_id long, url string, html string, text string, n_chars string, lang int"
+    df = spark.createDataFrame([(1, "u", "<p>one</p>", "clash", "clash", 1)] * 3 + [(None, None, "<p>two", "x", "x", None), (2, "u", "<p>" + "long words " * 600_000, "x", "x", 1)], schema)
+    got = sorted(((r.page_id, r.text if r.n_chars < 10 else "", r.n_chars) for r in extract(df).collect()), key=str)
+    assert got == [(1, "one", 3)] * 3 + [(2, "", 11 * 600_000 - 1), (None, "two", 3)]
+    assert extract(df.limit(0)).count() == 0
+
+
 def test_html(spark):
     from labflow.llm.html_text import extract, main_text
 
@@ -190,6 +303,105 @@ def test_html(spark):
     assert sorted((r.page_id, r.n_chars) for r in extract(df).collect())[2:] == [(2, 0), (3, 0)]
 
 
+def random_model(seed=1):
+    from labflow.llm import toxicity as tx
+
+    rng = np.random.default_rng(seed)
+    texts = ["aaaa bbbb cccc dddd", "", "bbbb", "cccc aaaa", "eeee ffff aaaa aaaa bbbb cccc gggg"]
+    known = np.unique(np.concatenate([tx.featurise(tb_of([t]))[0].ravel() for t in texts[:4]]))
+    known = known[known >= 0]
+    table = np.r_[rng.normal(0, 1, (len(known), tx.DIM)), np.zeros((1, tx.DIM))].astype(np.float32)
+    return texts, tx.Model(known, table, [rng.normal(0, 0.5, (w, tx.DIM, tx.FILTERS)).astype(np.float32) for w in tx.WIDTHS], [rng.normal(0, 0.3, tx.FILTERS).astype(np.float32) for _ in tx.WIDTHS], rng.normal(0, 0.5, tx.FILTERS * len(tx.WIDTHS)).astype(np.float32), 0.2)
+
+
+def tb_of(texts):
+    from labflow.llm import textblocks as tb
+
+    return tb.Batch.of(pa.array(texts, pa.string()))
+
+
+def test_toxicity_forward_pass():
+    """Against a plain loop over windows; a text's score does not depend on its neighbours."""
+    from labflow.llm import toxicity as tx
+
+    texts, model = random_model()
+    want = []
+    for t in texts:
+        buckets, _ = tx.featurise(tb_of([t]))
+        vectors = [sum((model.table[np.searchsorted(model.known, b)] if b in model.known else np.zeros(tx.DIM) for b in row), np.zeros(tx.DIM)) for row in buckets.tolist()]
+        padded = [*vectors, *[np.zeros(tx.DIM)] * 3]
+        pooled = []
+        for width, w, bias in zip(tx.WIDTHS, model.filters, model.bias, strict=True):
+            maps = [sum(padded[p + i] @ w[i] for i in range(width)) + bias for p in range(max(len(vectors), 1))]
+            pooled += list(np.maximum(np.max(maps, axis=0), 0))
+        want.append(float(np.dot(pooled, model.out) + model.base))
+    assert model.logits(tb_of(texts)) == pytest.approx(want, rel=1e-4, abs=1e-4)
+    for i, t in enumerate(texts):
+        assert model.logits(tb_of([t]))[0] == pytest.approx(want[i], rel=1e-4, abs=1e-4)
+
+
+def test_toxicity_gradients():
+    """Against differences of the loss."""
+    from labflow.llm import toxicity as tx
+
+    texts, model = random_model()
+    for name in ("filters", "bias"):
+        setattr(model, name, [x.astype(np.float64) for x in getattr(model, name)])
+    model.table, model.out = model.table.astype(np.float64), model.out.astype(np.float64)
+    labels, weights = np.array([1, 0, 1, 0, 1]), np.array([0.4, 0.1, 0.2, 0.2, 0.1])
+    buckets, first = tx.featurise(tb_of(texts))
+    rows = model.rows(buckets)
+
+    def loss():
+        x, start, stop = model.lay(rows, first)
+        z = model.pooled(x.astype(np.float64), start, stop) @ model.out + model.base
+        ridge = sum((p * p).sum() for p in [*model.filters, model.out]) * tx.RIDGE / 2
+        return (weights * (np.log1p(np.exp(z)) - labels * z)).sum() + ridge
+
+    _, grads, gx = tx.gradients(model, rows, first, labels, weights)
+    rng = np.random.default_rng(2)
+    for param, grad in zip([*model.filters, *model.bias, model.out], grads, strict=True):
+        for at in rng.integers(0, param.size, 6):
+            old = param.flat[at]
+            param.flat[at] = old + 1e-3
+            high = loss()
+            param.flat[at] = old - 1e-3
+            low = loss()
+            param.flat[at] = old
+            assert grad.flat[at] == pytest.approx((high - low) / 2e-3, rel=2e-2, abs=2e-3)
+    # the vector of a word is the sum of its features' rows: its gradient goes to each of them
+    put = np.arange(len(rows)) + tx.PAD * np.repeat(np.arange(len(texts)), np.diff(first))
+    by_row = np.zeros_like(model.table)
+    for k in range(4):
+        np.add.at(by_row, rows[:, k], gx[put])
+    for row in range(len(model.table) - 1):
+        old = model.table[row, 3]
+        model.table[row, 3] = old + 1e-3
+        high = loss()
+        model.table[row, 3] = old - 1e-3
+        low = loss()
+        model.table[row, 3] = old
+        assert by_row[row, 3] == pytest.approx((high - low) / 2e-3, rel=2e-2, abs=2e-3)
+
+
+def test_toxicity_awkward_rows(spark, docs):  # noqa: F811
+    """Clashing columns, nulls, repeated rows, an empty table, and a sample bounded in bytes."""
+    from labflow.llm import toxicity as tx
+
+    labels = spark.createDataFrame([(i, (i or 0) % 2, (i or 0) % 3 == 0) for i in (1, 2, 4, 6, 6, 8, 20, 21, 23, 24, 40, None)], "doc_id long, toxic int, text boolean")
+    model = tx.train(docs, labels, size=3000)
+    got = tx.score(docs, model).collect()
+    assert len(got) == len(rows()) and all(0 <= r.score <= 1 for r in got)
+    same = collections.defaultdict(set)
+    for i, t in rows():
+        same[t or ""].add(i)
+    by_id = collections.defaultdict(set)
+    for r in got:
+        by_id[r.doc_id].add(round(r.score, 9))
+    assert by_id[4] == by_id[5] and by_id[41] == by_id[42] and len(by_id[6]) <= 2 and by_id[1] == by_id[2] == by_id[3]
+    assert tx.score(docs.limit(0), model).count() == 0
+
+
 def test_toxicity_learns(spark):
     from labflow.llm import toxicity
 
@@ -294,6 +506,33 @@ def test_kneser_ney_counts_beyond_16_bits(spark):
         assert got[many] == pytest.approx(got[more] + step * (got[more] - got[few]), rel=1e-3)
 
 
+def test_kneser_ney_thresholds(spark):
+    """Each language and band has the quantile of its own held-out documents, or of the next wider group with enough of them."""
+    from labflow.llm import kneser_ney as kn
+
+    rng = np.random.default_rng(4)
+    data = [(i, ("en", "fi", None)[i % 3] if i < 1500 else "sv", int(i % 4 == 0), 10, float(rng.gamma(4, 0.7))) for i in range(1540)]
+    scored = spark.createDataFrame(data, "doc_id long, lang string, band int, n_words long, log_ppl double")
+    ids = scored.select("doc_id").filter("doc_id % 2 = 0")
+    held = {r.doc_id for r in ids.filter(kn.held_out()).collect()}
+    got = {(r.t_lang, r.t_band): r.limit for r in kn.thresholds(scored, ids).collect()}
+
+    def q(lang=..., band=...):
+        x = [round(p / kn.GRID) * kn.GRID for i, g, b, _, p in data if i in held and lang in (..., g) and band in (..., b)]
+        return len(x), float(np.quantile(x, kn.QUANTILE)) if x else None
+
+    assert set(got) == {(g, b) for g in ("en", "fi", None, "sv") for b in (0, 1)}
+    for (lang, band), limit in got.items():
+        (n0, q0), (n1, q1), (n2, q2), (_, q3) = q(lang, band), q(lang), q(band=band), q()
+        if n0 >= kn.MIN_HELD:
+            want = q0
+        elif n1 >= kn.MIN_HELD:
+            want = max(q1, q1 + q2 - q3) if n2 >= kn.MIN_HELD else q1
+        else:
+            want = q2 if n2 >= kn.MIN_HELD else q3
+        assert limit == pytest.approx(want + np.log(kn.SLACK), abs=1e-6), (lang, band, n0, n1, n2)
+
+
 def test_classifier_edge_cases(spark, docs):  # noqa: F811
     from labflow.llm.kneser_ney import classify
 

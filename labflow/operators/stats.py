@@ -54,14 +54,16 @@ def _reached(d: float, n: float, m: float) -> float:
     reach = round(d * n * m)
     if not reach:
         return 1.0
-    i = np.arange(n + 1)
-    u = np.zeros(n + 1)
-    u[0] = 1.0
+    if (far := 2 * d * d * n * m / (n + m)) > 40:
+        return 2 * math.exp(-far)  # the bound; below what 1 minus a double can tell
+    u = np.zeros(n + 2)  # u[i + 1] is that of i on the current diagonal
+    u[1] = 1.0
     for s in range(1, n + m + 1):
-        j = s - i
-        before = np.r_[0.0, u[:-1]]
-        u = np.where((j >= 0) & (j <= m) & (np.abs(i * m - j * n) < reach), i / s * before + j / s * u, 0.0)
-    return float(min(max(1.0 - u[n], 0.0), 1.0))
+        low, high = max(0, s - m, (s * n - reach) // (n + m) + 1), min(n, s, -((-s * n - reach) // (n + m)) - 1)
+        i = np.arange(low, high + 1)
+        u[low + 1 : high + 2] = (i * u[low : high + 1] + (s - i) * u[low + 1 : high + 2]) / s
+        u[low] = 0.0
+    return float(min(max(1.0 - u[n + 1], 0.0), 1.0))
 
 
 def binned(samples: DataFrame, keys: Sequence[str], bins: int = 100_000, above: int = 500_000) -> DataFrame:

@@ -116,7 +116,8 @@ def ambiguous_pass(sample: DataFrame, classified: DataFrame, top: DataFrame, min
     tests = classified.filter("category = 'AMBIGUOUS'").select("test")
     units = top.join(tests, "test", "left_semi").filter((F.col("pct") > min_pct) & (F.col("cnt") >= min_rows)).select("test", "unit", "pct")
     cand = sample.filter("side = 'cand'").join(tests, "test", "left_semi")
-    shape = stats.bimodal_check(cand, ["test"]).select("test", F.col("separator").alias("cutoff"), "shape", "overlap_pct")
+    # a row per test that several steps read; Spark drops it with the result
+    shape = stats.bimodal_check(cand, ["test"]).select("test", F.col("separator").alias("cutoff"), "shape", "overlap_pct").persist()
     sub = cand.join(shape.select("test", "cutoff"), "test").withColumn("sub", F.explode(F.array(F.lit("all"), F.when(F.col("value") <= F.col("cutoff"), "low").otherwise("high"))))
     enough = sub.groupBy("test", "sub").agg(F.count("*").alias("k")).filter("k >= 2").select("test", "sub")
     left = sub.select("test", "sub", "value").join(enough, ["test", "sub"], "left_semi").join(units.select("test", "unit"), "test").select("test", "sub", "unit", F.lit("cand").alias("side"), "value")

@@ -66,7 +66,7 @@ def unmapped_counts(df: DataFrame, mapped: DataFrame, min_count: int) -> DataFra
     """Unmapped (test, unit) pairs with a count, and whether the test is mapped with another unit."""
     has = mapped.select("test").distinct().withColumn("test_mapped", F.lit(True))
     counts = df.filter("concept is null").groupBy("test", "unit").agg(F.count("*").alias("n_rows")).filter(F.col("n_rows") >= min_count)
-    return counts.join(F.broadcast(has), "test", "left").withColumn("test_mapped", F.coalesce("test_mapped", F.lit(False)))
+    return counts.join(has, "test", "left").withColumn("test_mapped", F.coalesce("test_mapped", F.lit(False)))
 
 
 def reference_stats(df: DataFrame) -> DataFrame:
@@ -102,7 +102,7 @@ def elect_unit(df: DataFrame, locks: DataFrame | None = None) -> DataFrame:
 
     both = side("source").join(side("injected"), keys, "full_outer")
     if locks is not None:
-        both = both.join(F.broadcast(locks.select(*keys, F.col("unit").alias("lock"))), keys, "left")
+        both = both.join(locks.select(*keys, F.col("unit").alias("lock")), keys, "left")
     else:
         both = both.withColumn("lock", F.lit(None).cast("string"))
     target = F.coalesce("lock", "source_unit", "injected_unit")
@@ -148,7 +148,7 @@ def injection_audit(df: DataFrame, rules: DataFrame, alpha: float = 0.05, exact_
 
     Rows: concept, test, unit, fixed, value.  One histogram per concept serves all rules: the rest is the concept minus the rule.
     """
-    made = df.filter("fixed").join(F.broadcast(rules.select("rule", "test", "unit")), ["test", "unit"])
+    made = df.filter("fixed").join(rules.select("rule", "test", "unit"), ["test", "unit"])
     per_rule = made.groupBy("rule", "concept").agg(F.count("*").alias("n"), F.count("value").alias("n_value"))
     own = made.filter("value is not null").groupBy("rule", "concept", "value").agg(F.count("*").alias("c"))
     whole = df.filter("value is not null").groupBy("concept", "value").agg(F.count("*").alias("all"))
@@ -170,7 +170,7 @@ def unharmonised_audit(samples: DataFrame, keys: Sequence[str], units: DataFrame
     """
     sizes = samples.groupBy(*keys).agg(F.count_if(F.col("side") == "cand").alias("n_cand"), F.count_if(F.col("side") == "targ").alias("n_targ"))
     test = stats.ks(samples, keys, exact_rows).select(*keys, "ks", "ks_p")
-    out = sizes.join(test, list(keys), "left").join(F.broadcast(units), "concept", "left").filter("n_cand > 0")
+    out = sizes.join(test, list(keys), "left").join(units, "concept", "left").filter("n_cand > 0")
     status = F.when(F.col("n_targ") == 0, "NO_REF_DATA").when(F.least("n_cand", "n_targ") < min_rows, "INSUFFICIENT_DATA").when(F.col("ks") < limit, "SUCCESS").otherwise("KS_FAIL")
     return out.withColumns({"status": status, "proposed_unit": F.when(status == "SUCCESS", F.col("target_unit"))}).drop("target_unit")
 

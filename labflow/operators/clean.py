@@ -126,7 +126,7 @@ def test_id(national: Column, local: Column) -> tuple[Column, Column]:
 
 def map_keep(df: DataFrame, names: DataFrame, key: str, out: str) -> DataFrame:
     """Look ``key`` up in ``names`` (from, to); what isn't there keeps its own value.  ``matched`` tells which."""
-    small = F.broadcast(names.select(F.col("from").alias("__from"), F.col("to").alias("__to")))  # a dictionary file
+    small = names.select(F.col("from").alias("__from"), F.col("to").alias("__to"))
     both = df.join(small, F.col(key) == F.col("__from"), "left")
     return both.withColumns({"matched": F.col("__from").isNotNull(), out: F.coalesce("__to", key)}).drop("__from", "__to")
 
@@ -168,7 +168,7 @@ def fix_units(df: DataFrame, unit: str, known: DataFrame, out: str = "clean_unit
         return df.withColumn(out, F.col(unit))
     units = df.select(F.col(unit).alias("__unit")).filter("__unit is not null").distinct()
     if mode == "map":
-        small = F.broadcast(known.select(F.col("from").alias("__from"), F.col("to").alias("__to")))
+        small = known.select(F.col("from").alias("__from"), F.col("to").alias("__to"))
         fixed = units.join(small, F.col("__unit") == F.col("__from"), "left").select("__unit", F.when(F.col("__from").isNotNull(), F.col("__to")).otherwise(rewrite_unit(F.col("__unit"), pairs)).alias("__fixed"))
     else:
         fixed = units.select("__unit", rewrite_unit(F.col("__unit"), pairs).alias("__fixed"))

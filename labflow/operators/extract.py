@@ -29,7 +29,7 @@ def merged(harmonised: Column, extracted: Column, source: Column | None = None)
 
 def exact_lookup(df: DataFrame, table: DataFrame, text: str, out: str) -> DataFrame:
     """``out`` by exact text from a table (text, flag)."""
-    t = F.broadcast(table.select(F.col("text").alias("__t"), F.col("flag").alias(out)))
+    t = table.select(F.col("text").alias("__t"), F.col("flag").alias(out))
     return df.join(t, F.col(text) == F.col("__t"), "left").drop("__t")
 
 
@@ -50,14 +50,14 @@ def comparison_outcome(df: DataFrame, text: str, units: DataFrame, approved: Dat
     value = F.get(parts, F.lit(1))
     value = F.when(value.contains("."), F.regexp_replace(F.regexp_replace(value, "0+$", ""), r"\.$", "")).otherwise(value)
     both = df.withColumns({"__has": F.coalesce(has, F.lit(False)), "__sign": sign, "__value": value, "__unit": delete_chars(F.get(parts, F.lit(2)), UNIT_CHARS)})
-    both = both.join(F.broadcast(units.select(F.col("from").alias("__from"), F.col("to").alias("__to"))), F.col("__unit") == F.col("__from"), "left").withColumn("__unit", F.coalesce("__to", "__unit"))
-    both = both.join(F.broadcast(approved.select(F.col("unit").alias("__ok")).distinct()), F.col("__unit") == F.col("__ok"), "left")
+    both = both.join(units.select(F.col("from").alias("__from"), F.col("to").alias("__to")), F.col("__unit") == F.col("__from"), "left").withColumn("__unit", F.coalesce("__to", "__unit"))
+    both = both.join(approved.select(F.col("unit").alias("__ok")).distinct(), F.col("__unit") == F.col("__ok"), "left")
     good = F.col("__has") & F.col("__sign").isin("<", ">") & number("__value").isNotNull() & (F.col("__unit").isNull() | F.col("__ok").isNotNull())
     return both.withColumn(out, F.when(good, F.concat("__sign", "__value", F.coalesce("__unit", F.lit(""))))).drop("__has", "__sign", "__value", "__unit", "__from", "__to", "__ok")
 
 
 def plus_overlay(df: DataFrame, table: DataFrame, text: str = "text", concept: str = "concept", flag: str = "is_pos", out: str = "outcome_text") -> DataFrame:
     """Overwrite flag and outcome text where (text, concept) is in the plus-sign table."""
-    t = F.broadcast(table.filter(F.col("flag").isin("0", "1")).select(F.col("text").alias("__t"), F.col("concept").alias("__c"), F.col("flag").alias("__f")))
+    t = table.filter(F.col("flag").isin("0", "1")).select(F.col("text").alias("__t"), F.col("concept").alias("__c"), F.col("flag").alias("__f"))
     both = df.join(t, (F.col(text) == F.col("__t")) & (F.col(concept) == F.col("__c")), "left")
     return both.withColumns({flag: F.coalesce("__f", flag), out: F.coalesce("__t", out)}).drop("__t", "__c", "__f")

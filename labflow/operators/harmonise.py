@@ -10,14 +10,14 @@ from ..functions.scalar import number
 
 def unit_valid(df: DataFrame, approved: DataFrame, unit: str = "clean_unit") -> DataFrame:
     """``unit_valid``: "1" if the unit is in the approved list, else "0"."""
-    codes = F.broadcast(approved.select(F.col("unit").alias("__ok")).distinct())
+    codes = approved.select(F.col("unit").alias("__ok")).distinct()
     return df.join(codes, F.col(unit) == F.col("__ok"), "left").withColumn("unit_valid", F.when(F.col("__ok").isNotNull(), "1").otherwise("0")).drop("__ok")
 
 
 def unit_fix(df: DataFrame, fixes: DataFrame) -> DataFrame:
     """Replace units by (test, unit): a real target needs a value, target NA always applies."""
     first = fixes.select(F.col("test").alias("__test"), F.col("unit").alias("__unit"), F.col("fix").alias("__fix"))
-    both = df.join(F.broadcast(first), (F.col("test") == F.col("__test")) & F.col("clean_unit").eqNullSafe(F.col("__unit")), "left")
+    both = df.join(first, (F.col("test") == F.col("__test")) & F.col("clean_unit").eqNullSafe(F.col("__unit")), "left")
     applies = F.coalesce((F.col("__fix") == "NA") | (F.col("__fix").isNotNull() & F.col("value").isNotNull()), F.lit(False))
     return both.withColumns({"unit_before_fix": F.col("clean_unit"), "unit_valid": F.when(applies, "unit_fixed").otherwise(F.col("unit_valid")), "clean_unit": F.when(applies, F.nullif("__fix", F.lit("NA"))).otherwise(F.col("clean_unit"))}).drop("__test", "__unit", "__fix")
 
@@ -25,7 +25,7 @@ def unit_fix(df: DataFrame, fixes: DataFrame) -> DataFrame:
 def concept_map(df: DataFrame, mapping: DataFrame) -> DataFrame:
     """Concept and quantity of (test, unit) from approved rows; unmapped is -1."""
     approved = mapping.filter(F.col("status") == "APPROVED").select(F.col("test").alias("__test"), F.col("unit").alias("__unit"), F.col("concept").alias("__concept"), F.col("quantity").alias("quantity"))
-    both = df.join(F.broadcast(approved), (F.col("test") == F.col("__test")) & F.col("clean_unit").eqNullSafe(F.col("__unit")), "left")
+    both = df.join(approved, (F.col("test") == F.col("__test")) & F.col("clean_unit").eqNullSafe(F.col("__unit")), "left")
     return both.withColumn("concept", F.coalesce("__concept", F.lit(-1))).drop("__test", "__unit", "__concept")
 
 
@@ -47,7 +47,7 @@ def conversion_table(conversions: DataFrame, targets: DataFrame) -> DataFrame:
 
 def convert(df: DataFrame, table: DataFrame) -> DataFrame:
     """Harmonised value and unit; formulas round to two decimals, factors don't round."""
-    t = F.broadcast(table.select(F.col("concept").alias("__c"), F.col("quantity").alias("__q"), F.col("source_unit").alias("__u"), F.col("target_unit").alias("harm_unit"), F.col("conversion").alias("factor"), "is_formula", "a", "b"))
+    t = table.select(F.col("concept").alias("__c"), F.col("quantity").alias("__q"), F.col("source_unit").alias("__u"), F.col("target_unit").alias("harm_unit"), F.col("conversion").alias("factor"), "is_formula", "a", "b")
     both = df.join(t, (F.col("concept") == F.col("__c")) & F.col("quantity").eqNullSafe(F.col("__q")) & F.col("clean_unit").eqNullSafe(F.col("__u")), "left")
     v = number("value")
     return both.withColumn("harm_value", F.when(F.col("is_formula"), F.bround(F.col("a") * v + F.col("b"), 2)).otherwise(F.col("a") * v)).drop("__c", "__q", "__u", "is_formula", "a", "b")

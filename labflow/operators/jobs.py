@@ -98,7 +98,7 @@ def minimal(raw: DataFrame, d: Dictionaries) -> Result:
 def unit_fixing(df: DataFrame, d: Dictionaries, mode: str = "map") -> tuple[DataFrame, DataFrame]:
     """Clean units and outcome codes, and the log of changed units."""
     df = df.withColumn("unit", clean.strip_unit(F.col("unit")))
-    known = F.broadcast(d.units.select(F.col("from").alias("__known")))
+    known = d.units.select(F.col("from").alias("__known"))
     df = clean.fix_units(df, "unit", d.units, mode=mode).join(known, F.col("unit") == F.col("__known"), "left")
     # an unknown unit's log shows what the rewrites made of it
     log = unit_log(df.filter("__known is not null"), "unit", "clean_unit", "map").unionByName(unit_log(df.filter("__known is null"), "unit", "clean_unit", "regex"))

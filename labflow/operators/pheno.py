@@ -37,7 +37,7 @@ def binary_screen(df: DataFrame, covariates: Sequence[str], threshold: int) -> D
 def region_hits(hits: DataFrame, regions: DataFrame) -> DataFrame:
     """Each hit's first region (by seq) that holds its position on its chromosome."""
     r = regions.select(F.col("chrom").alias("__c"), "start", "end", "region", "seq")
-    both = hits.join(F.broadcast(r), (F.col("chrom") == F.col("__c")) & F.col("pos").between(F.col("start"), F.col("end")))
+    both = hits.join(r, (F.col("chrom") == F.col("__c")) & F.col("pos").between(F.col("start"), F.col("end")))
     return both.withColumn("__n", F.row_number().over(Window.partitionBy("hit").orderBy("seq"))).filter("__n = 1").drop("__n", "__c", "start", "end", "seq")
 
 

@@ -252,6 +252,23 @@ def deciles(df: DataFrame, keys: Sequence[str], ends: bool = False) -> DataFrame
     return df.groupBy(*keys).agg(F.percentile("value", F.array(*[F.lit(c) for c in cuts])).alias("deciles"))
 
 
+def running_ratio(df: DataFrame, keys: Sequence[str], order: Sequence[str], flag: str, out: str = "ratio") -> DataFrame:
+    """Share of flagged rows among a key's rows up to and including each one, in ``order``.
+
+    Rows are range-partitioned by key and order, so a key with a large part of the rows is cut into pieces; a piece adds what
+    the pieces of its key before it hold.
+    """
+    sort = [*keys, *order]
+    local = df.repartitionByRange(*sort).sortWithinPartitions(*sort).withColumn("__part", F.spark_partition_id()).persist()
+    w = Window.partitionBy("__part", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    inside = local.withColumns({"__n": F.count(F.lit(1)).over(w), "__hit": F.count_if(F.col(flag)).over(w)})
+    sums = inside.groupBy("__part", *keys).agg(F.max("__n").alias("__pn"), F.max("__hit").alias("__ph"))  # a row per key and piece
+    before = Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select("__part", *keys, F.coalesce(F.sum("__pn").over(before), F.lit(0)).alias("__n0"), F.coalesce(F.sum("__ph").over(before), F.lit(0)).alias("__h0"))
+    both = inside.join(offsets, ["__part", *keys])
+    return both.withColumn(out, (F.col("__hit") + F.col("__h0")) / (F.col("__n") + F.col("__n0"))).select(*df.columns, out)
+
+
 def average_rank(df: DataFrame, value: str = "value", keys: Sequence[str] = ()) -> DataFrame:
     """value, k, n, rank: the average rank of each distinct value, from its histogram."""
     hist = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("k"))

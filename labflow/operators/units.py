@@ -81,7 +81,7 @@ def concept_units(mapping: DataFrame, conversions: DataFrame) -> DataFrame:
 def rescue(no_data: DataFrame, concept_table: DataFrame) -> DataFrame:
     """Tests without data take their concept's canonical unit, where there is just one."""
     c = concept_table.select("concept", "status", "canonical")
-    return no_data.join(F.broadcast(c), "concept", "left").withColumn("unit", F.when(F.col("status").isin("SINGLE", "EQUIVALENT"), F.col("canonical")))
+    return no_data.join(c, "concept", "left").withColumn("unit", F.when(F.col("status").isin("SINGLE", "EQUIVALENT"), F.col("canonical")))
 
 
 def samples(df: DataFrame) -> DataFrame:
@@ -94,8 +94,8 @@ def samples(df: DataFrame) -> DataFrame:
 def paired(sample: DataFrame, units: DataFrame) -> DataFrame:
     """Candidate and target values of each (test, unit) in ``units``: every unit meets the test's candidates."""
     u = units.select("test", "unit").distinct()
-    cand = sample.filter("side = 'cand'").drop("unit").join(F.broadcast(u), "test")
-    targ = sample.filter("side = 'targ'").join(F.broadcast(u), ["test", "unit"])
+    cand = sample.filter("side = 'cand'").drop("unit").join(u, "test")
+    targ = sample.filter("side = 'targ'").join(u, ["test", "unit"])
     return cand.select("test", "unit", "side", "value").unionByName(targ.select("test", "unit", "side", "value"))
 
 

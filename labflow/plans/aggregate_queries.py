@@ -550,8 +550,36 @@ def region_top_hit(spark, sf_dir):
 
 @query("running_ratio", "SELECT event_id, round(sum(CASE WHEN user_id % 2 = 0 THEN 1 ELSE 0 END) OVER w / count(*) OVER w, 9) AS ratio FROM events WINDOW w AS (PARTITION BY event_type ORDER BY event_id ROWS UNBOUNDED PRECEDING)")
 def running_ratio(spark, sf_dir):
-    w = Window.partitionBy("event_type").orderBy("event_id").rowsBetween(Window.unboundedPreceding, 0)
-    return table(spark, sf_dir, "events").select("event_id", F.round(F.sum((F.col("user_id") % 2 == 0).cast("int")).over(w) / F.count("*").over(w), 9).alias("ratio"))
+    df = table(spark, sf_dir, "events").select("event_id", "event_type", (F.col("user_id") % 2 == 0).alias("even"))
+    return stats.running_ratio(df, ["event_type"], ["event_id"], "even").select("event_id", F.round("ratio", 9).alias("ratio"))
+
+
+_PUBLISHED = "CAST(person AS VARCHAR) AS \"PERSON_ID\", test AS \"TEST_NAME\", CASE WHEN concept > 1 THEN CAST(concept AS VARCHAR) END AS \"OMOP_CONCEPT_ID\""
+
+
+def _working(spark, sf_dir):
+    m = measurements(spark, sf_dir)
+    odd = F.col("line_no") % 2 == 1
+    return m.select(
+        F.col("order_id").alias("row_id"), "person", "test", F.when(F.col("concept") == 1, 0).otherwise(F.col("concept")).alias("concept"), F.concat(F.lit("T"), "line_no").alias("test_id"), F.when(odd, "1").otherwise("0").alias("is_national"), F.when(odd, F.col("unit")).otherwise("NA").alias("source_unit"),
+        F.when(odd, F.col("value").cast("string")).otherwise("x").alias("range_low"), F.lit("F").alias("status"), F.col("unit").alias("clean_unit"), F.when(odd, F.col("value")).alias("extracted_value"), F.col("value").cast("string").alias("value"), F.lit("secret").alias("text"),
+    )
+
+
+@query("release_extended", f"WITH {M_SQL} SELECT order_id AS \"ROW_ID\", {_PUBLISHED}, concat('T', line_no) AS \"TEST_ID\", line_no % 2 = 1 AS \"TEST_ID_IS_NATIONAL\", CASE WHEN line_no % 2 = 1 THEN unit END AS \"MEASUREMENT_UNIT_SOURCE\", CASE WHEN line_no % 2 = 1 THEN value END AS \"REFERENCE_RANGE_LOWER_VALUE\" FROM m")
+def release_extended(spark, sf_dir):
+    out = release.project(release.without(_working(spark, sf_dir)), release.EXTENDED)
+    return out.select("ROW_ID", "PERSON_ID", "TEST_NAME", "OMOP_CONCEPT_ID", "TEST_ID", "TEST_ID_IS_NATIONAL", "MEASUREMENT_UNIT_SOURCE", "REFERENCE_RANGE_LOWER_VALUE")
+
+
+@query("release_munged", f"WITH {M_SQL} SELECT order_id AS \"ROW_ID\", {_PUBLISHED}, 'F' AS \"MEASUREMENT_STATUS\", 'secret' AS \"MEASUREMENT_FREE_TEXT\" FROM m")
+def release_munged(spark, sf_dir):
+    return release.project(release.last(_working(spark, sf_dir)), release.MUNGED).select("ROW_ID", "PERSON_ID", "TEST_NAME", "OMOP_CONCEPT_ID", "MEASUREMENT_STATUS", "MEASUREMENT_FREE_TEXT")
+
+
+@query("release_units", f"WITH {M_SQL} SELECT test AS \"TEST_NAME\", CASE WHEN concept > 1 THEN CAST(concept AS VARCHAR) END AS \"OMOP_CONCEPT_ID\", unit AS \"MEASUREMENT_UNIT\", value AS \"MEASUREMENT_VALUE\", CASE WHEN line_no % 2 = 1 THEN value END AS \"MEASUREMENT_VALUE_EXTRACTED\" FROM m")
+def release_units(spark, sf_dir):
+    return release.project(_working(spark, sf_dir), release.UNITS_INPUT)
 
 
 # ------------------------------------------------------------------------------------------------ smaller operators

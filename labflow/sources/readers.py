@@ -261,7 +261,7 @@ def rules_with_vocabulary(rules: DataFrame, words: DataFrame, order: str, keys:
 
 def lookup(df: DataFrame, names: DataFrame, key: str, out: str, miss: str = "key", default: str | None = None) -> DataFrame:
     """Dictionary join with three policies for a miss: keep the key, a default, or null."""
-    small = F.broadcast(names.select(F.col("from").alias("__from"), F.col("to").alias("__to")))
+    small = names.select(F.col("from").alias("__from"), F.col("to").alias("__to"))
     other = F.col(key) if miss == "key" else F.lit(default)
     return df.join(small, F.col(key) == F.col("__from"), "left").withColumn(out, F.coalesce("__to", other)).drop("__from", "__to")
 

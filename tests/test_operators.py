@@ -102,6 +102,39 @@ def test_loaders(spark, tmp_path):
     assert [r.target_unit for r in readers.target_units(spark, file("t", ("c", "q", "u", "o"), ("1", "mass", "g", "x"), ("2", "mass", "NA", "x"))).collect()] == ["g"]
 
 
+def test_small_pieces(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a", "secret"), (2, None, None)], "n int, x string, text string")
+    assert clean.rename(df, {"x": "y"}).columns == ["n", "y", "text"] and clean.keep_source(df, {"x": "source_x"}).first().source_x == "a"
+    assert release.without(df).columns == ["n", "x"] and release.last(df.select("text", "n", "x")).columns == ["n", "x", "text"]
+    readers.write_parquet(df, str(tmp_path / "p"))
+    assert sorted(map(tuple, readers.read_parquet(spark, str(tmp_path / "p"), ["n", "x"]).collect())) == [(1, "a"), (2, None)]
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS|already exists"):
+        readers.write_parquet(df, str(tmp_path / "p"))
+    for name, row in (("a.tsv", "1\tx"), ("b.tsv", "2\ty")):
+        (tmp_path / name).write_text(f"n\tx\n{row}\n")
+    assert sorted((r.n, r.x) for r in readers.union_files(spark, [str(tmp_path / "a.tsv"), str(tmp_path / "b.tsv")], ["n", "x"]).collect()) == [("1", "x"), ("2", "y")]
+    assert [r.n for r in dedup.sort_by(spark.createDataFrame([(1, "b"), (2, "a"), (3, "a"), (4, None)], "n int, x string"), "x", "-n").collect()] == [4, 3, 2, 1]
+    one = spark.createDataFrame([("c", 3, "b"), ("c", 1, "a")], "k string, n long, u string")
+    assert audit.as_json(one, ["k"], "u", "n").first().json == '{"a":1,"b":3}'
+    hashes = [r.hash for r in audit.content_hash(spark.createDataFrame([(None, "a"), ("", "a"), (None, "a")], "x string, y string"), ["x", "y"]).collect()]
+    assert hashes[0] == hashes[2] != hashes[1]
+    assert audit.with_names(spark.createDataFrame([(1, 5), (2, 6)], "concept int, n int"), spark.createDataFrame([(1, "one")], "concept int, name string")).orderBy("concept").collect()[1].name is None
+
+
+def test_running_ratio_in_pieces(spark):
+    """A key that holds most rows is cut into pieces; the ratios are those of one run through the key."""
+    rnd = random.Random(2)
+    rows = [("hot" if k % 10 else f"k{k % 7}", k, rnd.random() < 0.3) for k in range(2000)]
+    df = spark.createDataFrame(rows, "key string, at int, flag boolean").repartition(5)
+    got = {(r.key, r.at): r.ratio for r in stats.running_ratio(df, ["key"], ["at"], "flag").collect()}
+    seen = {}
+    for key, at, flag in sorted(rows):
+        n, hit = seen.get(key, (0, 0))
+        seen[key] = (n + 1, hit + flag)
+        assert math.isclose(got[key, at], (hit + flag) / (n + 1))
+    assert len(got) == 2000
+
+
 def test_division_by_nothing(spark):
     """Empty tables and zero counts give nulls or zeros, not errors."""
     none = spark.createDataFrame([], "k string, n long, value double")

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.staging import stage
+
 
 def keyed_dedup(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per key: the least in all other columns, nulls first.  Nulls in keys are equal."""
@@ -17,7 +19,7 @@ def keyed_dedup(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def number_rows(df: DataFrame, order: Sequence[str], out: str = "row_id") -> DataFrame:
     """Contiguous ids from 1 in ``order`` (which must tell all rows apart): a range-partitioned sort and one offset per partition."""
-    local = df.orderBy(*order).withColumn("__id", F.monotonically_increasing_id()).persist()
+    local = stage(df.orderBy(*order).withColumn("__id", F.monotonically_increasing_id()), "numbered-rows")
     part = F.shiftright("__id", 33)
     sizes = local.groupBy(part.alias("__part")).agg(F.count("*").alias("__k"))
     before = sizes.select("__part", (F.sum("__k").over(Window.orderBy("__part")) - F.col("__k")).alias("__before"))  # a row per partition

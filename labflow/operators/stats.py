@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalar import kolmogorov_p, normal_quantile
+from ..sources.staging import stage
 
 
 #: Up to so many values on the larger side, p of a Kolmogorov-Smirnov statistic is exact.
@@ -259,7 +260,8 @@ def running_ratio(df: DataFrame, keys: Sequence[str], order: Sequence[str], flag
     the pieces of its key before it hold.
     """
     sort = [*keys, *order]
-    local = df.repartitionByRange(*sort).sortWithinPartitions(*sort).withColumn("__part", F.spark_partition_id()).persist()
+    local = df.repartitionByRange(*sort).sortWithinPartitions(*sort).withColumn("__part", F.spark_partition_id())
+    local = stage(local, "running-rows")
     w = Window.partitionBy("__part", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     inside = local.withColumns({"__n": F.count(F.lit(1)).over(w), "__hit": F.count_if(F.col(flag)).over(w)})
     sums = inside.groupBy("__part", *keys).agg(F.max("__n").alias("__pn"), F.max("__hit").alias("__ph"))  # a row per key and piece

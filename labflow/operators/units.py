@@ -10,6 +10,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.staging import stage
 from . import stats
 
 
@@ -116,13 +117,12 @@ def ambiguous_pass(sample: DataFrame, classified: DataFrame, top: DataFrame, min
     tests = classified.filter("category = 'AMBIGUOUS'").select("test")
     units = top.join(tests, "test", "left_semi").filter((F.col("pct") > min_pct) & (F.col("cnt") >= min_rows)).select("test", "unit", "pct")
     cand = sample.filter("side = 'cand'").join(tests, "test", "left_semi")
-    # a row per test that several steps read; Spark drops it with the result
-    shape = stats.bimodal_check(cand, ["test"]).select("test", F.col("separator").alias("cutoff"), "shape", "overlap_pct").persist()
+    shape = stage(stats.bimodal_check(cand, ["test"]).select("test", F.col("separator").alias("cutoff"), "shape", "overlap_pct"), "sample-shapes")
     sub = cand.join(shape.select("test", "cutoff"), "test").withColumn("sub", F.explode(F.array(F.lit("all"), F.when(F.col("value") <= F.col("cutoff"), "low").otherwise("high"))))
     enough = sub.groupBy("test", "sub").agg(F.count("*").alias("k")).filter("k >= 2").select("test", "sub")
     left = sub.select("test", "sub", "value").join(enough, ["test", "sub"], "left_semi").join(units.select("test", "unit"), "test").select("test", "sub", "unit", F.lit("cand").alias("side"), "value")
     right = sample.filter("side = 'targ'").join(units.select("test", "unit"), ["test", "unit"]).join(enough, "test").select("test", "sub", "unit", "side", "value")
-    verdict = stats.decide(left.unionByName(right), ["test", "sub", "unit"]).join(units, ["test", "unit"])
+    verdict = stage(stats.decide(stage(left.unionByName(right), "unit-samples"), ["test", "sub", "unit"]).join(units, ["test", "unit"]), "unit-verdicts")
     score = stats.split_score(verdict.select("test", "sub", "unit", "ks", F.col("n_cand").alias("n")), ["test"]).join(shape, "test", "left")
     whole = verdict.groupBy("test").agg(F.bool_or((F.col("sub") == "all") & (F.col("verdict") == "PASS")).alias("any_pass"), F.bool_or(F.col("sub") != "all").alias("has_part"))
     prefer = F.coalesce((F.col("improvement") > gain) & ~F.col("same_unit"), F.lit(False))

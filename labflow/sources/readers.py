@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.clean import sanitise_text
+from .staging import stage
 
 # The raw files' columns, in order.  The first one's name differs by data owner: see ``raw_columns``.
 MAIN_COLUMNS = [
@@ -116,7 +117,7 @@ def number_in_file(df: DataFrame, out: str = "row_no") -> DataFrame:
 
     Text sources have no row index, but one file's partitions keep its order: number each partition and add what precedes it.
     """
-    named = df.withColumns({"source_file": F.col("_metadata.file_name"), "__id": F.monotonically_increasing_id()}).persist()
+    named = stage(df.withColumns({"source_file": F.col("_metadata.file_name"), "__id": F.monotonically_increasing_id()}), "file-rows")
     part = F.shiftright("__id", 33)
     size = named.groupBy("source_file", part.alias("__part")).agg(F.count("*").alias("__k"), F.min("__id").alias("__low"))
     w = Window.partitionBy("source_file").orderBy("__part")

@@ -11,8 +11,6 @@ rows and tells the shard of the key once.  So a key that fills a third of the co
 from __future__ import annotations
 
 import struct
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -21,6 +19,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.staging import scratch, stage  # noqa: F401
+
 U64 = np.uint64
 
 #: Text bytes that one shard or one side partition answers for; their number follows the input's size.
@@ -31,40 +31,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the cluster's shared checkpoint folder.
-
-    Where that is not set, a local session gets a temporary folder and any other one the warehouse.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local":
-            root = tempfile.mkdtemp(prefix="spark-")
-        else:
-            root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-#: Spark's own setting: an execution's shuffle files go when it ends.  A staged step's result is in the shared folder by then.
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder and read back: the lineage ends there, so a lost executor costs no earlier work.
-
-    The shuffle files of the step are deleted when it has been written.
-    """
-    spark = df.sparkSession
-    path, before = scratch(spark, name), spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
-    try:
-        df.write.option("compression", "zstd").parquet(path)
-    finally:
-        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def drop(*staged: DataFrame) -> None:
     """Delete staged steps that nothing reads any more."""
     for df in staged:

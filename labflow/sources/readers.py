@@ -52,7 +52,7 @@ def raw_columns(person: str, free_text: bool = False) -> list[str]:
 
 
 def read_tsv(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str], wanted: Sequence[str] | None = None, keep_bad: bool = False) -> DataFrame:
-    """All-string TSV (plain or gzip).  Malformed lines are kept in ``__corrupt`` if asked for, and dropped otherwise."""
+    """All-string TSV (plain or gzip).  Malformed lines are kept in ``__corrupt`` if asked for (see ``split_bad``), and dropped otherwise."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns] + ([T.StructField(BAD, T.StringType())] if keep_bad else []))
     reader = spark.read.schema(schema).option("sep", "\t").option("header", True).option("multiLine", True).option("enforceSchema", True)
     reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD) if keep_bad else reader.option("mode", "DROPMALFORMED")
@@ -60,6 +60,11 @@ def read_tsv(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[
     return df.select(*wanted, *([BAD] if keep_bad else [])) if wanted else df
 
 
+def split_bad(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Good rows, and the malformed lines (column ``line``) of a scan with ``keep_bad``: log these instead of losing them."""
+    return df.filter(F.col(BAD).isNull()).drop(BAD), df.filter(F.col(BAD).isNotNull()).withColumnRenamed(BAD, "line")
+
+
 def read_parquet(spark: SparkSession, path: str, wanted: Sequence[str] | None = None) -> DataFrame:
     df = spark.read.parquet(path)
     return df.select(*wanted) if wanted else df

@@ -121,6 +121,13 @@ def test_small_pieces(spark, tmp_path):
     assert audit.with_names(spark.createDataFrame([(1, 5), (2, 6)], "concept int, n int"), spark.createDataFrame([(1, "one")], "concept int, name string")).orderBy("concept").collect()[1].name is None
 
 
+def test_malformed_lines_are_kept_apart(spark, tmp_path):
+    (tmp_path / "bad.tsv").write_text("a\tb\n1\tx\n2\ty\tz\n3\n")
+    good, bad = readers.split_bad(readers.read_tsv(spark, str(tmp_path / "bad.tsv"), ["a", "b"], keep_bad=True))
+    assert [(r.a, r.b) for r in good.collect()] == [("1", "x")] and good.columns == ["a", "b"]
+    assert sorted(r.line for r in bad.collect()) == ["2\ty\tz", "3"]
+
+
 def test_running_ratio_in_pieces(spark):
     """A key that holds most rows is cut into pieces; the ratios are those of one run through the key."""
     rnd = random.Random(2)

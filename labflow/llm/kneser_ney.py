@@ -40,7 +40,7 @@ from .common import PACKED, U64, by_shard, cut, drop, key_bits, pack, packed_row
 #: The mass of unseen words is spread over at least so many words.
 VOCABULARY = 1 << 18
 #: Bits of a slot of the table of frequent keys; bigram shards that one word shard serves.
-HOME_BITS, WORD_SHARE = 22, 8
+HOME_BITS, WORD_SHARE = 21, 8
 #: Text bytes taken at a time: what a Python worker keeps between tasks follows it.
 BATCH = 2 << 20
 MAP_BITS = 28
@@ -168,19 +168,20 @@ def _tag(key: np.ndarray, keys: Keys) -> np.ndarray:
 
 def at_home(gains: DataFrame, keys: Keys) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Tags and gains by slot, the most frequent key of each slot, and the filter: tables of fixed size."""
-    tags, values, seen = np.zeros(1 << HOME_BITS, np.uint32), np.zeros(1 << HOME_BITS, np.float32), np.zeros(1 << (MAP_BITS - 3), np.uint8)
-    tops = [(np.zeros(0, U64), np.zeros(0, np.float32), np.zeros(0, np.uint32))]
-    for r in gains.filter("shard < 0").toLocalIterator():
+    tags, values, best = np.zeros(1 << HOME_BITS, np.uint32), np.zeros(1 << HOME_BITS, np.float32), np.zeros(1 << HOME_BITS, np.uint32)
+    seen = np.zeros(1 << (MAP_BITS - 3), np.uint8)
+    for r in gains.filter("shard < 0").coalesce(8).toLocalIterator():
         got = unpack(bytes(r["payload"]))
-        if r["shard"] == -1:
-            tops.append(got)
-        else:
+        if r["shard"] == -2:
             low, part = int(got[0][0]), got[1]
             seen[low : low + len(part)] |= part
-    key, gain, count = (np.concatenate(x) for x in zip(*tops, strict=True))
-    order = np.argsort(count, kind="stable")  # of one slot's keys the last one written stays
-    slot = _slot(key[order], keys)
-    tags[slot], values[slot] = _tag(key[order], keys), gain[order]
+            continue
+        order = np.argsort(got[2], kind="stable")  # of one slot's keys the last one written stays
+        key, gain, count = (x[order] for x in got)
+        slot, count = _slot(key, keys), np.minimum(count.astype(U64) + U64(1), U64(0xFFFFFFFF)).astype(np.uint32)
+        more = count > best[slot]
+        slot = slot[more]
+        tags[slot], values[slot], best[slot] = _tag(key[more], keys), gain[more], count[more]
     return tags, values, seen
 
 
@@ -238,7 +239,7 @@ def word_tables(counts: DataFrame) -> tuple[Words, np.ndarray]:
     """
     counted = counts.filter("shard >= 0")
     m = max(shard_count(counts.sparkSession, 0), (counted.agg(F.max("shard")).first()[0] or 0) // WORD_SHARE)
-    of = sum((unpack(bytes(r["payload"]))[0] for r in counts.filter("shard = -2").toLocalIterator()), np.zeros(4, np.int64))
+    of = sum((unpack(bytes(r["payload"]))[0] for r in counts.filter("shard = -2").coalesce(1).collect()), np.zeros(4, np.int64))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -267,7 +268,7 @@ def word_tables(counts: DataFrame) -> tuple[Words, np.ndarray]:
 
     table = stage(by_shard(counted.mapInArrow(send, PACKED), m, add, PACKED), "word-counts")
     n1, start = np.zeros(7, np.int64), np.zeros(4, np.int64)
-    for r in table.filter("shard = -2").toLocalIterator():
+    for r in table.filter("shard = -2").coalesce(1).collect():
         b, c = unpack(bytes(r["payload"]))
         n1, start = n1 + b, start + c
     d1, d2, entries = discounts(n1[:4]), discounts(of), max(int(n1[6]), 1)
@@ -488,6 +489,7 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
         scored = score(docs.filter(F.pmod(F.xxhash64("text", F.lit(31)), F.lit(PARTS)) == part), tables, gains, n, keys)
         scored = scored.withColumn("log_ppl", F.when(F.col("n_words") > 0, -F.col("log_prob") / F.col("n_words")).otherwise(0.0))
         parts.append(stage(scored.withColumn("band", F.least(F.floor(F.log(F.greatest("n_words", F.lit(1))) / float(np.log(3))), F.lit(7)).cast("int")), "perplexities"))
+    tables.destroy()
     scored = reduce(DataFrame.unionByName, parts)
     drop(gains)
     limits = thresholds(scored, ids)

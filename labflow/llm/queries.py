@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from .centroids import centroid_sql, op13_centroids
 from .decontaminate import op8_decontamination
 from .html_text import op9_html_extraction
 from .jaccard_join import op7_ngram_jaccard_join
 from .kneser_ney import op2_quality_classifier
+from .merkle import merkle_sql, op11_merkle_manifest
+from .mixing import SQL as MIX_SQL
+from .mixing import op12_source_mix
 from .packing import op1_packing
 from .quality_rules import op5_quality_rules
 from .substring_dedup import op4_substring_dedup
@@ -24,6 +28,9 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_html_extraction": op9_html_extraction,
     "op10_token_output": op10_token_output,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_source_mix": op12_source_mix,
+    "op13_centroids": op13_centroids,
 }
 
 LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -49,4 +56,7 @@ SQL: dict[str, str] = {
  v AS (SELECT doc_id, n, unnest(range(1, len(ws) - n + 2)) AS i, ws FROM d, (SELECT DISTINCT n FROM pt) WHERE len(ws) >= n), h AS (SELECT doc_id, v.n, i, item_id FROM v JOIN pt ON v.n = pt.n AND array_to_string(ws[i : i + v.n - 1], ' ') = pt.t),
  c AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS j FROM h) GROUP BY 1), m AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids FROM h GROUP BY 1)
  SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated FROM d LEFT JOIN c USING (doc_id) LEFT JOIN m USING (doc_id)""",
+    "op11_merkle_manifest": merkle_sql(),
+    "op12_source_mix": MIX_SQL,
+    "op13_centroids": centroid_sql(),
 }

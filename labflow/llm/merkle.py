@@ -112,7 +112,8 @@ def _step(nodes: pd.DataFrame, outer: pd.DataFrame) -> pd.DataFrame:
 def _by_block(nodes: DataFrame, outer: DataFrame):
     """Superblocks cogrouped with the paths of their tops."""
     left = nodes.withColumn("block", F.floor(F.col("pos") / BLOCK)).groupBy("tree", "block")
-    return left.cogroup(outer.withColumnRenamed("pos", "block").groupBy("tree", "block"))
+    # new names for its columns: both sides may come from one table
+    return left.cogroup(outer.select(F.col("tree").alias("tree"), F.col("pos").alias("block"), "path", "subroot", "root").groupBy("tree", "block"))
 
 
 def outer_paths(found: list[DataFrame], outer: DataFrame) -> DataFrame:

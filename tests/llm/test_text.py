@@ -51,7 +51,7 @@ def test_token_output(spark, docs):  # noqa: F811
     uri = scratch(spark, "ids")
     entries = to.write_shards(docs, uri)
     index, buckets = to.build_index(entries)
-    got = to.read_ids(to.locate(entries.select("doc_id", "occurrence"), index, buckets), to.shard_starts(entries), uri).collect()
+    got = to.read_ids(to.locate(entries.select("doc_id", "occurrence"), index, buckets, entries), to.shard_starts(entries), uri).collect()
     want = sorted(encoded(1), key=lambda x: (x[0] is not None, x[0] or 0))
     assert collections.Counter((r.doc_id, r.n_tokens, r.ids_crc32) for r in got) == collections.Counter((i, len(x), crc(x)) for i, x in want)
     at = 0
@@ -60,15 +60,46 @@ def test_token_output(spark, docs):  # noqa: F811
         at += r.n_tokens
     assert [r.doc_id for r in sorted(got, key=lambda r: r.start)] == [i for i, _ in want]
     # a key that isn't there finds nothing
-    assert to.locate(spark.createDataFrame([(987654321, 0)], "doc_id long, occurrence long"), index, buckets).count() == 0
+    assert to.locate(spark.createDataFrame([(987654321, 0), (6, 9), (None, 3)], "doc_id long, occurrence long"), index, buckets, entries).count() == 0
 
 
 def test_perfect_hash_is_minimal():
     from labflow.llm.token_output import build_mph, find_slots
 
     keys = np.unique(np.random.default_rng(4).integers(0, 1 << 62, 5000).astype(np.uint64))
-    levels, slots = build_mph(keys)
-    assert sorted(slots) == list(range(len(keys))) and (find_slots(levels, keys) == slots).all()
+    levels, rest, slots = build_mph(keys)
+    assert sorted(slots) == list(range(len(keys))) and (find_slots(levels, rest, keys) == slots).all() and not len(rest)
+    # few levels: the rest is listed; equal keys end too, each with a slot of its own
+    levels, rest, slots = build_mph(keys, most=2)
+    assert len(rest) and sorted(slots) == list(range(len(keys))) and (find_slots(levels, rest, keys) == slots).all()
+    levels, rest, slots = build_mph(np.array([7, 7, 9], np.uint64))
+    assert sorted(slots) == [0, 1, 2] and rest.tolist() == [7, 7]
+    assert find_slots(levels, rest, np.array([5], np.uint64))[0] in (-1, 0, 1, 2)
+
+
+def test_keys_are_a_bijection():
+    from labflow.llm.token_output import keys_of
+
+    ids = np.r_[np.arange(-5000, 5000), np.arange(5000) << 32, [2**63 - 1, -(2**63)]]
+    assert len(np.unique(keys_of(ids))) == len(np.unique(ids))
+
+
+def test_token_output_with_small_reads(spark, docs, monkeypatch):  # noqa: F811
+    """Reads cut into pieces, sparse keys, many buckets and a text longer than a batch give what one pass gives."""
+    from labflow.llm import token_output as to
+    from labflow.llm.common import scratch
+
+    monkeypatch.setattr(to, "BUCKET_KEYS", 3)
+    more = docs.select("doc_id", "text").unionByName(spark.createDataFrame([(99, "long words " * 450_000)], "doc_id long, text string"))
+    uri = scratch(spark, "ids")
+    entries = to.write_shards(more, uri)
+    index, buckets = to.build_index(entries)
+    assert buckets > 8
+    wanted = entries.filter("doc_id % 3 = 0 or doc_id is null").select("doc_id", "occurrence")
+    got = to.read_ids(to.locate(wanted, index, buckets, entries), to.shard_starts(entries), uri).collect()
+    long = ([*library().encode("long words " * 450_000, add_special_tokens=False).ids, 1], 99)
+    want = [(i, len(x), crc(x)) for i, x in [*encoded(1), long[::-1]] if i is None or i % 3 == 0]
+    assert collections.Counter((r.doc_id, r.n_tokens, r.ids_crc32) for r in got) == collections.Counter(want)
 
 
 def test_packing(docs):  # noqa: F811
@@ -258,7 +289,7 @@ def test_html_is_linear():
 
     from labflow.llm.html_text import main_text
 
-    made = [lambda n: "<p><button>" + "<div>" * n, lambda n: "<script " * n, lambda n: "<a " + '"' * n, lambda n: "<b '\"> '" * n, lambda n: "<a<a" * n, lambda n: "<div " + "a" * n + ">", lambda n: "<a x='" * n + ">", lambda n: "<!--" * n, lambda n: "<ul><li>" * n, lambda n: "<p>&#" + "9" * n + ";</p>", lambda n: "<style>" * n + "</styl" * n]
+    made = [lambda n: "<p><button>" + "<div>" * n, lambda n: "<script " * n, lambda n: "<a " + '"' * n, lambda n: "<b '\"> '" * n, lambda n: "<a<a" * n, lambda n: "<div " + "a" * n + ">", lambda n: "<a x='" * n + ">", lambda n: "<!--" * n, lambda n: "<ul><li>" * n, lambda n: "<p>&#" + "9" * n + ";</p>", lambda n: "<style>" * n + "</styl" * n, lambda n: "<svg>" * n, lambda n: "<svg " * n + ">", lambda n: "<object>" * n + "</object>" * n, lambda n: "<math></math" * n, lambda n: "<div class='extra print'><p>a" * n]
     for page in made:
         took = []
         for n in (10_000, 40_000):
@@ -281,6 +312,121 @@ def test_html_tokens_against_a_plain_pattern():
         assert list(tokens(page)) == want
 
 
+def test_html_keeps_the_whole_article():
+    from labflow.llm.html_text import main_text
+
+    links = "".join(f"<li><a href='/{i}'>The {i}th title of a longer work, and its author</a></li>" for i in range(4))
+    menu = "".join(f"<li><a href='/{i}'>Part {i}</a></li>" for i in range(4))
+    for page, want in [
+        ("<article><p>A</p><svg width='1'/><p>B</p></article>", "A\nB"),
+        ("<article><p>A</p><math/><p>B</p></article>", "A\nB"),
+        ("<article><p>A</p><svg><p>B</p></article>", "A\nB"),
+        ("<article><p>A</p><template><p>B</p></article>", "A\nB"),
+        ("<article><p>A</p><object>in<object>out</object>LEAK</object><svg><svg>x</svg>LEAK</svg><noscript>n</noscript><p>B</p></article>", "A\nB"),
+        ("<article><p>A</p><svg><path d='x'/><svg/><title>t</title></svg><p>B</p></article>", "A\nB"),
+        ("<article><p>A</p><p class='legal-text'>B</p><section class='extra'><p>C</p></section><div class='popup-book'><p>D</p></div></article>", "A\nB\nC\nD"),
+        ("<h1>T</h1><div class='legal-text'>ARTICLE</div>", "T\nARTICLE"),
+        (f"<article><p>A</p><ul>{links}</ul></article>", "A\n" + "\n".join(f"The {i}th title of a longer work, and its author" for i in range(4))),
+        (f"<article><p>A</p><ul>{menu}</ul></article>", "A"),
+        ("<div class='page menu-open'><article><p>A</p></article></div>", "A"),
+        ("<div class='sidebar-layout'><h1>T</h1><p>A long text, with commas, and all of the page.</p></div><p class='share'>Share</p>", "T\nA long text, with commas, and all of the page."),
+        ("<div><p>A text, short.</p></div><div class='comments'><p>A comment, much longer than the text, and liked, by many, many readers.</p></div>", "A text, short."),
+        ("<article><p>A</p><article class='comment'><p>no</p></article><div class='related'><p>no</p></div><div hidden>no</div></article>", "A"),
+    ]:
+        assert main_text(page) == want, page
+
+
+def _random_tree(rnd, depth=0):
+    """An element as [tag, class, children]; a child is an element, a text or a linked text."""
+    if depth > 3 or depth and rnd.random() < 0.4:
+        words = " ".join(rnd.choice(["alpha", "be,ta", "gamma", "delta,"]) for _ in range(rnd.randint(1, 60)))
+        return [rnd.choice(["p", "h2", "pre"]), rnd.choice(["", "", "", "note", "share", "legal"]), [("a", words) if rnd.random() < 0.2 else words]]
+    return [rnd.choice(["div", "section", "div", "article" if rnd.random() < 0.2 else "div"]), rnd.choice(["", "", "", "", "sidebar", "extra", "comments", "text"]), [_random_tree(rnd, depth + 1) for _ in range(rnd.randint(1, 4))]]
+
+
+def _brute_article(root):
+    """Scores by walking the tree again and again, as they are described."""
+    from labflow.llm import html_text as h
+
+    nodes, up = [], {}
+
+    def walk(node, parent):
+        nodes.append(node)
+        up[id(node)] = parent
+        for c in node[2]:
+            if isinstance(c, list):
+                walk(c, node)
+
+    walk(root, None)
+    kind = {id(n): 2 if n[1] == "comments" else 0 if n[0] == "article" else {"share": 1, "sidebar": 1, "legal": -1, "extra": -1}.get(n[1], 0) for n in nodes}
+    below = lambda n: [n, *(x for c in n[2] if isinstance(c, list) for x in below(c))]
+    above = lambda n: [] if up[id(n)] is None else [up[id(n)], *above(up[id(n)])]
+    texts = lambda n: [(c[1], True) if isinstance(c, tuple) else (c, False) for c in n[2] if not isinstance(c, list)]
+    marked: set[int] = set()
+
+    def size(n, linked=False, whole=True):
+        return sum(len(t) for x in (below(n) if whole else [n]) if not marked & {id(y) for y in [x, *above(x)]} for t, link in texts(x) if link or not linked)
+
+    bad = set()
+    for n in nodes:
+        k = kind[id(n)]
+        if not k or any(id(x) in bad for x in above(n)):
+            continue
+        if any(x[0] == "article" and kind[id(x)] != 2 for x in below(n)):
+            continue
+        all_, linked = size(n), size(n, True)
+        if k == -1:
+            drop = n[0] not in h.TEXTUAL and all_ < 200 and 10 * all_ < size(up[id(n)]) or linked > all_ / 2
+        else:
+            drop = k == 2 or (all_ - linked) <= 0.6 * (size(root) - size(root, True))
+        if drop:
+            bad.add(id(n))
+    marked |= bad
+    score = {}
+    for n in nodes:
+        total = 0.0
+        for x in below(n):
+            own = size(x, whole=False)
+            if own:
+                dull = h.DISCOUNT ** sum(kind[id(y)] != 0 for y in [x, *above(x)])
+                points = (min(own / 100, 3) + sum(t.count(",") for t, _ in texts(x)) + 0.25) * (1 - size(x, True, False) / own) * dull
+                far = [id(y) for y in [x, *above(x)]].index(id(n)) - (x[0] not in ("div", "section", "article"))
+                total += points / 2**far if 0 <= far <= 3 else 0.0
+        score[id(n)] = total
+    dense = lambda n: size(n, True) / size(n) if size(n) else 0.0
+    place = {id(n): i for i, n in enumerate(nodes)}
+    ok = [n for n in nodes if not marked & {id(y) for y in [n, *above(n)]}]
+    if not ok:
+        return ""
+    best = max(ok, key=lambda n: (round(score[id(n)] * (1 - dense(n)), 9), -place[id(n)]))
+    roots = [best]
+    if score[id(best)] > 0:
+        high = [x for x in [best, *above(best)] if x[0] == "article"]
+        if high:
+            roots = [high[0]]
+        elif up[id(best)] is not None:
+            limit = max(1.0, 0.2 * score[id(best)])
+            roots += [n for n in ok if up[id(n)] is up[id(best)] and n is not best and (score[id(n)] * (1 - dense(n)) >= limit or n[0] in ("p", "pre") and size(n) and dense(n) < 0.3 or n[0] == "h2")]
+    else:
+        roots = [root]
+    return "\n".join(t for n in ok if any(r is x for r in roots for x in [n, *above(n)]) for t, _ in texts(n))
+
+
+def test_html_against_a_plain_scorer():
+    import random
+
+    from labflow.llm.html_text import main_text
+
+    rnd, kept = random.Random(11), 0
+    write = lambda n: f"<{n[0]} class='{n[1]}'>{''.join(write(c) if isinstance(c, list) else f'<a href=x>{c[1]}</a>' if isinstance(c, tuple) else c for c in n[2])}</{n[0]}>"
+    for _ in range(500):
+        root = ["body", "", [_random_tree(rnd) for _ in range(rnd.randint(1, 4))]]
+        want = _brute_article(root)
+        assert main_text(f"<html>{write(root)}</html>") == want
+        kept += bool(want)
+    assert kept > 300
+
+
 def test_html_awkward_rows(spark):
     from labflow.llm.html_text import extract, main_text
 

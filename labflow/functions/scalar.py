@@ -14,15 +14,23 @@ def col(c: Column | str) -> Column:
 
 
 def number(c: Column | str) -> Column:
-    """Text to double; anything that isn't a finite decimal number becomes null."""
-    c = col(c).cast("string")
-    return F.when(c.rlike(NUMBER), c.try_cast("double"))
+    """Text to double; anything that isn't a finite decimal number becomes null.  ``c`` stands in it once, however long it is."""
+    return F.regexp_extract(col(c).cast("string"), NUMBER, 0).try_cast("double")
 
 
 def delete_chars(c: Column | str, chars: str) -> Column:
     return F.translate(col(c), chars, "")
 
 
+#: Unicode white space, as ``(?U)\\s`` has it.
+WHITE_SPACE = "\t\n\x0b\f\r \x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B)) + "\u2028\u2029\u202f\u205f\u3000"
+
+
+def without_space(c: Column | str) -> Column:
+    """All white space deleted, character by character: a fraction of what a pattern costs."""
+    return delete_chars(c, WHITE_SPACE)
+
+
 def blank_to_null(c: Column | str) -> Column:
     return F.nullif(col(c), F.lit(""))
 

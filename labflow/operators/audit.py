@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import stats
+from .quantiles import group_quantiles
+
+TENTHS = tuple(i / 10 for i in range(11))
 
 
 def null_report(df: DataFrame) -> DataFrame:
@@ -45,10 +48,11 @@ def appeared(new: DataFrame, old: DataFrame, key: str) -> DataFrame:
 
 
 def dictionary_diff(new: DataFrame, old: DataFrame, key: str, value: str) -> DataFrame:
-    o = old.select(F.col(key), F.col(value).alias("old"))
-    both = new.select(F.col(key), F.col(value).alias("new")).join(o, key, "full_outer")
-    change = F.when(F.col("old").isNull(), "NEW").when(F.col("new").isNull(), "REMOVED").when(F.col("old") != F.col("new"), "CHANGED")
-    return both.withColumn("change", change).filter("change is not null")
+    """Keys that only one side has, and those whose value differs; a null is a value like any other."""
+    o = old.select(F.col(key), F.col(value).alias("old"), F.lit(True).alias("__o"))
+    both = new.select(F.col(key), F.col(value).alias("new"), F.lit(True).alias("__n")).join(o, key, "full_outer")
+    change = F.when(F.col("__o").isNull(), "NEW").when(F.col("__n").isNull(), "REMOVED").when(~F.col("old").eqNullSafe(F.col("new")), "CHANGED")
+    return both.withColumn("change", change).filter("change is not null").drop("__o", "__n")
 
 
 def affected_tests(diff: DataFrame, counts: DataFrame, mapped: DataFrame, key: str) -> DataFrame:
@@ -72,7 +76,8 @@ def unmapped_counts(df: DataFrame, mapped: DataFrame, min_count: int) -> DataFra
 def reference_stats(df: DataFrame) -> DataFrame:
     """Per concept: rows, most frequent unit, eleven quantiles."""
     top = df.groupBy("concept", "unit").agg(F.count("*").alias("k")).groupBy("concept").agg(F.min(F.struct((-F.col("k")).alias("k"), "unit"))["unit"].alias("top_unit"))
-    return df.groupBy("concept").agg(F.count("value").alias("n_rows"), F.percentile("value", F.array(*[F.lit(i / 10) for i in range(11)])).alias("quantiles")).join(top, "concept")
+    own = group_quantiles(df, ["concept"], TENTHS).withColumnRenamed("n", "n_rows")
+    return top.join(own, "concept", "left").select("concept", F.coalesce("n_rows", F.lit(0)).cast("long").alias("n_rows"), "quantiles", "top_unit")
 
 
 def with_reference(candidates: DataFrame, reference: DataFrame, targets: DataFrame) -> DataFrame:
@@ -83,7 +88,7 @@ def with_reference(candidates: DataFrame, reference: DataFrame, targets: DataFra
 
 def candidates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Groups with a source value but no harmonised one, with their deciles."""
-    return df.filter("value is not null and harm_value is null").groupBy(*keys).agg(F.count("*").alias("n_rows"), F.percentile("value", F.array(*[F.lit(i / 10) for i in range(11)])).alias("quantiles"))
+    return group_quantiles(df.filter("value is not null and harm_value is null"), keys, TENTHS).withColumnRenamed("n", "n_rows")
 
 
 def elect_unit(df: DataFrame, locks: DataFrame | None = None) -> DataFrame:
@@ -110,6 +115,46 @@ def elect_unit(df: DataFrame, locks: DataFrame | None = None) -> DataFrame:
     return both.select(*keys, "source_unit", "source_share", "injected_unit", "injected_share", target.alias("target_unit"), note.alias("note"))
 
 
+def elect_units(df: DataFrame, reference: DataFrame | None = None, min_count: int = 1) -> DataFrame:
+    """The unit of each (concept, quantity) from rows that have a ``source`` and an ``injected`` unit, against a prior table.
+
+    ``reference``: concept, quantity, unit, manual.  A manual entry is locked: it stays, whatever the rows say.  ``changed`` marks
+    what differs from the source's mode or from the reference, or is new: the subset to look at.  Combinations of both units with fewer
+    than ``min_count`` rows don't count; equal modes go to the least unit.
+    """
+    keys = ["concept", "quantity"]
+    counts = df.groupBy(*keys, "source", "injected").agg(F.count("*").alias("k")).filter(F.col("k") >= min_count)
+
+    def side(name: str) -> DataFrame:
+        unit = F.coalesce(F.nullif(name, F.lit("")), F.lit("NA"))
+        own = counts.groupBy(*keys, unit.alias("unit")).agg(F.sum("k").alias("k"))
+        real = F.col("unit") != "NA"
+        mode = F.min(F.when(real, F.struct((-F.col("k")).alias("k"), "unit")))["unit"]
+        each = F.array_sort(F.collect_list(F.struct("unit", "k")))  # a row per unit
+        all_ = own.groupBy(*keys).agg(F.coalesce(mode, F.lit("NA")).alias(f"{name}_unit"), each.alias("each"), F.sum("k").alias("n"))
+        share = F.transform("each", lambda x: F.concat(F.lit("'"), x["unit"], F.lit("': "), F.round(x["k"] / F.col("n"), 4).cast("string")))
+        return all_.select(*keys, f"{name}_unit", F.concat(F.lit("{"), F.concat_ws(", ", share), F.lit("}")).alias(f"{name}_shares"), F.col("n").alias(f"n_{name}"))
+
+    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
+    b = side("injected").withColumnsRenamed({k: f"__{k}" for k in keys})
+    both = side("source").join(b, same[0] & same[1]).drop(*[f"__{k}" for k in keys], "n_injected").withColumnRenamed("n_source", "n_rows")
+    if reference is None:
+        both = both.withColumns({"ref": F.lit(None).cast("string"), "manual": F.lit(False), "__has": F.lit(False)})
+    else:
+        r = reference.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(F.min("unit").alias("ref"), F.bool_or("manual").alias("manual"), F.lit(True).alias("__has"))
+        both = both.join(r, same[0] & same[1], "left").drop(*[f"__{k}" for k in keys])
+    locked, moved = F.coalesce("manual", F.lit(False)), F.lower("injected_unit") != F.lower("source_unit")
+    has = F.coalesce("__has", F.lit(False))
+    differs, new = has & (F.lower("injected_unit") != F.lower(F.coalesce("ref", F.lit("NA")))), ~has & (F.col("injected_unit") != "NA")
+    first = F.when(moved, F.concat(F.lit("INJECTION CHANGE: Source mode was '"), "source_unit", F.lit("'"))).otherwise(F.lit("Injected matches Source"))
+    note = F.concat(first, F.when(differs, F.concat(F.lit(" | REF DIFF: ref was "), F.coalesce("ref", F.lit("NA")))).when(new, " | NEW MAPPING").otherwise(""))
+    note = F.when(locked, F.concat(F.lit("MANUAL MAPPING (locked) - Current data suggests: "), "injected_unit")).otherwise(note)
+    return both.select(
+        *keys, F.when(locked, F.col("ref")).otherwise(F.col("injected_unit")).alias("target_unit"), F.when(locked, "MANUAL").when(moved, "INJECTED").otherwise("SOURCE").alias("unit_source"),
+        note.alias("note"), "source_shares", "injected_shares", "n_rows", (~locked & (moved | differs | new)).alias("changed"),
+    )
+
+
 def with_names(counts: DataFrame, names: DataFrame, key: str = "concept") -> DataFrame:
     """Counts with their concepts' descriptions (key, name)."""
     return counts.join(names.select(key, "name"), key, "left")
@@ -135,6 +180,13 @@ def spreadsheet_safe(c):
     return F.when(c.rlike("^[+=-]"), F.concat(F.lit("'"), c)).otherwise(c)
 
 
+def job_account(counts: dict[str, int], spark: SparkSession) -> DataFrame:
+    """One row from a job's observed counts: rows in, rows out, rows set aside, and whether they add up.  Nothing is read again."""
+    gone = sum(v for k, v in counts.items() if k not in ("rows_in", "rows_out"))
+    row = (counts["rows_in"], counts["rows_out"], gone, counts["rows_in"] == counts["rows_out"] + gone)
+    return spark.createDataFrame([row], "n_in long, n_out long, n_quarantined long, balanced boolean")
+
+
 def row_accounting(before: DataFrame, after: DataFrame, quarantined: DataFrame) -> DataFrame:
     """One row: rows in, rows out, rows set aside, and whether they add up."""
     names = ("n_in", "n_out", "n_quarantined")
@@ -182,8 +234,8 @@ def extracted_audit(df: DataFrame) -> DataFrame:
     """
     kept = stats.sigma_filter(df, ["concept", "side"]).filter("kept")
     k = stats.ks(kept, ["concept"]).select("concept", "n_cand", "n_targ", "ks")
-    tenths = F.array(*[F.lit(i / 10) for i in range(11)])
-    side = {s: F.percentile(F.when(F.col("side") == s, F.col("value")), tenths) for s in ("cand", "targ")}
-    med = kept.groupBy("concept").agg(*[q.alias(f"deciles_{s}") for s, q in side.items()]).withColumns({f"median_{s}": F.col(f"deciles_{s}")[5] for s in side})
+    sides = ("cand", "targ")
+    q = group_quantiles(kept, ["concept", "side"], TENTHS)
+    med = q.groupBy("concept").agg(*[F.max(F.when(F.col("side") == s, F.col("quantiles"))).alias(f"deciles_{s}") for s in sides]).withColumns({f"median_{s}": F.col(f"deciles_{s}")[5] for s in sides})
     out = k.join(med, "concept").withColumn("n_ratio", F.round(F.try_divide("n_cand", "n_targ"), 4))
     return out.withColumn("rank", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(F.desc(F.round("ks", 9)), "concept")))  # a row per concept

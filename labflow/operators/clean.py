@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import blank_to_null, delete_chars
+from ..functions.scalar import blank_to_null, delete_chars, without_space
 
 # Tokens that mean "missing", denied status codes, characters that units lose, outcome codes.
 NA_TOKENS = ("Puuttuu", '""', "TYHJÄ", "_", "NULL", "-1")
@@ -108,7 +108,7 @@ def build_datetime(df: DataFrame, day: str, time: str, out: str = "event_datetim
 
 def remove_spaces(df: DataFrame, skip: Sequence[str] = ()) -> DataFrame:
     """Delete all Unicode white space from string columns, except those skipped; what is empty then is null."""
-    return df.withColumns({c: blank_to_null(F.regexp_replace(c, r"(?U)\s", "")) for c, kind in df.dtypes if kind == "string" and c not in skip})
+    return df.withColumns({c: blank_to_null(without_space(c)) for c, kind in df.dtypes if kind == "string" and c not in skip})
 
 
 def na_tokens(c: Column, tokens: Sequence[str] = NA_TOKENS) -> Column:
@@ -126,7 +126,7 @@ def test_id(national: Column, local: Column) -> tuple[Column, Column]:
 
 def map_keep(df: DataFrame, names: DataFrame, key: str, out: str) -> DataFrame:
     """Look ``key`` up in ``names`` (from, to); what isn't there keeps its own value.  ``matched`` tells which."""
-    small = names.select(F.col("from").alias("__from"), F.col("to").alias("__to"))
+    small = names.groupBy(F.col("from").alias("__from")).agg(F.min("to").alias("__to"))
     both = df.join(small, F.col(key) == F.col("__from"), "left")
     return both.withColumns({"matched": F.col("__from").isNotNull(), out: F.coalesce("__to", key)}).drop("__from", "__to")
 
@@ -159,20 +159,24 @@ def rewrite_unit(c: Column, pairs: Sequence[tuple[str, str]] = UNIT_REWRITES) ->
     return c
 
 
-def fix_units(df: DataFrame, unit: str, known: DataFrame, out: str = "clean_unit", pairs: Sequence[tuple[str, str]] = UNIT_REWRITES, mode: str = "map") -> DataFrame:
-    """Known units by dictionary, others by the rewrites.  Distinct units are rewritten once and joined back.
+def unit_table(units: DataFrame, known: DataFrame, pairs: Sequence[tuple[str, str]] = UNIT_REWRITES, mode: str = "map") -> DataFrame:
+    """from, to, known of distinct stripped units (column ``unit``): by dictionary, else by the rewrites, run once per unit.
 
     ``mode``: "map" dictionary first, "regex" rewrites for all, "none" neither.
     """
+    names = known.groupBy(F.col("from").alias("__from")).agg(F.min("to").alias("__to"))
+    both = units.filter("unit is not null").distinct().join(names, F.col("unit") == F.col("__from"), "left")
+    own = F.col("unit") if mode == "none" else rewrite_unit(F.col("unit"), pairs)
+    found = F.when(F.col("__from").isNotNull(), F.col("__to")).otherwise(own) if mode == "map" else own
+    return both.select(F.col("unit").alias("from"), F.nullif(found, F.lit("NA")).alias("to"), F.col("__from").isNotNull().alias("known"))
+
+
+def fix_units(df: DataFrame, unit: str, known: DataFrame, out: str = "clean_unit", pairs: Sequence[tuple[str, str]] = UNIT_REWRITES, mode: str = "map") -> DataFrame:
+    """Known units by dictionary, others by the rewrites.  Distinct units are rewritten once and joined back."""
     if mode == "none":
         return df.withColumn(out, F.col(unit))
-    units = df.select(F.col(unit).alias("__unit")).filter("__unit is not null").distinct()
-    if mode == "map":
-        small = known.select(F.col("from").alias("__from"), F.col("to").alias("__to"))
-        fixed = units.join(small, F.col("__unit") == F.col("__from"), "left").select("__unit", F.when(F.col("__from").isNotNull(), F.col("__to")).otherwise(rewrite_unit(F.col("__unit"), pairs)).alias("__fixed"))
-    else:
-        fixed = units.select("__unit", rewrite_unit(F.col("__unit"), pairs).alias("__fixed"))
-    return df.join(fixed, F.col(unit) == F.col("__unit"), "left").withColumn(out, F.nullif("__fixed", F.lit("NA"))).drop("__unit", "__fixed")
+    t = unit_table(df.select(F.col(unit).alias("unit")), known, pairs, mode).select(F.col("from").alias("__unit"), F.col("to").alias("__fixed"))
+    return df.join(t, F.col(unit) == F.col("__unit"), "left").withColumn(out, F.col("__fixed")).drop("__unit", "__fixed")
 
 
 def outcome_code(c: Column) -> Column:

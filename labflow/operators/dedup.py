@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,12 +46,31 @@ def duplicate_rate(flagged: DataFrame) -> DataFrame:
     return flagged.agg(F.count("*").alias("n_rows"), n.alias("n_duplicates"), F.round(F.try_divide(100 * n, F.count("*")), 4).alias("percent"))
 
 
+def place_rows(df: DataFrame, groups: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``__r`` (from 0) and ``__n``: a row's place in its group and the group's rows.
+
+    Rows are range-partitioned by group and order, so a group with a large part of the rows is cut into pieces; a piece adds what
+    the pieces of its group before it hold.
+    """
+    sort = [*groups, *order]
+    local = stage(df.repartitionByRange(*sort).sortWithinPartitions(*sort).withColumn("__id", F.monotonically_increasing_id()), "placed-rows")
+    part = F.shiftright("__id", 33)
+    pieces = local.groupBy(*groups, part.alias("__part")).agg(F.count("*").alias("__k"), F.min("__id").alias("__low"))
+    own = Window.partitionBy(*groups)
+    told = pieces.select(*[F.col(g).alias(f"__{g}") for g in groups], "__part", "__low", (F.sum("__k").over(own.orderBy("__part")) - F.col("__k")).alias("__before"), F.sum("__k").over(own).alias("__n"))
+    on = part == F.col("__part")
+    for g in groups:
+        on = on & F.col(g).eqNullSafe(F.col(f"__{g}"))
+    both = local.join(told, on).withColumn("__r", F.col("__before") + F.col("__id") - F.col("__low"))
+    return both.select(*df.columns, "__r", "__n")
+
+
 def sorted_dedup(df: DataFrame, keys: Sequence[str], order: Sequence[str], malformed: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Unique, duplicate and malformed rows (those with a value in the corrupt-record column)."""
     bad = df.filter(F.col(malformed).isNotNull()) if malformed else df.limit(0)
     good = df.filter(F.col(malformed).isNull()) if malformed else df
-    ranked = good.withColumn("__n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    return ranked.filter("__n = 1").drop("__n"), ranked.filter("__n > 1").drop("__n"), bad
+    ranked = place_rows(good, keys, order)
+    return ranked.filter("__r = 0").drop("__r", "__n"), ranked.filter("__r > 0").drop("__r", "__n"), bad
 
 
 def limit_by_group(df: DataFrame, groups: Sequence[str], n: int, row_id: str) -> DataFrame:
@@ -68,10 +90,9 @@ def top_by_count(df: DataFrame, key: str, n: int) -> DataFrame:
 
 def rank_sample(df: DataFrame, groups: Sequence[str], value: str, tie: str, k: int = 10) -> DataFrame:
     """Up to k rows per group at evenly spaced ranks of the value."""
-    w = Window.partitionBy(*groups)
-    ranked = df.withColumns({"__r": F.row_number().over(w.orderBy(value, tie)) - 1, "__n": F.count("*").over(w)})
     step = F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.floor(i * (F.col("__n") - 1) / max(k - 1, 1)))
-    return ranked.filter(F.array_contains(step, F.col("__r").cast("long"))).withColumn("rank", F.col("__r")).drop("__r", "__n")
+    ranked = place_rows(df, groups, [value, tie])
+    return ranked.filter(F.array_contains(step, F.col("__r"))).withColumn("rank", F.col("__r")).drop("__r", "__n")
 
 
 def sort_by(df: DataFrame, *keys: str) -> DataFrame:
@@ -83,10 +104,56 @@ def genomic_sort(df: DataFrame, chromosome: str, position: str) -> DataFrame:
     return df.orderBy(F.col(chromosome).try_cast("int"), F.col(position).cast("long"))
 
 
-def order_breaks(df: DataFrame, file: str, index: str, row_id: str) -> DataFrame:
-    """Rows whose id isn't above the id before them in the same file, and files that start below their predecessor's end."""
-    w = Window.partitionBy(file).orderBy(index)
-    inside = df.withColumn("__p", F.lag(row_id).over(w)).filter(F.col(row_id) <= F.col("__p")).select(file, index, row_id, F.col("__p").alias("previous"))
-    ends = df.groupBy(file).agg(F.min(row_id).alias("low"), F.max(row_id).alias("high"))  # a row per file
-    across = ends.withColumn("__p", F.lag("high").over(Window.orderBy(file))).filter(F.col("low") <= F.col("__p")).select(file, F.lit(-1).cast("long").alias(index), F.col("low").alias(row_id), F.col("__p").alias("previous"))
-    return inside.unionByName(across)
+def order_breaks(df: DataFrame, file: str, index: str, row_id: str, in_order: bool = False) -> DataFrame:
+    """Rows whose id isn't above the id before them in the same file, and files that start below their predecessor's end.
+
+    One pass compares neighbours inside a partition and keeps the partition's edges; the edges are compared by a second, small
+    step.  So a file of any length is many tasks.  ``in_order``: the rows come as they stand in the files (a plain scan), else they
+    are range-partitioned by file and index first.
+    """
+    own = df.select(F.col(file).alias("file"), F.col(index).cast("long").alias("index"), F.col(row_id).cast("long").alias("id"))
+    own = own if in_order else own.repartitionByRange("file", "index").sortWithinPartitions("file", "index")
+    kind = df.schema[file].dataType.simpleString()
+    seen = stage(own.mapInArrow(_neighbours, f"file {kind}, index long, id long, previous long, edge boolean, last long, least long, most long"), "order-edges")
+    inside = seen.filter("not edge").select("file", "index", "id", "previous")
+    edges = seen.filter("edge")  # a row per partition and file
+    joint = edges.withColumn("previous", F.lag("last").over(Window.partitionBy("file").orderBy("index"))).filter("id <= previous").select("file", "index", "id", "previous")
+    ends = edges.groupBy("file").agg(F.min("least").alias("low"), F.max("most").alias("high"))  # a row per file
+    across = ends.withColumn("previous", F.lag("high").over(Window.orderBy("file"))).filter("low <= previous").select("file", F.lit(-1).cast("long").alias("index"), F.col("low").alias("id"), "previous")
+    return inside.unionByName(joint).unionByName(across).toDF(file, index, row_id, "previous")
+
+
+def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows whose id isn't above their neighbour's, and one edge row (first and last row, least and largest id) per run of a file."""
+    names = ["file", "index", "id", "previous", "edge", "last", "least", "most"]
+    run: dict | None = None
+
+    def closed(run: dict) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([run["file"], *[pa.array([v], pa.int64()) for v in (run["index"], run["id"], None)], pa.array([True]), *[pa.array([run[c]], pa.int64()) for c in ("last", "least", "most")]], names)
+
+    for b in batches:
+        codes = np.asarray(b.column("file").dictionary_encode(null_encoding="encode").indices)
+        cuts = [0, *(np.flatnonzero(codes[1:] != codes[:-1]) + 1).tolist(), b.num_rows]
+        for s, e in zip(cuts, cuts[1:], strict=False):
+            if s == e:
+                continue
+            part = b.slice(s, e - s)
+            ids = part.column("id")
+            if run is None or run["file"][0].as_py() != part.column("file")[0].as_py():
+                if run is not None:
+                    yield closed(run)
+                run = {"file": part.column("file").slice(0, 1), "index": part.column("index")[0].as_py(), "id": ids[0].as_py(), "last": None, "least": None, "most": None}
+                before = pa.concat_arrays([pa.nulls(1, pa.int64()), ids.slice(0, len(ids) - 1)])
+            else:
+                before = pa.concat_arrays([pa.array([run["last"]], pa.int64()), ids.slice(0, len(ids) - 1)])
+            ends = pc.min_max(ids).as_py()
+            run["last"] = ids[len(ids) - 1].as_py()
+            run["least"] = min((v for v in (run["least"], ends["min"]) if v is not None), default=None)
+            run["most"] = max((v for v in (run["most"], ends["max"]) if v is not None), default=None)
+            hit = pc.fill_null(pc.less_equal(ids, before), False)
+            k = pc.sum(hit).as_py() or 0
+            if k:
+                none = pa.nulls(k, pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column("file").filter(hit), part.column("index").filter(hit), ids.filter(hit), before.filter(hit), pa.array([False] * k), none, none, none], names)
+    if run is not None:
+        yield closed(run)

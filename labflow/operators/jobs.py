@@ -1,19 +1,23 @@
 """The two batch jobs as chains of operators: raw rows to harmonised rows, and harmonised rows to quality-controlled ones.
 
-Both take the tables they look things up in as DataFrames and return DataFrames; nothing is written and nothing runs until a
-caller asks.  Every dropped row is in ``errors``, every change that deserves a look in ``warnings``, ``units`` or ``names``.
-Missing values are nulls; "NA" is for text sinks.
+A job reads its input once.  It flags rows instead of filtering them, gathers in each row what its logs will say, and writes rows
+and notes together to the shared folder; good rows and every log are then reads of that one table, and the row account is
+observed while it is written.  Every dropped row is in ``errors``, every change that deserves a look in ``warnings``, ``units`` or
+``names``.  Dictionaries are reduced to a row per key before they are joined, so none can multiply rows; ``clashes`` tells which keys had
+several.  Missing values are nulls; "NA" is for text sinks.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..sources.readers import left_dimension, lookup, quarantine, unit_log
+from ..sources.readers import clashes, left_dimension, log_of, lookup, note, notes
+from ..sources.staging import stage
 from . import clean, extract, harmonise, qc
 
 #: Columns that the munge job needs; any others are carried along.
@@ -54,67 +58,85 @@ class CoreTables:
 
 @dataclass
 class Result:
+    """What a job gives: good rows, its logs, and ``counts`` (rows in, rows out, dropped rows by error)."""
+
     rows: DataFrame
     errors: DataFrame
     warnings: DataFrame
     units: DataFrame | None = None
     names: DataFrame | None = None
-    parts: dict[str, DataFrame] = field(default_factory=dict)
+    counts: dict[str, int] = field(default_factory=dict)
 
 
-def _set_aside(df: DataFrame, flag: Column, kind: str, value: Column) -> tuple[DataFrame, DataFrame]:
-    """The rows without the flag, and those with it in quarantine form."""
-    marked = df.withColumns({"__bad": F.coalesce(flag, F.lit(False)), "__why": value})
-    return marked.filter("not __bad").drop("__bad", "__why"), quarantine(marked, "__bad", kind, "__why")
+ERROR = ("err", "err_value")
+_LOG, _BAD = "__log", "__bad"
 
 
-def _note(df: DataFrame, flag: Column, kind: str, value: Column) -> DataFrame:
-    return quarantine(df.withColumns({"__bad": F.coalesce(flag, F.lit(False)), "__why": value}), "__bad", kind, "__why")
+def _written(df: DataFrame, name: str, errors: Sequence[str]) -> tuple[DataFrame, dict[str, int]]:
+    """``df`` with its notes, staged; and the row account that was observed on the way."""
+    seen = Observation(name)
+    df = df.observe(seen, F.count(F.lit(1)).alias("rows_in"), F.count_if(F.col(_BAD).isNull()).alias("rows_out"), *[F.count_if(F.col(_BAD) == e).alias(e) for e in errors])
+    return stage(df, name), dict(seen.get)
 
 
-def minimal(raw: DataFrame, d: Dictionaries) -> Result:
-    """Dates, spaces, missing tokens, denied status, test id and name, coding system, provider (if there is one)."""
+def _minimal(raw: DataFrame, d: Dictionaries) -> DataFrame:
+    """Dates, spaces, missing tokens, denied status, test id and name, coding system, provider (if there is one); no row goes."""
     df = clean.keep_source(raw, {"value": "source_value", "unit": "source_unit", "name": "source_name"})
-    df = clean.build_datetime(df, "day", "time")
-    df, bad_dates = _set_aside(df, F.col("event_datetime").isNull(), "DATE", F.concat_ws(" ", "day", "time"))
-    df = clean.remove_spaces(df, [c for c in FREE if c in df.columns])
-    df = df.withColumns({c: clean.na_tokens(F.col(c), clean.NA_TOKENS_VALUE if c == "value" else clean.NA_TOKENS) for c, kind in df.dtypes if kind == "string"})
-    df, denied = _set_aside(df, clean.denied(F.col("status")), "measurement_status", F.col("status"))
+    df = clean.build_datetime(df, "day", "time").withColumn("__when", F.concat_ws(" ", "day", "time"))
+    df = clean.remove_spaces(df, [c for c in (*FREE, "__when") if c in df.columns])
+    df = df.withColumns({c: clean.na_tokens(F.col(c), clean.NA_TOKENS_VALUE if c == "value" else clean.NA_TOKENS) for c, kind in df.dtypes if kind == "string" and c != "__when"})
+    df = df.withColumn(_BAD, F.when(F.col("event_datetime").isNull(), "DATE").when(clean.denied(F.col("status")), "measurement_status"))
     test_id, national = clean.test_id(F.col("national_code"), F.col("local_code"))
     df = df.withColumns({"test_id": test_id, "is_national": national})
     df = lookup(df, d.names, "test_id", "__named", miss="default")
-    unknown = _note(df, (F.col("is_national") == "1") & F.col("__named").isNull(), "lab_mapping", F.col("test_id"))
-    df = df.withColumn("test", clean.test_name(F.when(F.col("is_national") == "1", F.col("__named")).otherwise(F.col("name")))).drop("__named")
+    df = df.withColumn("__before", clean.test_name(F.when(F.col("is_national") == "1", F.col("__named")).otherwise(F.col("name"))))
     df = lookup(df, d.systems, "coding_system", "coding_system")
     df = df.withColumn("__org", clean.organisation_key(F.col("coding_system")))
     df = lookup(df, d.organisations, "__org", "coding_system_map", miss="default").drop("__org")
     if "provider" in df.columns:
         df = lookup(df, d.systems, "provider", "provider")
-    df = df.withColumn("__before", F.col("test")).withColumn("test", clean.clean_name(F.col("test")))
-    names = df.filter(~F.col("__before").eqNullSafe(F.col("test"))).select("row_id", F.col("event_datetime").cast("string").alias("event_datetime"), F.col("__before").alias("old"), F.col("unit"), F.col("test").alias("new"))
-    return Result(df.drop("__before"), bad_dates.unionByName(denied), unknown, names=names)
-
+    good = F.col(_BAD).isNull()
+    df = df.withColumns({"test": clean.clean_name(F.col("__before")), "__raw_unit": F.col("unit"), "unit": clean.strip_unit(F.col("unit"))})
+    entries = notes(
+        note(F.col(_BAD) == "DATE", "error", err=F.lit("DATE"), err_value=F.col("__when")),
+        note(F.col(_BAD) == "measurement_status", "error", err=F.col(_BAD), err_value=F.col("status")),
+        note(good & (F.col("is_national") == "1") & F.col("__named").isNull(), "warning", err=F.lit("lab_mapping"), err_value=F.col("test_id")),
+        note(good & ~F.col("__before").eqNullSafe(F.col("test")), "name", old=F.col("__before"), unit=F.col("__raw_unit"), new=F.col("test")),
+    )
+    return df.withColumn(_LOG, entries).drop("__when", "__named", "__before", "__raw_unit")
+
+
+def _harmonised(df: DataFrame, units: DataFrame, d: Dictionaries, mode: str) -> DataFrame:
+    """Clean units and outcome codes, unit fixes, concepts and conversions of cleaned rows; ``units`` are their distinct units."""
+    t = clean.unit_table(units, d.units, mode=mode).select(F.col("from").alias("__unit"), F.col("to").alias("clean_unit"), "known")
+    df = df.join(t, F.col("unit") == F.col("__unit"), "left").withColumn("outcome", clean.outcome_code(F.col("outcome")))
+    how = F.when(F.col("known"), "map").otherwise("regex")
+    entry = note(F.col(_BAD).isNull() & ~F.col("unit").eqNullSafe(F.col("clean_unit")), "unit", test=F.col("test"), old=F.col("unit"), new=F.col("clean_unit"), source=how)
+    df = df.withColumn("__unit_note", entry).drop("__unit", "known")
+    df = harmonise.unit_fix(harmonise.unit_valid(df, d.approved), d.fixes)
+    df = harmonise.convert(harmonise.concept_map(df, d.mapping), harmonise.conversion_table(d.conversions, d.targets), "__failed")
+    failed = note(F.col(_BAD).isNull() & F.col("__failed").isNotNull(), "warning", err=F.lit("unit_conversion"), err_value=F.col("__failed"))
+    return df.withColumn(_LOG, F.concat(_LOG, notes("__unit_note", failed))).drop("__unit_note", "__failed")
 
-def unit_fixing(df: DataFrame, d: Dictionaries, mode: str = "map") -> tuple[DataFrame, DataFrame]:
-    """Clean units and outcome codes, and the log of changed units."""
-    df = df.withColumn("unit", clean.strip_unit(F.col("unit")))
-    known = d.units.select(F.col("from").alias("__known"))
-    df = clean.fix_units(df, "unit", d.units, mode=mode).join(known, F.col("unit") == F.col("__known"), "left")
-    # an unknown unit's log shows what the rewrites made of it
-    log = unit_log(df.filter("__known is not null"), "unit", "clean_unit", "map").unionByName(unit_log(df.filter("__known is null"), "unit", "clean_unit", "regex"))
-    return df.drop("__known").withColumn("outcome", clean.outcome_code(F.col("outcome"))), log
 
+def munge(raw: DataFrame, d: Dictionaries, mode: str = "map", limit: int | None = None, rebalance: bool = False) -> Result:
+    """Raw rows to harmonised rows; ``raw`` has at least the columns ``RAW``.
 
-def harmonisation(df: DataFrame, d: Dictionaries) -> DataFrame:
-    df = harmonise.unit_fix(harmonise.unit_valid(df, d.approved), d.fixes)
-    return harmonise.convert(harmonise.concept_map(df, d.mapping), harmonise.conversion_table(d.conversions, d.targets))
+    ``limit``: a trial run on the first rows.  ``rebalance``: deal the rows anew where the input is a few large splits.
+    """
+    raw = raw if limit is None else raw.limit(limit)
+    first = stage(_minimal(raw.hint("rebalance") if rebalance else raw, d), "munge-cleaned")
+    kept, counts = _written(_harmonised(first, first.select("unit"), d, mode), "munge-rows", ("DATE", "measurement_status"))
+    rows = kept.filter(F.col(_BAD).isNull()).drop(_BAD, _LOG)
+    return Result(rows, log_of(kept, "error", ERROR), log_of(kept, "warning", ERROR), log_of(kept, "unit", ("test", "old", "new", "source")), log_of(kept, "name", ("old", "unit", "new")), counts)
 
 
-def munge(raw: DataFrame, d: Dictionaries, mode: str = "map") -> Result:
-    """Raw rows to harmonised rows; ``raw`` has at least the columns ``RAW``."""
-    first = minimal(raw, d)
-    fixed, units = unit_fixing(first.rows, d, mode)
-    return Result(harmonisation(fixed, d), first.errors, first.warnings, units, first.names)
+def dictionary_clashes(d: Dictionaries) -> DataFrame:
+    """dictionary, key, n_rows: keys that a dictionary has several different rows of (the least row counts)."""
+    approved = d.mapping.filter(F.col("status") == "APPROVED").select("test", "unit", "concept", "quantity")
+    parts = [clashes(t.select("from", "to"), ["from"], name) for t, name in ((d.names, "names"), (d.systems, "systems"), (d.organisations, "organisations"), (d.units, "units"))]
+    parts += [clashes(d.fixes.select("test", "unit", "fix"), ["test", "unit"], "fixes"), clashes(approved, ["test", "unit"], "mapping")]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def extraction(df: DataFrame, t: CoreTables, source_values: bool = False) -> DataFrame:
@@ -126,23 +148,30 @@ def extraction(df: DataFrame, t: CoreTables, source_values: bool = False) -> Dat
     return extract.plus_overlay(extract.comparison_outcome(df, "text", t.units, t.approved), t.plus)
 
 
-def quality(df: DataFrame, t: CoreTables) -> Result:
-    """Dates among values are dropped; rules, conflicts and the blacklist leave their state and notes."""
+def quality(df: DataFrame, t: CoreTables) -> DataFrame:
+    """Dates among values are flagged; rules, conflicts and the blacklist leave their state and notes."""
     why = F.concat_ws("::", *[F.coalesce(F.col(c).cast("string"), F.lit("NA")) for c in ("test", "harm_value", "text", "extracted_value")])
-    df, dates = _set_aside(df, qc.is_date(F.col("extracted_value")), "DATE_IN_MEASUREMENT", why)
-    df = qc.start(df)
+    df = df.withColumn(_BAD, F.when(qc.is_date(F.col("extracted_value")), "DATE_IN_MEASUREMENT"))
     noted = F.concat_ws(";", F.coalesce("test", F.lit("")), "qc_note")
-    fixed = qc.fix_values(df, t.value_fixes)
-    warnings = [_note(fixed, F.col("qc_note").isNotNull(), "QC_CONVERT", noted)]
-    checked = qc.threshold_qc(fixed, t.thresholds)
-    for step in (qc.outcome_conflict, lambda x: qc.blacklist(x, t.blacklist)):
-        after = step(checked.withColumn("__note", F.col("qc_note")))
-        warnings.append(_note(after, ~F.col("qc_note").eqNullSafe(F.col("__note")), "QC_NOTE_APPENDED", noted))
-        checked = after.drop("__note")
-    return Result(checked, dates, reduce(DataFrame.unionByName, warnings))
+    entries: list[Column] = []
+
+    def step(df: DataFrame, err: str) -> DataFrame:
+        """Keep the note of a row whose quality note has changed since ``__note``."""
+        name = f"__entry{len(entries)}"
+        entries.append(F.col(name))
+        return df.withColumn(name, note(F.col(_BAD).isNull() & ~F.col("qc_note").eqNullSafe(F.col("__note")), "warning", err=F.lit(err), err_value=noted)).withColumn("__note", F.col("qc_note"))
+
+    df = step(qc.fix_values(qc.start(df).withColumn("__note", F.lit(None).cast("string")), t.value_fixes), "QC_CONVERT")
+    df = qc.threshold_qc(df, t.thresholds).withColumn("__note", F.col("qc_note"))
+    df = step(qc.outcome_conflict(df), "QC_NOTE_APPENDED")
+    df = step(qc.blacklist(df, t.blacklist), "QC_NOTE_APPENDED")
+    dropped = note(F.col(_BAD).isNotNull(), "error", err=F.col(_BAD), err_value=why)
+    return df.withColumn(_LOG, notes(dropped, *entries)).drop("__note", *[f"__entry{i}" for i in range(len(entries))])
 
 
-def core(df: DataFrame, t: CoreTables, source_values: bool = False, drop: tuple[str, ...] = ()) -> Result:
+def core(df: DataFrame, t: CoreTables, source_values: bool = False, drop: tuple[str, ...] = (), limit: int | None = None) -> Result:
     """Harmonised rows to quality-controlled rows with imputed outcomes; ``drop``: sensitive columns that end here."""
-    found = quality(extraction(df, t, source_values), t)
-    return Result(qc.impute_outcome(found.rows, t.limits).drop(*drop), found.errors, found.warnings)
+    df = df if limit is None else df.limit(limit)
+    found = qc.impute_outcome(quality(extraction(df, t, source_values), t), t.limits).drop(*drop)
+    kept, counts = _written(found, "core-rows", ("DATE_IN_MEASUREMENT",))
+    return Result(kept.filter(F.col(_BAD).isNull()).drop(_BAD, _LOG), log_of(kept, "error", ERROR), log_of(kept, "warning", ERROR), counts=counts)

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .quantiles import group_quantiles
+
 LOW, HIGH, OK = ("A", "AA", "L", "LL"), ("A", "AA", "H", "HH"), ("N",)
 
 
@@ -49,8 +51,10 @@ def walk_limits(df: DataFrame, threshold: float, min_count: int = 1, walk: float
 
 def percentile_limits(df: DataFrame) -> DataFrame:
     """The 95th percentile of low values and the 5th of high ones."""
-    low, high = F.when(F.col("outcome").isin("L", "LL"), F.col("value")), F.when(F.col("outcome").isin("H", "HH"), F.col("value"))
-    return df.groupBy("concept").agg(F.percentile(low, 0.95).alias("low_p95"), F.percentile(high, 0.05).alias("high_p05"))
+    side = F.when(F.col("outcome").isin("L", "LL"), "low").when(F.col("outcome").isin("H", "HH"), "high")
+    q = group_quantiles(df.withColumn("__side", side).filter("__side is not null"), ["concept", "__side"], [0.05, 0.95])
+    both = q.groupBy("concept").agg(F.max(F.when(F.col("__side") == "low", F.col("quantiles")[1])).alias("low_p95"), F.max(F.when(F.col("__side") == "high", F.col("quantiles")[0])).alias("high_p05"))
+    return df.select("concept").distinct().join(both, "concept", "left")
 
 
 def choose_limits(strict: DataFrame, loose: DataFrame, many: int = 100_000) -> DataFrame:

@@ -7,11 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .quantiles import group_quantiles
+
 
 def person_median(df: DataFrame, concept, min_rows: int = 1) -> DataFrame:
     """Median value and age of each person for one concept, from rows that passed the checks."""
     own = df.filter((F.col("concept") == concept) & (F.col("qc_pass") == 1) & F.col("value").isNotNull())
-    return own.groupBy("person").agg(F.percentile("value", 0.5).alias("value"), F.percentile("age", 0.5).alias("age"), F.count("*").alias("n_rows")).filter(F.col("n_rows") >= min_rows)
+    half = [group_quantiles(own, ["person"], [0.5], c).select("person", F.col("quantiles")[0].alias(c), F.col("n").alias(f"n_{c}")) for c in ("value", "age")]
+    return half[0].join(half[1], "person", "left").select("person", "value", "age", F.col("n_value").alias("n_rows")).filter(F.col("n_rows") >= min_rows)
 
 
 def with_covariates(phenotype: DataFrame, covariates: DataFrame, key: str = "person") -> DataFrame:
@@ -35,10 +38,16 @@ def binary_screen(df: DataFrame, covariates: Sequence[str], threshold: int) -> D
 
 
 def region_hits(hits: DataFrame, regions: DataFrame) -> DataFrame:
-    """Each hit's first region (by seq) that holds its position on its chromosome."""
-    r = regions.select(F.col("chrom").alias("__c"), "start", "end", "region", "seq")
-    both = hits.join(r, (F.col("chrom") == F.col("__c")) & F.col("pos").between(F.col("start"), F.col("end")))
-    return both.withColumn("__n", F.row_number().over(Window.partitionBy("hit").orderBy("seq"))).filter("__n = 1").drop("__n", "__c", "start", "end", "seq")
+    """Each hit's first region (by seq) that holds its position on its chromosome.
+
+    Chromosomes are cut into bins of the regions' mean length.  A region stands in each bin that it reaches, which are at most
+    three times as many rows as regions however unequal these are; a hit meets the regions of its own bin only.
+    """
+    wide = max(1, int(regions.agg(F.avg(F.col("end") - F.col("start") + 1)).first()[0] or 1))
+    bins = F.sequence(F.floor(F.col("start") / wide), F.floor(F.col("end") / wide))
+    r = regions.filter("start <= end").select(F.col("chrom").alias("__c"), "start", "end", "region", "seq", F.explode(bins).alias("__b"))
+    both = hits.withColumn("__at", F.floor(F.col("pos") / wide)).join(r, (F.col("chrom") == F.col("__c")) & (F.col("__at") == F.col("__b")) & F.col("pos").between(F.col("start"), F.col("end")))
+    return both.withColumn("__n", F.row_number().over(Window.partitionBy("hit").orderBy("seq", "region"))).filter("__n = 1").drop("__n", "__c", "__b", "__at", "start", "end", "seq")
 
 
 def best_hit(hits: DataFrame) -> DataFrame:

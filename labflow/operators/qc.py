@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import append_note
+from ..sources.readers import unique
 
 CONFLICTS = (("N", "1"), ("A", "0"))
 
@@ -67,14 +68,14 @@ def outcome_conflict(df: DataFrame) -> DataFrame:
 
 def blacklist(df: DataFrame, concepts: DataFrame) -> DataFrame:
     """Concepts whose extracted values aren't trusted: merged value off, fail, note."""
-    both = df.join(concepts.select(F.col("concept").alias("__c"), F.col("note").alias("__n")), F.col("concept") == F.col("__c"), "left")
+    both = df.join(unique(concepts.select("concept", "note"), ["concept"]).toDF("__c", "__n"), F.col("concept") == F.col("__c"), "left")
     bad = F.col("__c").isNotNull() & F.col("extracted_value").isNotNull()
     return both.withColumns({"merged_value": F.when(~bad, F.col("merged_value")), "qc_pass": F.when(bad, 0).otherwise(F.col("qc_pass")), "qc_note": F.when(bad, append_note(F.col("qc_note"), F.col("__n"))).otherwise(F.col("qc_note"))}).drop("__c", "__n")
 
 
 def impute_outcome(df: DataFrame, limits: DataFrame) -> DataFrame:
     """L, H or N from the concept's limits (concept, low, high, low_problem, high_problem); "*" marks an unsure limit."""
-    t = limits.select(F.col("concept").alias("__c"), "low", "high", "low_problem", "high_problem")
+    t = unique(limits.select("concept", "low", "high", "low_problem", "high_problem"), ["concept"]).withColumnRenamed("concept", "__c")
     v = F.col("merged_value")
     out = F.when(v.between(F.col("low"), F.col("high")), "N").when((v > F.col("high")) & F.col("high_problem"), "H*").when(v > F.col("high"), "H").when((v < F.col("low")) & F.col("low_problem"), "L*").when(v < F.col("low"), "L")
     return df.join(t, F.col("concept") == F.col("__c"), "left").withColumn("imputed_outcome", out).drop("__c", "low", "high", "low_problem", "high_problem")

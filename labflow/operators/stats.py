@@ -13,10 +13,13 @@ from pyspark.sql import types as T
 
 from ..functions.scalar import kolmogorov_p, normal_quantile
 from ..sources.staging import stage
+from .dip import dip, dip_p
+from .quantiles import group_quantiles
 
 
-#: Up to so many values on the larger side, p of a Kolmogorov-Smirnov statistic is exact.
-EXACT_ROWS = 10_000
+#: Up to so many values on the larger side, p of a Kolmogorov-Smirnov statistic is exact; up to the second number it is that of one
+#: sample of the two sizes' harmonic size; beyond, the limit with a correction.
+EXACT_ROWS, FINITE_ROWS = 10_000, 500_000
 
 
 def ks(samples: DataFrame, keys: Sequence[str], exact_rows: int = EXACT_ROWS) -> DataFrame:
@@ -30,19 +33,66 @@ def ks(samples: DataFrame, keys: Sequence[str], exact_rows: int = EXACT_ROWS) ->
 
 
 def ks_p(d, n, m, exact_rows: int = EXACT_ROWS):
-    """Two-sided p: exact while neither side has more than ``exact_rows`` values, else by the corrected limit."""
+    """Two-sided p: exact while neither side has more than ``exact_rows`` values, that of a finite sample up to ``FINITE_ROWS``, else by the corrected limit."""
     n, m = n.cast("double"), m.cast("double")
     limit = kolmogorov_p(d, n, m)
     if not exact_rows:
         return limit
-    small = F.greatest(n, m) <= exact_rows
-    return F.when(small, exact_ks_p(F.when(small, d), n, m)).otherwise(limit)
+    small = F.greatest(n, m) <= FINITE_ROWS
+    return F.when(small, finite_ks_p(F.when(small, d), n, m, F.lit(float(exact_rows)))).otherwise(limit)
 
 
 @F.pandas_udf(T.DoubleType())
-def exact_ks_p(d: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
-    """Exact p of a two-sample KS statistic (one row per key): the share of interleavings that reach it."""
-    return pd.Series([_reached(*x) if x[0] == x[0] and min(x[1:]) > 0 else None for x in zip(d.astype(float), n.astype(float), m.astype(float), strict=True)], dtype="float64")
+def finite_ks_p(d: pd.Series, n: pd.Series, m: pd.Series, most: pd.Series) -> pd.Series:
+    """p of a two-sample KS statistic, one row per key: the share of interleavings that reach it, or the one-sample distribution."""
+    def p(d: float, n: float, m: float, most: float) -> float | None:
+        if d != d or min(n, m) <= 0:
+            return None
+        return _reached(d, n, m) if max(n, m) <= most else one_sample_p(d, round(n * m / (n + m)))
+
+    return pd.Series([p(*x) for x in zip(d.astype(float), n.astype(float), m.astype(float), most.astype(float), strict=True)], dtype="float64")
+
+
+def one_sample_p(d: float, n: int) -> float:
+    """Chance that n uniform values' distribution is somewhere off by d or more.
+
+    The body by the limit's expansion in powers of 1/sqrt(n) (four terms; the rest is of order 1/n^2, below 1e-7 from some
+    thousand values), the tail as twice the exact one-sided chance, which keeps its relative precision.
+    """
+    if n < 1 or d <= 0:
+        return 1.0
+    if d >= 1:
+        return 0.0
+    x = d * math.sqrt(n)
+    return _one_sided_twice(d, n) if x * x > 4 else 1 - _expansion(x, n)
+
+
+def _one_sided_twice(d: float, n: int) -> float:
+    j = np.arange(0, int(n * (1 - d)) + 1)
+    logs = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, n + 1)))])
+    left = 1 - d - j / n
+    j, left = j[left > 0], left[left > 0]
+    terms = logs[n] - logs[j] - logs[n - j] + (j - 1) * np.log(d + j / n) + (n - j) * np.log(left)
+    top = terms.max()
+    return float(min(1.0, 2 * d * math.exp(top) * np.exp(terms - top).sum())) if top > -740 else 0.0
+
+
+def _expansion(x: float, n: int) -> float:
+    """Distribution function of sqrt(n) times the statistic at x, by the four-term expansion of Pelz and Good."""
+    if x < 0.2:
+        return 0.0
+    pi2, x2 = math.pi**2, x * x
+    k = np.arange(0, 60)
+    q = (k + 0.5) ** 2
+    odd = np.exp(-pi2 * q / (2 * x2))  # over half integers
+    whole = k[1:] ** 2.0
+    even = np.exp(-pi2 * whole / (2 * x2))
+    root = math.sqrt(math.pi / 2)
+    k0 = 2 * root / x * odd.sum()
+    k1 = root / (3 * x2**2) * ((pi2 * q - x2) * odd).sum()
+    k2 = root / (36 * x**7) * (((6 * x**6 + 2 * x**4) + pi2 * (2 * x**4 - 5 * x2) * q + pi2**2 * (1 - 2 * x2) * q**2) * odd).sum() - root / (18 * x**3) * (pi2 * whole * even).sum()
+    k3 = root / (3240 * x**10) * ((pi2**3 * q**3 * (5 - 30 * x2) + pi2**2 * q**2 * (-60 * x2 + 212 * x**4) + pi2 * q * (135 * x**4 - 96 * x**6) - (30 * x**6 + 90 * x**8)) * odd).sum() + root / (108 * x**6) * ((3 * pi2 * x2 * whole - pi2**2 * whole**2) * even).sum()
+    return float(min(1.0, max(0.0, k0 + k1 / math.sqrt(n) + k2 / n + k3 / n**1.5)))
 
 
 def _reached(d: float, n: float, m: float) -> float:
@@ -118,18 +168,24 @@ def _beta(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
 
 def mad(samples: DataFrame, keys: Sequence[str], times: float = 3.0) -> DataFrame:
     """Is the candidate's median within ``times`` median deviations of the target's?"""
-    c, t = F.when(F.col("side") == "cand", F.col("value")), F.when(F.col("side") == "targ", F.col("value"))
-    med = samples.groupBy(*keys).agg(F.percentile(c, 0.5).alias("median_cand"), F.percentile(t, 0.5).alias("median_targ"))
-    dev = samples.filter("side = 'targ'").join(med.select(*keys, "median_targ"), list(keys)).groupBy(*keys).agg(F.percentile(F.abs(F.col("value") - F.col("median_targ")), 0.5).alias("mad_targ"))
+    half = group_quantiles(samples, [*keys, "side"], [0.5]).withColumn("__m", F.col("quantiles")[0])
+    med = half.groupBy(*keys).agg(*[F.max(F.when(F.col("side") == s, F.col("__m"))).alias(f"median_{s}") for s in ("cand", "targ")])
+    far = samples.filter("side = 'targ'").join(med.select(*keys, "median_targ"), list(keys)).select(*keys, F.abs(F.col("value") - F.col("median_targ")).alias("value"))
+    dev = group_quantiles(far, keys, [0.5]).select(*keys, F.col("quantiles")[0].alias("mad_targ"))
     return med.join(dev, list(keys)).withColumn("mad_pass", F.abs(F.col("median_cand") - F.col("median_targ")) <= times * F.col("mad_targ"))
 
 
-def decide(samples: DataFrame, keys: Sequence[str], times: float = 3.0) -> DataFrame:
-    """KS, then Welch, then median deviation: verdict and the test that decided; all three are computed."""
-    both = ks(samples, keys).join(welch(samples, keys), list(keys), "left").join(mad(samples, keys, times), list(keys), "left")
+def decide(samples: DataFrame, keys: Sequence[str], times: float = 3.0, exact_rows: int = EXACT_ROWS) -> DataFrame:
+    """KS, then Welch, then median deviation: what each test found, the verdict and the test that decided; all three are computed."""
+    both = ks(samples, keys, exact_rows).join(welch(samples, keys), list(keys), "left").join(mad(samples, keys, times), list(keys), "left")
     k, t = (F.col("ks") < 0.3) & (F.col("ks_p") < 0.05), F.coalesce(F.col("t_p") >= 0.05, F.lit(False))
     m = F.coalesce("mad_pass", F.lit(False))
-    return both.withColumns({"verdict": F.when(k | t | m, "PASS").otherwise("FAIL"), "decided_by": F.when(k, "KS").when(t, "T").otherwise("MAD"), "tests_passed": k.cast("int") + t.cast("int") + m.cast("int")})
+    found = both.withColumns({
+        "ks_pass": k, "ks_mlogp": log_p(F.col("ks_p")), "t_pass": t, "t_mlogp": F.when(F.col("t_p").isNotNull(), log_p(F.col("t_p"))),
+        "mad_dist": F.abs(F.col("median_cand") - F.col("median_targ")), "mad_threshold": times * F.col("mad_targ"), "mad_pass": m,
+    })
+    k, t, m = F.col("ks_pass"), F.col("t_pass"), F.col("mad_pass")
+    return found.withColumns({"verdict": F.when(k | t | m, "PASS").otherwise("FAIL"), "decided_by": F.when(k, "KS").when(t, "T").otherwise("MAD"), "tests_passed": k.cast("int") + t.cast("int") + m.cast("int")})
 
 
 def bimodality(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -140,28 +196,29 @@ def bimodality(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def bimodal_status(bc, dip_p=None):
-    """Status by dip p and coefficient; without the dip test by the coefficient alone."""
+    """Status by dip p and coefficient; where there is no dip p, by the coefficient alone."""
+    alone = F.when(bc >= 0.555, "bimodal").otherwise("unimodal")
     if dip_p is None:
-        return F.when(bc >= 0.555, "bimodal").otherwise("unimodal")
-    return F.when(dip_p >= 0.05, "unimodal").when(bc >= 0.555, "bimodal").otherwise("bimodal_cautious")
+        return alone
+    return F.when(dip_p.isNull(), alone).when(dip_p >= 0.05, "unimodal").when(bc >= 0.555, "bimodal").otherwise("bimodal_cautious")
 
 
 #: Cells that a key's histogram is put into if it has more distinct values; EM stops at this change of the mean log likelihood.
 CELLS, TOLERANCE, MOST_ROUNDS = 8192, 1e-3, 300
-_FIT = "n long, w double, m1 double, m2 double, s1 double, s2 double, bic double, bc double, separator double, overlap_pct double"
+_FIT = "n long, w double, m1 double, m2 double, s1 double, s2 double, bic double, bc double, separator double, overlap_pct double, dip double, dip_p double"
 
 
 def histogram(df: DataFrame, keys: Sequence[str], log10: bool = False, cells: int = CELLS) -> DataFrame:
-    """keys, __x, __k: distinct values and their numbers; keys with more than ``cells`` of them in so many equal cells (__x: the mean)."""
+    """keys, __x, __k, __wide: distinct values and their numbers; keys with more than ``cells`` of them (wide) in so many equal cells (__x: the mean)."""
     v = F.log10("value") if log10 else F.col("value").cast("double")
     hist = df.filter("value > 0" if log10 else "value is not null").groupBy(*keys, v.alias("__x")).agg(F.count("*").alias("__k"))
     size = hist.groupBy(*keys).agg(F.count("*").alias("__distinct"), F.min("__x").alias("__lo"), F.max("__x").alias("__hi"))
     cell = F.when(F.col("__distinct") > cells, F.least(F.width_bucket("__x", "__lo", "__hi", F.lit(cells)), F.lit(cells)))
-    return hist.join(size, list(keys)).groupBy(*keys, F.coalesce(cell.cast("double"), "__x").alias("__cell")).agg((F.sum(F.col("__x") * F.col("__k")) / F.sum("__k")).alias("__x"), F.sum("__k").alias("__k")).drop("__cell")
+    return hist.join(size, list(keys)).groupBy(*keys, F.coalesce(cell.cast("double"), "__x").alias("__cell")).agg((F.sum(F.col("__x") * F.col("__k")) / F.sum("__k")).alias("__x"), F.sum("__k").alias("__k"), F.bool_or(F.col("__distinct") > cells).alias("__wide")).drop("__cell")
 
 
 def mixture(df: DataFrame, keys: Sequence[str], log10: bool = False) -> DataFrame:
-    """Two normal components per key: weights, means, deviations, BIC, bimodality coefficient, separator and overlap.
+    """Two normal components per key: weights, means, deviations, BIC, bimodality coefficient, separator, overlap, dip and its p.
 
     EM runs on each key's bounded histogram, from the best split of the values in two, until the mean log likelihood changes by
     less than ``TOLERANCE``.  With ``log10`` in that space, but with the separator in the values' own; positive values only, and
@@ -172,7 +229,10 @@ def mixture(df: DataFrame, keys: Sequence[str], log10: bool = False) -> DataFram
 
     def fit(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("__x")
-        found = two_normals(part["__x"].to_numpy(float), part["__k"].to_numpy(float))
+        x, k = part["__x"].to_numpy(float), part["__k"].to_numpy(float)
+        found = two_normals(x, k)
+        found["dip"] = dip(x, k, bool(part["__wide"].any()))
+        found["dip_p"] = dip_p(found["dip"], found["n"])
         if log10:
             found["separator"] = 10 ** found["separator"]
         rows = [] if found["n"] < (10 if log10 else 2) else [dict(zip(keys, key, strict=True)) | found]
@@ -222,14 +282,14 @@ def two_normals(x: np.ndarray, k: np.ndarray) -> dict:
 
 
 def bimodal_check(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The better of the linear and the log10 fit by BIC, with the shape judged by the coefficient in that space."""
+    """The better of the linear and the log10 fit by BIC, with the shape judged by dip and coefficient in that space."""
     both = mixture(df, keys).withColumn("log_space", F.lit(False)).unionByName(mixture(df, keys, log10=True).withColumn("log_space", F.lit(True)))
     best = both.groupBy(*keys).agg(F.min_by(F.struct(*[c for c in both.columns if c not in keys]), F.struct("bic", "log_space")).alias("b")).select(*keys, "b.*")
-    return best.withColumn("shape", bimodal_status(F.nanvl(F.col("bc"), F.lit(None).cast("double"))))
+    return best.withColumn("shape", bimodal_status(*[F.nanvl(F.col(c), F.lit(None).cast("double")) for c in ("bc", "dip_p")]))
 
 
 def split_score(scored: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows (key..., sub in {all, low, high}, unit, ks, n): size-weighted best KS of the halves against the whole.
+    """Rows (key..., sub in {all, low, high}, unit, ks, n), where "all" is the whole sample: size-weighted best KS of the halves against the whole.
 
     The improvement is 0 where the whole sample already agrees, null where a half is missing.
     """
@@ -249,8 +309,8 @@ def sigma_filter(df: DataFrame, keys: Sequence[str], times: float = 3.0) -> Data
 
 
 def deciles(df: DataFrame, keys: Sequence[str], ends: bool = False) -> DataFrame:
-    cuts = [i / 10 for i in (range(11) if ends else range(1, 10))]
-    return df.groupBy(*keys).agg(F.percentile("value", F.array(*[F.lit(c) for c in cuts])).alias("deciles"))
+    """keys, deciles: 10 to 90 %, or 0 to 100 %, of every group that has a value."""
+    return group_quantiles(df, keys, [i / 10 for i in (range(11) if ends else range(1, 10))]).select(*keys, F.col("quantiles").alias("deciles"))
 
 
 def running_ratio(df: DataFrame, keys: Sequence[str], order: Sequence[str], flag: str, out: str = "ratio") -> DataFrame:

@@ -100,40 +100,56 @@ def paired(sample: DataFrame, units: DataFrame) -> DataFrame:
     return cand.select("test", "unit", "side", "value").unionByName(targ.select("test", "unit", "side", "value"))
 
 
-def unambiguous_pass(sample: DataFrame, classified: DataFrame) -> DataFrame:
+#: What a comparison of a test's candidates with a unit's values leaves in the result tables.
+FOUND = ("n_cand", "n_targ", "cand_deciles", "targ_deciles", "ks", "ks_mlogp", "ks_pass", "t", "t_mlogp", "t_pass", "mad_dist", "mad_threshold", "mad_pass", "verdict", "decided_by", "tests_passed")
+
+
+def compared(pairs: DataFrame, keys: list[str], exact_rows: int = stats.EXACT_ROWS) -> DataFrame:
+    """The three tests' findings and both sides' deciles for every key."""
+    q = stats.deciles(pairs, [*keys, "side"])
+    sides = q.groupBy(*keys).agg(*[F.max(F.when(F.col("side") == s, F.col("deciles"))).alias(f"{s}_deciles") for s in ("cand", "targ")])
+    return stats.decide(pairs, keys, exact_rows=exact_rows).join(sides, keys, "left").select(*keys, *FOUND)
+
+
+def unambiguous_pass(sample: DataFrame, classified: DataFrame, exact_rows: int = stats.EXACT_ROWS) -> DataFrame:
     """Candidates against the dominant unit; fewer than two rows on a side is SKIP."""
-    own = classified.filter("category = 'UNAMBIGUOUS'").select("test", F.col("dominant").alias("unit"))
-    verdict = stats.decide(paired(sample, own), ["test", "unit"])
+    own = classified.filter("category = 'UNAMBIGUOUS'").select("test", F.col("dominant").alias("unit"), F.col("share").alias("unit_prevalence"))
+    verdict = compared(stage(paired(sample, own), "unit-pairs"), ["test", "unit"], exact_rows)
     skip = (F.col("n_cand") < 2) | (F.col("n_targ") < 2) | F.col("n_cand").isNull()
     return own.join(verdict, ["test", "unit"], "left").withColumn("status", F.when(skip, "SKIP").otherwise(F.col("verdict")))
 
 
 def ambiguous_pass(sample: DataFrame, classified: DataFrame, top: DataFrame, min_rows: int = 30, min_pct: float = 1.0, gain: float = 0.15) -> DataFrame:
-    """Best unit of each ambiguous test, for the whole sample or for its two halves.
+    """Best unit of each ambiguous test, for the whole sample or for its two halves, with everything that led to it.
 
     The halves are cut at the crossing of the better two-component mixture (linear or logarithmic); they count if they fit
-    different units clearly better, or if no unit fits the whole and the sample is bimodal.  A half of one row is left out.
+    different units clearly better, or if no unit fits the whole and the sample is bimodal.  A half of one row is left out.  Shape,
+    separator and overlap are null where a unit already fits the whole and decides (status "skipped").
     """
     tests = classified.filter("category = 'AMBIGUOUS'").select("test")
     units = top.join(tests, "test", "left_semi").filter((F.col("pct") > min_pct) & (F.col("cnt") >= min_rows)).select("test", "unit", "pct")
     cand = sample.filter("side = 'cand'").join(tests, "test", "left_semi")
-    shape = stage(stats.bimodal_check(cand, ["test"]).select("test", F.col("separator").alias("cutoff"), "shape", "overlap_pct"), "sample-shapes")
+    shape = stage(stats.bimodal_check(cand, ["test"]).select("test", F.col("separator").alias("cutoff"), "shape", "bc", "dip", "dip_p", "overlap_pct"), "sample-shapes")
     sub = cand.join(shape.select("test", "cutoff"), "test").withColumn("sub", F.explode(F.array(F.lit("all"), F.when(F.col("value") <= F.col("cutoff"), "low").otherwise("high"))))
     enough = sub.groupBy("test", "sub").agg(F.count("*").alias("k")).filter("k >= 2").select("test", "sub")
     left = sub.select("test", "sub", "value").join(enough, ["test", "sub"], "left_semi").join(units.select("test", "unit"), "test").select("test", "sub", "unit", F.lit("cand").alias("side"), "value")
     right = sample.filter("side = 'targ'").join(units.select("test", "unit"), ["test", "unit"]).join(enough, "test").select("test", "sub", "unit", "side", "value")
-    verdict = stage(stats.decide(stage(left.unionByName(right), "unit-samples"), ["test", "sub", "unit"]).join(units, ["test", "unit"]), "unit-verdicts")
+    pairs = stage(left.unionByName(right), "unit-samples")
+    verdict = stage(compared(pairs, ["test", "sub", "unit"]).join(units, ["test", "unit"]), "unit-verdicts")
     score = stats.split_score(verdict.select("test", "sub", "unit", "ks", F.col("n_cand").alias("n")), ["test"]).join(shape, "test", "left")
     whole = verdict.groupBy("test").agg(F.bool_or((F.col("sub") == "all") & (F.col("verdict") == "PASS")).alias("any_pass"), F.bool_or(F.col("sub") != "all").alias("has_part"))
     prefer = F.coalesce((F.col("improvement") > gain) & ~F.col("same_unit"), F.lit(False))
     halves = prefer | (~F.col("any_pass") & (F.col("shape") != "unimodal"))
-    status = F.when(F.col("any_pass") & ~prefer, "skipped").when(F.col("shape") != "unimodal", F.col("shape")).when(prefer, "split_by_score").otherwise(F.col("shape"))
-    plan = whole.join(score, "test", "left").select("test", "cutoff", (halves & F.col("has_part")).alias("split"), status.alias("status"))
+    skipped = F.col("any_pass") & ~prefer
+    status = F.when(skipped, "skipped").when(F.col("shape") != "unimodal", F.col("shape")).when(prefer, "split_by_score").otherwise(F.col("shape"))
+    seen = [F.when(~skipped, F.col(c)).alias(n) for c, n in (("cutoff", "separator"), ("bc", "bc"), ("dip_p", "dip_p"), ("overlap_pct", "overlap_pct"))]
+    plan = whole.join(score, "test", "left").select("test", "cutoff", (halves & F.col("has_part")).alias("split"), status.alias("status"), *seen, F.col("ks_all").alias("score_global"), F.col("ks_split").alias("score_split"), F.col("improvement").alias("score_improvement"))
     rows = verdict.join(plan, "test").filter(F.col("split") == (F.col("sub") != "all"))
     quality = F.when(F.col("decided_by") == "KS", 0).when(F.col("decided_by") == "T", 1).otherwise(2) + F.when(F.col("verdict") == "PASS", 0).otherwise(3)
     w = Window.partitionBy("test", "sub").orderBy(quality, "ks", F.desc("pct"), "unit")
-    best = rows.withColumn("rn", F.row_number().over(w)).filter("rn = 1")
-    return best.select("test", "sub", "unit", "ks", "verdict", "decided_by", F.when(F.col("sub") == "low", F.col("cutoff")).otherwise(F.lit(float("inf"))).alias("cutoff"), "status")
+    best = rows.withColumn("rn", F.row_number().over(w)).filter("rn = 1").join(prevalence_text(top).select("test", F.col("units").alias("prevalence")), "test", "left")
+    cutoff = F.when(F.col("sub") == "low", F.col("cutoff")).otherwise(F.lit(float("inf"))).alias("cutoff")
+    return best.select("test", "status", "separator", "bc", "dip_p", "overlap_pct", "score_global", "score_split", "score_improvement", "sub", "unit", F.col("pct").alias("unit_prevalence"), "prevalence", *FOUND, cutoff)
 
 
 def unified(*parts: DataFrame) -> DataFrame:

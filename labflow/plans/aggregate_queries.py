@@ -170,7 +170,7 @@ def zip_join(spark, sf_dir):
     return z.select("pair_id", "row_no", F.col("`main.size`").alias("main_size"), F.col("`freetext.size`").alias("free_size"))
 
 
-@query("merge_check", f"WITH {_ZIP} SELECT count(*) AS n_rows, count(*) FILTER (WHERE s1 IS DISTINCT FROM s2) AS differs_size FROM z")
+@query("merge_check", f"WITH {_ZIP} SELECT count(*) AS n_rows, count(*) FILTER (WHERE s1 IS NULL OR s2 IS NULL) AS n_without_id, count(*) FILTER (WHERE s1 IS DISTINCT FROM s2) AS differs_size FROM z")
 def merge_check(spark, sf_dir):
     return readers.merge_check(readers.zip_join(*_pairs(spark, sf_dir)), ["size"])
 
@@ -209,12 +209,12 @@ def concept_counts(spark, sf_dir):
     return audit.concept_counts(df, ["v"], ["b"])
 
 
-_YEARS = "y AS (SELECT o_custkey AS person, o_orderpriority AS concept, year(o_orderdate) AS yr FROM orders), a AS (SELECT concept, count(*) AS n_rows, count(DISTINCT person) AS people FROM y WHERE yr = 1998 GROUP BY 1), b AS (SELECT concept, count(*) AS n_rows, count(DISTINCT person) AS people FROM y WHERE yr = 1997 GROUP BY 1)"
+_YEARS = "y AS (SELECT o_custkey AS person, o_orderpriority AS concept, year(o_orderdate) AS yr FROM orders), a AS (SELECT concept, count(*) AS n_rows, count(DISTINCT person) AS people FROM y WHERE yr >= 1995 GROUP BY 1), b AS (SELECT concept, count(*) AS n_rows, count(DISTINCT person) AS people FROM y WHERE yr < 1995 GROUP BY 1)"
 
 
 def _years(spark, sf_dir):
     y = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("person"), F.col("o_orderpriority").alias("concept"), F.year("o_orderdate").alias("yr"))
-    return [y.filter(F.col("yr") == n).groupBy("concept").agg(F.count("*").alias("n_rows"), F.count_distinct("person").alias("people")) for n in (1998, 1997)], y
+    return [y.filter(part).groupBy("concept").agg(F.count("*").alias("n_rows"), F.count_distinct("person").alias("people")) for part in ("yr >= 1995", "yr < 1995")], y
 
 
 @query("version_compare", f"WITH {_YEARS} SELECT a.concept, a.n_rows, a.people, round(a.n_rows / b.n_rows, 3) AS n_rows_ratio, round(a.people / b.people, 3) AS people_ratio, (SELECT round(sum(n_rows) / (SELECT sum(n_rows) FROM b), 3) FROM a) AS growth FROM a LEFT JOIN b USING (concept)")
@@ -223,10 +223,10 @@ def version_compare(spark, sf_dir):
     return audit.version_compare(new, old, "concept", ["n_rows", "people"])
 
 
-@query("appeared_ids", f"WITH {_YEARS} SELECT person, 'APPEARED' AS change FROM (SELECT person FROM y WHERE yr = 1998 EXCEPT SELECT person FROM y WHERE yr = 1997) UNION ALL SELECT person, 'DISAPPEARED' FROM (SELECT person FROM y WHERE yr = 1997 EXCEPT SELECT person FROM y WHERE yr = 1998)")
+@query("appeared_ids", f"WITH {_YEARS} SELECT person, 'APPEARED' AS change FROM (SELECT person FROM y WHERE yr >= 1995 EXCEPT SELECT person FROM y WHERE yr < 1995) UNION ALL SELECT person, 'DISAPPEARED' FROM (SELECT person FROM y WHERE yr < 1995 EXCEPT SELECT person FROM y WHERE yr >= 1995)")
 def appeared_ids(spark, sf_dir):
     _, y = _years(spark, sf_dir)
-    return audit.appeared(y.filter("yr = 1998"), y.filter("yr = 1997"), "person")
+    return audit.appeared(y.filter("yr >= 1995"), y.filter("yr < 1995"), "person")
 
 
 @query("dict_diff", "WITH a AS (SELECT p_partkey AS k, CASE WHEN p_partkey % 5 = 0 THEN upper(p_type) ELSE p_type END AS v FROM part WHERE p_partkey % 7 <> 0), b AS (SELECT p_partkey AS k, p_type AS v FROM part WHERE p_partkey % 11 <> 0 AND p_partkey % 5 <> 1) SELECT k, a.v AS new, b.v AS old, CASE WHEN b.v IS NULL THEN 'NEW' WHEN a.v IS NULL THEN 'REMOVED' ELSE 'CHANGED' END AS change FROM a FULL JOIN b USING (k) WHERE a.v IS DISTINCT FROM b.v")
@@ -424,14 +424,14 @@ def bimodal_check(spark, sf_dir):
     return stats.bimodal_check(measurements(spark, sf_dir), ["test"])
 
 
-_SPLIT = f"""s AS (SELECT test AS t0, unit AS u0, CASE WHEN line_no <= 3 THEN 'low' WHEN line_no <= 5 THEN 'high' ELSE 'all' END AS sub, CASE WHEN order_id % 2 = 0 THEN 'cand' ELSE 'targ' END AS side, value FROM m),
+_SPLIT = f"""s AS (SELECT test AS t0, unit AS u0, unnest(['all', CASE WHEN line_no <= 3 THEN 'low' ELSE 'high' END]) AS sub, CASE WHEN order_id % 2 = 0 THEN 'cand' ELSE 'targ' END AS side, value FROM m),
  hk AS (SELECT t0, u0, sub, value, count(*) FILTER (WHERE side = 'cand') AS c, count(*) FILTER (WHERE side = 'targ') AS t FROM s GROUP BY ALL), dk AS (SELECT t0, u0, sub, sum(c) OVER w AS cc, sum(t) OVER w AS ct, sum(c) OVER (PARTITION BY t0, u0, sub) AS n, sum(t) OVER (PARTITION BY t0, u0, sub) AS m FROM hk WINDOW w AS (PARTITION BY t0, u0, sub ORDER BY value ROWS UNBOUNDED PRECEDING)),
  x AS (SELECT t0 AS test, u0 AS unit, sub, max(n) AS n, max(abs(cc / n - ct / m)) AS ks FROM dk WHERE n > 0 AND m > 0 GROUP BY ALL)"""
 
 
 @query("split_score", f"WITH {M_SQL}, {_SPLIT}, b AS (SELECT test, sub, min(ks) AS ks, arg_min(unit, (ks, unit)) AS unit, max(n) AS n FROM x GROUP BY 1, 2), q AS (SELECT a.test, a.ks AS ks_all, (l.ks * l.n + h.ks * h.n) / (l.n + h.n) AS ks_split, l.unit = h.unit AS same_unit FROM b a JOIN b l ON a.test = l.test AND l.sub = 'low' JOIN b h ON a.test = h.test AND h.sub = 'high' WHERE a.sub = 'all') SELECT test, round(ks_all, 6) AS ks_all, round(ks_split, 6) AS ks_split, round(CASE WHEN ks_all > 0 THEN (ks_all - ks_split) / ks_all ELSE 0 END, 6) AS improvement, same_unit FROM q")
 def split_score(spark, sf_dir):
-    sub = F.when(F.col("line_no") <= 3, "low").when(F.col("line_no") <= 5, "high").otherwise("all").alias("sub")
+    sub = F.explode(F.array(F.lit("all"), F.when(F.col("line_no") <= 3, "low").otherwise("high"))).alias("sub")
     m = measurements(spark, sf_dir).select("test", "unit", sub, F.when(F.col("order_id") % 2 == 0, "cand").otherwise("targ").alias("side"), "value")
     x = stats.ks(m, ["test", "unit", "sub"], exact_rows=0).select("test", "unit", "sub", "ks", F.col("n_cand").alias("n"))
     return stats.split_score(x, ["test"]).withColumns(r6("ks_all", "ks_split", "improvement"))

@@ -32,10 +32,11 @@ RAW = {
 }
 
 
-def raw(spark, sf_dir: str) -> DataFrame:
+def raw(spark, sf_dir: str, **more: str) -> DataFrame:
+    """Raw rows; ``more``: further columns as SQL text."""
     line, orders, part = (table(spark, sf_dir, t) for t in ("lineitem", "orders", "part"))
     both = line.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(part, F.col("l_partkey") == F.col("p_partkey"))
-    return both.select(*[F.expr(e).alias(c) for c, e in RAW.items()])
+    return both.select(*[F.expr(e).alias(c) for c, e in (RAW | more).items()])
 
 
 def dictionaries(spark) -> jobs.Dictionaries:
@@ -81,8 +82,12 @@ _MUNGED = _MUNGED.replace("STRING", "VARCHAR")
 SQL["munge_job"] = f"WITH {_MUNGED} SELECT row_id, CASE WHEN nat THEN p_brand ELSE concat('L', p_size) END AS test_id, CASE WHEN nat THEN '1' ELSE '0' END AS is_national, test, CASE WHEN p_size % 2 = 0 THEN 'north' END AS coding_system_map, outcome, clean_unit, u AS unit_before_fix, unit_valid, concept, harm_value, harm_unit FROM mu"
 
 
+def munged(spark, sf_dir: str, **more) -> jobs.Result:
+    return jobs.munge(raw(spark, sf_dir), dictionaries(spark), rebalance=True, **more)
+
+
 def munge_job(spark, sf_dir: str) -> DataFrame:
-    rows = jobs.munge(raw(spark, sf_dir), dictionaries(spark)).rows
+    rows = munged(spark, sf_dir).rows
     return rows.select("row_id", "test_id", "is_national", "test", "coding_system_map", "outcome", "clean_unit", "unit_before_fix", "unit_valid", "concept", "harm_value", "harm_unit")
 
 
@@ -92,7 +97,7 @@ SQL["munge_log"] = f"""WITH {_MUNGED} SELECT row_id, 'DATE' AS kind, '1998-13-45
 
 
 def munge_log(spark, sf_dir: str) -> DataFrame:
-    out = jobs.munge(raw(spark, sf_dir), dictionaries(spark))
+    out = munged(spark, sf_dir)
     none = F.lit(None).cast("string").alias("new")
     parts = [x.select("row_id", F.col("err").alias("kind"), F.col("err_value").alias("old"), none) for x in (out.errors, out.warnings)]
     parts.append(out.units.select("row_id", F.concat_ws(" ", F.lit("unit"), "source").alias("kind"), "old", "new"))
@@ -109,7 +114,7 @@ SQL["core_job"] = f"WITH {_CORE} SELECT row_id, concept, ex AS extracted_value,
 
 
 def _core(spark, sf_dir: str) -> jobs.Result:
-    return jobs.core(jobs.munge(raw(spark, sf_dir), dictionaries(spark)).rows, core_tables(spark), drop=("text",))
+    return jobs.core(munged(spark, sf_dir).rows, core_tables(spark), drop=("text",))
 
 
 def core_job(spark, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import clean, extract, harmonise, qc
+from ..operators import clean, extract, formulas, harmonise, qc
 from ..sources import readers
 from .measurements import M_SQL, inline, measurements, table
 
@@ -85,13 +85,13 @@ def remove_spaces(spark, sf_dir):
     return clean.remove_spaces(table(spark, sf_dir, "customer").select("c_custkey", F.concat(F.lit(" "), "c_name", F.lit(" x ")).alias("name"), "c_mktsegment"), skip=["c_mktsegment"])
 
 
-NAMES = "('nation_1', 'one'), ('nation_2', 'two'), ('nation_3', 'three')"
+NAMES = "('economy', 'one'), ('small', 'two'), ('promo', 'three')"
 
 
-@query("name_map", f"SELECT n_nationkey, coalesce(t.b, lower(n_name)) AS test_name, t.a IS NOT NULL AS matched FROM nation LEFT JOIN (VALUES {NAMES}) AS t(a, b) ON lower(n_name) = t.a")
+@query("name_map", f"SELECT p_partkey, coalesce(t.b, lower(p_type)) AS test_name, t.a IS NOT NULL AS matched FROM part LEFT JOIN (VALUES {NAMES}) AS t(a, b) ON lower(p_type) = t.a")
 def name_map(spark, sf_dir):
-    df = table(spark, sf_dir, "nation").select("n_nationkey", clean.test_name(F.col("n_name")).alias("test"))
-    return clean.map_keep(df, inline(spark, NAMES, "from, to").toDF("from", "to"), "test", "test_name").select("n_nationkey", "test_name", "matched")
+    df = table(spark, sf_dir, "part").select("p_partkey", clean.test_name(F.col("p_type")).alias("test"))
+    return clean.map_keep(df, inline(spark, NAMES, "from, to").toDF("from", "to"), "test", "test_name").select("p_partkey", "test_name", "matched")
 
 
 @query("test_ids", "SELECT c_custkey, coalesce(CASE WHEN c_nationkey % 2 = 0 THEN c_mktsegment END, c_name) AS test_id, CASE WHEN c_nationkey % 2 = 0 THEN '1' ELSE '0' END AS is_national FROM customer")
@@ -155,7 +155,10 @@ def unit_convert(spark, sf_dir):
 @query("conversion_use", f"WITH {M_SQL}, {_FIXED}, {_MAPPED}, {_TABLE} SELECT conv.*, count(order_id) AS n_rows FROM conv LEFT JOIN mapped ON mapped.concept = conv.concept AND clean_unit = source_unit GROUP BY ALL")
 def conversion_use(spark, sf_dir):
     used = _mapped(spark, sf_dir).groupBy("concept", F.col("clean_unit").alias("source_unit")).agg(F.count("*").alias("n_rows"))
-    return _table(spark).join(used, ["concept", "source_unit"], "left").withColumn("n_rows", F.coalesce("n_rows", F.lit(0)))
+    t = _table(spark)
+    at = {x: formulas.run(F.col("program"), F.lit(x)) for x in (0.0, 1.0)}
+    line = t.withColumns({"a": F.when(F.col("is_formula"), F.round(at[1.0] - at[0.0], 9)).otherwise(F.col("a")), "b": at[0.0]}).drop("program", "known")
+    return line.join(used, ["concept", "source_unit"], "left").withColumn("n_rows", F.coalesce("n_rows", F.lit(0)))
 
 
 @query("sanitize_text", "SELECT doc_id, md5(replace(regexp_replace(text, '\\r\\n|\\r|\\n', '␤', 'g'), chr(9), '␉')) AS digest FROM documents")

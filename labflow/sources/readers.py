@@ -5,8 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,8 +50,11 @@ def raw_columns(person: str, free_text: bool = False) -> list[str]:
     return [person, *(FREETEXT_COLUMNS if free_text else MAIN_COLUMNS)[1:]]
 
 
-def read_tsv(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str], wanted: Sequence[str] | None = None, keep_bad: bool = False) -> DataFrame:
-    """All-string TSV (plain or gzip).  Malformed lines are kept in ``__corrupt`` if asked for (see ``split_bad``), and dropped otherwise."""
+def read_tsv(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str], wanted: Sequence[str] | None = None, keep_bad: bool = True) -> DataFrame:
+    """All-string TSV (plain or gzip).  Malformed lines are kept in ``__corrupt`` (see ``split_bad``), or dropped if asked for.
+
+    A file is one task; ``split_scan.scan_tsv`` cuts plain files.
+    """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns] + ([T.StructField(BAD, T.StringType())] if keep_bad else []))
     reader = spark.read.schema(schema).option("sep", "\t").option("header", True).option("multiLine", True).option("enforceSchema", True)
     reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD) if keep_bad else reader.option("mode", "DROPMALFORMED")
@@ -70,19 +72,29 @@ def read_parquet(spark: SparkSession, path: str, wanted: Sequence[str] | None =
     return df.select(*wanted) if wanted else df
 
 
-def header_problems(spark: SparkSession, path: str, expected: Sequence[str]) -> DataFrame:
-    """Missing, extra or misplaced columns of a file's header: one row per problem, none if all is well."""
-    line = spark.read.text(path).limit(1)
-    want = F.array(*[F.lit(c) for c in expected])
-    got = line.select(F.split("value", "\t").alias("got"))
-    problems = got.select(
-        F.concat(
-            F.transform(F.array_except(want, "got"), lambda c: F.struct(F.lit("MISSING").alias("problem"), c.alias("column"))),
-            F.transform(F.array_except("got", want), lambda c: F.struct(F.lit("EXTRA").alias("problem"), c.alias("column"))),
-            F.when((F.size(F.array_except(want, "got")) == 0) & (F.size(F.array_except("got", want)) == 0) & (F.col("got") != want), F.filter(F.transform(F.col("got"), lambda c, i: F.struct(F.lit("ORDER").alias("problem"), c.alias("column"))), lambda s: F.array_position("got", s["column"]) != F.array_position(want, s["column"]))).otherwise(F.array().cast("array<struct<problem:string,column:string>>")),
-        ).alias("p")
+def headers_problems(spark: SparkSession, expected: dict[str, Sequence[str]]) -> DataFrame:
+    """path, problem, column: missing, extra or misplaced columns of files' headers; no row for a file where all is well."""
+    files = spark.createDataFrame([(f, list(c)) for f, c in expected.items()], "path string, want array<string>")
+    # the first line of a file stands in its first split, before all others there
+    names = files.select("path", "want", F.regexp_replace(F.col("path"), r"^.*/", "").alias("__file"))
+    lines = spark.read.text(list(expected)).select("value", "_metadata.file_name", "_metadata.file_path", F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("id")).filter("at = 0")
+    first = lines.groupBy("file_path", "file_name").agg(F.min_by("value", "id").alias("line"))
+    got = first.join(names, (F.col("file_name") == F.col("__file")) & F.endswith(F.regexp_replace("file_path", "^file:/+", "/"), F.regexp_replace("path", "^file:/+", "/"))).withColumn("got", F.split(F.rtrim("line"), "\t"))
+    want, have = F.col("want"), F.col("got")
+    less, more = F.array_except(want, have), F.array_except(have, want)
+    shifted = F.filter(F.transform(have, lambda c, i: F.struct(F.lit("ORDER").alias("problem"), c.alias("column"))), lambda s: F.array_position(have, s["column"]) != F.array_position(want, s["column"]))
+    none = F.array().cast("array<struct<problem:string,column:string>>")
+    problems = F.concat(
+        F.transform(less, lambda c: F.struct(F.lit("MISSING").alias("problem"), c.alias("column"))),
+        F.transform(more, lambda c: F.struct(F.lit("EXTRA").alias("problem"), c.alias("column"))),
+        F.when((F.size(less) == 0) & (F.size(more) == 0) & (have != want), shifted).otherwise(none),
     )
-    return problems.select(F.lit(path).alias("path"), F.inline("p"))
+    return got.select("path", problems.alias("p")).select("path", F.inline("p"))
+
+
+def header_problems(spark: SparkSession, path: str, expected: Sequence[str]) -> DataFrame:
+    """``headers_problems`` of one file."""
+    return headers_problems(spark, {path: expected})
 
 
 def manifest_pairs(spark: SparkSession, path: str) -> DataFrame:
@@ -94,27 +106,37 @@ def manifest_pairs(spark: SparkSession, path: str) -> DataFrame:
 def manifest_problems(spark: SparkSession, path: str, main: Sequence[str] = (), free: Sequence[str] = ()) -> DataFrame:
     """value, problem: lines of a manifest that don't name a pair of existing TSV files with the expected headers.
 
-    A manifest names tens of files, so their existence is asked from the driver; the headers are checked if columns are given.
+    A manifest names tens of files.  Each folder of them is listed once, on the driver; all headers are read by one job.
     """
     pairs = manifest_pairs(spark, path)
     tsv = F.col("main").rlike(r"\.tsv(\.gz)?$") & F.col("free").rlike(r"\.tsv(\.gz)?$")
     kind = F.when(F.col("n") != 2, "NOT_A_PAIR").when(~tsv, "NOT_TSV")
     found = [pairs.select("value", kind.alias("problem")).filter("problem is not null")]
-    for r in pairs.filter(kind.isNull()).collect():
-        for file, columns in ((r["main"], main), (r["free"], free)):
-            if not _exists(spark, file):
-                found.append(spark.createDataFrame([(r["value"], "MISSING_FILE")], "value string, problem string"))
-            elif columns:
-                bad = header_problems(spark, file, columns)
-                found.append(bad.select(F.lit(r["value"]).alias("value"), F.concat_ws(" ", F.lit("HEADER"), "problem", "column").alias("problem")))
+    named = [(r["value"], r["main"], r["free"]) for r in pairs.filter(kind.isNull()).collect()]
+    there = _existing(spark, {f for _, *files in named for f in files})
+    gone = [(v, "MISSING_FILE") for v, *files in named for f in files if f not in there]
+    if gone:
+        found.append(spark.createDataFrame(gone, "value string, problem string"))
+    wanted = {f: list(columns) for _, a, b in named for f, columns in ((a, main), (b, free)) if f in there and columns}
+    if wanted:
+        bad = headers_problems(spark, wanted)
+        lines = spark.createDataFrame([(v, f) for v, *files in named for f in files if f in wanted], "value string, path string")
+        found.append(lines.join(bad, "path").select("value", F.concat_ws(" ", F.lit("HEADER"), "problem", "column").alias("problem")))
     return reduce(DataFrame.unionByName, found)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        return spark.read.format("binaryFile").load(path).select("length").limit(1).count() > 0
-    except AnalysisException:
-        return False
+def _existing(spark: SparkSession, files: set[str]) -> set[str]:
+    """Those of ``files`` that exist; a folder is listed once however many of its files are asked for."""
+    hadoop, out = spark.sparkContext._jvm.org.apache.hadoop.fs, set()
+    by_folder: dict[str, set[str]] = {}
+    for f in files:
+        by_folder.setdefault(f.rpartition("/")[0], set()).add(f)
+    for folder, own in by_folder.items():
+        at = hadoop.Path(folder or ".")
+        fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        names = {s.getPath().getName() for s in fs.listStatus(at)} if fs.exists(at) else set()
+        out |= {f for f in own if f.rpartition("/")[2] in names}
+    return out
 
 
 def number_in_file(df: DataFrame, out: str = "row_no") -> DataFrame:
@@ -136,15 +158,17 @@ def prefixed(df: DataFrame, prefix: str) -> DataFrame:
 
 
 def zip_join(main: DataFrame, free: DataFrame, on: Sequence[str] = ("pair_id", "row_no")) -> DataFrame:
-    """Rows of a file pair side by side; the shorter file is padded with nulls."""
-    m = main.select(*on, *[F.col(c).alias("main." + c) for c in main.columns if c not in on])
-    f = free.select(*on, *[F.col(c).alias("freetext." + c) for c in free.columns if c not in on])
-    return m.join(f, list(on), "full_outer")
+    """Rows of a file pair side by side; the shorter file is padded with nulls.  ``main._rowid`` and ``freetext._rowid`` tell which row a side has."""
+    def side(df: DataFrame, prefix: str) -> DataFrame:
+        return df.select(*on, F.col(on[-1]).alias(f"{prefix}._rowid"), *[F.col(c).alias(f"{prefix}.{c}") for c in df.columns if c not in on])
+
+    return side(main, "main").join(side(free, "freetext"), list(on), "full_outer")
 
 
 def merge_check(zipped: DataFrame, shared: Sequence[str]) -> DataFrame:
-    """One row: rows, rows without an id, and rows that differ per shared column (a null against a value differs)."""
-    return zipped.agg(F.count("*").alias("n_rows"), *[F.count_if(~F.col(f"`main.{c}`").eqNullSafe(F.col(f"`freetext.{c}`"))).alias(f"differs_{c}") for c in shared])
+    """One row: rows, rows that lack a side's row id, and rows that differ per shared column (a null against a value differs)."""
+    missing = F.col("`main._rowid`").isNull() | F.col("`freetext._rowid`").isNull()
+    return zipped.agg(F.count("*").alias("n_rows"), F.count_if(missing).alias("n_without_id"), *[F.count_if(~F.col(f"`main.{c}`").eqNullSafe(F.col(f"`freetext.{c}`"))).alias(f"differs_{c}") for c in shared])
 
 
 def consolidate(zipped: DataFrame, main: Sequence[str], free: Sequence[str]) -> DataFrame:
@@ -157,9 +181,9 @@ def tidy(df: DataFrame, sex: DataFrame, text: Sequence[str], order: Sequence[str
     return both.withColumns({c: sanitise_text(F.col(c)) for c in text}).select(*order)
 
 
-def left_dimension(df: DataFrame, dim: DataFrame, key: str, broadcast_rows: int = 5_000_000) -> DataFrame:
-    """Left join of a dimension; broadcast only while its counted size allows."""
-    return df.join(F.broadcast(dim) if dim.count() <= broadcast_rows else dim, key, "left")
+def left_dimension(df: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+    """Left join of a dimension, a row per key; Spark broadcasts it while its size in bytes allows."""
+    return df.join(unique(dim, [key]), key, "left")
 
 
 def left_reports(responses: DataFrame, reports: DataFrame, keys: Sequence[str], missing: str | None = "NA") -> DataFrame:
@@ -189,6 +213,27 @@ def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
 
 
+# ------------------------------------------------------------------------------------------------ logs
+#: What a row leaves in the logs of a job: kind (error, warning, unit, name), and what the kind's log holds.
+NOTE = "array<struct<kind:string,err:string,err_value:string,test:string,unit:string,old:string,new:string,source:string>>"
+_FIELDS = ("err", "err_value", "test", "unit", "old", "new", "source")
+
+
+def note(flag: Column, kind: str, **values: Column) -> Column:
+    """An entry of a row's log where the flag holds, else null."""
+    return F.when(flag, F.struct(F.lit(kind).alias("kind"), *[values.get(f, F.lit(None)).cast("string").alias(f) for f in _FIELDS]))
+
+
+def notes(*entries: Column) -> Column:
+    return F.array_compact(F.array(*entries)).cast(NOTE)
+
+
+def log_of(df: DataFrame, kind: str, columns: Sequence[str], log: str = "__log", row_id: str = "row_id", when: str = "event_datetime") -> DataFrame:
+    """row_id, event_datetime and ``columns`` of one kind of entry."""
+    each = df.select(F.col(row_id).alias("row_id"), F.col(when).cast("string").alias("event_datetime"), F.explode(log).alias("e")).filter(F.col("e.kind") == kind)
+    return each.select("row_id", "event_datetime", *[F.col(f"e.{c}").alias(c) for c in columns])
+
+
 def quarantine(df: DataFrame, flag: str, kind: str, value: str, row_id: str = "row_id", when: str = "event_datetime") -> DataFrame:
     """Rows with a flag, as (row_id, event_datetime, err, err_value)."""
     return df.filter(F.col(flag)).select(F.col(row_id).alias("row_id"), F.col(when).cast("string").alias("event_datetime"), F.lit(kind).alias("err"), F.col(value).cast("string").alias("err_value"))
@@ -265,9 +310,21 @@ def rules_with_vocabulary(rules: DataFrame, words: DataFrame, order: str, keys:
     return norm(rules).join(best, own, "left").drop(*own)
 
 
+def unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key, the least in its other columns (nulls last): what makes a table a dictionary, so that no join multiplies rows."""
+    rest = [c for c in df.columns if c not in keys]
+    best = df.groupBy(*keys).agg(F.min(F.struct(*[x for c in rest for x in (F.col(c).isNull().alias(f"__{c}"), F.col(c))])).alias("b"))
+    return best.select(*[F.col(f"b.{c}").alias(c) if c in rest else F.col(c) for c in df.columns])
+
+
+def clashes(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """dictionary, key, n_rows: keys of a dictionary that have several different rows."""
+    return df.distinct().groupBy(*keys).agg(F.count("*").alias("n_rows")).filter("n_rows > 1").select(F.lit(name).alias("dictionary"), F.concat_ws(" | ", *[F.coalesce(F.col(k).cast("string"), F.lit("NA")) for k in keys]).alias("key"), "n_rows")
+
+
 def lookup(df: DataFrame, names: DataFrame, key: str, out: str, miss: str = "key", default: str | None = None) -> DataFrame:
     """Dictionary join with three policies for a miss: keep the key, a default, or null."""
-    small = names.select(F.col("from").alias("__from"), F.col("to").alias("__to"))
+    small = unique(names.select("from", "to"), ["from"]).toDF("__from", "__to")
     other = F.col(key) if miss == "key" else F.lit(default)
     return df.join(small, F.col(key) == F.col("__from"), "left").withColumn(out, F.coalesce("__to", other)).drop("__from", "__to")
 

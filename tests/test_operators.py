@@ -178,9 +178,38 @@ def test_ks_p_is_exact(spark):
         assert df.select(stats.ks_p(F.col("d"), F.col("n"), F.col("m")).alias("p")).first().p == pytest.approx(hit / len(paths), rel=1e-9)
     df = spark.createDataFrame([(0.05, 20000, 20000), (0.01, 20000, 20000), (None, 20000, 20000), (None, 5, 5)], "d double, n long, m long")
     got = [r.p for r in df.select(stats.ks_p(F.col("d"), F.col("n"), F.col("m")).alias("p")).collect()]
-    lam = (100 + 0.12 + 0.11 / 100) * 0.01
-    assert got[1] == pytest.approx(2 * sum((-1) ** (k - 1) * math.exp(-2 * k * k * lam * lam) for k in range(1, 50)), rel=1e-9)
+    assert got[1] == pytest.approx(stats.one_sample_p(0.01, 10_000), rel=1e-12)
     assert 0 <= got[0] < 1e-18 and got[2:] == [None, None]
+    lam = (1000 + 0.12 + 0.11 / 1000) * 0.001
+    large = spark.createDataFrame([(0.001, 2_000_000, 2_000_000)], "d double, n long, m long").select(stats.ks_p(F.col("d"), F.col("n"), F.col("m")).alias("p")).first().p
+    assert large == pytest.approx(2 * sum((-1) ** (k - 1) * math.exp(-2 * k * k * lam * lam) for k in range(1, 50)), rel=1e-9)
+
+
+def test_ks_p_of_finite_samples():
+    """Published values of the one-sample distribution function, and a matrix power."""
+    for d, n, want in ((0.04, 2000, 0.99676943191713676985), (0.06, 2000, 0.99999989395692991), (0.016, 16000, 0.99945234913828052085)):
+        assert 1 - stats.one_sample_p(d, n) == pytest.approx(want, abs=1e-6)
+    import numpy as np
+
+    for n, d in ((2000, 0.01), (2000, 0.02), (2000, 0.0447), (3000, 0.025)):
+        k = int(n * d) + 1
+        m, h = 2 * k - 1, k - n * d
+        t = np.array([[0.0 if i - j + 1 < 0 else 1.0 for j in range(m)] for i in range(m)])
+        for i in range(m):
+            t[i, 0] -= h ** (i + 1)
+            t[m - 1, i] -= h ** (m - i)
+        t[m - 1, 0] += max(2 * h - 1, 0) ** m
+        for i in range(m):
+            for j in range(m):
+                t[i, j] /= math.factorial(max(i - j + 1, 0)) if i - j < 160 else math.inf
+        row, log = t[k - 1], 0.0
+        for _ in range(n - 1):
+            row = row @ t
+            log += math.log(row.max())
+            row = row / row.max()
+        want = math.exp(math.log(row[k - 1]) + log + sum(math.log(i / n) for i in range(1, n + 1)))
+        assert 1 - stats.one_sample_p(d, n) == pytest.approx(want, abs=1e-7)
+    assert stats.one_sample_p(0.5, 250_000) == 0 and stats.one_sample_p(0, 10) == 1 and stats.one_sample_p(1, 10) == 0
 
 
 def test_mixture_against_rows(spark):
@@ -226,6 +255,10 @@ def test_ambiguous_pass_splits(spark):
     got = {(r.test, r["sub"]): r for r in units.ambiguous_pass(units.samples(df), units.classify(units.targets(df, 1), top), top).collect()}
     assert set(got) == {("mix", "low"), ("mix", "high"), ("plain", "all")}
     assert got["mix", "low"].unit == "mg" and got["mix", "high"].unit == "ug" and 12 < got["mix", "low"].cutoff < 90 and got["plain", "all"].unit == "mg"
+    low, plain = got["mix", "low"], got["plain", "all"]
+    assert low.status == "bimodal" and low.dip_p < 0.05 and low.separator == low.cutoff and low.score_improvement > 0.15 and low.score_split < low.score_global
+    assert len(low.cand_deciles) == len(low.targ_deciles) == 9 and low.prevalence == "{mg:50.0,ug:50.0}" and low.unit_prevalence == 50.0 and low.ks_mlogp >= 0 and low.t_mlogp >= 0
+    assert plain.status == "skipped" and plain.separator is None and plain.dip_p is None and plain.n_cand == 200 and plain.mad_dist <= plain.mad_threshold
 
 
 @pytest.mark.parametrize("text,value", [("12", 12.0), ("12d", None), ("12f", None), ("1e3", 1000.0), (".5", 0.5), ("5.", 5.0), ("", None), ("nan", None), ("inf", None), (None, None)])

@@ -122,7 +122,7 @@ def placed(docs: DataFrame) -> DataFrame:
 def takes(where: DataFrame, sources: DataFrame) -> DataFrame:
     """tree, rank, slot, from_word, taken: what each slot takes of each document, from its ``from_word``-th word on."""
     drawn = schedule(sources).join(shuffled_blocks(sources), ["tree", "lap", "turn"]).join(sources.select("tree", "words"), "tree")
-    drawn = drawn.select("tree", "slot", "block", (F.col("block") * F.col("words")).alias("low"), "part")
+    drawn = stage(drawn.select("tree", "slot", "block", (F.col("block") * F.col("words")).alias("low"), "part"), "mix-drawn")
     held = where.filter("size > 0").join(sources.select("tree", "words"), "tree")
     touched = held.withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / F.col("words")), F.floor((F.col("start") + F.col("size") - 1) / F.col("words")))))
     both = touched.select("tree", "rank", "start", "size", "block").join(drawn, ["tree", "block"])

@@ -212,7 +212,7 @@ def injection_audit(df: DataFrame, rules: DataFrame, alpha: float = 0.05, exact_
     tests = F.greatest(F.count("*").over(Window.partitionBy(F.lit(1))), F.lit(1))  # a row per rule
     out = out.withColumn("p", stats.ks_p(F.col("ks"), F.col("n1"), F.col("n2"), exact_rows))
     status = F.when(F.col("n").isNull(), "NO_DATA").when(F.coalesce("n1", F.lit(0)) == 0, "NO_HARMONIZED_DATA").when(F.coalesce("n2", F.lit(0)) == 0, "NO_OMOP_DATA").when(F.col("p") < alpha / tests, "FAILED_KS").otherwise("SUCCESS")
-    return out.select("rule", "concept", F.col("n1").alias("n_rule"), F.col("n2").alias("n_rest"), "ks", "p", status.alias("status"))
+    return out.select("rule", "concept", F.col("n1").alias("n_rule"), F.col("n2").alias("n_rest"), "ks", "p", F.when(F.col("p").isNotNull(), stats.log_p(F.col("p"))).alias("mlogp"), status.alias("status"))
 
 
 def unharmonised_audit(samples: DataFrame, keys: Sequence[str], units: DataFrame, min_rows: int = 10, limit: float = 0.3, exact_rows: int = stats.EXACT_ROWS) -> DataFrame:
@@ -224,6 +224,7 @@ def unharmonised_audit(samples: DataFrame, keys: Sequence[str], units: DataFrame
     test = stats.ks(samples, keys, exact_rows).select(*keys, "ks", "ks_p")
     out = sizes.join(test, list(keys), "left").join(units, "concept", "left").filter("n_cand > 0")
     status = F.when(F.col("n_targ") == 0, "NO_REF_DATA").when(F.least("n_cand", "n_targ") < min_rows, "INSUFFICIENT_DATA").when(F.col("ks") < limit, "SUCCESS").otherwise("KS_FAIL")
+    out = out.withColumn("ks_mlogp", F.when(F.col("ks_p").isNotNull(), stats.log_p(F.col("ks_p"))))
     return out.withColumns({"status": status, "proposed_unit": F.when(status == "SUCCESS", F.col("target_unit"))}).drop("target_unit")
 
 

@@ -25,6 +25,12 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+def _log10(p: str) -> str:
+    """-log10 of a p-value (as ``_p`` has it) in SQL, to four decimals."""
+    p = p.removeprefix("round(").removesuffix(", 6)")
+    return f"round(least(300.0, CASE WHEN {p} > 0 THEN -log10({p}) ELSE 300.0 END), 4)"
+
+
 def r6(*columns: str):
     return {c: F.round(c, 6) for c in columns}
 
@@ -450,19 +456,19 @@ def ambiguous_pass(spark, sf_dir):
     return units.ambiguous_pass(units.samples(u), units.classify(units.targets(u, 10), top), top)
 
 
-@query("unharmonised_audit", f"WITH {M_SQL}, s AS (SELECT concept AS event_type, CASE WHEN unit = 'Brand#1' THEN 'cand' ELSE 'targ' END AS side, value FROM m), {_KS}, z AS (SELECT event_type AS concept, count(*) FILTER (WHERE side = 'cand') AS n_cand, count(*) FILTER (WHERE side = 'targ') AS n_targ FROM s GROUP BY 1), r AS (SELECT z.*, round(ks, 6) AS ks, CASE WHEN ks IS NOT NULL THEN {_p('ks', 'z.n_cand', 'z.n_targ')} END AS ks_p, CASE WHEN z.n_targ = 0 THEN 'NO_REF_DATA' WHEN least(z.n_cand, z.n_targ) < 10 THEN 'INSUFFICIENT_DATA' WHEN ks < 0.3 THEN 'SUCCESS' ELSE 'KS_FAIL' END AS status FROM z LEFT JOIN k ON z.concept = k.event_type WHERE z.n_cand > 0) SELECT r.*, CASE WHEN status = 'SUCCESS' THEN u.unit END AS proposed_unit FROM r LEFT JOIN (VALUES (1, 'g'), (2, 'mg')) AS u(concept, unit) USING (concept)")
+@query("unharmonised_audit", f"WITH {M_SQL}, s AS (SELECT concept AS event_type, CASE WHEN unit = 'Brand#1' THEN 'cand' ELSE 'targ' END AS side, value FROM m), {_KS}, z AS (SELECT event_type AS concept, count(*) FILTER (WHERE side = 'cand') AS n_cand, count(*) FILTER (WHERE side = 'targ') AS n_targ FROM s GROUP BY 1), r AS (SELECT z.*, round(ks, 6) AS ks, CASE WHEN ks IS NOT NULL THEN {_p('ks', 'z.n_cand', 'z.n_targ')} END AS ks_p, CASE WHEN ks IS NOT NULL THEN {_log10(_p('ks', 'z.n_cand', 'z.n_targ'))} END AS ks_mlogp, CASE WHEN z.n_targ = 0 THEN 'NO_REF_DATA' WHEN least(z.n_cand, z.n_targ) < 10 THEN 'INSUFFICIENT_DATA' WHEN ks < 0.3 THEN 'SUCCESS' ELSE 'KS_FAIL' END AS status FROM z LEFT JOIN k ON z.concept = k.event_type WHERE z.n_cand > 0) SELECT r.*, CASE WHEN status = 'SUCCESS' THEN u.unit END AS proposed_unit FROM r LEFT JOIN (VALUES (1, 'g'), (2, 'mg')) AS u(concept, unit) USING (concept)")
 def unharmonised_audit(spark, sf_dir):
     m = measurements(spark, sf_dir).select("concept", F.when(F.col("unit") == "Brand#1", "cand").otherwise("targ").alias("side"), "value")
-    return audit.unharmonised_audit(m, ["concept"], inline(spark, "(1, 'g'), (2, 'mg')", "concept, target_unit"), exact_rows=0).withColumns(r6("ks", "ks_p"))
+    return audit.unharmonised_audit(m, ["concept"], inline(spark, "(1, 'g'), (2, 'mg')", "concept, target_unit"), exact_rows=0).withColumns(r6("ks", "ks_p") | {"ks_mlogp": F.round("ks_mlogp", 4)})
 
 
 _RULES = "(1, 'SMALL', 'Brand#1'), (2, 'LARGE', 'Brand#9'), (3, 'NONE', 'Brand#1')"
 
 
-@query("injection_audit", f"WITH {M_SQL}, f AS (SELECT rule, concept, value, count(*) AS c FROM m JOIN (VALUES {_RULES}) AS r(rule, t, u) ON test = t AND unit = u AND line_no > 1 GROUP BY ALL), g AS (SELECT DISTINCT rule, concept FROM f), w AS (SELECT concept, value, count(*) AS k FROM m GROUP BY ALL), x AS (SELECT g.rule, g.concept, w.value, coalesce(f.c, 0) AS c, k - coalesce(f.c, 0) AS t FROM g JOIN w USING (concept) LEFT JOIN f ON f.rule = g.rule AND f.concept = g.concept AND f.value = w.value), d AS (SELECT rule, concept, sum(c) OVER o AS cc, sum(t) OVER o AS ct, sum(c) OVER (PARTITION BY rule, concept) AS n, sum(t) OVER (PARTITION BY rule, concept) AS m FROM x WINDOW o AS (PARTITION BY rule, concept ORDER BY value ROWS UNBOUNDED PRECEDING)), k AS (SELECT rule, concept, max(n)::BIGINT AS n_rule, max(m)::BIGINT AS n_rest, max(abs(cc / n - ct / m)) AS ks FROM d GROUP BY 1, 2), a AS (SELECT r.rule, concept, n_rule, n_rest, ks, CASE WHEN ks IS NOT NULL THEN {_p('ks', 'n_rule', 'n_rest')} END AS p, count(*) OVER () AS tests FROM (VALUES {_RULES}) AS r(rule, t, u) LEFT JOIN k USING (rule)) SELECT rule, concept, n_rule, n_rest, round(ks, 6) AS ks, p, CASE WHEN n_rule IS NULL THEN 'NO_DATA' WHEN n_rest = 0 THEN 'NO_OMOP_DATA' WHEN p < 0.05 / tests THEN 'FAILED_KS' ELSE 'SUCCESS' END AS status FROM a")
+@query("injection_audit", f"WITH {M_SQL}, f AS (SELECT rule, concept, value, count(*) AS c FROM m JOIN (VALUES {_RULES}) AS r(rule, t, u) ON test = t AND unit = u AND line_no > 1 GROUP BY ALL), g AS (SELECT DISTINCT rule, concept FROM f), w AS (SELECT concept, value, count(*) AS k FROM m GROUP BY ALL), x AS (SELECT g.rule, g.concept, w.value, coalesce(f.c, 0) AS c, k - coalesce(f.c, 0) AS t FROM g JOIN w USING (concept) LEFT JOIN f ON f.rule = g.rule AND f.concept = g.concept AND f.value = w.value), d AS (SELECT rule, concept, sum(c) OVER o AS cc, sum(t) OVER o AS ct, sum(c) OVER (PARTITION BY rule, concept) AS n, sum(t) OVER (PARTITION BY rule, concept) AS m FROM x WINDOW o AS (PARTITION BY rule, concept ORDER BY value ROWS UNBOUNDED PRECEDING)), k AS (SELECT rule, concept, max(n)::BIGINT AS n_rule, max(m)::BIGINT AS n_rest, max(abs(cc / n - ct / m)) AS ks FROM d GROUP BY 1, 2), a AS (SELECT r.rule, concept, n_rule, n_rest, ks, CASE WHEN ks IS NOT NULL THEN {_p('ks', 'n_rule', 'n_rest')} END AS p, CASE WHEN ks IS NOT NULL THEN {_log10(_p('ks', 'n_rule', 'n_rest'))} END AS mlogp, count(*) OVER () AS tests FROM (VALUES {_RULES}) AS r(rule, t, u) LEFT JOIN k USING (rule)) SELECT rule, concept, n_rule, n_rest, round(ks, 6) AS ks, p, mlogp, CASE WHEN n_rule IS NULL THEN 'NO_DATA' WHEN n_rest = 0 THEN 'NO_OMOP_DATA' WHEN p < 0.05 / tests THEN 'FAILED_KS' ELSE 'SUCCESS' END AS status FROM a")
 def injection_audit(spark, sf_dir):
     m = measurements(spark, sf_dir).withColumn("fixed", F.col("line_no") > 1)
-    return audit.injection_audit(m, inline(spark, _RULES, "rule, test, unit"), exact_rows=0).withColumns(r6("ks", "p"))
+    return audit.injection_audit(m, inline(spark, _RULES, "rule, test, unit"), exact_rows=0).withColumns(r6("ks", "p") | {"mlogp": F.round("mlogp", 4)})
 
 
 @query("extracted_audit", f"WITH {M_SQL}, a AS (SELECT concept, CASE WHEN line_no <= 2 THEN 'cand' ELSE 'targ' END AS side, value FROM m), g AS (SELECT concept, side, avg(value) AS mu, stddev_samp(value) AS sd FROM a GROUP BY 1, 2), s AS (SELECT concept AS event_type, side, value FROM a JOIN g USING (concept, side) WHERE abs(value - mu) <= 3 * sd OR coalesce(sd, 0) = 0), {_KS}, md AS (SELECT event_type, quantile_cont(value, 0.5) FILTER (WHERE side = 'cand') AS median_cand, quantile_cont(value, 0.5) FILTER (WHERE side = 'targ') AS median_targ, round(quantile_cont(value, 0.1) FILTER (WHERE side = 'cand'), 6) AS cand_d1, round(quantile_cont(value, 0.9) FILTER (WHERE side = 'targ'), 6) AS targ_d9 FROM s GROUP BY 1) SELECT event_type AS concept, n_cand, n_targ, round(ks, 6) AS ks, median_cand, median_targ, cand_d1, targ_d9, round(n_cand / n_targ, 4) AS n_ratio, row_number() OVER (ORDER BY round(ks, 9) DESC, event_type) AS rank FROM k JOIN md USING (event_type)")

@@ -18,7 +18,8 @@ with one anchor are consecutive; they form its *zone*.
 A batch that has an anchor in two documents answers these by itself and sends the key once; it sends the bytes around equal
 zones once, so copies cost one entry per batch; copies of a row are sent once.  Classes are exact; the anchors in step 1 and
 the strings in step 4 meet by 64-bit hashes.  At most ``SAMPLE_MOST`` sampled suffixes go to the driver and ``MOST_BUCKETS``
-splitters to the tasks; above 1.5 TB of text buckets grow instead.
+splitters to the tasks.  Above 1.5 TB of text a splitter's range is cut once more, by a hash of the 24 bytes (suffixes that share
+them still meet; those at the edges meet in step 4 anyhow), so a bucket holds no more than below.
 
 Defined cases: null text is empty; a text under 50 bytes keeps all; rows with one id never remove each
 other's bytes; a null id is larger than any other; an empty table gives an empty result.
@@ -189,8 +190,8 @@ def _salt(names: np.ndarray, at: np.ndarray) -> np.ndarray:
     return tb.mix(names + at.astype(U64) * U64(0x9E3779B97F4A7C15))
 
 
-def _suffixes(docs: DataFrame, shared: DataFrame, bounds: np.ndarray, n: int) -> DataFrame:
-    """Suffixes of shared anchors with the bytes their zones reach, packed by bucket.
+def _suffixes(docs: DataFrame, shared: DataFrame, bounds: np.ndarray, n: int, cuts: int = 1) -> DataFrame:
+    """Suffixes of shared anchors with the bytes their zones reach, packed by bucket; each splitter's range is ``cuts`` buckets.
 
     Kind 1 has those that start with a splitter's bytes, kind 0 the others.
     """
@@ -220,6 +221,9 @@ def _suffixes(docs: DataFrame, shared: DataFrame, bounds: np.ndarray, n: int) ->
             lead = heads(batch.data, anchor[head], tb.mix(_salt(names[doc[head]], anchor[head] - batch.offsets[doc[head]])))
             bucket = np.searchsorted(bounds, lead, side="right")
             edge = np.isin(lead.astype(f"S{GRAM}"), edges)
+            if cuts > 1:
+                a, b, c, salt = lead.view("<u8").reshape(-1, (GRAM + 8) // 8).T
+                bucket = bucket * cuts + (tb.mix(np.where(edge, salt, a + tb.mix(b + tb.mix(c)))) % U64(cuts)).astype(np.int64)
             out = []
             target = bucket * 2 + edge
             by_bucket = np.lexsort((leading(batch.data, anchor[head]), target))
@@ -422,11 +426,13 @@ def remove_repeats(docs: DataFrame, buckets: int | None = None) -> DataFrame:
     n = shard_count(spark, size)
     keyed = docs.select(row_key("doc_id", "text").alias("key"), "doc_id", "text")
     shared = _shared(keyed, n, key_bits(size))
-    bounds = splitters(keyed, buckets or min(n, MOST_BUCKETS), size)
-    results = _sort_buckets(_suffixes(keyed, shared, bounds, n), len(bounds) + 1, n)
+    ranges = buckets or min(n, MOST_BUCKETS)
+    bounds, cuts = splitters(keyed, ranges, size), 1 if buckets else -(-n // ranges)
+    buckets = (len(bounds) + 1) * cuts
+    results = _sort_buckets(_suffixes(keyed, shared, bounds, n, cuts), buckets, n)
     drop(shared)
     covered = results.filter("kind = 0").select("shard", "payload")
-    return _remove(keyed, covered.unionByName(_compare_across(results, len(bounds) + 1, n)), n)
+    return _remove(keyed, covered.unionByName(_compare_across(results, buckets, n)), n)
 
 
 def op3_suffix_array_dedup(spark, sf_dir: str) -> DataFrame:

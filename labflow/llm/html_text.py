@@ -2,8 +2,8 @@
 
 A page is read once into a tree of block elements.  Subtrees that are never article text (menus, footers, forms, scripts,
 hidden parts ...) are marked by tag, role and attribute.  Names of classes and ids weigh, but don't decide alone: what is called
-an advert, a sidebar or a notice is marked unless it holds the article or most of the page's text, what is called reader comments
-unless it holds the article; a doubtful name only discounts the points, and marks what is short or mostly links against
+an advert, a sidebar or a notice is marked unless it holds the article (or, where no article or title stands elsewhere, most
+of the page's text), what is called reader comments unless it holds the article; a doubtful name only discounts the points, and marks what is short or mostly links against
 its container.  Every remaining paragraph has points for its length and commas, times the share of it that isn't link text; they
 go in full to its parent and in halves to further ancestors.  The best container, widened to the ``article`` or ``main`` that
 holds it, is kept with the siblings that score well, and its blocks become lines; only lists of short links in it are menus.
@@ -303,7 +303,8 @@ def _judge(tree: _Tree) -> list[float]:
             short = tree.tag[i] not in TEXTUAL and sizes.whole[i] < 200 and 10 * sizes.whole[i] < sizes.whole[up]
             tree.marked[i] = not holds and (short or sizes.density(i) > 0.5)
         else:
-            tree.marked[i] = not holds and (kind == 2 or part <= 0.6)
+            # most of a page's text is its article only if neither an article nor a title stands elsewhere
+            tree.marked[i] = not holds and (kind == 2 or part <= 0.6 or core[0] or title[0])
         share[i] *= DISCOUNT
     return share
 

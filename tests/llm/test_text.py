@@ -330,6 +330,8 @@ def test_html_keeps_the_whole_article():
         (f"<article><p>A</p><ul>{menu}</ul></article>", "A"),
         ("<div class='page menu-open'><article><p>A</p></article></div>", "A"),
         ("<div class='sidebar-layout'><h1>T</h1><p>A long text, with commas, and all of the page.</p></div><p class='share'>Share</p>", "T\nA long text, with commas, and all of the page."),
+        ("<div class='ad'>An advert that is longer than all of the article, by far.</div><article><h1>T</h1><p>A</p></article>", "T\nA"),
+        ("<div class='notice'>A notice that is longer than all of the article, by far.</div><h1>T</h1><p>A</p>", "T\nA"),
         ("<div><p>A text, short.</p></div><div class='comments'><p>A comment, much longer than the text, and liked, by many, many readers.</p></div>", "A text, short."),
         ("<article><p>A</p><article class='comment'><p>no</p></article><div class='related'><p>no</p></div><div hidden>no</div></article>", "A"),
     ]:
@@ -378,7 +380,7 @@ def _brute_article(root):
         if k == -1:
             drop = n[0] not in h.TEXTUAL and all_ < 200 and 10 * all_ < size(up[id(n)]) or linked > all_ / 2
         else:
-            drop = k == 2 or (all_ - linked) <= 0.6 * (size(root) - size(root, True))
+            drop = k == 2 or any(x[0] == "article" and kind[id(x)] != 2 for x in nodes) or (all_ - linked) <= 0.6 * (size(root) - size(root, True))
         if drop:
             bad.add(id(n))
     marked |= bad

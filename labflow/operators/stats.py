@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,12 +22,18 @@ from .quantiles import group_quantiles
 EXACT_ROWS, FINITE_ROWS = 10_000, 500_000
 
 
-def ks(samples: DataFrame, keys: Sequence[str], exact_rows: int = EXACT_ROWS) -> DataFrame:
-    """Exact two-sample Kolmogorov-Smirnov: statistic, sizes, p-value.  Works on the histogram of distinct values."""
+def ks(samples: DataFrame, keys: Sequence[str], exact_rows: int = EXACT_ROWS, pieces: bool = False) -> DataFrame:
+    """Exact two-sample Kolmogorov-Smirnov: statistic, sizes, p-value.  Works on the histogram of distinct values.
+
+    ``pieces``: cut a key's histogram over tasks, for keys with many millions of distinct values (or put these into ``binned``).
+    """
     hist = samples.filter("value is not null").groupBy(*keys, "value").agg(F.count_if(F.col("side") == "cand").alias("__c"), F.count_if(F.col("side") == "targ").alias("__t"))
-    w = Window.partitionBy(*keys)
-    run = w.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    cdf = hist.withColumns({"__cc": F.sum("__c").over(run), "__ct": F.sum("__t").over(run), "__n": F.sum("__c").over(w), "__m": F.sum("__t").over(w)})
+    if pieces:
+        cdf = running(hist, keys, ["value"], {"__cc": F.col("__c"), "__ct": F.col("__t")}).withColumnsRenamed({"__cc_all": "__n", "__ct_all": "__m"})
+    else:
+        w = Window.partitionBy(*keys)
+        run = w.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+        cdf = hist.withColumns({"__cc": F.sum("__c").over(run), "__ct": F.sum("__t").over(run), "__n": F.sum("__c").over(w), "__m": F.sum("__t").over(w)})
     out = cdf.filter("__n > 0 and __m > 0").groupBy(*keys).agg(F.max("__n").alias("n_cand"), F.max("__m").alias("n_targ"), F.max(F.abs(F.col("__cc") / F.col("__n") - F.col("__ct") / F.col("__m"))).alias("ks"))
     return out.withColumn("ks_p", ks_p(F.col("ks"), F.col("n_cand"), F.col("n_targ"), exact_rows))
 
@@ -313,32 +319,47 @@ def deciles(df: DataFrame, keys: Sequence[str], ends: bool = False) -> DataFrame
     return group_quantiles(df, keys, [i / 10 for i in (range(11) if ends else range(1, 10))]).select(*keys, F.col("quantiles").alias("deciles"))
 
 
-def running_ratio(df: DataFrame, keys: Sequence[str], order: Sequence[str], flag: str, out: str = "ratio") -> DataFrame:
-    """Share of flagged rows among a key's rows up to and including each one, in ``order``.
+def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], counts: dict[str, Column]) -> DataFrame:
+    """For each of ``counts`` (not negative) its sum over a key's rows up to and including each one, and over all of them (``name_all``).
 
     Rows are range-partitioned by key and order, so a key with a large part of the rows is cut into pieces; a piece adds what
     the pieces of its key before it hold.
     """
     sort = [*keys, *order]
-    local = df.repartitionByRange(*sort).sortWithinPartitions(*sort).withColumn("__part", F.spark_partition_id())
-    local = stage(local, "running-rows")
+    local = stage(df.repartitionByRange(*sort).sortWithinPartitions(*sort).withColumn("__part", F.spark_partition_id()), "running-rows")
     w = Window.partitionBy("__part", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    inside = local.withColumns({"__n": F.count(F.lit(1)).over(w), "__hit": F.count_if(F.col(flag)).over(w)})
-    sums = inside.groupBy("__part", *keys).agg(F.max("__n").alias("__pn"), F.max("__hit").alias("__ph"))  # a row per key and piece
-    before = Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select("__part", *keys, F.coalesce(F.sum("__pn").over(before), F.lit(0)).alias("__n0"), F.coalesce(F.sum("__ph").over(before), F.lit(0)).alias("__h0"))
-    both = inside.join(offsets, ["__part", *keys])
-    return both.withColumn(out, (F.col("__hit") + F.col("__h0")) / (F.col("__n") + F.col("__n0"))).select(*df.columns, out)
+    inside = local.withColumns({n: F.sum(c).over(w) for n, c in counts.items()})
+    sums = inside.groupBy("__part", *keys).agg(*[F.max(n).alias(n) for n in counts])  # a row per key and piece
+    own = Window.partitionBy(*keys)
+    before = own.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    told = sums.select(F.col("__part").alias("__piece"), *[F.col(k).alias(f"__{k}") for k in keys], *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"__{n}_0") for n in counts], *[F.sum(n).over(own).alias(f"{n}_all") for n in counts])
+    on = F.col("__part") == F.col("__piece")
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    both = inside.join(told, on).withColumns({n: F.col(n) + F.col(f"__{n}_0") for n in counts})
+    return both.select(*df.columns, *counts, *[f"{n}_all" for n in counts])
 
 
-def average_rank(df: DataFrame, value: str = "value", keys: Sequence[str] = ()) -> DataFrame:
-    """value, k, n, rank: the average rank of each distinct value, from its histogram."""
+def running_ratio(df: DataFrame, keys: Sequence[str], order: Sequence[str], flag: str, out: str = "ratio") -> DataFrame:
+    """Share of flagged rows among a key's rows up to and including each one, in ``order``."""
+    both = running(df, keys, order, {"__n": F.lit(1), "__hit": F.col(flag).cast("int")})
+    return both.withColumn(out, F.coalesce("__hit", F.lit(0)) / F.col("__n")).select(*df.columns, out)
+
+
+def average_rank(df: DataFrame, value: str = "value", keys: Sequence[str] = (), pieces: bool | None = None) -> DataFrame:
+    """value, k, n, rank: the average rank of each distinct value, from its histogram.
+
+    ``pieces``: cut a key's histogram over tasks; the default without keys, where all values are one group.
+    """
     hist = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("k"))
+    if not keys if pieces is None else pieces:
+        to = running(hist, keys, [value], {"__to": F.col("k")})
+        return to.select(*keys, value, "k", F.col("__to_all").alias("n"), (F.col("__to") - (F.col("k") - 1) / 2).alias("rank"))
     w = Window.partitionBy(*keys)
     run = w.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     return hist.withColumns({"n": F.sum("k").over(w), "rank": F.sum("k").over(run) - (F.col("k") - 1) / 2})
 
 
-def inverse_normal(df: DataFrame, value: str = "value", keys: Sequence[str] = ()) -> DataFrame:
+def inverse_normal(df: DataFrame, value: str = "value", keys: Sequence[str] = (), pieces: bool | None = None) -> DataFrame:
     """Blom's rank-based transform of each distinct value."""
-    return average_rank(df, value, keys).withColumn("z", normal_quantile((F.col("rank") - 0.375) / (F.col("n") + 0.25)))
+    return average_rank(df, value, keys, pieces).withColumn("z", normal_quantile((F.col("rank") - 0.375) / (F.col("n") + 0.25)))

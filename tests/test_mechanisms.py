@@ -173,6 +173,24 @@ def test_hot_group_of_many_distinct_values(spark):
     assert r.quantiles == np.quantile(v, [0.25, 0.5]).tolist()
 
 
+def test_running_sums_in_pieces(spark):
+    """Hot keys, null keys and no keys: pieces give what one window gives."""
+    rnd = random.Random(7)
+    rows = [(rnd.choice(["hot"] * 9 + ["b", None]), rnd.choice(["cand", "targ"]), rnd.choice([None, *map(float, range(400))]), i) for i in range(6000)]
+    df = spark.createDataFrame(rows, "g string, side string, value double, i int").repartition(6)
+    plain = lambda x: sorted(map(tuple, x.collect()), key=str)
+    assert plain(stats.ks(df, ["g"], pieces=True)) == plain(stats.ks(df, ["g"]))
+    assert plain(stats.average_rank(df, "value", ["g"], pieces=True)) == plain(stats.average_rank(df, "value", ["g"]))
+    assert plain(stats.average_rank(df)) == plain(stats.average_rank(df, pieces=False)) and stats.average_rank(df).agg(F.sum("k")).first()[0] == sum(r[2] is not None for r in rows)
+    got = {r.i: r.ratio for r in stats.running_ratio(df.withColumn("hit", F.col("value") > 200), ["g"], ["i"], "hit").collect()}
+    want, seen = {}, {}
+    for k, _, v, i in rows:
+        n, hit = seen.get(k, (0, 0))
+        seen[k] = n + 1, hit + (v is not None and v > 200)
+        want[i] = seen[k][1] / seen[k][0]
+    assert got == want
+
+
 def test_order_breaks_in_pieces(spark):
     rnd = random.Random(4)
     rows, want = [], []

@@ -54,7 +54,7 @@ def unit_formulas(spark, sf_dir):
 @query("provider_map", f"WITH {jq._MUNGED} SELECT row_id, CASE WHEN p_size % 2 = 0 THEN 'y' ELSE concat('P', p_size) END AS provider FROM mu")
 def provider_map(spark, sf_dir):
     raw = jq.raw(spark, sf_dir, provider="CASE WHEN p_size % 2 = 0 THEN 'x ' ELSE concat('P', p_size) END")
-    return jobs.munge(raw, jq.dictionaries(spark), rebalance=True).rows.select("row_id", "provider")
+    return jobs.munge(raw, jq.dictionaries(spark)).rows.select("row_id", "provider")
 
 
 @query("core_source_values", f"WITH {jq._CORE.replace('coalesce(harm_value, ex) AS m0', 'coalesce(harm_value, ex, CASE WHEN ln <> 4 THEN v END) AS m0')} SELECT row_id, concept, merged_value, qc_pass FROM z")

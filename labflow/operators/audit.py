@@ -11,6 +11,12 @@ from . import stats
 from .quantiles import group_quantiles
 
 TENTHS = tuple(i / 10 for i in range(11))
+# The election's notes.
+NOTE_SAME = "Injected matches Source"
+NOTE_MOVED = "INJECTION CHANGE: Source mode was '%s'"
+NOTE_DIFFERS = " | REF DIFF: ref was %s"
+NOTE_NEW = " | NEW MAPPING"
+NOTE_LOCKED = "MANUAL MAPPING (locked) - Current data suggests: %s"
 
 
 def null_report(df: DataFrame) -> DataFrame:
@@ -146,9 +152,9 @@ def elect_units(df: DataFrame, reference: DataFrame | None = None, min_count: in
     locked, moved = F.coalesce("manual", F.lit(False)), F.lower("injected_unit") != F.lower("source_unit")
     has = F.coalesce("__has", F.lit(False))
     differs, new = has & (F.lower("injected_unit") != F.lower(F.coalesce("ref", F.lit("NA")))), ~has & (F.col("injected_unit") != "NA")
-    first = F.when(moved, F.concat(F.lit("INJECTION CHANGE: Source mode was '"), "source_unit", F.lit("'"))).otherwise(F.lit("Injected matches Source"))
-    note = F.concat(first, F.when(differs, F.concat(F.lit(" | REF DIFF: ref was "), F.coalesce("ref", F.lit("NA")))).when(new, " | NEW MAPPING").otherwise(""))
-    note = F.when(locked, F.concat(F.lit("MANUAL MAPPING (locked) - Current data suggests: "), "injected_unit")).otherwise(note)
+    first = F.when(moved, F.format_string(NOTE_MOVED, "source_unit")).otherwise(F.lit(NOTE_SAME))
+    note = F.concat(first, F.when(differs, F.format_string(NOTE_DIFFERS, F.coalesce("ref", F.lit("NA")))).when(new, NOTE_NEW).otherwise(""))
+    note = F.when(locked, F.format_string(NOTE_LOCKED, "injected_unit")).otherwise(note)
     return both.select(
         *keys, F.when(locked, F.col("ref")).otherwise(F.col("injected_unit")).alias("target_unit"), F.when(locked, "MANUAL").when(moved, "INJECTED").otherwise("SOURCE").alias("unit_source"),
         note.alias("note"), "source_shares", "injected_shares", "n_rows", (~locked & (moved | differs | new)).alias("changed"),

@@ -14,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import drop, runs, stage
+from .common import runs, stage
 
 
 def numbered(df: DataFrame, group: str, order: Sequence[str], weight: str | None = None, name: str = "ordered") -> tuple[DataFrame, DataFrame]:
@@ -56,8 +56,3 @@ def numbered(df: DataFrame, group: str, order: Sequence[str], weight: str | None
     told = pieces.select("__group", "__piece", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"__{to}") for c, to in sums], *[F.sum(c).over(own).alias("rank_size" if to == "rank" else "start_sum") for c, to in sums])
     both = placed.join(stage(told, f"{name}-pieces"), (F.col(group) == F.col("__group")) & (F.col("__part") == F.col("__piece")))
     return both.withColumns({to: F.col(to) + F.col(f"__{to}") for _, to in sums}).drop("__group", "__piece", "__part", *[f"__{to}" for _, to in sums]), placed
-
-
-def release(*held: DataFrame) -> None:
-    """Delete what ``numbered`` staged, when its readers are done."""
-    drop(*held)

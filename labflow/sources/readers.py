@@ -74,12 +74,8 @@ def read_parquet(spark: SparkSession, path: str, wanted: Sequence[str] | None =
 
 def headers_problems(spark: SparkSession, expected: dict[str, Sequence[str]]) -> DataFrame:
     """path, problem, column: missing, extra or misplaced columns of files' headers; no row for a file where all is well."""
-    files = spark.createDataFrame([(f, list(c)) for f, c in expected.items()], "path string, want array<string>")
-    # the first line of a file stands in its first split, before all others there
-    names = files.select("path", "want", F.regexp_replace(F.col("path"), r"^.*/", "").alias("__file"))
-    lines = spark.read.text(list(expected)).select("value", "_metadata.file_name", "_metadata.file_path", F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("id")).filter("at = 0")
-    first = lines.groupBy("file_path", "file_name").agg(F.min_by("value", "id").alias("line"))
-    got = first.join(names, (F.col("file_name") == F.col("__file")) & F.endswith(F.regexp_replace("file_path", "^file:/+", "/"), F.regexp_replace("path", "^file:/+", "/"))).withColumn("got", F.split(F.rtrim("line"), "\t"))
+    heads = [(f, list(c), _first_line(spark, f)) for f, c in expected.items()]
+    got = spark.createDataFrame(heads, "path string, want array<string>, line string").withColumn("got", F.split(F.rtrim("line"), "\t"))
     want, have = F.col("want"), F.col("got")
     less, more = F.array_except(want, have), F.array_except(have, want)
     shifted = F.filter(F.transform(have, lambda c, i: F.struct(F.lit("ORDER").alias("problem"), c.alias("column"))), lambda s: F.array_position(have, s["column"]) != F.array_position(want, s["column"]))
@@ -92,6 +88,18 @@ def headers_problems(spark: SparkSession, expected: dict[str, Sequence[str]]) ->
     return got.select("path", problems.alias("p")).select("path", F.inline("p"))
 
 
+def _first_line(spark: SparkSession, path: str) -> str:
+    """A file's first line, by the file system on the driver: a job would have to read a compressed file to its end."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    codec, stream = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(at), at.getFileSystem(conf).open(at)
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8"))
+    try:
+        return reader.readLine() or ""
+    finally:
+        reader.close()
+
+
 def header_problems(spark: SparkSession, path: str, expected: Sequence[str]) -> DataFrame:
     """``headers_problems`` of one file."""
     return headers_problems(spark, {path: expected})
@@ -106,7 +114,7 @@ def manifest_pairs(spark: SparkSession, path: str) -> DataFrame:
 def manifest_problems(spark: SparkSession, path: str, main: Sequence[str] = (), free: Sequence[str] = ()) -> DataFrame:
     """value, problem: lines of a manifest that don't name a pair of existing TSV files with the expected headers.
 
-    A manifest names tens of files.  Each folder of them is listed once, on the driver; all headers are read by one job.
+    A manifest names tens of files.  On the driver each folder of them is listed once and each file's first line is read.
     """
     pairs = manifest_pairs(spark, path)
     tsv = F.col("main").rlike(r"\.tsv(\.gz)?$") & F.col("free").rlike(r"\.tsv(\.gz)?$")

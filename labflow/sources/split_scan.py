@@ -15,7 +15,7 @@ from itertools import groupby
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,6 +49,11 @@ def ends_inside(line: str, inside: bool, quote: str = '"', sep: str = "\t") -> b
             return False
 
 
+def file_name(path: Column | str) -> Column:
+    """A scan's path or file name as it is in the file system: scans have it percent-encoded, but for plus signs."""
+    return F.url_decode(F.replace(F.col(path) if isinstance(path, str) else path, F.lit("+"), F.lit("%2B")))
+
+
 def _lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return spark.read.option("lineSep", "\n").text(paths).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"))
 
@@ -161,4 +166,4 @@ def scan_tsv(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[
     schema = T.StructType([T.StructField(c, T.StringType()) for c in (*columns, BAD)])
     options = {"sep": "\t", "quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD, "maxCharsPerColumn": "-1"}
     parsed = whole.filter("row_no > 0").select(F.regexp_replace("path", r"^.*/", "").alias("source_file"), "row_no", F.from_csv("record", schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), options).alias("r"))
-    return parsed.select(*[F.col(f"r.`{c}`") for c in (wanted or columns)], F.col(f"r.{BAD}").alias(BAD), F.url_decode("source_file").alias("source_file"), "row_no")
+    return parsed.select(*[F.col(f"r.`{c}`") for c in (wanted or columns)], F.col(f"r.{BAD}").alias(BAD), file_name("source_file").alias("source_file"), "row_no")

@@ -251,7 +251,7 @@ def test_region_hits_against_all_pairs(spark):
 def test_splits_of_a_file_with_quoted_line_ends(spark, tmp_path):
     rnd = random.Random(2)
     want = {}
-    for name in ("a.tsv", "b c.tsv"):
+    for name in ("a.tsv", "b c+d.tsv"):
         rows, lines = [], ["a\tb\tc"]
         for _ in range(900):
             def text():
@@ -294,10 +294,10 @@ def test_line_states():
 
 
 def test_manifest(spark, tmp_path):
-    for name, head in (("m.tsv", "a\tb"), ("f.tsv", "a\tc"), ("odd.tsv", "b\ta"), ("more.tsv", "a\tc\td")):
+    for name, head in (("m.tsv", "a\tb"), ("f.tsv", "a\tc"), ("odd.tsv", "b\ta"), ("more+x y.tsv", "a\tc\td")):
         (tmp_path / name).write_text(head + "\n1\t2\n")
     at = str(tmp_path)
-    lines = [f"{at}/m.tsv\t{at}/f.tsv", f"{at}/odd.tsv\t{at}/more.tsv", f"{at}/m.tsv\t{at}/gone.tsv", "one", f"{at}/m.csv\t{at}/f.tsv"]
+    lines = [f"{at}/m.tsv\t{at}/f.tsv", f"{at}/odd.tsv\t{at}/more+x y.tsv", f"{at}/m.tsv\t{at}/gone.tsv", "one", f"{at}/m.csv\t{at}/f.tsv"]
     (tmp_path / "list").write_text("\n".join(lines) + "\n\n")
     got = {(lines.index(r.value), r.problem) for r in readers.manifest_problems(spark, f"{at}/list", ["a", "b"], ["a", "c"]).collect()}
     assert got == {(1, "HEADER ORDER b"), (1, "HEADER ORDER a"), (1, "HEADER EXTRA d"), (2, "MISSING_FILE"), (3, "NOT_A_PAIR"), (4, "NOT_TSV")}

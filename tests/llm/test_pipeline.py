@@ -133,4 +133,4 @@ def test_stages(spark, sf):
 def test_queries_are_registered():
     from labflow.llm.queries import QUERIES
 
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))

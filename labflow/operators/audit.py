@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..sources.staging import stage
 from . import stats
 from .quantiles import group_quantiles
 
@@ -239,7 +240,7 @@ def extracted_audit(df: DataFrame) -> DataFrame:
 
     Rows: concept, side ("cand" extracted, "targ" harmonised), value.
     """
-    kept = stats.sigma_filter(df, ["concept", "side"]).filter("kept")
+    kept = stats.sigma_filter(stage(df, "audit-rows"), ["concept", "side"]).filter("kept")
     k = stats.ks(kept, ["concept"]).select("concept", "n_cand", "n_targ", "ks")
     sides = ("cand", "targ")
     q = group_quantiles(kept, ["concept", "side"], TENTHS)

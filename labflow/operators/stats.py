@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalar import kolmogorov_p, normal_quantile
-from ..sources.staging import stage
+from ..sources.staging import sized, stage
 from .dip import dip, dip_p
 from .quantiles import group_quantiles
 
@@ -172,18 +172,20 @@ def _beta(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
     return np.where(swap, 1 - front * out, front * out)
 
 
-def mad(samples: DataFrame, keys: Sequence[str], times: float = 3.0) -> DataFrame:
-    """Is the candidate's median within ``times`` median deviations of the target's?"""
-    half = group_quantiles(samples, [*keys, "side"], [0.5]).withColumn("__m", F.col("quantiles")[0])
-    med = half.groupBy(*keys).agg(*[F.max(F.when(F.col("side") == s, F.col("__m"))).alias(f"median_{s}") for s in ("cand", "targ")])
+def mad(samples: DataFrame, keys: Sequence[str], times: float = 3.0, half: DataFrame | None = None) -> DataFrame:
+    """Is the candidate's median within ``times`` median deviations of the target's?  ``half``: the medians (keys, side, median), if known."""
+    if half is None:
+        half = group_quantiles(samples, [*keys, "side"], [0.5]).withColumn("median", F.col("quantiles")[0])
+    med = half.groupBy(*keys).agg(*[F.max(F.when(F.col("side") == s, F.col("median"))).alias(f"median_{s}") for s in ("cand", "targ")])
+    med = sized(med, "medians")
     far = samples.filter("side = 'targ'").join(med.select(*keys, "median_targ"), list(keys)).select(*keys, F.abs(F.col("value") - F.col("median_targ")).alias("value"))
     dev = group_quantiles(far, keys, [0.5]).select(*keys, F.col("quantiles")[0].alias("mad_targ"))
     return med.join(dev, list(keys)).withColumn("mad_pass", F.abs(F.col("median_cand") - F.col("median_targ")) <= times * F.col("mad_targ"))
 
 
-def decide(samples: DataFrame, keys: Sequence[str], times: float = 3.0, exact_rows: int = EXACT_ROWS) -> DataFrame:
+def decide(samples: DataFrame, keys: Sequence[str], times: float = 3.0, exact_rows: int = EXACT_ROWS, half: DataFrame | None = None) -> DataFrame:
     """KS, then Welch, then median deviation: what each test found, the verdict and the test that decided; all three are computed."""
-    both = ks(samples, keys, exact_rows).join(welch(samples, keys), list(keys), "left").join(mad(samples, keys, times), list(keys), "left")
+    both = ks(samples, keys, exact_rows).join(welch(samples, keys), list(keys), "left").join(mad(samples, keys, times, half), list(keys), "left")
     k, t = (F.col("ks") < 0.3) & (F.col("ks_p") < 0.05), F.coalesce(F.col("t_p") >= 0.05, F.lit(False))
     m = F.coalesce("mad_pass", F.lit(False))
     found = both.withColumns({
@@ -309,7 +311,7 @@ def split_score(scored: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def sigma_filter(df: DataFrame, keys: Sequence[str], times: float = 3.0) -> DataFrame:
     """Rows within mean +- 3 sample deviations of their group; groups of one row or without spread stay whole."""
-    agg = df.groupBy(*keys).agg(F.avg("value").alias("__m"), F.stddev_samp("value").alias("__s"))
+    agg = sized(df.groupBy(*keys).agg(F.avg("value").alias("__m"), F.stddev_samp("value").alias("__s")), "group-spread")
     keep = F.coalesce(F.col("__s"), F.lit(0.0)) == 0
     return df.join(agg, list(keys)).withColumn("kept", keep | (F.abs(F.col("value") - F.col("__m")) <= times * F.col("__s"))).drop("__m", "__s")
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators import audit, dedup, limits, pheno, qc, release, stats, units
 from ..sources import readers
+from ..sources.staging import stage
 from .measurements import M_SQL, inline, measurements, table
 
 QUERIES: dict = {}
@@ -445,13 +446,19 @@ def split_score(spark, sf_dir):
 
 @query("unambiguous_pass")
 def unambiguous_pass(spark, sf_dir):
-    u = _u(spark, sf_dir)
+    return _unambiguous(stage(_u(spark, sf_dir), "unit-rows"))
+
+
+def _unambiguous(u):
     return units.unambiguous_pass(units.samples(u), units.classify(units.targets(u, 10), units.prevalence(u)))
 
 
 @query("ambiguous_pass")
 def ambiguous_pass(spark, sf_dir):
-    u = _u(spark, sf_dir)
+    return _ambiguous(stage(_u(spark, sf_dir), "unit-rows"))
+
+
+def _ambiguous(u):
     top = units.prevalence(u)
     return units.ambiguous_pass(units.samples(u), units.classify(units.targets(u, 10), top), top)
 
@@ -614,7 +621,8 @@ def no_data_rescue(spark, sf_dir):
 
 @query("unified_results")
 def unified_results(spark, sf_dir):
-    return units.unified(unambiguous_pass(spark, sf_dir).select("test", "unit", "ks", "status"), ambiguous_pass(spark, sf_dir))
+    u = stage(_u(spark, sf_dir), "unit-rows")
+    return units.unified(_unambiguous(u).select("test", "unit", "ks", "status"), _ambiguous(u))
 
 
 @query("decision")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import audit, clean, dedup, harmonise, jobs, stats, units
 from ..sources import clustered, readers, split_scan
-from ..sources.staging import scratch
+from ..sources.staging import scratch, stage
 from . import aggregate_queries as aq
 from . import job_queries as jq
 from .measurements import M_SQL, inline, measurements, table
@@ -124,7 +124,7 @@ def decision_table(spark, sf_dir):
 
 @query("unambiguous_table", f"WITH {M_SQL}, {aq._U}, own AS (SELECT tg.test, pv.unit, pct FROM tg JOIN pv ON tg.test = pv.test AND rn = 1 WHERE pct >= 98), {_decided('test', "s AS (SELECT own.test AS event_type, CASE WHEN u.unit IS NULL THEN 'cand' ELSE 'targ' END AS side, u.value FROM u JOIN own ON u.test = own.test AND coalesce(u.unit, own.unit) = own.unit WHERE u.value IS NOT NULL)")} SELECT own.test, own.unit, pct AS unit_prevalence, {', '.join(_SEEN)}, CASE WHEN n_cand IS NULL OR n_cand < 2 OR n_targ < 2 THEN 'SKIP' ELSE verdict END AS status FROM own LEFT JOIN dd USING (test)")
 def unambiguous_table(spark, sf_dir):
-    u = aq._u(spark, sf_dir)
+    u = stage(aq._u(spark, sf_dir), "unit-rows")
     found = units.unambiguous_pass(units.samples(u), units.classify(units.targets(u, 10), units.prevalence(u)), exact_rows=0)
     return _rounded(found).select("test", "unit", "unit_prevalence", *_SEEN, "status")
 

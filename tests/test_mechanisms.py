@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from labflow.operators import audit, dedup, formulas, harmonise, jobs, pheno, quantiles, stats
 from labflow.operators.dip import dip, dip_p
-from labflow.plans import job_queries
+from labflow.plans import job_queries, registry
 from labflow.sources import clustered, readers, split_scan
 
 from .test_operators import RAW, dictionaries, raw_row
@@ -370,3 +370,10 @@ def test_frequent_units_are_no_tasks_of_the_job(spark):
         assert {(r.clean_unit, r.n) for r in out.groupBy("clean_unit").agg(F.count("*").alias("n")).collect()} == {("mmol/l", 100_000), ("u/l", 50_000)}
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("name", ["unified_results", "ambiguous_pass", "unambiguous_table", "extracted_audit"])
+def test_a_comparison_joins_its_measurements_once(spark, sf, name):
+    """What is left of the plan reads staged rows and tables; it no longer joins the source tables for each test of each pass."""
+    out = registry.QUERIES[name](spark, sf)
+    assert out.inputFiles() and not [f for f in out.inputFiles() if "lineitem" in f]

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,6 +46,9 @@ def comparison_outcome(df: DataFrame, text: str, units: DataFrame, approved: Dat
     """``<5mg/l`` from texts like "tulos: alle 5,0 mg/l": comparator, number and unit, each checked."""
     # a column per step, so that each step runs once a row however often the next one names it
     both = df.withColumn("__t", F.lower(F.col(text)))
+    # words go from the start only: a text without a sign has none afterwards either, and is left alone
+    plain = F.translate(F.col("__t"), ",*", ".")
+    both = both.withColumn("__t", F.when(reduce(or_, [plain.contains(s) for s in COMPARISONS]), F.col("__t")))
     both = both.withColumn("__t", F.translate(_without_words(F.col("__t"), r"^(?U)\s*{}\s*"), ",*", "."))
     has = F.lit(False)
     spaced = F.col("__t")

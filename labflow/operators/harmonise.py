@@ -48,16 +48,26 @@ def conversion_table(conversions: DataFrame, targets: DataFrame) -> DataFrame:
     )
 
 
+def conversion_of(df: DataFrame, table: DataFrame) -> DataFrame:
+    """Each row's conversion: ``harm_unit``, ``factor``, and what ``converted`` works with.  It needs no value."""
+    t = table.select(F.col("concept").alias("__c"), F.col("quantity").alias("__q"), F.col("source_unit").alias("__u"), F.when(F.col("known"), F.col("target_unit")).alias("harm_unit"), F.when(F.col("known"), F.col("conversion")).alias("factor"), "a", "program", F.col("conversion").alias("__text"))
+    both = df.join(t, (F.col("concept") == F.col("__c")) & F.col("quantity").eqNullSafe(F.col("__q")) & F.col("clean_unit").eqNullSafe(F.col("__u")), "left")
+    return both.drop("__c", "__q", "__u")
+
+
+def converted(df: DataFrame, failed: str | None = None) -> DataFrame:
+    """``harm_value`` of rows that have their conversion; see ``convert``."""
+    both = df.withColumn("__v", number("value"))
+    both = both.withColumn("harm_value", F.when(F.col("program").isNotNull(), F.bround(formulas.run(F.col("program"), F.col("__v")), 2)).otherwise(F.col("a") * F.col("__v")))
+    if failed:
+        both = both.withColumn(failed, F.when(F.col("__text").isNotNull() & F.col("__v").isNotNull() & F.col("harm_value").isNull(), F.col("__text")))
+    return both.drop("__text", "__v", "a", "program")
+
+
 def convert(df: DataFrame, table: DataFrame, failed: str | None = None) -> DataFrame:
     """Harmonised value, unit and factor; formulas round to two decimals, factors don't round.
 
     A conversion that is neither a number nor a formula gives no unit, one that divides by zero no value; the column ``failed``
     then holds its text.
     """
-    t = table.select(F.col("concept").alias("__c"), F.col("quantity").alias("__q"), F.col("source_unit").alias("__u"), F.when(F.col("known"), F.col("target_unit")).alias("harm_unit"), F.when(F.col("known"), F.col("conversion")).alias("factor"), "a", "program", F.col("conversion").alias("__text"))
-    both = df.join(t, (F.col("concept") == F.col("__c")) & F.col("quantity").eqNullSafe(F.col("__q")) & F.col("clean_unit").eqNullSafe(F.col("__u")), "left")
-    both = both.withColumn("__v", number("value"))
-    both = both.withColumn("harm_value", F.when(F.col("program").isNotNull(), F.bround(formulas.run(F.col("program"), F.col("__v")), 2)).otherwise(F.col("a") * F.col("__v")))
-    if failed:
-        both = both.withColumn(failed, F.when(F.col("__text").isNotNull() & F.col("__v").isNotNull() & F.col("harm_value").isNull(), F.col("__text")))
-    return both.drop("__c", "__q", "__u", "__text", "__v", "a", "program")
+    return converted(conversion_of(df, table), failed)

@@ -59,7 +59,7 @@ def provider_map(spark, sf_dir):
 
 @query("core_source_values", f"WITH {jq._CORE.replace('coalesce(harm_value, ex) AS m0', 'coalesce(harm_value, ex, CASE WHEN ln <> 4 THEN v END) AS m0')} SELECT row_id, concept, merged_value, qc_pass FROM z")
 def core_source_values(spark, sf_dir):
-    return jobs.core(jq.munged(spark, sf_dir).rows, jq.core_tables(spark), source_values=True).rows.select("row_id", "concept", "merged_value", "qc_pass")
+    return jq.cored(spark, sf_dir, source_values=True).rows.select("row_id", "concept", "merged_value", "qc_pass")
 
 
 @query("munge_account", f"WITH {jq._MUNGED} SELECT (SELECT count(*) FROM r) AS n_in, (SELECT count(*) FROM mu) AS n_out, (SELECT count(*) FROM r) - (SELECT count(*) FROM mu) AS n_quarantined, true AS balanced")

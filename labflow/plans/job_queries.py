@@ -113,12 +113,12 @@ _CORE = f"""{_MUNGED}, x AS (SELECT *, CASE WHEN ln % 4 = 3 THEN 150203.0 WHEN l
 SQL["core_job"] = f"WITH {_CORE} SELECT row_id, concept, ex AS extracted_value, merged_value, is_pos, outcome_text, qc_pass, qc_note, CASE WHEN concept = 11 THEN CASE WHEN merged_value BETWEEN 2000 AND 30000 THEN 'N' WHEN merged_value > 30000 THEN 'H*' WHEN merged_value < 2000 THEN 'L' END END AS imputed_outcome FROM z"
 
 
-def _core(spark, sf_dir: str) -> jobs.Result:
-    return jobs.core(munged(spark, sf_dir).rows, core_tables(spark), drop=("text",))
+def cored(spark, sf_dir: str, **more) -> jobs.Result:
+    return jobs.munge_and_core(raw(spark, sf_dir), dictionaries(spark), core_tables(spark), rebalance=True, **more)[1]
 
 
 def core_job(spark, sf_dir: str) -> DataFrame:
-    return _core(spark, sf_dir).rows.select("row_id", "concept", "extracted_value", "merged_value", "is_pos", "outcome_text", "qc_pass", "qc_note", "imputed_outcome")
+    return cored(spark, sf_dir, drop=("text",)).rows.select("row_id", "concept", "extracted_value", "merged_value", "is_pos", "outcome_text", "qc_pass", "qc_note", "imputed_outcome")
 
 
 SQL["core_log"] = f"""WITH {_CORE}, n AS (SELECT *, nullif(concat_ws('; ', CASE WHEN scaled THEN 'scaled' END, CASE WHEN low THEN 'low' END, CASE WHEN conflict THEN 'OUTCOME_EXTRACT_CONFLICT' END), '') AS note FROM z)
@@ -127,7 +127,7 @@ SQL["core_log"] = f"""WITH {_CORE}, n AS (SELECT *, nullif(concat_ws('; ', CASE
 
 
 def core_log(spark, sf_dir: str) -> DataFrame:
-    out = _core(spark, sf_dir)
+    out = cored(spark, sf_dir, drop=("text",))
     return out.errors.unionByName(out.warnings).select("row_id", "err", "err_value")
 
 

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from labflow.operators import audit, dedup, formulas, harmonise, jobs, pheno, quantiles, stats
+from labflow.operators import audit, clean, dedup, formulas, harmonise, jobs, pheno, quantiles, stats
 from labflow.operators.dip import dip, dip_p
 from labflow.plans import job_queries, registry
 from labflow.sources import clustered, readers, split_scan
@@ -377,3 +377,38 @@ def test_a_comparison_joins_its_measurements_once(spark, sf, name):
     """What is left of the plan reads staged rows and tables; it no longer joins the source tables for each test of each pass."""
     out = registry.QUERIES[name](spark, sf)
     assert out.inputFiles() and not [f for f in out.inputFiles() if "lineitem" in f]
+
+
+def test_descriptions_are_cleaned_once(spark, sf, monkeypatch):
+    """Both jobs write their rows twice, and no row runs the patterns that follow from its description alone."""
+    staged = []
+    was = jobs.stage
+    monkeypatch.setattr(jobs, "stage", lambda df, name: staged.append((name, df._jdf.queryExecution().optimizedPlan().toString())) or was(df, name))
+    registry.QUERIES["core_job"](spark, sf)
+    assert [n for n, _ in staged] == ["munge-cleaned", "core-rows"]
+    assert not [n for n, plan in staged if "|".join(clean.NAME_DELETIONS) in plan]
+
+
+def test_both_jobs_at_once_give_what_they_give_in_turn(spark):
+    d = dictionaries(spark)
+    d.conversions = spark.createDataFrame([("mass", "g/l", "mg/l", "1/(X-2)", None)], "quantity string, source_unit string, target_unit string, conversion string, only_concept int")
+    t = job_queries.core_tables(spark)
+    t.targets, t.limits = spark.createDataFrame([(5, "mg/l")], "concept int, target_unit string"), spark.createDataFrame([(5, 0.1, 0.4, False, True)], "concept int, low double, high double, low_problem boolean, high_problem boolean")
+    t.thresholds = spark.createDataFrame([(5, 1, ">", 0.4, "high")], "concept int, seq int, side string, limit double, note string")
+    rows = [
+        raw_row(1, national="9999", value="4"), raw_row(2, national="9999", value="2", text="150203"), raw_row(3, national="9999", unit="MG / L", value=None, text="Tulos: 7,5 mg/l"), raw_row(4, status="K", text="150203"), raw_row(5, day="x", national="9999"),
+        raw_row(6, national="1234", unit=None, value="-1", text=" NEG"), raw_row(7, name=None, local=None, outcome="POS", text="NEG"), raw_row(8, unit="y/l", text="al*le 3 mg/l"), raw_row(9, national="9999", value="5", outcome=None, text=None),
+    ]
+    raw = spark.createDataFrame(rows, RAW).withColumn("provider", F.lit("prov")).withColumn("more", F.lit(" a b "))
+    for source_values in (False, True):
+        first = jobs.munge(raw, d)
+        want = first, jobs.core(first.rows, t, source_values=source_values, drop=("status", "name"))
+        got = jobs.munge_and_core(raw, d, t, source_values=source_values, drop=("status", "name"))
+        for a, b, dropped in ((want[0], got[0], ["status", "name"]), (want[1], got[1], [])):
+            assert a.counts == b.counts and set(a.rows.columns) - set(dropped) == set(b.rows.columns)
+            columns = sorted(b.rows.columns)
+            assert sorted(map(str, a.rows.select(columns).collect())) == sorted(map(str, b.rows.select(columns).collect()))
+            for log in ("errors", "warnings", "units", "names"):
+                if getattr(a, log) is not None:
+                    assert sorted(map(str, getattr(a, log).collect())) == sorted(map(str, getattr(b, log).collect())), log
+        assert {(r.row_id, r.err) for r in got[0].warnings.collect()} >= {(2, "unit_conversion"), (6, "lab_mapping")}
